@@ -40,14 +40,17 @@ def with_cell(df: DataFrame, ra: str, dec: str, h: float, zone: str = "zone", ce
     return df.withColumn(zone, zone_of(dec, h)).withColumn(cell, cell_of(ra, F.col(zone), h))
 
 
-def with_touched_cells(df: DataFrame, ra: str, dec: str, radius_deg: float, h: float,
+def with_touched_cells(df: DataFrame, ra: str, dec: str, radius_deg, h: float,
                        zone: str = "zone", cell: str = "cell") -> DataFrame:
-    """Repeat each row for every cell that its circle of ``radius_deg`` touches."""
-    reach = radius_deg * (1 + 1e-9) + MARGIN_DEG
+    """Repeat each row for every cell that its circle touches.
+
+    ``radius_deg`` is a number or the name of a column.
+    """
+    reach = col(radius_deg) * (1 + 1e-9) + MARGIN_DEG
     zones = F.sequence(zone_of(F.greatest(F.lit(-90.0), F.col(dec) - reach), h),
                        zone_of(F.least(F.lit(90.0), F.col(dec) + reach), h))
     # half width in right ascension of the circle; the whole ring when it holds a pole
-    ratio = math.sin(math.radians(min(reach, 90.0))) / F.cos(F.radians(F.col(dec)))
+    ratio = F.sin(F.radians(F.least(reach, F.lit(90.0)))) / F.cos(F.radians(F.col(dec)))
     half = F.when(F.abs(F.col(dec)) + reach >= 90.0, 180.0).otherwise(
         F.degrees(F.asin(F.least(F.lit(1.0), ratio))) + MARGIN_DEG)
     low, high = F.col(ra) - F.col("__half"), F.col(ra) + F.col("__half")
