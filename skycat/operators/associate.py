@@ -12,8 +12,8 @@ pair starts an object.  That looks sequential, but it is local:
 * In a group whose bounding box is smaller than the radius every source matches every object,
   so the result is known without a walk: the first batch starts the objects and all later
   sources join all of them.  This is the normal case for point sources and is a plain join.
-* Other groups are walked.  Small ones are walked group by group in Arrow batches, groups with
-  more rows than ``max_group_rows`` batch by batch as positional joins over the cluster, with
+* Other groups are walked.  Small ones are walked in Arrow batches of a partition sorted by
+  group, groups with more rows than ``max_group_rows`` batch by batch as positional joins over the cluster, with
   the state in the checkpoint folder.
 
 Object ids are the ids of the sources that start them, so a repeated run gives the same ids.
@@ -68,42 +68,84 @@ def sky_groups(points: DataFrame, link_deg: float, pos=("ra", "dec")) -> DataFra
     return keyed.join(labels, "__node").drop("__node")
 
 
-def _walk(radius_deg: float):
-    """The walk through one group as a function of a pandas frame."""
-    limit = chord2_limit(radius_deg)
-
-    def vectors(ra, dec):
-        a, d = np.radians(ra), np.radians(dec)
-        return np.column_stack([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)])
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["rank", "mjdobs", "expid", "sca", "sid"], kind="stable")
-        known = pdf["rank"].to_numpy() == 0
-        ra, dec, n = (pdf.loc[known, c].to_numpy(float) for c in ("ra", "dec", "weight"))
-        aid = pdf.loc[known, "sid"].to_numpy(np.int64)
-        out_aid, out_sid = [], []
-        for _, batch in pdf[~known].groupby(list(BATCH), sort=True):
-            s_ra, s_dec, sid = batch["ra"].to_numpy(), batch["dec"].to_numpy(), batch["sid"].to_numpy(np.int64)
-            fresh = np.ones(len(sid), bool)
-            if len(aid):
-                gap = vectors(ra, dec)[:, None, :] - vectors(s_ra, s_dec)[None, :, :]
-                o, s = np.nonzero((gap * gap).sum(axis=2) <= limit)
-                fresh[s] = False
+def _unit(ra: np.ndarray, dec: np.ndarray) -> np.ndarray:
+    a, d = np.radians(ra), np.radians(dec)
+    return np.column_stack([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)])
+
+
+def _walk_group(rank, batch_no, sid, ra, dec, weight, limit: float):
+    """Merges (aids, sids) of one group whose rows are in order of rank and batch."""
+    known = int(np.searchsorted(rank, 1))
+    aid, o_ra, o_dec, n = sid[:known], ra[:known].copy(), dec[:known].copy(), weight[:known].copy()
+    o_vec, s_vec = _unit(o_ra, o_dec), _unit(ra, dec)
+    out_aid, out_sid = [], []
+    cuts = np.flatnonzero(np.diff(batch_no[known:])) + known + 1
+    bounds = [known, *cuts.tolist(), len(sid)] if known < len(sid) else []
+    for start, stop in zip(bounds, bounds[1:]):
+        fresh = np.arange(start, stop)
+        if len(aid):
+            gap = o_vec[:, None, :] - s_vec[None, start:stop, :]
+            o, s = np.nonzero(np.einsum("ijk,ijk->ij", gap, gap) <= limit)
+            if len(o):
+                s = s + start
                 out_aid.append(aid[o])
                 out_sid.append(sid[s])
+                fresh = np.setdiff1d(fresh, s, assume_unique=False)
                 # all matches of a batch move the mean together
                 k = np.bincount(o, minlength=len(aid))
-                dra = (s_ra[s] - ra[o] + 540.0) % 360.0 - 180.0
-                ra = (ra + np.bincount(o, dra, len(aid)) / (n + k)) % 360.0
-                dec = dec + np.bincount(o, s_dec[s] - dec[o], len(aid)) / (n + k)
+                dra = (ra[s] - o_ra[o] + 540.0) % 360.0 - 180.0
                 n = n + k
+                o_ra = (o_ra + np.bincount(o, dra, len(aid)) / n) % 360.0
+                o_dec = o_dec + np.bincount(o, dec[s] - o_dec[o], len(aid)) / n
+                moved = k > 0
+                o_vec[moved] = _unit(o_ra[moved], o_dec[moved])
+        if len(fresh):
             out_aid.append(sid[fresh])
             out_sid.append(sid[fresh])
-            aid, ra = np.concatenate([aid, sid[fresh]]), np.concatenate([ra, s_ra[fresh]])
-            dec, n = np.concatenate([dec, s_dec[fresh]]), np.concatenate([n, np.ones(fresh.sum())])
-        aids = np.concatenate(out_aid) if out_aid else np.empty(0, np.int64)
-        sids = np.concatenate(out_sid) if out_sid else np.empty(0, np.int64)
-        return pd.DataFrame({"field": np.full(len(aids), pdf["field"].iloc[0], np.int64), "aid": aids, "sid": sids})
+            aid, n = np.concatenate([aid, sid[fresh]]), np.concatenate([n, np.ones(len(fresh))])
+            o_ra, o_dec = np.concatenate([o_ra, ra[fresh]]), np.concatenate([o_dec, dec[fresh]])
+            o_vec = np.concatenate([o_vec, s_vec[fresh]])
+    return out_aid, out_sid
+
+
+def _walk(radius_deg: float):
+    """The walk over a partition sorted by group, rank and batch, as a function of Arrow batches.
+
+    Only the unfinished last group is carried over, so memory does not grow with the partition.
+    """
+    limit = chord2_limit(radius_deg)
+
+    def groups(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = {name: pdf[name].to_numpy() for name in pdf.columns}
+        new_group = np.flatnonzero((np.diff(c["field"]) != 0) | (np.diff(c["grp"]) != 0)) + 1
+        same_batch = np.ones(len(pdf) - 1, bool)
+        for name in BATCH:
+            same_batch &= c[name][1:] == c[name][:-1]
+        batch_no = np.concatenate([[0], np.cumsum(~same_batch)])
+        fields, aids, sids = [], [], []
+        bounds = [0, *new_group.tolist(), len(pdf)]
+        for a, b in zip(bounds, bounds[1:]):
+            found = _walk_group(c["rank"][a:b], batch_no[a:b], c["sid"][a:b], c["ra"][a:b], c["dec"][a:b], c["weight"][a:b], limit)
+            aids += found[0]
+            sids += found[1]
+            fields += [np.full(len(x), c["field"][a]) for x in found[0]]
+        empty = [np.empty(0, np.int64)]
+        return pd.DataFrame({"field": np.concatenate(fields or empty), "aid": np.concatenate(aids or empty),
+                             "sid": np.concatenate(sids or empty)})
+
+    def walk(batches):
+        rest = None
+        for pdf in batches:
+            if rest is not None:
+                pdf = pd.concat([rest, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            last = (pdf["field"] == pdf["field"].iloc[-1]) & (pdf["grp"] == pdf["grp"].iloc[-1])
+            done, rest = pdf[~last], pdf[last]
+            if len(done):
+                yield groups(done.reset_index(drop=True))
+        if rest is not None and len(rest):
+            yield groups(rest.reset_index(drop=True))
 
     return walk
 
@@ -186,7 +228,8 @@ def associate_within_field(sources: DataFrame, radius_deg: float, objects: DataF
     result = own.unionByName(joined.select("field", "aid", "sid"))
 
     walked = rows.filter("kind = 'walk'").drop("first", "kind")
-    result = result.unionByName(walked.groupBy("field", "grp").applyInPandas(_walk(radius_deg), MERGE_SCHEMA))
+    ordered = walked.repartition("field", "grp").sortWithinPartitions("field", "grp", "rank", *BATCH, "sid")
+    result = result.unionByName(ordered.mapInPandas(_walk(radius_deg), MERGE_SCHEMA))
     large = rows.filter("kind = 'large'").drop("first", "kind")
     if groups.filter(kind == "large").limit(1).count():
         result = result.unionByName(_walk_on_cluster(cut_lineage(large), radius_deg))

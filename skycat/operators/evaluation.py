@@ -110,7 +110,7 @@ def catalog_case_summary(counts: DataFrame) -> DataFrame:
     for c in ("n_sources", "n_matches"):
         v = F.when(~F.isnan(c), F.col(c))
         aggs += [F.avg(v).alias(f"{c}_mean"), F.stddev_pop(v).alias(f"{c}_std"),
-                 (1.96 * F.stddev_pop(v) / F.sqrt(F.count(v))).alias(f"{c}_margin")]
+                 F.try_divide(1.96 * F.stddev_pop(v), F.sqrt(F.count(v))).alias(f"{c}_margin")]
     return counts.groupBy("filter", "case").agg(F.count(F.when(~F.isnan("n_sources"), 1)).alias("sample_size"), *aggs)
 
 
@@ -142,7 +142,7 @@ def threshold_counts(scores: DataFrame, n_thresholds: int, keys: list[str] = ())
     per = scores.withColumn("__k", below).groupBy(*keys, "__k").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
     steps = (scores.select(*keys).distinct() if keys else scores.sparkSession.range(1).drop("id")).select(
-        *keys, F.explode(F.sequence(F.lit(0), F.lit(n_thresholds))).cast("long").alias("__k"))
+        *keys, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_thresholds).cast("long"))).alias("__k"))
     filled = steps.join(per, [*keys, "__k"], "left_outer").fillna(0, ["pos", "neg"])
     down = Window.partitionBy(*keys).orderBy(F.desc("__k")).rowsBetween(Window.unboundedPreceding, -1)
     total = Window.partitionBy(*keys)
@@ -159,7 +159,7 @@ def with_rates(counts: DataFrame) -> DataFrame:
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     out = counts.withColumns({"precision": F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0),
                               "recall": F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0),
-                              "accuracy": (tp + tn) / (tp + fp + fn + tn)})
+                              "accuracy": F.try_divide(tp + tn, tp + fp + fn + tn)})
     p, r = F.col("precision"), F.col("recall")
     return out.withColumn("f1", F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0))
 
@@ -232,7 +232,7 @@ def limiting_magnitude(histogram: DataFrame, key: str, fraction: float) -> DataF
     order = Window.partitionBy(key).orderBy("bin")
     steps = (histogram.withColumn("f", share).withColumns({"f0": F.lag("f").over(order), "m0": F.lag("mag").over(order)}))
     cross = F.when(F.col("f") < fraction, F.when(F.col("f0").isNull(), F.col("mag")).otherwise(
-        F.col("m0") + (F.col("f0") - fraction) / (F.col("f0") - F.col("f")) * (F.col("mag") - F.col("m0"))))
+        F.col("m0") + F.try_divide(F.col("f0") - fraction, F.col("f0") - F.col("f")) * (F.col("mag") - F.col("m0"))))
     return steps.groupBy(key).agg(F.min(F.when(F.col("f") < fraction, F.struct("bin", cross.alias("m")))).alias("c")).select(
         key, F.col("c.m").alias("mag_limit"))
 

@@ -65,4 +65,4 @@ def footprint_overlap_percent(pairs: DataFrame) -> DataFrame:
 
     df = pairs.withColumn("__own", corners(""))
     df = overlap_area(df, F.col("__own"), corners("o_"), "overlap_area")
-    return df.withColumn("percent", 100.0 * F.col("overlap_area") / F.abs(polygon_area(F.col("__own")))).drop("__own")
+    return df.withColumn("percent", F.try_divide(100.0 * F.col("overlap_area"), F.abs(polygon_area(F.col("__own"))))).drop("__own")

@@ -118,7 +118,7 @@ def background_clipped_mean(pixels: DataFrame, half: int, step: int, n_sigma: fl
     good = (F.col("n_bad") <= tolerance) & (F.size("__a") > 0)
     return df.select("image_id", (F.col("gy") * step).alias("y"), (F.col("gx") * step).alias("x"), "n_bad",
                      F.when(good, F.col("__mean")).alias("background"),
-                     F.when(good, F.col("__std") / F.sqrt(F.size("__k"))).alias("background_unc"),
+                     F.when(good, F.try_divide(F.col("__std"), F.sqrt(F.size("__k")))).alias("background_unc"),
                      F.when(good, F.col("__s")).alias("scale"), F.when(good, F.size("__k")).alias("n_used"),
                      F.when(good, F.size("__a") - F.size("__k")).alias("n_rejected"))
 
@@ -130,7 +130,7 @@ def background_global(pixels: DataFrame, n_sigma: float = 3.0) -> DataFrame:
     pct = pct.withColumn("scale", 0.5 * (F.col("p2") - F.col("p1"))).select("image_id", "med", "scale")
     kept = F.when(F.abs(F.col("v") - F.col("med")) < n_sigma * F.col("scale"), F.col("v"))
     return rows.join(pct, "image_id").groupBy("image_id").agg(
-        F.avg(kept).alias("background"), (F.stddev_samp(kept) / F.sqrt(F.count(kept))).alias("background_unc"),
+        F.avg(kept).alias("background"), F.try_divide(F.stddev_samp(kept), F.sqrt(F.count(kept))).alias("background_unc"),
         F.any_value("scale").alias("scale"), F.count(kept).alias("n_used"),
         (F.count("v") - F.count(kept)).alias("n_rejected"), F.count_if(F.col("v").isNull()).alias("n_bad"))
 
@@ -227,7 +227,7 @@ def coadd_pixels(stack: DataFrame, combine: str = "mean", order: str = "image_id
 def normalize_pixels(pixels: DataFrame) -> DataFrame:
     """Divide by the sum of the image; NaN pixels stay NaN."""
     total = pixels.groupBy("image_id").agg(F.sum(number("value")).alias("__total"))
-    return pixels.join(total, "image_id").select(*PIXEL, (F.col("value") / F.col("__total")).alias("value"))
+    return pixels.join(total, "image_id").select(*PIXEL, F.try_divide(F.col("value"), F.col("__total")).alias("value"))
 
 
 def fill_nan_pixels(pixels: DataFrame, fill: float) -> DataFrame:

@@ -20,7 +20,9 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
     names = list(probs)
-    margin = 2.0 / accuracy
+    # wide enough for the error of the sketch and the neighbours needed to interpolate, as soon
+    # as a group has twice as many values as the sketch; smaller groups are sorted as they are
+    margin = 3.0 / accuracy
     edges = []
     for p in probs.values():
         edges += [max(0.0, p - margin), min(1.0, p + margin)]
@@ -30,7 +32,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     def edge(i, side):
         open_end = edges[2 * i + side] in (0.0, 1.0)
         unbounded = F.lit(float("-inf") if side == 0 else float("inf"))
-        return unbounded if open_end else F.col("__e")[2 * i + side]
+        return unbounded if open_end else F.when(F.col("__n") <= 2 * accuracy, unbounded).otherwise(F.col("__e")[2 * i + side])
 
     joined = rows.join(sketch, keys)
     below = joined.groupBy(*keys).agg(F.any_value("__n").alias("__n"),
@@ -48,6 +50,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     low = F.min(F.when(F.col("__last") > F.floor("__rank"), F.col("__v")))
     high = F.min(F.when(F.col("__last") > F.ceil("__rank"), F.col("__v")))
     part = F.any_value(F.col("__rank") - F.floor("__rank"))
-    per_prob = ranked.groupBy(*keys, "__i").agg((low + (high - low) * part).alias("__q"))
+    exact = F.coalesce(low + (high - low) * part, F.raise_error(F.lit("percentile outside its bracket")))
+    per_prob = ranked.groupBy(*keys, "__i").agg(exact.alias("__q"))
     out = per_prob.groupBy(*keys).agg(*[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(n) for i, n in enumerate(names)])
     return out

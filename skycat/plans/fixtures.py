@@ -110,9 +110,9 @@ fixture("source_rows", "lineitem", """
   CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS flags,
   l_extendedprice AS fluxfit, l_quantity AS fluxerr,
   CAST(l_partkey * 7919 % 360000 AS DOUBLE) / 1000.0
-     + CAST((l_orderkey * 31 + l_linenumber * 17) % 2001 - 1000 AS DOUBLE) * 0.00000001 AS ra_jit,
+     + CAST((l_orderkey * 31 + l_linenumber * 17) % 2001 - 1000 AS DOUBLE) * 1.0123456789e-8 AS ra_jit,
   CAST(l_partkey * 104729 % 120000 - 60000 AS DOUBLE) / 1000.0
-     + CAST((l_orderkey * 13 + l_linenumber * 29) % 2001 - 1000 AS DOUBLE) * 0.00000001 AS dec,
+     + CAST((l_orderkey * 13 + l_linenumber * 29) % 2001 - 1000 AS DOUBLE) * 1.0123456789e-8 AS dec,
   CAST((l_orderkey * 37 + l_linenumber * 911 + l_suppkey * 13) % 40880 AS DOUBLE) / 10.0 AS xfit,
   CAST((l_orderkey * 53 + l_linenumber * 577 + l_suppkey * 29) % 40880 AS DOUBLE) / 10.0 AS yfit,
   l_discount * 50 + 0.5 AS redchi, 1 + l_tax * 20 AS elong, 0.3 + l_discount * 10 AS apfluxratio,
@@ -182,13 +182,13 @@ fixture("jobs", "events", """event_id AS jid, user_id AS rid, CASE WHEN user_id
   CASE event_type WHEN 'error' THEN -1 WHEN 'view' THEN 0 ELSE 1 END AS status""")
 
 # --- schedule ------------------------------------------------------------------------
-fixture("segments", "orders", """o_orderkey AS segment_id, CAST(o_custkey % 5 AS INT) AS program,
-  CAST(o_orderkey % 3 AS INT) AS plan, {int:o_orderkey / 3} AS pass, o_orderkey % 7 AS segment,
+fixture("segments", "orders", """o_orderkey AS segment_id, o_orderkey % 5 AS program,
+  o_orderkey % 3 AS plan, {int:o_orderkey / 3} AS pass, o_orderkey % 7 AS segment, o_orderstatus AS state,
   {sec:o_orderdate} AS start_s, {sec:o_orderdate} + o_totalprice / 2500.0 AS end_s,
   CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_totalprice / 1000.0 END AS assigned_orient,
   CAST(o_custkey % 360 AS DOUBLE) AS nominal_orient""")
-fixture("exposure_plan", "source_rows", """pid AS segment_id, sid AS exposure_no, fluxerr AS duration,
-  fluxerr - 0.5 AS exposure_time, fid, CAST(partkey % 5 AS INT) AS target""")
+fixture("exposure_plan", "source_rows", """sid AS exposure_no, fluxerr AS duration, fluxerr - 0.5 AS exposure_time, fid,
+  partkey % 5 AS target, pid % 5 AS program, pid % 3 AS plan, {int:pid / 3} AS pass, pid % 7 AS segment, mjdobs""")
 
 # --- pixels --------------------------------------------------------------------------
 fixture("pixels", "events", """user_id AS image_id, {int:event_id / 64} AS y, event_id % 64 AS x,

@@ -451,8 +451,19 @@ def association_pairs_once(t):
     return pairs.select("sid", "aid").unionByName(unmatched.select("sid", F.lit(None).cast("long").alias("aid")))
 
 
-@query("associate_within_field")
+# At this radius all sources of a part are within reach of each other and of no other part, so
+# the first batch of a part starts its objects and every later source joins all of them.
+@query("associate_within_field", """
+WITH c AS (SELECT field, partkey, sid, mjdobs * 100 + sca AS batch FROM sources WHERE flags = 0),
+f AS (SELECT *, min(batch) OVER (PARTITION BY field, partkey) = batch AS is_first FROM c)
+SELECT s.field, s.sid AS aid, m.sid FROM f s JOIN f m ON s.field = m.field AND s.partkey = m.partkey
+WHERE s.is_first AND (s.sid = m.sid OR NOT m.is_first)""")
 def associate_within_field(t):
+    return associate.associate_within_field(t.sources.filter("flags = 0"), 3e-5)
+
+
+@query("associate_small_radius")
+def associate_small_radius(t):
     return associate.associate_within_field(t.sources.filter("flags = 0"), R)
 
 
