@@ -110,9 +110,9 @@ fixture("source_rows", "lineitem", """
   CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS flags,
   l_extendedprice AS fluxfit, l_quantity AS fluxerr,
   CAST(l_partkey * 7919 % 360000 AS DOUBLE) / 1000.0
-     + CAST((l_orderkey * 31 + l_linenumber * 17) % 2001 - 1000 AS DOUBLE) * 1.0123456789e-8 AS ra_jit,
+     + CAST((l_orderkey * 31 + l_linenumber * 17) % 2001 - 1000 AS DOUBLE) * 1.0314159265e-8 AS ra_jit,
   CAST(l_partkey * 104729 % 120000 - 60000 AS DOUBLE) / 1000.0
-     + CAST((l_orderkey * 13 + l_linenumber * 29) % 2001 - 1000 AS DOUBLE) * 1.0123456789e-8 AS dec,
+     + CAST((l_orderkey * 13 + l_linenumber * 29) % 2001 - 1000 AS DOUBLE) * 1.0314159265e-8 AS dec,
   CAST((l_orderkey * 37 + l_linenumber * 911 + l_suppkey * 13) % 40880 AS DOUBLE) / 10.0 AS xfit,
   CAST((l_orderkey * 53 + l_linenumber * 577 + l_suppkey * 29) % 40880 AS DOUBLE) / 10.0 AS yfit,
   l_discount * 50 + 0.5 AS redchi, 1 + l_tax * 20 AS elong, 0.3 + l_discount * 10 AS apfluxratio,

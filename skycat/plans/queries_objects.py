@@ -20,14 +20,14 @@ BEST = "SELECT pid FROM diffimages WHERE vbest <> 0"
 STATS = f"""
 WITH r AS (SELECT m.aid, s.ra, s.dec, s.fluxfit AS flux FROM merges m JOIN sources s ON m.sid = s.sid WHERE s.pid IN ({BEST})),
 w AS (SELECT aid, CASE WHEN bool_or(ra < 10) OVER (PARTITION BY aid) AND bool_or(ra > 350) OVER (PARTITION BY aid) AND ra > 350 THEN ra - 360 ELSE ra END AS ra, dec, flux FROM r)
-SELECT aid, CASE WHEN round(avg(ra), 9) < 0 THEN round(avg(ra) + 360, 9) ELSE round(avg(ra), 9) END AS meanra, round(stddev_pop(ra), 9) AS stdevra, round(avg(dec), 9) AS meandec, round(stddev_pop(dec), 9) AS stdevdec,
+SELECT aid, CASE WHEN round(avg(ra), 7) < 0 THEN round(avg(ra) + 360, 7) ELSE round(avg(ra), 7) END AS meanra, round(stddev_pop(ra), 9) AS stdevra, round(avg(dec), 7) AS meandec, round(stddev_pop(dec), 9) AS stdevdec,
   round(avg(flux), 7) AS meanflux, round(stddev_pop(flux), 5) AS stdevflux, count(*) AS nsources FROM w GROUP BY aid"""
 
 
 @query("object_statistics", STATS)
 def object_statistics(t):
     out = objects.object_statistics(t.merges, t.sources, t.diffimages)
-    return rounded(rounded(out, 9, "meanra", "stdevra", "meandec", "stdevdec"), 5, "stdevflux").withColumn("meanflux", F.round("meanflux", 7))
+    return rounded(rounded(rounded(out, 9, "stdevra", "stdevdec"), 5, "stdevflux"), 7, "meanra", "meandec", "meanflux")
 
 
 @query("incremental_mean", """

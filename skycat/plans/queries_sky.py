@@ -157,12 +157,19 @@ def coalesce_orientation(t):
     return schedule.coalesce_orientation(t.segments).select("segment_id", "pa")
 
 
-@query("mag_from_flux", """SELECT sid, round(-2.5 * log10(fluxfit) + 25, 9) AS mag, round(1.085736205 * fluxerr / fluxfit, 9) AS mag_err,
-  round(CASE WHEN fluxerr - 1 <> 0 THEN fluxfit / (fluxerr - 1) END, 9) AS snr FROM sources""")
+@query("mag_from_flux", "SELECT sid, round(-2.5 * log10(fluxfit) + 25, 9) AS mag FROM sources")
 def mag_from_flux(t):
-    return t.sources.select("sid", F.round(photometry.mag_from_flux("fluxfit", 25.0), 9).alias("mag"),
-                            F.round(photometry.mag_error("fluxfit", "fluxerr"), 9).alias("mag_err"),
-                            F.round(photometry.snr("fluxfit", F.col("fluxerr") - 1), 9).alias("snr"))
+    return t.sources.select("sid", F.round(photometry.mag_from_flux("fluxfit", 25.0), 9).alias("mag"))
+
+
+@query("mag_err", "SELECT sid, round(1.085736205 * fluxerr / fluxfit, 9) AS mag_err FROM sources")
+def mag_err(t):
+    return t.sources.select("sid", F.round(photometry.mag_error("fluxfit", "fluxerr"), 9).alias("mag_err"))
+
+
+@query("snr", "SELECT sid, round(CASE WHEN fluxerr - 1 <> 0 THEN fluxfit / (fluxerr - 1) END, 9) AS snr FROM sources")
+def snr(t):
+    return t.sources.select("sid", F.round(photometry.snr("fluxfit", F.col("fluxerr") - 1), 9).alias("snr"))
 
 
 @query("flux_from_mag", "SELECT truth_id, round(pow(10e0, -0.4 * (mag - 25)), 9) AS flux FROM truth")

@@ -182,8 +182,8 @@ def _coadd(t, how, digits=None):
     return rounded(out, digits, "value") if digits else out
 
 
-@query("coadd_pixels_mean", _coadd_sql("round(avg(v), 8)"))
-def coadd_pixels_mean(t):
+@query("coadd_pixels", _coadd_sql("round(avg(v), 8)"))
+def coadd_pixels(t):
     return _coadd(t, "mean", 8)
 
 
