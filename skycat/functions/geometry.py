@@ -54,9 +54,16 @@ def chord2_to_deg(c2: Column) -> Column:
     return F.degrees(2.0 * F.asin(F.least(F.lit(1.0), 0.5 * F.sqrt(c2))))
 
 
+def position_chord2(ra1, dec1, ra2, dec2) -> Column:
+    """Squared chord of two positions by half-angle sines: each angle is evaluated once."""
+    da = F.pow(F.sin(F.radians(col(ra1) - col(ra2)) / 2.0), 2)
+    dd = F.pow(F.sin(F.radians(col(dec1) - col(dec2)) / 2.0), 2)
+    return 4.0 * (dd + F.cos(F.radians(col(dec1))) * F.cos(F.radians(col(dec2))) * da)
+
+
 def angular_separation(ra1, dec1, ra2, dec2) -> Column:
     """Angle between two sky positions, accurate for small angles."""
-    return chord2_to_deg(chord2(unit_vector(ra1, dec1), unit_vector(ra2, dec2)))
+    return chord2_to_deg(position_chord2(ra1, dec1, ra2, dec2))
 
 
 def rotation_to_cd(cdelt1, cdelt2, crota2):
@@ -110,12 +117,14 @@ def in_convex_polygon(point, vertices) -> Column:
     """Is the unit vector ``point`` inside the spherical convex polygon?
 
     ``vertices`` are unit vectors in order around the polygon (either sense).  The
-    point is inside when it lies on the same side of the great circle of each edge.
+    point is inside when it lies on the same side of the great circle of each edge and
+    on the polygon's half of the sphere.
     """
     sides = []
+    facing = sum(col(point[k]) * sum((col(v[k]) for v in vertices[1:]), col(vertices[0][k])) for k in range(3))
     for a, b in zip(vertices, list(vertices[1:]) + [vertices[0]]):
         ax, ay, az = (col(v) for v in a)
         bx, by, bz = (col(v) for v in b)
         px, py, pz = (col(v) for v in point)
         sides.append(px * (ay * bz - az * by) + py * (az * bx - ax * bz) + pz * (ax * by - ay * bx))
-    return (F.least(*sides) >= 0) | (F.greatest(*sides) <= 0)
+    return ((F.least(*sides) >= 0) | (F.greatest(*sides) <= 0)) & (facing > 0)

@@ -21,6 +21,8 @@ Object ids are the ids of the sources that start them, so a repeated run gives t
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -65,47 +67,45 @@ def sky_groups(points: DataFrame, link_deg: float, pos=("ra", "dec")) -> DataFra
     edges = near.join(other, "dst").filter(gap <= (F.col("a_size") + F.col("b_size") + link_deg) * (1 + 1e-9) + MARGIN_DEG)
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     labels = connected_components(cells.select(F.col("src").alias("node")), both).select(F.col("node").alias("__node"), F.col("label").alias("grp"))
-    return keyed.join(labels, "__node").drop("__node")
-
-
-def _unit(ra: np.ndarray, dec: np.ndarray) -> np.ndarray:
-    a, d = np.radians(ra), np.radians(dec)
-    return np.column_stack([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)])
-
-
-def _walk_group(rank, batch_no, sid, ra, dec, weight, limit: float):
-    """Merges (aids, sids) of one group whose rows are in order of rank and batch."""
-    known = int(np.searchsorted(rank, 1))
-    aid, o_ra, o_dec, n = sid[:known], ra[:known].copy(), dec[:known].copy(), weight[:known].copy()
-    o_vec, s_vec = _unit(o_ra, o_dec), _unit(ra, dec)
-    out_aid, out_sid = [], []
-    cuts = np.flatnonzero(np.diff(batch_no[known:])) + known + 1
-    bounds = [known, *cuts.tolist(), len(sid)] if known < len(sid) else []
-    for start, stop in zip(bounds, bounds[1:]):
-        fresh = np.arange(start, stop)
-        if len(aid):
-            gap = o_vec[:, None, :] - s_vec[None, start:stop, :]
-            o, s = np.nonzero(np.einsum("ijk,ijk->ij", gap, gap) <= limit)
-            if len(o):
-                s = s + start
-                out_aid.append(aid[o])
-                out_sid.append(sid[s])
-                fresh = np.setdiff1d(fresh, s, assume_unique=False)
-                # all matches of a batch move the mean together
-                k = np.bincount(o, minlength=len(aid))
-                dra = (ra[s] - o_ra[o] + 540.0) % 360.0 - 180.0
-                n = n + k
-                o_ra = (o_ra + np.bincount(o, dra, len(aid)) / n) % 360.0
-                o_dec = o_dec + np.bincount(o, dec[s] - o_dec[o], len(aid)) / n
-                moved = k > 0
-                o_vec[moved] = _unit(o_ra[moved], o_dec[moved])
-        if len(fresh):
-            out_aid.append(sid[fresh])
-            out_sid.append(sid[fresh])
-            aid, n = np.concatenate([aid, sid[fresh]]), np.concatenate([n, np.ones(len(fresh))])
-            o_ra, o_dec = np.concatenate([o_ra, ra[fresh]]), np.concatenate([o_dec, dec[fresh]])
-            o_vec = np.concatenate([o_vec, s_vec[fresh]])
-    return out_aid, out_sid
+    # both sides grow with the data: never broadcast either
+    return keyed.join(labels.hint("merge"), "__node").drop("__node")
+
+
+def _walk_group(rows: list, limit: float, out_aid: list, out_sid: list) -> None:
+    """Append the merges of one group; rows (rank, batch, sid, ra, dec, weight, x, y, z) are in order."""
+    objects = [[sid, ra, dec, weight, x, y, z] for rank, _, sid, ra, dec, weight, x, y, z in rows if rank == 0]
+    start = len(objects)
+    while start < len(rows):
+        stop = start + 1
+        while stop < len(rows) and rows[stop][1] == rows[start][1]:
+            stop += 1
+        moves: dict[int, list] = {}
+        fresh = []
+        for _, _, sid, ra, dec, _, x, y, z in rows[start:stop]:
+            matched = False
+            for i, o in enumerate(objects):
+                dx, dy, dz = x - o[4], y - o[5], z - o[6]
+                if dx * dx + dy * dy + dz * dz <= limit:
+                    matched = True
+                    out_aid.append(o[0])
+                    out_sid.append(sid)
+                    move = moves.setdefault(i, [0, 0.0, 0.0])
+                    move[0] += 1
+                    move[1] += (ra - o[1] + 540.0) % 360.0 - 180.0
+                    move[2] += dec - o[2]
+            if not matched:
+                fresh.append([sid, ra, dec, 1.0, x, y, z])
+        # all matches of a batch move the mean together
+        for i, (k, dra, ddec) in moves.items():
+            o = objects[i]
+            n = o[3] + k
+            ra, dec = (o[1] + dra / n) % 360.0, o[2] + ddec / n
+            a, d = math.radians(ra), math.radians(dec)
+            objects[i] = [o[0], ra, dec, n, math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d)]
+        out_aid += [o[0] for o in fresh]
+        out_sid += [o[0] for o in fresh]
+        objects += fresh
+        start = stop
 
 
 def _walk(radius_deg: float):
@@ -121,17 +121,16 @@ def _walk(radius_deg: float):
         same_batch = np.ones(len(pdf) - 1, bool)
         for name in BATCH:
             same_batch &= c[name][1:] == c[name][:-1]
-        batch_no = np.concatenate([[0], np.cumsum(~same_batch)])
+        a, d = np.radians(c["ra"]), np.radians(c["dec"])
+        columns = [c["rank"], np.concatenate([[0], np.cumsum(~same_batch)]), c["sid"], c["ra"], c["dec"], c["weight"],
+                   np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)]
+        rows = list(zip(*[x.tolist() for x in columns]))
         fields, aids, sids = [], [], []
         bounds = [0, *new_group.tolist(), len(pdf)]
-        for a, b in zip(bounds, bounds[1:]):
-            found = _walk_group(c["rank"][a:b], batch_no[a:b], c["sid"][a:b], c["ra"][a:b], c["dec"][a:b], c["weight"][a:b], limit)
-            aids += found[0]
-            sids += found[1]
-            fields += [np.full(len(x), c["field"][a]) for x in found[0]]
-        empty = [np.empty(0, np.int64)]
-        return pd.DataFrame({"field": np.concatenate(fields or empty), "aid": np.concatenate(aids or empty),
-                             "sid": np.concatenate(sids or empty)})
+        for first, last in zip(bounds, bounds[1:]):
+            _walk_group(rows[first:last], limit, aids, sids)
+            fields += [c["field"][first]] * (len(aids) - len(fields))
+        return pd.DataFrame({"field": np.array(fields, np.int64), "aid": np.array(aids, np.int64), "sid": np.array(sids, np.int64)})
 
     def walk(batches):
         rest = None
@@ -213,10 +212,12 @@ def associate_within_field(sources: DataFrame, radius_deg: float, objects: DataF
     x, y, z = unit_vector("ra", "dec")
     first = F.min(F.struct("rank", *BATCH))
     span = sum((F.pow(F.max(c) - F.min(c), 2) for c in (y, z)), F.pow(F.max(x) - F.min(x), 2))
-    groups = rows.groupBy("field", "grp").agg(F.count("*").alias("n"), first.alias("first"), span.alias("span"))
     kind = (F.when(F.col("span") <= chord2_limit(radius_deg) * (1 - 1e-6), "compact")
             .when(F.col("n") <= max_group_rows, "walk").otherwise("large"))
-    rows = rows.join(groups.select("field", "grp", "first", kind.alias("kind")), ["field", "grp"])
+    groups = rows.groupBy("field", "grp").agg(F.count("*").alias("n"), first.alias("first"), span.alias("span"))
+    groups = cut_lineage(groups.select("field", "grp", "first", kind.alias("kind")))
+    kinds = {r["kind"] for r in groups.select("kind").distinct().collect()}  # at most three rows
+    rows = rows.join(groups, ["field", "grp"])
 
     # compact groups: the first batch (or the known objects) are the objects
     compact = rows.filter("kind = 'compact'")
@@ -227,12 +228,17 @@ def associate_within_field(sources: DataFrame, radius_deg: float, objects: DataF
     own = seeds.filter("rank = 1").select("field", F.col("sid").alias("aid"), "sid")
     result = own.unionByName(joined.select("field", "aid", "sid"))
 
-    walked = rows.filter("kind = 'walk'").drop("first", "kind")
-    ordered = walked.repartition("field", "grp").sortWithinPartitions("field", "grp", "rank", *BATCH, "sid")
-    result = result.unionByName(ordered.mapInPandas(_walk(radius_deg), MERGE_SCHEMA))
-    large = rows.filter("kind = 'large'").drop("first", "kind")
-    if groups.filter(kind == "large").limit(1).count():
-        result = result.unionByName(_walk_on_cluster(cut_lineage(large), radius_deg))
+    if "walk" in kinds:
+        # a fixed number of partitions: small in bytes, this step is heavy in processor time, so
+        # adaptive execution must not merge its partitions
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ordered = (rows.filter("kind = 'walk'").drop("first", "kind").repartition(parts, "field", "grp")
+                   .sortWithinPartitions("field", "grp", "rank", *BATCH, "sid"))
+        result = result.unionByName(ordered.mapInPandas(_walk(radius_deg), MERGE_SCHEMA))
+    if "large" in kinds:
+        large = cut_lineage(rows.filter("kind = 'large'").drop("first", "kind"))
+        walked = _walk_on_cluster(large, radius_deg)
+        result = result if walked is None else result.unionByName(walked)
     return result
 
 

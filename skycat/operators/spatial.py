@@ -13,8 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import (angular_separation, chord2, chord2_limit, chord2_to_deg, col,
-                                  in_convex_polygon, unit_vector)
+from ..functions.geometry import (chord2, chord2_limit, chord2_to_deg, col, in_convex_polygon, position_chord2,
+                                  unit_vector)
 
 MIN_CELL_DEG = 1e-4
 POLE_DEG = 89.9  # zones beyond are a single ring-shaped cell
@@ -136,9 +136,9 @@ def cone_search(df: DataFrame, ra: float, dec: float, radius_deg: float, pos=("r
     The declination band is a plain range predicate, so it reaches the Parquet scan.
     """
     ra_c, dec_c = pos
-    dist = angular_separation(ra_c, dec_c, ra, dec)
+    c2 = position_chord2(ra_c, dec_c, ra, dec)
     band = F.col(dec_c).between(dec - radius_deg - MARGIN_DEG, dec + radius_deg + MARGIN_DEG)
-    return (df.filter(band).withColumn("dist_deg", dist).filter(F.col("dist_deg") <= radius_deg).orderBy("dist_deg"))
+    return df.filter(band & (c2 <= chord2_limit(radius_deg))).withColumn("dist_deg", chord2_to_deg(c2)).orderBy("dist_deg")
 
 
 def batch_cone_search(positions: DataFrame, catalog: DataFrame, radius_deg: float, position_pos=("ra", "dec"),

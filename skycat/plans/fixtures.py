@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 BASE = ("region nation customer supplier part orders lineitem events documents embeddings pages "
         "benchmark labels conversations").split()
 
+LARGE = ("lineitem", "orders", "events", "part", "customer")
+
 # {day:c}: days since 1970-01-01.  {int:x}: whole part of a quotient.  {sec:c}: seconds since 1970.
 SPARK = {"day": "datediff({0}, DATE '1970-01-01')", "int": "CAST(floor({0}) AS BIGINT)",
          "sec": "CAST(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {0}) / 1000000.0 AS DOUBLE)"}
@@ -48,14 +50,21 @@ def _split(exprs: str) -> list[str]:
 
 
 class Catalog:
-    """Driver tables and fixtures as attributes."""
+    """Driver tables and fixtures as attributes.
+
+    A driver table is one file with a single row group, which one task would read and then
+    carry through the whole plan.  Such a file is spread over the cores; a table of many files
+    is left as it is.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            cores = self.spark.sparkContext.defaultParallelism
+            return df.repartition(cores) if name in LARGE and len(df.inputFiles()) < cores else df
         if name == "grid_ids":
             return self.spark.range(0, 16380).toDF("id")
         if name not in FIXTURES:
@@ -118,12 +127,11 @@ fixture("source_rows", "lineitem", """
   l_discount * 50 + 0.5 AS redchi, 1 + l_tax * 20 AS elong, 0.3 + l_discount * 10 AS apfluxratio,
   l_extendedprice / l_quantity AS peak, l_discount AS sharpness, l_tax - 0.04 AS roundness1,
   CAST(l_linenumber * 7 AS INT) AS npix, l_shipdate AS dateobs, CAST(l_suppkey AS BIGINT) AS suppkey""")
-fixture("sources", "source_rows", """
-  sid, id, pid, partkey, isdiffpos, expid, mjdobs, fid, sca, flags, fluxfit, fluxerr,
-  CASE WHEN ra_jit < 0 THEN ra_jit + 360.0 WHEN ra_jit >= 360.0 THEN ra_jit - 360.0 ELSE ra_jit END AS ra, dec,
+fixture("source_positions", "source_rows", "*, (ra_jit + 360e0) % 360e0 AS ra")
+fixture("sources", "source_positions", """
+  sid, id, pid, partkey, isdiffpos, expid, mjdobs, fid, sca, flags, fluxfit, fluxerr, ra, dec,
   xfit, yfit, redchi, elong, apfluxratio, peak, sharpness, roundness1, npix, dateobs, suppkey,
-  CAST({int:dec + 90} * 360 + {int:CASE WHEN ra_jit < 0 THEN ra_jit + 360.0 WHEN ra_jit >= 360.0 THEN ra_jit - 360.0
-      ELSE ra_jit END} AS BIGINT) AS field""")
+  CAST({int:dec + 90} * 360 + {int:ra} AS BIGINT) AS field""")
 # dense variant: the same jitter on positions packed closely, for many-to-many matches
 fixture("dense_objects", "objects", "aid, ra0 / 100000.0 + 180.0 AS ra0, dec0 / 100000.0 AS dec0")
 fixture("dense_sources", "source_rows", """sid, partkey, fid, mjdobs, expid, sca,
