@@ -12,9 +12,10 @@ pair starts an object.  That looks sequential, but it is local:
 * In a group whose bounding box is smaller than the radius every source matches every object,
   so the result is known without a walk: the first batch starts the objects and all later
   sources join all of them.  This is the normal case for point sources and is a plain join.
-* Other groups are walked.  Small ones are walked in Arrow batches of a partition sorted by
-  group, groups with more rows than ``max_group_rows`` batch by batch as positional joins over the cluster, with
-  the state in the checkpoint folder.
+* Other groups are walked, in Arrow batches of a partition sorted by group.  A group with more
+  than ``max_group_rows`` rows is first cut again with finer cells; what is still too large is
+  walked batch by batch as positional joins over the cluster, with the state in the checkpoint
+  folder.
 
 Object ids are the ids of the sources that start them, so a repeated run gives the same ids.
 """
@@ -39,16 +40,19 @@ MERGE_SCHEMA = "field long, aid long, sid long"
 BATCH = ("mjdobs", "expid", "sca")
 
 
-def sky_groups(points: DataFrame, link_deg: float, pos=("ra", "dec")) -> DataFrame:
+def sky_groups(points: DataFrame, link_deg: float, pos=("ra", "dec"), cell: float = 2.0) -> DataFrame:
     """Add ``grp`` so that points closer than ``link_deg`` always share a group.
 
+    ``cell`` is the size of a cell in units of the link: large cells are cheap, small ones follow
+    the points more closely where the sky is crowded.
+
     Only occupied cells take part in the graph, each once with the box of its points, so a hot
     position costs as much as any other.  Groups may be larger than needed, never smaller.
     """
-    h = 2.0 * link_deg * (1 + 1e-6)
+    h = cell * link_deg * (1 + 1e-6)
 
-    def node(zone: Column, cell: Column) -> Column:
-        return zone * (1 << 32) + cell
+    def node(z: Column, c: Column) -> Column:
+        return z * (1 << 32) + c
 
     zone = zone_of(pos[1], h)
     keyed = points.withColumn("__node", node(zone, cell_of(pos[0], zone, h)))
@@ -71,10 +75,57 @@ def sky_groups(points: DataFrame, link_deg: float, pos=("ra", "dec")) -> DataFra
     return keyed.join(labels.hint("merge"), "__node").drop("__node")
 
 
+GRID_FROM = 200  # rows from which a group gets an index of its objects
+
+
+class _Objects:
+    """Objects of one group (aid, ra, dec, n, x, y, z), found by position.
+
+    Cells of the index are a little wider than the radius, so the objects near a point are in
+    its cell or one of the 26 around it.
+    """
+
+    def __init__(self, indexed: bool, limit: float):
+        self.rows: list[list] = []
+        self.cells: dict | None = {} if indexed else None
+        self.scale = 1.0 / (math.sqrt(limit) * (1 + 1e-9) + 1e-15)
+
+    def cell(self, x, y, z):
+        return math.floor(x * self.scale), math.floor(y * self.scale), math.floor(z * self.scale)
+
+    def add(self, row: list) -> None:
+        self.rows.append(row)
+        if self.cells is not None:
+            self.cells.setdefault(self.cell(*row[4:]), []).append(len(self.rows) - 1)
+
+    def replace(self, i: int, row: list) -> None:
+        if self.cells is not None:
+            old, new = self.cell(*self.rows[i][4:]), self.cell(*row[4:])
+            if old != new:
+                self.cells[old].remove(i)
+                self.cells.setdefault(new, []).append(i)
+        self.rows[i] = row
+
+    def near(self, x, y, z):
+        if self.cells is None:
+            return range(len(self.rows))
+        cx, cy, cz = self.cell(x, y, z)
+        found = []
+        for i in (cx - 1, cx, cx + 1):
+            for j in (cy - 1, cy, cy + 1):
+                for k in (cz - 1, cz, cz + 1):
+                    found += self.cells.get((i, j, k), ())
+        return found
+
+
 def _walk_group(rows: list, limit: float, out_aid: list, out_sid: list) -> None:
     """Append the merges of one group; rows (rank, batch, sid, ra, dec, weight, x, y, z) are in order."""
-    objects = [[sid, ra, dec, weight, x, y, z] for rank, _, sid, ra, dec, weight, x, y, z in rows if rank == 0]
-    start = len(objects)
+    objects = _Objects(len(rows) >= GRID_FROM, limit)
+    for rank, _, sid, ra, dec, weight, x, y, z in rows:
+        if rank:
+            break
+        objects.add([sid, ra, dec, weight, x, y, z])
+    start = len(objects.rows)
     while start < len(rows):
         stop = start + 1
         while stop < len(rows) and rows[stop][1] == rows[start][1]:
@@ -83,7 +134,8 @@ def _walk_group(rows: list, limit: float, out_aid: list, out_sid: list) -> None:
         fresh = []
         for _, _, sid, ra, dec, _, x, y, z in rows[start:stop]:
             matched = False
-            for i, o in enumerate(objects):
+            for i in objects.near(x, y, z):
+                o = objects.rows[i]
                 dx, dy, dz = x - o[4], y - o[5], z - o[6]
                 if dx * dx + dy * dy + dz * dz <= limit:
                     matched = True
@@ -97,14 +149,15 @@ def _walk_group(rows: list, limit: float, out_aid: list, out_sid: list) -> None:
                 fresh.append([sid, ra, dec, 1.0, x, y, z])
         # all matches of a batch move the mean together
         for i, (k, dra, ddec) in moves.items():
-            o = objects[i]
+            o = objects.rows[i]
             n = o[3] + k
             ra, dec = (o[1] + dra / n) % 360.0, o[2] + ddec / n
             a, d = math.radians(ra), math.radians(dec)
-            objects[i] = [o[0], ra, dec, n, math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d)]
-        out_aid += [o[0] for o in fresh]
-        out_sid += [o[0] for o in fresh]
-        objects += fresh
+            objects.replace(i, [o[0], ra, dec, n, math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d)])
+        for o in fresh:
+            out_aid.append(o[0])
+            out_sid.append(o[0])
+            objects.add(o)
         start = stop
 
 
@@ -133,18 +186,21 @@ def _walk(radius_deg: float):
         return pd.DataFrame({"field": np.array(fields, np.int64), "aid": np.array(aids, np.int64), "sid": np.array(sids, np.int64)})
 
     def walk(batches):
-        rest = None
+        held: list[pd.DataFrame] = []  # pieces that end with the unfinished group
         for pdf in batches:
-            if rest is not None:
-                pdf = pd.concat([rest, pdf], ignore_index=True)
             if not len(pdf):
                 continue
             last = (pdf["field"] == pdf["field"].iloc[-1]) & (pdf["grp"] == pdf["grp"].iloc[-1])
-            done, rest = pdf[~last], pdf[last]
-            if len(done):
-                yield groups(done.reset_index(drop=True))
-        if rest is not None and len(rest):
-            yield groups(rest.reset_index(drop=True))
+            same = held and last.all() and (held[-1]["field"].iloc[-1] == pdf["field"].iloc[0]) and (held[-1]["grp"].iloc[-1] == pdf["grp"].iloc[0])
+            if same:
+                held.append(pdf)
+                continue
+            done = [*held, pdf[~last]]
+            held = [pdf[last]]
+            if sum(map(len, done)):
+                yield groups(pd.concat(done, ignore_index=True))
+        if held:
+            yield groups(pd.concat(held, ignore_index=True))
 
     return walk
 
@@ -191,7 +247,7 @@ def _walk_on_cluster(rows: DataFrame, radius_deg: float) -> DataFrame | None:
 
 
 def associate_within_field(sources: DataFrame, radius_deg: float, objects: DataFrame | None = None,
-                           max_group_rows: int = 4000) -> DataFrame:
+                           max_group_rows: int = 1_000_000) -> DataFrame:
     """Merges (field, aid, sid) of clean sources with objects of their own field.
 
     ``sources``: sid, field, expid, sca, mjdobs, ra, dec.  ``objects`` (field, aid, meanra,
@@ -207,7 +263,15 @@ def associate_within_field(sources: DataFrame, radius_deg: float, objects: DataF
                                F.lit(-1).cast("long").alias("expid"), F.lit(0).alias("sca"), F.lit(float("-inf")).alias("mjdobs"),
                                F.col("meanra").alias("ra"), F.col("meandec").alias("dec"), F.col("nsources").cast("double").alias("weight"))
         rows = rows.unionByName(known)
-    rows = cut_lineage(sky_groups(rows, 2.0 * radius_deg))
+    return _solve(rows, radius_deg, max_group_rows, COARSE_CELL)
+
+
+COARSE_CELL, FINE_CELL = 2.0, 0.5  # cell sizes in units of the link, for all and for large groups
+
+
+def _solve(rows: DataFrame, radius_deg: float, max_group_rows: int, cell: float) -> DataFrame:
+    """Merges of rows (rank, field, sid, expid, sca, mjdobs, ra, dec, weight), group by group."""
+    rows = cut_lineage(sky_groups(rows, 2.0 * radius_deg, cell=cell))
 
     x, y, z = unit_vector("ra", "dec")
     first = F.min(F.struct("rank", *BATCH))
@@ -237,8 +301,12 @@ def associate_within_field(sources: DataFrame, radius_deg: float, objects: DataF
         result = result.unionByName(ordered.mapInPandas(_walk(radius_deg), MERGE_SCHEMA))
     if "large" in kinds:
         large = cut_lineage(rows.filter("kind = 'large'").drop("first", "kind"))
-        walked = _walk_on_cluster(large, radius_deg)
-        result = result if walked is None else result.unionByName(walked)
+        if cell > FINE_CELL:
+            # a crowded area may only have run together in the coarse cells
+            rest = _solve(large.drop("grp"), radius_deg, max_group_rows, FINE_CELL)
+        else:
+            rest = _walk_on_cluster(large, radius_deg)
+        result = result if rest is None else result.unionByName(rest)
     return result
 
 
