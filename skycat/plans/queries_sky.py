@@ -40,25 +40,25 @@ def rounded(df, digits, *cols):
 # --- scalar geometry ---------------------------------------------------------------------
 
 
-@query("to_unit_vector", "SELECT sid, " + ", ".join(f"round({e}, 12) AS {n}" for e, n in zip(sql_vec("ra", "dec"), "xyz")) + " FROM sources")
+@query("to_unit_vector", "SELECT sid, " + ", ".join(f"round({e}, 9) AS {n}" for e, n in zip(sql_vec("ra", "dec"), "xyz")) + " FROM sources")
 def to_unit_vector(t):
     x, y, z = geometry.unit_vector("ra", "dec")
-    return t.sources.select("sid", *[F.round(c, 12).alias(n) for c, n in ((x, "x"), (y, "y"), (z, "z"))])
+    return t.sources.select("sid", *[F.round(c, 9).alias(n) for c, n in ((x, "x"), (y, "y"), (z, "z"))])
 
 
 @query("from_unit_vector", f"""
 WITH v AS (SELECT sid, {", ".join(f"{e} AS {n}" for e, n in zip(sql_vec("ra", "dec"), "xyz"))} FROM sources),
 w AS (SELECT sid, degrees(atan2(y, x)) AS a, degrees(asin(greatest(-1e0, least(1e0, z)))) AS d FROM v)
-SELECT sid, round(CASE WHEN a < 0 THEN a + 360 ELSE a END, 9) AS ra_back, round(d, 9) AS dec_back FROM w""")
+SELECT sid, round(CASE WHEN a < 0 THEN a + 360 ELSE a END, 6) AS ra_back, round(d, 6) AS dec_back FROM w""")
 def from_unit_vector(t):
     x, y, z = geometry.unit_vector("ra", "dec")
     v = t.sources.select("sid", x.alias("x"), y.alias("y"), z.alias("z"))
     ra, dec = geometry.from_unit_vector("x", "y", "z")
-    return v.select("sid", F.round(ra, 9).alias("ra_back"), F.round(dec, 9).alias("dec_back"))
+    return v.select("sid", F.round(ra, 6).alias("ra_back"), F.round(dec, 6).alias("dec_back"))
 
 
-@query("angular_separation", f"""SELECT sid, round({sql_deg(sql_chord2("ra", "dec", "ra0", "dec0"))}, 10) AS sep
-  FROM sources s JOIN objects o ON s.partkey = o.aid""")
+@query("angular_separation", """SELECT sid, round(degrees(2 * asin(sqrt(pow(sin(radians(dec - dec0) / 2), 2)
+  + cos(radians(dec)) * cos(radians(dec0)) * pow(sin(radians(ra - ra0) / 2), 2)))), 10) AS sep FROM sources s JOIN objects o ON s.partkey = o.aid""")
 def angular_separation(t):
     sep = geometry.angular_separation("ra", "dec", "ra0", "dec0")
     both = t.sources.select("sid", "partkey", "ra", "dec").join(t.objects.select(F.col("aid").alias("partkey"), "ra0", "dec0"), "partkey")

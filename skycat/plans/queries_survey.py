@@ -81,13 +81,13 @@ FACTOR = pixels.clip_correction(3.0) ** 0.5
 p AS (SELECT image_id, median(v) AS gmed, 0.5 * (quantile_cont(v, 0.84) - quantile_cont(v, 0.16)) AS gsigma FROM v GROUP BY image_id)
 SELECT v.image_id, round(any_value(gmed), 6) AS gmed, round(any_value(gsigma), 6) AS gsigma, min(v) AS gdatamin, max(v) AS gdatamax,
   count(*) FILTER (v >= 100) AS satcount, count(*) - count(v) AS nancount, count(*) AS pixcount,
-  round(avg(v) FILTER (abs(v - gmed) <= 3 * gsigma), 7) AS clippedavg,
+  round(avg(v) FILTER (abs(v - gmed) <= 3 * gsigma), 9) AS clippedavg,
   round(stddev_pop(v) FILTER (abs(v - gmed) <= 3 * gsigma) * {FACTOR!r}, 6) AS clippedstd,
   count(*) FILTER (abs(v - gmed) <= 3 * gsigma) AS nkept, count(v) - count(*) FILTER (abs(v - gmed) <= 3 * gsigma) AS noutliers
 FROM v JOIN p ON v.image_id = p.image_id GROUP BY v.image_id""")
 def pixel_clipped_stats(t):
     out = pixels.pixel_clipped_stats(t.pixels, 3.0, 100.0)
-    return rounded(rounded(out, 6, "gmed", "gsigma", "clippedstd"), 7, "clippedavg")
+    return rounded(rounded(out, 6, "gmed", "gsigma", "clippedstd"), 9, "clippedavg")
 
 
 @query("background_clipped_mean", f"""WITH {VALID.format('frame')}, s AS (SELECT max(y) + 1 AS ny, max(x) + 1 AS nx FROM v),
@@ -99,23 +99,23 @@ r AS (SELECT gy, gx, v FROM w JOIN v ON w.y = v.y AND w.x = v.x),
 p AS (SELECT gy, gx, count(*) - count(v) AS n_bad, median(v) AS m, 0.5 * (quantile_cont(v, 0.841) - quantile_cont(v, 0.159)) AS s FROM r GROUP BY gy, gx),
 k AS (SELECT r.gy, r.gx, avg(v) AS background, stddev_samp(v) / sqrt(count(*)) AS unc, count(*) AS n FROM r JOIN p ON r.gy = p.gy AND r.gx = p.gx WHERE abs(v - m) < 3 * s GROUP BY r.gy, r.gx),
 c AS (SELECT gy, gx, count(v) AS nv FROM r GROUP BY gy, gx)
-SELECT CAST(0 AS BIGINT) AS image_id, p.gy AS y, p.gx AS x, n_bad, CASE WHEN n_bad <= 36 THEN round(background, 7) END AS background,
+SELECT CAST(0 AS BIGINT) AS image_id, p.gy AS y, p.gx AS x, n_bad, CASE WHEN n_bad <= 36 THEN round(background, 9) END AS background,
   CASE WHEN n_bad <= 36 THEN round(unc, 7) END AS background_unc, CASE WHEN n_bad <= 36 THEN round(s, 6) END AS scale,
   CASE WHEN n_bad <= 36 THEN n END AS n_used, CASE WHEN n_bad <= 36 THEN nv - n END AS n_rejected
 FROM p JOIN k ON p.gy = k.gy AND p.gx = k.gx JOIN c ON p.gy = c.gy AND p.gx = c.gx""")
 def background_clipped_mean(t):
     out = pixels.background_clipped_mean(t.frame, 5, 8, 3.0, 30.0)
-    return rounded(rounded(out, 7, "background", "background_unc"), 6, "scale")
+    return rounded(rounded(rounded(out, 9, "background"), 7, "background_unc"), 6, "scale")
 
 
 @query("background_global", f"""WITH {VALID.format('pixels')},
 p AS (SELECT image_id, median(v) AS m, 0.5 * (quantile_cont(v, 0.841) - quantile_cont(v, 0.159)) AS s FROM v GROUP BY image_id)
-SELECT v.image_id, round(avg(v) FILTER (abs(v - m) < 2 * s), 7) AS background,
+SELECT v.image_id, round(avg(v) FILTER (abs(v - m) < 2 * s), 9) AS background,
   round(stddev_samp(v) FILTER (abs(v - m) < 2 * s) / sqrt(count(*) FILTER (abs(v - m) < 2 * s)), 7) AS background_unc, round(any_value(s), 6) AS scale,
   count(*) FILTER (abs(v - m) < 2 * s) AS n_used, count(v) - count(*) FILTER (abs(v - m) < 2 * s) AS n_rejected, count(*) - count(v) AS n_bad
 FROM v JOIN p ON v.image_id = p.image_id GROUP BY v.image_id""")
 def background_global(t):
-    return rounded(rounded(pixels.background_global(t.pixels, 2.0), 7, "background", "background_unc"), 6, "scale")
+    return rounded(rounded(rounded(pixels.background_global(t.pixels, 2.0), 9, "background"), 7, "background_unc"), 6, "scale")
 
 
 @query("local_clipped_average", f"""WITH {VALID.format('frame')},
@@ -129,12 +129,12 @@ def local_clipped_average(t):
 
 @query("image_moments", f"""WITH {VALID.format('pixels')},
 m AS (SELECT image_id, count(v) AS n, avg(v) AS mean, stddev_samp(v) AS sigma FROM v GROUP BY image_id)
-SELECT v.image_id, any_value(n) AS n, round(any_value(mean), 7) AS mean, round(any_value(sigma), 7) AS sigma,
+SELECT v.image_id, any_value(n) AS n, round(any_value(mean), 9) AS mean, round(any_value(sigma), 7) AS sigma,
   round(sum(pow(v - mean, 3)) / (any_value(n) * pow(any_value(sigma), 3)), 7) AS skew,
   round(sum(pow(v - mean, 4)) / (any_value(n) * pow(any_value(sigma), 4)) - 3, 7) AS kurtosis
 FROM v JOIN m ON v.image_id = m.image_id GROUP BY v.image_id""")
 def image_moments(t):
-    return rounded(pixels.image_moments(t.pixels), 7, "mean", "sigma", "skew", "kurtosis")
+    return rounded(rounded(pixels.image_moments(t.pixels), 9, "mean"), 7, "sigma", "skew", "kurtosis")
 
 
 @query("coverage_depth_percent", "SELECT image_id, round(100 * sum(least(value, 2.5e0)) / (2.5e0 * count(*)), 9) AS cov5percent FROM cov_frame GROUP BY image_id")
