@@ -45,14 +45,15 @@ def vbest_conflicts(versions: DataFrame, keys: list[str]) -> DataFrame:
     return (versions.groupBy(*keys).agg(F.count_if(F.col("vbest") > 0).alias("n_best")).filter(F.col("n_best") > 1))
 
 
-def register_products(jobs: DataFrame, products: DataFrame, existing: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def register_products(jobs: DataFrame, products: DataFrame, existing: DataFrame, keys: list[str], order: list[str],
+                      slice_of: Column | None = None) -> DataFrame:
     """Add the products of finished jobs to a product table with new versions and best flags.
 
     Jobs that ended with 33 or from 64 up register nothing.  ``products`` has ``jid`` and the
     keys; ``existing`` has the keys, version and vbest.  Returns the whole new table.
     """
     usable = jobs.filter((F.col("exitcode") != EXIT_NO_INPUTS) & (F.col("exitcode") < EXIT_ERRORS_FROM)).select("jid")
-    fresh = assign_version(products.join(usable, "jid", "left_semi"), existing, keys, order)
+    fresh = assign_version(products.join(usable, "jid", "left_semi"), existing, keys, order, slice_of)
     both = existing.withColumn("jid", F.lit(None).cast("long")).unionByName(
         fresh.withColumn("vbest", F.lit(0)).select("jid", *existing.columns))
     return resolve_vbest(both, keys, F.col("vbest") == 2)

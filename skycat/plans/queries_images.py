@@ -270,7 +270,7 @@ SELECT jid, rid, ppid, version, CASE WHEN vbest = 2 THEN 2 WHEN NOT max(vbest =
 def register_products(t):
     existing = t.diffimages.selectExpr("rid", "15 AS ppid", "CAST(1 AS BIGINT) AS version", "vbest")
     products = t.jobs.select("jid", "rid", "ppid")
-    return versions.register_products(t.jobs, products, existing, ["rid", "ppid"], ["jid"])
+    return versions.register_products(t.jobs, products, existing, ["rid", "ppid"], ["jid"], F.floor(F.col("jid") / 1000))
 
 
 @query("upsert_exposures", """
