@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, warc
+from . import quality, toxicity, warc
 from .common import new_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
+@_query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @_query("op9_quality_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"))
