@@ -49,13 +49,16 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     t, w, s, d = F.col("_t"), F.col("_w"), F.col("_s"), F.col("_d")
     rows = docs.select("doc_id", "lang", F.coalesce(text, F.lit("")).alias("_t"))
     rows = rows.withColumn("_w", F.filter(F.split(t, SPACE), lambda x: x != ""))
-    # three-word windows by hash and place, in order of the hash: equal windows are neighbours
-    window = lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i"))
-    rows = rows.withColumn("_s", F.when(F.size(w) >= 3, F.array_sort(F.transform(F.sequence(F.lit(0), F.size(w) - 3), window)))
+    # hashes of the three-word windows; only a text in which one repeats has them sorted, so that equal windows are neighbours
+    window = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+    rows = rows.withColumn("_h", F.when(F.size(w) >= 3, F.transform(F.sequence(F.lit(0), F.size(w) - 3), window))
+                           .otherwise(F.array().cast("array<bigint>")))
+    placed = F.array_sort(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    rows = rows.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), placed)
                            .otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
     twin = lambda x, j: (F.get(s, j - 1)["h"] == x["h"]) | (F.get(s, j + 1)["h"] == x["h"])
     lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, " \t\n\x0b\f\r", "") != "")
-    listed = F.filter(F.split(F.lower(t), SPACE), lambda x: x.isin(LISTED))
+    listed = F.filter(w, lambda x: x.isin(LISTED))
     rows = rows.select(
         "doc_id", "lang", "_t", "_w",
         F.array_sort(F.transform(F.filter(s, twin), lambda x: x["i"])).alias("_d"),
