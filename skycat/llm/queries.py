@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secrets, toxicity, warc
+from . import pii, quality, secrets, toxicity, warc
 from .common import new_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
+@_query("op2_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(read(spark, sf_dir, "documents")))
+
+
 @_query("op3_secret_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
