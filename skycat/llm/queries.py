@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality, secrets, token_tree, toxicity, warc
+from . import pieces, pii, quality, secrets, token_tree, toxicity, warc
 from .common import new_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
 
 
+@_query("op4_sentencepiece")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(pieces.encode(read(spark, sf_dir, "documents")))
+
+
 @_query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_tree.counted(read(spark, sf_dir, "documents"))
