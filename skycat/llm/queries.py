@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, pii, quality, secrets, token_tree, toxicity, warc
+from . import decontaminate, minhash, pieces, pii, quality, secrets, token_tree, toxicity, warc
 from .common import new_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,27 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.encode(read(spark, sf_dir, "documents")))
 
 
+@_query("op5_minhash_near_dedup", r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]
+                                            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+    e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    r(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, p.b FROM r JOIN p ON r.reached = p.a)
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.reached) AS component_id, s.doc_id = min(r.reached) AS kept
+    FROM s JOIN r ON r.doc_id = s.doc_id GROUP BY s.doc_id, len(s.s)""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), words=4)
+
+
+@_query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @_query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_tree.counted(read(spark, sf_dir, "documents"))
