@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import cut_lineage, shared_folder
 
@@ -58,3 +59,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """``ids``, written, with a broadcast hint if it has at most ``BROADCAST_ROWS`` rows; otherwise Spark joins as it sees fit."""
+    ids = written(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``ids`` (doc_id); rows without id stay."""
+    return docs.join(small(ids.select("doc_id").distinct()), "doc_id", "left_anti").select(docs.columns)

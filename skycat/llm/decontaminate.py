@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices, texts
+from .common import mix, slices, texts, without
 from .words import PLAIN, word_hashes
 
 # The masks, eight or nine ones each; the first has no gaps.
@@ -96,8 +96,7 @@ def _check(span: int, agree: float):
 def _present(items: DataFrame) -> np.ndarray:
     """A bit for each slot that a benchmark seed falls in: half a megabyte, whatever the size of the benchmark."""
     slot = F.shiftrightunsigned("seed", 64 - SLOT_BITS)
-    words = items.select(F.shiftright(slot, 6).alias("word"), F.pmod(slot, F.lit(64)).alias("bit")).distinct()
-    words = words.groupBy("word").agg(F.sum(F.expr("shiftleft(1L, cast(bit AS int))")).alias("bits")).toArrow()
+    words = items.select(F.shiftright(slot, 6).alias("word"), F.pmod(slot, F.lit(64)).alias("bit")).distinct().groupBy("word").agg(F.sum(F.expr("shiftleft(1L, cast(bit AS int))")).alias("bits")).toArrow()
     out = np.zeros(1 << (SLOT_BITS - 6), np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out.view(np.uint8)
@@ -124,5 +123,4 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, agree: flo
 
 def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, agree: float = AGREE) -> DataFrame:
     """The rows of ``docs``, all columns, without those whose text overlaps a benchmark item; rows without id stay."""
-    bad = overlaps(docs, benchmark, span, agree).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    return without(docs, overlaps(docs, benchmark, span, agree))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MAX_BYTES, mix, slices, texts, written
+from .common import MAX_BYTES, mix, slices, small, texts, without, written
 from .words import shingle_sets
 
 WORDS = 5
@@ -26,7 +26,6 @@ STAR_ROUNDS = 4
 SALTS = 16
 # of 128 one-bit signatures, a pair at the threshold differs in 12.8 on average, deviation 3.4: five deviations
 MOST_BITS = 30
-BROADCAST_ROWS = 1_000_000
 
 _RNG = np.random.default_rng(20240229)
 FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,8 +92,7 @@ def _verify(words: int, percent: int):
 
 def linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (u, v: document ids) whose full sets reach the threshold; only texts of candidates are shuffled."""
-    needed = written(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
-    side = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
+    side = small(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
     held = written(docs.select(F.col("doc_id").alias("id"), "text").join(side, "id", "left_semi"))
     both = pairs.join(held.select(F.col("id").alias("v"), F.col("text").alias("right")), "v")
     both = both.join(held.select(F.col("id").alias("u"), F.col("text").alias("left")), "u")
@@ -183,3 +181,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     component = F.when(F.col("n") > 0, F.coalesce("label", "id")).otherwise(F.col("doc_id"))
     out = ids.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each component, that of the least id; of rows that repeat an id one stays.
+
+    Rows without id or without words stay.
+    """
+    judged = written(near_duplicates(docs, words, percent).filter("doc_id IS NOT NULL AND n_shingles > 0"))
+    rest = without(docs, judged.filter("NOT kept"))
+    again = small(judged.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"))
+    return rest.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(
+        rest.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))

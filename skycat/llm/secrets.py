@@ -12,12 +12,14 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import spans
-from .common import slices, texts, written
+from .common import slices, small, texts, written
 
 KINDS = ["assign", "access", "hex", "learned"]
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -258,3 +260,35 @@ def digest(scanned: DataFrame) -> DataFrame:
     return scanned.select("doc_id", *[spans.number(F.col("spans"), i).alias(f"n_{k}") for i, k in enumerate(KINDS[:3])],
                           F.sha2(spans.joined(base, KINDS), 256).alias("base_sha256"), spans.joined(F.col("spans"), KINDS).alias("spans"),
                           spans.number(F.col("spans"), 3).alias("n_learned"))
+
+
+MARK = "[SECRET]"
+
+
+def _masked(text: str, found) -> str:
+    out, at = [], 0
+    for a, b in sorted((s["start"], s["end"]) for s in found):
+        if b > at:
+            out.append(text[at:a] + MARK if a >= at else "")  # spans that overlap share a mark
+            at = b
+    return "".join(out) + text[at:]
+
+
+@F.pandas_udf(StringType())
+def masked(text: pd.Series, found: pd.Series) -> pd.Series:
+    return pd.Series([t if t is None or f is None else _masked(t, f) for t, f in zip(text, found)], dtype=object)
+
+
+def redact(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+    """``docs`` with every secret of ``text`` replaced by ``MARK``; a column ``n_chars`` follows the text, the others stay.
+
+    Spans are joined by the text's hash, so null and repeated ids do not matter; only texts with findings have any.
+    """
+    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    scanned = scan(hashed.select(F.col("_text_hash").alias("doc_id"), "text"), recall).filter(F.size("spans") > 0)
+    found = small(scanned.groupBy("doc_id").agg(F.first("spans").alias("_found")).withColumnRenamed("doc_id", "_text_hash"))
+    out = hashed.join(found, "_text_hash", "left").withColumn("text", F.when(F.col("_found").isNull(), F.col("text")).otherwise(masked("text", "_found")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
+    return out.select(docs.columns)

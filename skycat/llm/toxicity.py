@@ -86,27 +86,33 @@ def _features(batches, bits):
 
 
 def regress(sets: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, rounds: int = 60, ridge: float = 1e-4) -> Model:
-    """Logistic regression over the scaled features of unit length, balanced between the classes, by accelerated gradient descent."""
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    used, place = np.unique(np.concatenate(sets).astype(np.int64), return_inverse=True)
-    r = ratio[used]
-    norm = np.sqrt(np.maximum(np.bincount(owner, r[place] ** 2, len(sets)), 1e-12))
-    values = (r[place] / norm[owner]).astype(np.float32)
+    """Logistic regression over the scaled features of unit length, balanced between the classes, by accelerated gradient descent.
+
+    Text by text over dense vectors, so that memory is that of the sets themselves.
+    """
+    scale = [1 / max(float(np.sqrt((ratio[s] ** 2).sum())), 1e-6) for s in sets]
     share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
 
     def forward(w):
-        return np.bincount(owner, w[place] * values, len(sets))
+        scaled = w * ratio
+        return np.array([scaled[s].sum() * c for s, c in zip(sets, scale)])
 
     def backward(e):
-        return np.bincount(place, e[owner] * values, len(used))
-
-    u, steepest = np.full(len(used), len(used) ** -0.5), 0.0
+        g = np.zeros(len(ratio))
+        for s, c, x in zip(sets, scale, e):
+            g[s] += c * x  # the buckets of a set are distinct
+        return g * ratio
+
+    seen = np.zeros(len(ratio), bool)
+    for s in sets:
+        seen[s] = True
+    u, steepest = seen / max(1.0, float(np.sqrt(seen.sum()))), 0.0
     for _ in range(6):
         u = backward(share * forward(u))
         steepest = float(np.linalg.norm(u))
         u /= max(steepest, 1e-12)
     step = 1 / (0.3 * steepest + ridge + 0.25)
-    w = last_w = np.zeros(len(used))
+    w = last_w = np.zeros(len(ratio))
     b = last_b = 0.0
     for k in range(rounds):
         ahead = k / (k + 3)
@@ -114,9 +120,7 @@ def regress(sets: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, round
         e = (1 / (1 + np.exp(-np.clip(forward(w_ahead) + b_ahead, -30, 30))) - labels) * share
         last_w, last_b = w, b
         w, b = w_ahead - step * (backward(e) + ridge * w_ahead), b_ahead - step * float(e.sum())
-    weights = np.zeros(len(ratio), np.float32)
-    weights[used] = w * r
-    return Model(weights, ratio.astype(np.float32), float(b))
+    return Model((w * ratio).astype(np.float32), ratio.astype(np.float32), float(b))
 
 
 def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample_per_class: int = SAMPLE_PER_CLASS) -> Model:
@@ -137,21 +141,22 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample_per_class:
     side = F.broadcast(known) if clean + toxic <= BROADCAST_ROWS else known
     rows = docs.select("doc_id", "text").join(side, "doc_id").select("text", "toxic")
     counted = rows.mapInArrow(lambda b: _frequencies(b, bits), "bucket int, clean long, toxic long")
-    counted = counted.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
+    counted = counted.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
     freq = np.ones((2, 1 << bits))
-    freq[0, counted["bucket"]] += counted["clean"]
-    freq[1, counted["bucket"]] += counted["toxic"]
+    for row, name in enumerate(("clean", "toxic")):
+        freq[row, counted["bucket"].to_numpy()] += counted[name].to_numpy()
     ratio = np.log(freq[1] / (toxic + 2)) - np.log(freq[0] / (clean + 2))
     picked = None
     for label in (0, 1):
         part = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_per_class)
         picked = part if picked is None else picked.unionByName(part)
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
-    sample = sample.mapInArrow(lambda b: _features(b, bits), "toxic int, buckets binary").collect()
-    if {r["toxic"] for r in sample} != {0, 1}:
+    sample = sample.mapInArrow(lambda b: _features(b, bits), "toxic int, buckets binary").toArrow()
+    labels, sets = sample["toxic"].to_pylist(), sample["buckets"].to_pylist()
+    if set(labels) != {0, 1}:
         return Model(*np.zeros((2, 1 << bits), np.float32), prior)
-    sample.sort(key=lambda r: (r["toxic"], bytes(r["buckets"])))  # the same sums whatever task came first
-    return regress([np.frombuffer(r["buckets"], np.uint32) for r in sample], np.array([r["toxic"] for r in sample]), ratio)
+    order = sorted(range(len(sets)), key=lambda i: (labels[i], sets[i]))  # the same sums whatever task came first
+    return regress([np.frombuffer(sets[i], np.uint32) for i in order], np.array([labels[i] for i in order]), ratio)
 
 
 def score(model: Model, bits: int = BITS):
@@ -179,3 +184,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score(fit(docs, labels))
     rows = docs.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), scored(F.col("text")).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is under one half."""
+    scored = score(fit(docs, labels))
+    return docs.filter(scored(F.col("text")) < 0.5)
