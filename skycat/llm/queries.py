@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, minhash, pieces, pii, quality, secrets, token_tree, toxicity, warc
+from . import decontaminate, minhash, pieces, pii, quality, secrets, suffix_dedup, token_tree, toxicity, warc
 from .common import new_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
+@_query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(read(spark, sf_dir, "documents")).drop("kept")
+
+
 @_query("op2_pii")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(read(spark, sf_dir, "documents")))
