@@ -2,10 +2,13 @@
 
 Documents with equal shingle sets form a class at once, by a digest of the set.  The least document id
 stands for its class, and only these representatives are banded.  Candidates in a bucket are
-taken as a star around one member, and stars are repeated with other centres only where a bucket still
+taken as a star around one member, and once more with another centre where a bucket still
 spans several components, so a group of near copies costs its size, not its square.  What is then left
-is compared member by member behind a filter on sizes and one-bit signatures.  Every link is
-confirmed on full sets.
+is compared member by member.  Pairs are made only if three tests pass inside the join: sizes, one-bit
+signatures of the minima, and a bound from odd sketches.  Every link is confirmed on full sets.
+
+An odd sketch holds, for each of 1024 slots, whether an odd number of a set's shingles fall in it.  Each slot
+in which two sketches differ needs a shingle that only one set has, so the bound never loses a link.
 """
 
 from __future__ import annotations
@@ -15,17 +18,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MAX_BYTES, mix, slices, small, texts, without, written
+from .common import BROADCAST_ROWS, MAX_BYTES, mix, slices, small, texts, without, written
 from .words import shingle_sets
 
 WORDS = 5
 PERCENT = 80
 BANDS = 32
 ROWS = 4
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
 SALTS = 16
 # of 128 one-bit signatures, a pair at the threshold differs in 12.8 on average, deviation 3.4: five deviations
 MOST_BITS = 30
+SKETCH = [f"o{i}" for i in range(16)]
+TESTED = ["id", "n", "b0", "b1", *SKETCH]
 
 _RNG = np.random.default_rng(20240229)
 FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -51,7 +56,7 @@ def bands(m: np.ndarray) -> np.ndarray:
 def _signatures(words: int):
     def run(batches):
         for batch in slices(batches):
-            n, d0, d1, b0, b1, keys = [], [], [], [], [], []
+            n, d0, d1, b0, b1, keys, odd = [], [], [], [], [], [], []
             for s in shingle_sets(texts(batch), words):
                 m = minima(s) if len(s) else None
                 bits = np.packbits((mix(m) & np.uint64(1)).astype(np.uint8)).view(np.int64) if len(s) else (0, 0)
@@ -61,9 +66,11 @@ def _signatures(words: int):
                 b0.append(int(bits[0]))
                 b1.append(int(bits[1]))
                 keys.append(bands(m).tolist() if len(s) else [])
-            cols = [pa.array(x, pa.int64()) for x in (n, d0, d1, b0, b1)]
+                slots = np.bincount((mix(s + np.uint64(1)) >> np.uint64(54)).astype(np.int64), minlength=64 * len(SKETCH)) & 1
+                odd.append(np.packbits(slots.astype(np.uint8)).view(np.int64))
+            cols = [pa.array(x, pa.int64()) for x in (n, d0, d1, b0, b1, *np.array(odd).T)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols, pa.array(keys, pa.list_(pa.int64()))],
-                                             ["doc_id", "n", "d0", "d1", "b0", "b1", "keys"])
+                                             ["doc_id", "n", "d0", "d1", "b0", "b1", *SKETCH, "keys"])
 
     return run
 
@@ -91,12 +98,13 @@ def _verify(words: int, percent: int):
 
 
 def linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (u, v: document ids) whose full sets reach the threshold; only texts of candidates are shuffled."""
-    side = small(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
+    """The pairs (u, v: document ids, written) whose full sets reach the threshold; only texts of candidates are shuffled."""
+    needed = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    side = F.broadcast(needed) if pairs.count() <= BROADCAST_ROWS else needed
     held = written(docs.select(F.col("doc_id").alias("id"), "text").join(side, "id", "left_semi"))
     both = pairs.join(held.select(F.col("id").alias("v"), F.col("text").alias("right")), "v")
     both = both.join(held.select(F.col("id").alias("u"), F.col("text").alias("left")), "u")
-    return both.select("u", "v", "left", "right").mapInArrow(_verify(words, percent), "u long, v long").distinct()
+    return both.select("u", "v", "left", "right").mapInArrow(_verify(words, percent), "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -109,24 +117,26 @@ def components(edges: DataFrame) -> DataFrame:
     oriented = lambda df: df.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now, seen = written(oriented(edges)), None
     while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(mark) == seen:
+        mark = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if mark == seen or not mark[0]:
             break
-        seen = tuple(mark)
+        seen = mark
         around = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = written(oriented(around.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))))
+        large = around.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        now = written(oriented(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
+        small_ = large.join(least, "u")
+        now = written(oriented(small_.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_.select("u", F.col("m").alias("v")))))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
 def _close(a: str, b: str, percent: int):
-    """What every linked pair satisfies: sizes within the threshold (always), and bits within five deviations."""
-    near = (100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n"))
-    bits = sum(F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}"))) for x in ("b0", "b1"))
-    return near & (bits <= MOST_BITS)
+    """What linked pairs satisfy: sizes and odd sketches (always), and signatures (within five deviations)."""
+    differ = lambda names: sum(F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}"))) for x in names)
+    near = 100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")
+    # shared >= t * all gives (100 + percent) * one-sided shingles <= (100 - percent) * both sizes
+    bound = (100 + percent) * differ(SKETCH) <= (100 - percent) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+    return near & (differ(["b0", "b1"]) <= MOST_BITS) & bound
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -139,16 +149,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     no band with probability 5e-8 (0.8 ** 4 a band, 32 bands).
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = written(rows.mapInArrow(_signatures(words), "doc_id long, n long, d0 long, d1 long, b0 long, b1 long, keys array<long>"))
+    made = written(rows.mapInArrow(_signatures(words), "doc_id long, n long, d0 long, d1 long, b0 long, b1 long, " + "".join(f"{x} long, " for x in SKETCH) + "keys array<long>"))
     usable = made.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("n", "d0", "d1").agg(F.min("doc_id").alias("id"), F.first("b0").alias("b0"), F.first("b1").alias("b1"), F.first("keys").alias("keys"))
+    classes = usable.groupBy("n", "d0", "d1").agg(F.min("doc_id").alias("id"), *[F.first(x).alias(x) for x in ("b0", "b1", *SKETCH, "keys")])
     classes = written(classes)
     # an id with several sets ties its classes together
-    spread = usable.select("doc_id", "n", "d0", "d1").groupBy("doc_id").agg(F.count_distinct("n", "d0", "d1").alias("k")).filter("k > 1").select("doc_id")
+    one = F.struct("n", "d0", "d1")
+    spread = usable.groupBy("doc_id").agg(F.min(one).alias("a"), F.max(one).alias("b")).filter("a <> b").select("doc_id")
     tied = usable.join(spread, "doc_id", "left_semi").join(classes.select("n", "d0", "d1", "id"), ["n", "d0", "d1"])
     edges = tied.select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
 
-    flat = classes.select("id", "n", "b0", "b1", F.explode("keys").alias("key"))
+    flat = classes.select(*TESTED, F.explode("keys").alias("key"))
     full = flat.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
     members = written(flat.join(full, "key"))
     labels = None
@@ -162,7 +173,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         at = members if labels is None else members.join(labels, F.col("id") == F.col("node"), "left").drop("node")
         at = at.withColumn("label", F.col("id") if labels is None else F.coalesce("label", "id"))
         if number < STAR_ROUNDS:
-            pick = F.min_by(F.struct("id", "n", "b0", "b1", "label"), F.xxhash64("id", F.lit(number)))
+            pick = F.min_by(F.struct(*TESTED, "label"), F.xxhash64("id", F.lit(number)))
             centre = at.groupBy("key").agg(pick.alias("c")).select("key", "c.*")
             pairs = at.alias("x").join(centre.alias("y"), "key").filter(F.col("x.label") != F.col("y.label"))
         else:
