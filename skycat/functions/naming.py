@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from .geometry import col
 
 # Fixed values of the alert naming scheme.
-NAME_PREFIX = "RAPID"
 FIRST_NAME_NUMBER = 321272407  # number of the name aaaaaaa
 LAST_SEQUENCE_INDEX = 8031810175  # index of the name zzzzzzz
 FIRST_YEAR, LAST_YEAR = 24, 34
@@ -18,8 +17,8 @@ OUT_OF_RANGE = "idoutofrange"
 VISIT_ID = r"^(\d{5})(\d{2})(\d{3})(\d{3})$"  # fixed format: program, plan, pass, segment
 
 
-def alert_name(year, sequence) -> Column:
-    """Name of the ``sequence``-th alert (from 1) of a two-digit year.
+def alert_name(year, sequence, prefix: str) -> Column:
+    """Name of the ``sequence``-th alert (from 1) of a two-digit year, after the survey's ``prefix``.
 
     Seven-letter names count as a..z, aa..zz and so on.  Among names of one length the
     letters are plain base-26 digits of the distance from the first name of that length.
@@ -29,7 +28,7 @@ def alert_name(year, sequence) -> Column:
     for power in range(6, -1, -1):
         digit = F.pmod(F.floor(index / F.lit(26 ** power)), F.lit(26))
         letters.append(F.char((digit + 97).cast("long")))
-    name = F.concat(F.lit(NAME_PREFIX), F.lpad(col(year).cast("string"), 2, "0"), *letters)
+    name = F.concat(F.lit(prefix), F.lpad(col(year).cast("string"), 2, "0"), *letters)
     return (F.when(~col(year).between(FIRST_YEAR, LAST_YEAR), UNSUPPORTED_YEAR)
             .when(index > LAST_SEQUENCE_INDEX, OUT_OF_RANGE).otherwise(name))
 

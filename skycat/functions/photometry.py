@@ -28,17 +28,3 @@ def snr(flux, flux_error) -> Column:
 
 def flux_from_mag(mag, zero_point) -> Column:
     return F.pow(F.lit(10.0), -0.4 * (col(mag) - col(zero_point)))
-
-
-def model_flux(kind, mjd, magnitude, amplitude, period, phase, peak_time, peak_amplitude, sigma, zero_point) -> Column:
-    """Flux of an injected source at ``mjd``.
-
-    ``sinusoidal`` varies in magnitude, ``gaussian`` adds a flux bump whose height is
-    given as a brightening in magnitudes.
-    """
-    wave = col(magnitude) + col(amplitude) * F.sin(2 * math.pi * (col(mjd) / col(period) + col(phase)))
-    base = flux_from_mag(magnitude, zero_point)
-    bump = base * (F.pow(F.lit(10.0), 0.4 * col(peak_amplitude)) - 1.0)
-    offset = (col(mjd) - col(peak_time)) / col(sigma)
-    return (F.when(col(kind) == "sinusoidal", flux_from_mag(wave, zero_point))
-            .when(col(kind) == "gaussian", base + bump * F.exp(-0.5 * offset * offset)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_null_safe
+
 
 def ref_point_source_filter(catalog: DataFrame, mag_min: float, mag_max: float, zero_point: float, min_class_star: float = 0.5,
                             max_isoarea: float = 100.0, max_elongation: float = 1.3) -> DataFrame:
@@ -125,14 +127,20 @@ def detection_confusion(first: DataFrame, second: DataFrame, key: str) -> DataFr
                     F.count_if(F.col("a") & ~F.col("b")).alias("only_first"), F.count_if(~F.col("a") & F.col("b")).alias("only_second"))
 
 
+def with_score(scores: DataFrame) -> DataFrame:
+    """The rows that can be counted: those with a label and a score that is a number."""
+    return scores.filter(F.col("y").isNotNull() & F.col("p").isNotNull() & ~F.isnan("p"))
+
+
 def threshold_counts(scores: DataFrame, n_thresholds: int, keys: list[str] = ()) -> DataFrame:
     """True and false positives and negatives at evenly spaced thresholds in [0, 1].
 
-    ``scores``: y (0 or 1) and p; a row is predicted positive when p > threshold.  Each row is
+    ``scores``: y (0 or 1) and p; a row is predicted positive when p > threshold.  Rows without a
+    label or with a NULL or NaN score are left out, as in the other metrics.  Each row is
     counted once, at the number of thresholds below it; the counts are then summed over the
     thresholds, of which there are few.
     """
-    last = n_thresholds - 1
+    scores, last = with_score(scores), n_thresholds - 1
     p = F.col("p")
     guess = F.greatest(F.lit(0).cast("long"), F.least(F.ceil(p * last), F.lit(n_thresholds).cast("long")))
     # the product may be off by a rounding step: compare with the threshold itself
@@ -185,7 +193,7 @@ def best_f1(scores: DataFrame, n_thresholds: int = 1000) -> DataFrame:
 
 def classifier_metrics(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Confusion counts, rates and area under the ROC curve at a threshold."""
-    hit = F.col("p") > threshold
+    scores, hit = with_score(scores), F.col("p") > threshold
     counts = scores.agg(F.count_if(hit & (F.col("y") == 1)).alias("tp"), F.count_if(hit & (F.col("y") != 1)).alias("fp"),
                         F.count_if(~hit & (F.col("y") == 1)).alias("fn"), F.count_if(~hit & (F.col("y") != 1)).alias("tn"))
     return with_rates(counts).withColumn("roc_auc", roc_auc(scores).scalar())
@@ -199,7 +207,7 @@ def roc_auc(scores: DataFrame, slices: int = 1000) -> DataFrame:
     """
     from .sliced import running_sum
 
-    per = scores.groupBy("p").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
+    per = with_score(scores).groupBy("p").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
     below = running_sum(per, [], ["p"], F.floor(F.col("p") * slices), F.col("neg"), "upto")
     wins = F.sum(F.col("pos") * (F.col("upto") - F.col("neg") / 2.0))
     pairs = F.sum("pos") * F.sum("neg")
@@ -279,4 +287,4 @@ def stratified_split(samples: DataFrame, key: str, label: str, test_size: float,
     n_test = F.round(F.col("__n") * test_size)
     n_val = F.round((F.col("__n") - n_test) * val_size)
     part = F.when(F.col("__r") <= n_test, "test").when(F.col("__r") <= n_test + n_val, "val").otherwise("train")
-    return ranked.join(totals, label).withColumn("part", part).drop("__h", "__r", "__n")
+    return join_null_safe(ranked, totals, [label]).withColumn("part", part).drop("__h", "__r", "__n")

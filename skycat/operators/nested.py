@@ -14,23 +14,34 @@ SUMMARY_FILTERS = ["F062", "F087", "F106", "F129", "F146", "F158", "F184", "F213
 SUMMARY_FIELDS = {"PsfFluxMean": "double", "PsfFluxSigma": "double", "PsfFluxNdata": "int", "PsfFluxMin": "double",
                   "PsfFluxMax": "double"}
 
-# Optional fields of the source record that have no source column yet.
-SOURCE_STUBS = {
-    "ssObjectId": "long", "parentDiaSourceId": "long", "raErr": "double", "decErr": "double", "extendedness": "double",
-    "reliability": "double", "apFlux": "double", "apFluxErr": "double", "trailFlux": "double", "trailFluxErr": "double",
-    "trailLength": "double", "trailAngle": "double", "scienceFlux": "double", "scienceFluxErr": "double",
-    "templateFlux": "double", "templateFluxErr": "double", "dipoleMeanFlux": "double", "dipoleFluxErr": "double",
-    "dipoleLength": "double", "dipoleAngle": "double", "ixx": "double", "iyy": "double", "ixy": "double",
-    "ixxErr": "double", "iyyErr": "double", "ixyErr": "double", "pixelFlags_saturated": "boolean",
-    "pixelFlags_bad": "boolean", "pixelFlags_edge": "boolean", "pixelFlags_cr": "boolean",
-    "timeProcessedMjdTai": "double", "timeWithdrawnMjdTai": "double",
-}
-
-# Source columns copied under their own name, with the type they have in the record.
-SURVEY_FIELDS = {"sca": "int", "field": "long", "hp6": "long", "hp9": "long", "pid": "long", "expid": "int",
-                 "isdiffpos": "boolean", "qfit": "double", "cfit": "double", "redchi": "double", "n_pixels_fit": "int",
-                 "sharpness": "double", "roundness1": "double", "roundness2": "double", "peak": "double"}
-SURVEY_DEFAULTS = {"sca": 0, "field": 0, "hp6": 0, "hp9": 0, "pid": 0, "expid": 0, "isdiffpos": True}
+# Fixed format: fields of the records in order, with their types.
+SOURCE_RECORD = """diaSourceId long, visit long, detector int, diaObjectId long, ssObjectId long, parentDiaSourceId long,
+    midpointMjdTai double, ra double, dec double, raErr double, decErr double, x double, y double, xErr double, yErr double,
+    band string, psfFlux double, psfFluxErr double, snr double, extendedness double, reliability double, flags long,
+    apFlux double, apFluxErr double, trailFlux double, trailFluxErr double, trailLength double, trailAngle double,
+    scienceFlux double, scienceFluxErr double, templateFlux double, templateFluxErr double, dipoleMeanFlux double,
+    dipoleFluxErr double, dipoleLength double, dipoleAngle double, ixx double, iyy double, ixy double, ixxErr double,
+    iyyErr double, ixyErr double, pixelFlags_saturated boolean, pixelFlags_bad boolean, pixelFlags_edge boolean,
+    pixelFlags_cr boolean, timeProcessedMjdTai double, timeWithdrawnMjdTai double, sca int, field long, hp6 long, hp9 long,
+    pid long, expid int, isdiffpos boolean, qfit double, cfit double, redchi double, npixfit int, sharpness double,
+    roundness1 double, roundness2 double, peak double"""
+FORCED_RECORD = """diaForcedSourceId long, diaObjectId long, visit long, detector int, ra double, dec double, band string,
+    psfFlux double, psfFluxErr double, scienceFlux double, scienceFluxErr double, midpointMjdTai double,
+    timeProcessedMjdTai double, timeWithdrawnMjdTai double"""
+
+# Source columns that have another name in the record, and values of fields that may not be NULL.
+SOURCE_NAMES = {"diaSourceId": "sid", "visit": "expid", "detector": "sca", "midpointMjdTai": "mjdobs", "x": "xfit", "y": "yfit",
+                "xErr": "xerr", "yErr": "yerr", "psfFlux": "fluxfit", "psfFluxErr": "fluxerr"}
+SOURCE_DEFAULTS = {"visit": 0, "detector": 0, "x": 0.0, "y": 0.0, "flags": 0, "sca": 0, "field": 0, "hp6": 0, "hp9": 0, "pid": 0,
+                   "expid": 0, "isdiffpos": True}
+# Fields that a source column of the same name fills; other fields of that name in the source table mean something else.
+SOURCE_SAME = ("ra dec flags sca field hp6 hp9 pid expid isdiffpos qfit cfit redchi npixfit sharpness roundness1 roundness2 peak").split()
+FORCED_NAMES = {"diaForcedSourceId": "forced_id", "diaObjectId": "aid", "visit": "expid", "detector": "sca", "psfFlux": "forcediffimflux",
+                "psfFluxErr": "forcediffimfluxunc", "midpointMjdTai": "mjdobs", "timeProcessedMjdTai": "time_processed"}
+
+
+def _fields(record: str) -> list[tuple[str, str]]:
+    return [tuple(f.split()) for f in record.replace("\n", " ").split(",")]
 
 
 def nest_lightcurves(objects: DataFrame, merges: DataFrame, sources: DataFrame, object_cols: list[str],
@@ -63,23 +74,18 @@ def _optional(columns: list[str], name: str, kind: str) -> Column:
 def dia_source(columns: list[str], aid: Column, band: Column) -> Column:
     """Source record as a struct, from the columns of a source row.
 
-    ``columns`` tells which columns exist; the others become NULL.
+    ``columns`` tells which columns exist; fields without one become NULL or their default.
     """
-    def opt(name, kind="double"):
-        return _optional(columns, name, kind)
-
-    fields = {
-        "diaSourceId": F.col("sid"), "visit": F.coalesce(opt("expid", "long"), F.lit(0).cast("long")),
-        "detector": F.coalesce(opt("sca", "int"), F.lit(0)), "diaObjectId": aid.cast("long"),
-        "midpointMjdTai": F.col("mjdobs").cast("double"), "ra": F.col("ra").cast("double"), "dec": F.col("dec").cast("double"),
-        "x": F.coalesce(opt("xfit"), F.lit(0.0)), "y": F.coalesce(opt("yfit"), F.lit(0.0)),
-        "xErr": opt("xerr"), "yErr": opt("yerr"), "band": band, "psfFlux": opt("fluxfit"), "psfFluxErr": opt("fluxerr"),
-        "snr": snr(opt("fluxfit"), opt("fluxerr")), "flags": F.coalesce(opt("flags", "int"), F.lit(0)),
-    }
-    fields.update({name: F.lit(None).cast(kind) for name, kind in SOURCE_STUBS.items()})
-    fields.update({name: F.coalesce(opt(name, kind), F.lit(SURVEY_DEFAULTS[name])) if name in SURVEY_DEFAULTS else opt(name, kind)
-                   for name, kind in SURVEY_FIELDS.items()})
-    return F.struct(*[value.alias(name) for name, value in fields.items()])
+    made = {"diaObjectId": aid, "band": band, "snr": snr(_optional(columns, "fluxfit", "double"), _optional(columns, "fluxerr", "double"))}
+    fields = []
+    for name, kind in _fields(SOURCE_RECORD):
+        value = made.get(name)
+        if value is None:
+            value = _optional(columns, SOURCE_NAMES.get(name, name if name in SOURCE_SAME else ""), kind)
+        if name in SOURCE_DEFAULTS:
+            value = F.coalesce(value, F.lit(SOURCE_DEFAULTS[name]))
+        fields.append(value.cast(kind).alias(name))
+    return F.struct(*fields)
 
 
 def dia_object(first_mjd: Column, last_mjd: Column, validity_mjd: Column) -> Column:
@@ -94,42 +100,45 @@ def dia_object(first_mjd: Column, last_mjd: Column, validity_mjd: Column) -> Col
 
 def dia_forced_source(columns: list[str], ra: Column, dec: Column, band: Column) -> Column:
     """Forced-photometry record as a struct, at the position of its object."""
-    def opt(name, kind="double"):
-        return _optional(columns, name, kind)
-
-    fields = {"diaForcedSourceId": F.coalesce(opt("forced_id", "long"), F.lit(0).cast("long")), "diaObjectId": F.col("aid").cast("long"),
-              "visit": F.coalesce(opt("expid", "long"), F.lit(0).cast("long")), "detector": F.coalesce(opt("sca", "int"), F.lit(0)),
-              "ra": ra.cast("double"), "dec": dec.cast("double"), "band": band, "psfFlux": opt("forcediffimflux"),
-              "psfFluxErr": opt("forcediffimfluxunc"), "scienceFlux": F.lit(None).cast("double"),
-              "scienceFluxErr": F.lit(None).cast("double"), "midpointMjdTai": F.col("mjdobs").cast("double"),
-              "timeProcessedMjdTai": F.coalesce(opt("time_processed"), F.col("mjdobs").cast("double")),
-              "timeWithdrawnMjdTai": F.lit(None).cast("double")}
-    return F.struct(*[value.alias(name) for name, value in fields.items()])
+    made = {"ra": ra, "dec": dec, "band": band,
+            "timeProcessedMjdTai": F.coalesce(_optional(columns, "time_processed", "double"), F.col("mjdobs").cast("double"))}
+    fields = []
+    for name, kind in _fields(FORCED_RECORD):
+        value = made.get(name)
+        if value is None:
+            value = _optional(columns, FORCED_NAMES.get(name, ""), kind)
+        if name in ("diaForcedSourceId", "visit", "detector"):
+            value = F.coalesce(value, F.lit(0))
+        fields.append(value.cast(kind).alias(name))
+    return F.struct(*fields)
 
 
 def with_filter_name(sources: DataFrame, filters: DataFrame) -> DataFrame:
-    """Sources with the name of their filter; the filter dimension has a fixed handful of rows."""
-    return sources.join(F.broadcast(filters.select("fid", F.col("filter").alias("filter_name"))), "fid")
+    """Sources with the name of their filter; Spark broadcasts the filters if they are as few as they should be."""
+    return sources.join(filters.select("fid", F.col("filter").alias("filter_name")), "fid")
 
 
 def assemble_alerts(triggers: DataFrame, merges: DataFrame, objects: DataFrame, sources: DataFrame, filters: DataFrame,
-                    days: float = 365.25) -> DataFrame:
+                    days: float = 365.25, forced: DataFrame | None = None, until_trigger: bool = False) -> DataFrame:
     """Alert packets of all triggering sources in one plan.
 
     ``triggers``: sid of the new sources.  A source in several objects is reported with the
     smallest aid, one in none with a NULL object.  History is an array per trigger, so the
-    detections of a busy object are spread over its triggers.
+    detections of a busy object are spread over its triggers; it is cut to the objects and dates
+    asked for before it is joined.  ``forced``: aid, forced_id, mjdobs, fid and the flux columns of
+    forced photometry; its rows from ``days`` before the trigger on follow in time order.
     """
-    named = with_filter_name(sources, filters)
-    columns = named.columns
-    new = named.join(triggers.select("sid").distinct(), "sid", "left_semi")
-    owner = merges.select("aid", "sid").groupBy("sid").agg(F.min("aid").alias("aid"))
+    asked_sids = triggers.select("sid").distinct()
+    new = with_filter_name(sources.join(asked_sids, "sid", "left_semi"), filters)
+    columns = [*sources.columns, "filter_name"]
+    owner = merges.select("aid", "sid").join(asked_sids, "sid", "left_semi").groupBy("sid").agg(F.min("aid").alias("aid"))
     new = new.join(owner, "sid", "left_outer")
     packet = new.select("sid", "aid", F.col("mjdobs").alias("trigger_mjd"),
                         dia_source(columns, F.col("aid"), F.col("filter_name")).alias("diaSource"))
 
     asked = packet.filter(F.col("aid").isNotNull()).select("aid", F.col("sid").alias("trigger_sid"), "trigger_mjd")
-    past = previous_detections(asked, merges, named, days, [c for c in columns if c != "sid"])
+    past = previous_detections(asked, merges, sources, days, [c for c in sources.columns if c != "sid"], until_trigger)
+    past = with_filter_name(past, filters)
     record = dia_source(columns, F.col("aid"), F.col("filter_name"))
     history = past.groupBy("trigger_sid").agg(
         F.array_sort(F.collect_list(F.struct(F.col("mjdobs"), F.col("sid"), record.alias("r")))).alias("h"),
@@ -139,18 +148,36 @@ def assemble_alerts(triggers: DataFrame, merges: DataFrame, objects: DataFrame,
 
     known = objects.select("aid", "ra0", "dec0", "nsources", F.lit(True).alias("__known"))
     full = packet.join(history, "sid", "left_outer").join(known, "aid", "left_outer")
+    kind = "array<struct<" + ",".join(f"{n}:{'bigint' if k == 'long' else k}" for n, k in _fields(FORCED_RECORD)) + ">>"
+    if forced is None:
+        full = full.withColumn("prvDiaForcedSources", F.lit(None).cast(kind))
+    else:
+        full = full.join(forced_history(asked, forced, objects, filters, days), "sid", "left_outer")
     first = F.least("trigger_mjd", F.coalesce("first_prev", "trigger_mjd"))
     last = F.greatest("trigger_mjd", F.coalesce("last_prev", "trigger_mjd"))
     none = F.lit(None)
     return full.select(
         F.col("sid").alias("diaSourceId"), none.cast("string").alias("observation_reason"), none.cast("string").alias("target_name"),
-        "diaSource", "prvDiaSources", none.cast("array<struct<diaForcedSourceId:bigint>>").alias("prvDiaForcedSources"),
+        "diaSource", "prvDiaSources", F.col("prvDiaForcedSources").cast(kind).alias("prvDiaForcedSources"),
         F.when(F.col("__known"), dia_object(first, last, F.col("trigger_mjd"))).alias("diaObject"),
         none.cast("struct<ssObjectId:bigint>").alias("ssSource"), none.cast("struct<designation:string>").alias("mpc_orbits"),
         none.cast("binary").alias("cutoutDifference"), none.cast("binary").alias("cutoutScience"),
         none.cast("binary").alias("cutoutTemplate"))
 
 
+def forced_history(asked: DataFrame, forced: DataFrame, objects: DataFrame, filters: DataFrame, days: float) -> DataFrame:
+    """sid, prvDiaForcedSources of triggers ``asked`` (aid, trigger_sid, trigger_mjd): forced photometry of the object in time order."""
+    oldest = asked.agg((F.min("trigger_mjd") - days).alias("m")).scalar()
+    rows = forced.filter(F.col("mjdobs") >= oldest).join(asked.select("aid").distinct(), "aid", "left_semi")
+    rows = with_filter_name(rows, filters).join(objects.select("aid", "ra0", "dec0"), "aid")
+    record = dia_forced_source([*forced.columns, "filter_name"], F.col("ra0"), F.col("dec0"), F.col("filter_name"))
+    rows = rows.select("aid", "mjdobs", record.alias("r"))
+    pairs = asked.join(rows, "aid").filter(F.col("mjdobs") >= F.col("trigger_mjd") - days)
+    point = F.struct("mjdobs", F.col("r.diaForcedSourceId").alias("id"), "r")
+    lists = pairs.groupBy(F.col("trigger_sid").alias("sid")).agg(F.array_sort(F.collect_list(point)).alias("h"))
+    return lists.select("sid", F.transform("h", lambda s: s["r"]).alias("prvDiaForcedSources"))
+
+
 def catalog_to_records(rows: DataFrame, keys: list[str], columns: list[str], order: list[str], chunk: Column | None = None) -> DataFrame:
     """Catalogue rows as arrays of string structs, one array per key (and chunk)."""
     record = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])

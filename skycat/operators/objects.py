@@ -119,22 +119,20 @@ def lightcurve(merges: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def previous_detections(triggers: DataFrame, merges: DataFrame, sources: DataFrame, days: float = 365.25,
-                        columns: list[str] = ("mjdobs",)) -> DataFrame:
-    """Detections of the object of each trigger in the ``days`` before it.
+                        columns: list[str] = ("mjdobs",), until_trigger: bool = False) -> DataFrame:
+    """Other detections of the object of each trigger, from ``days`` before it on.
 
-    ``triggers``: aid, trigger_sid, trigger_mjd.  History is keyed by object and time bucket
-    of that length; a trigger looks in its own and the previous bucket, so an old and busy
-    object is not read as a whole for each trigger.
+    ``triggers``: aid, trigger_sid, trigger_mjd.  ``until_trigger`` leaves out detections later than the
+    trigger.  History is cut down before it is joined: merges to the objects asked for, and
+    sources to the dates that the oldest trigger can reach, a predicate that prunes partitions by date.
     """
-    def bucket(c):
-        return F.floor(F.col(c) / days)
-
-    history = (merges.select("aid", "sid").join(sources.select("sid", *dict.fromkeys(["mjdobs", *columns])), "sid")
-               .withColumn("__bucket", bucket("mjdobs")))
-    asked = triggers.withColumn("__bucket", F.explode(F.array(bucket("trigger_mjd"), bucket("trigger_mjd") - 1)))
-    recent = ((F.col("mjdobs") >= F.col("trigger_mjd") - days) & (F.col("mjdobs") <= F.col("trigger_mjd"))
-              & (F.col("sid") != F.col("trigger_sid")))
-    return asked.join(history, ["aid", "__bucket"]).filter(recent).drop("__bucket")
+    oldest = triggers.agg((F.min("trigger_mjd") - days).alias("m")).scalar()
+    recent = sources.select("sid", *dict.fromkeys(["mjdobs", *columns])).filter(F.col("mjdobs") >= oldest)
+    own = merges.select("aid", "sid").join(triggers.select("aid").distinct(), "aid", "left_semi")
+    wanted = (F.col("mjdobs") >= F.col("trigger_mjd") - days) & (F.col("sid") != F.col("trigger_sid"))
+    if until_trigger:
+        wanted = wanted & (F.col("mjdobs") <= F.col("trigger_mjd"))
+    return triggers.join(own.join(recent, "sid"), "aid").filter(wanted)
 
 
 def latest_triggers(merges: DataFrame, sources: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_null_safe
+
 ACCURACY = 10000  # rank error of the sketch is at most group size / ACCURACY
 
 
@@ -34,7 +36,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         unbounded = F.lit(float("-inf") if side == 0 else float("inf"))
         return unbounded if open_end else F.when(F.col("__n") <= 2 * accuracy, unbounded).otherwise(F.col("__e")[2 * i + side])
 
-    joined = rows.join(sketch, keys)
+    joined = join_null_safe(rows, sketch, keys)
     below = joined.groupBy(*keys).agg(F.any_value("__n").alias("__n"),
                                       *[F.count_if(F.col("__v") < edge(i, 0)).alias(f"__below{i}") for i in range(len(names))])
     inside = [F.when((F.col("__v") >= edge(i, 0)) & (F.col("__v") <= edge(i, 1)), F.lit(i)) for i in range(len(names))]
@@ -45,7 +47,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     upto = bracket.withColumn("__upto", F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("__i") + 1)
     start = F.element_at(F.array(*[F.col(f"__below{i}") for i in range(len(names))]), F.col("__i") + 1)
-    ranked = upto.join(below, keys).withColumns({"__rank": prob * (F.col("__n") - 1), "__last": start + F.col("__upto")})
+    ranked = join_null_safe(upto, below, keys).withColumns({"__rank": prob * (F.col("__n") - 1), "__last": start + F.col("__upto")})
     # the value at a zero-based rank is the first one whose running count exceeds the rank
     low = F.min(F.when(F.col("__last") > F.floor("__rank"), F.col("__v")))
     high = F.min(F.when(F.col("__last") > F.ceil("__rank"), F.col("__v")))

@@ -18,6 +18,7 @@ from ..functions.geometry import (chord2, chord2_limit, chord2_to_deg, col, in_c
 
 MIN_CELL_DEG = 1e-4
 POLE_DEG = 89.9  # zones beyond are a single ring-shaped cell
+CAP_DEG = 89.0
 MARGIN_DEG = 1e-9  # widens the cell search against rounding; the exact test comes after
 
 
@@ -112,15 +113,29 @@ def sky_join_nearest(left: DataFrame, right: DataFrame, radius_deg: float, left_
     """Nearest right row within the radius for each left row, NULL where there is none.
 
     Uses the flat distance with cos(dec) of the left position, as the forced-photometry
-    light curves do; equal distances go to the smaller key.
+    light curves do; equal distances go to the smaller key.  A flat distance is shorter than the true
+    one where the right row lies nearer the equator: squared, by at most cos(|dec| - radius) / cos(dec).
+    Up to ``CAP_DEG`` the true distance preselects with that bound; the caps around the poles, where
+    it has no end, are joined by declination.  Left rows that are equal in all columns stay apart.
     """
-    pairs = sky_join_all_pairs(left, right, radius_deg * (1 + 1e-6), left_pos, right_pos, on, "right", "left_outer", None)
     flat = flat_distance_deg(*left_pos, *right_pos)
-    best = F.min(F.when(flat <= radius_deg, F.struct(flat.alias("dist_deg"), F.col(right_key),
-                                                     *[F.col(c) for c in keep_right])))
-    rest = [c for c in left.columns if c != left_key]
-    out = pairs.groupBy(left_key).agg(*[F.any_value(c).alias(c) for c in rest], best.alias("__best"))
-    return out.select(*left.columns, "__best.*")
+    near = flat <= radius_deg
+    lefts = left.groupBy(*left.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    at_cap = F.abs(F.col(left_pos[1])) > CAP_DEG
+    low = max(0.0, CAP_DEG - radius_deg)
+    wide = radius_deg * math.sqrt(max(1.0, math.cos(math.radians(low)) / math.cos(math.radians(CAP_DEG)))) * (1 + 1e-6)
+    body = sky_join_all_pairs(lefts.filter(~F.coalesce(at_cap, F.lit(False))), right, min(wide, 180.0), left_pos, right_pos, on, "right", "left_outer", None, near)
+    band = lambda c: F.floor(F.col(c) / radius_deg)
+    caps = right.filter(F.abs(F.col(right_pos[1])) > low - MARGIN_DEG)
+    caps = caps.withColumn("__band", F.explode(F.array(*[band(right_pos[1]) + d for d in (-1, 0, 1)])))
+    match = (band(left_pos[1]) == F.col("__band")) & near
+    for p, q in on:
+        match = match & (F.col(p) == F.col(q))
+    polar = lefts.filter(at_cap).join(caps, match, "left_outer").drop("__band")
+    pairs = body.unionByName(polar)
+    best = F.min(F.when(F.col(right_key).isNotNull(), F.struct(flat.alias("dist_deg"), F.col(right_key), *[F.col(c) for c in keep_right])))
+    out = pairs.groupBy(*left.columns, "__copies").agg(best.alias("__best"))
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*left.columns, "__best.*")
 
 
 def flat_distance_deg(ra, dec, ra2, dec2) -> Column:
@@ -232,8 +247,8 @@ def isolated_sources(sources: DataFrame, box: float, mag_limit: float, edge: flo
 def truth_match(detections: DataFrame, truth: DataFrame, radius: float) -> DataFrame:
     """Label each detection true when an injected source lies nearer than ``radius`` pixels.
 
-    ``detections``: image_id, det_id, x, y, flux, flux_err; ``truth``: image_id, truth_id,
-    x, y.  Detections without positive flux are left out, a zero error becomes 1e7.
+    ``detections``: image_id, det_id (numbered within an image), x, y, flux, flux_err; ``truth``: image_id,
+    truth_id, x, y.  Detections without positive flux are left out, a zero error becomes 1e7.
     """
     h = float(radius)
     dets = (detections.filter(F.col("flux") > 0)
@@ -248,8 +263,8 @@ def truth_match(detections: DataFrame, truth: DataFrame, radius: float) -> DataF
     hit = ((F.col("image_id") == F.col("t_image")) & (F.col("__gx") == F.col("t_gx"))
            & (F.col("__gy") == F.col("t_gy")) & (d2 < radius * radius))
     best = F.min(F.when(F.col("truth_id").isNotNull(), F.struct(d2.alias("d2"), F.col("truth_id"))))
-    keep = [c for c in dets.columns if c not in ("det_id", "__gx", "__gy")]
-    out = dets.join(t, hit, "left_outer").groupBy("det_id").agg(
+    keep = [c for c in dets.columns if c not in ("image_id", "det_id", "__gx", "__gy")]
+    out = dets.join(t, hit, "left_outer").groupBy("image_id", "det_id").agg(
         *[F.any_value(c).alias(c) for c in keep], best.alias("b"))
-    return out.select("det_id", *keep, F.col("b.truth_id").alias("truth_id"), F.sqrt("b.d2").alias("distance"),
+    return out.select("image_id", "det_id", *keep, F.col("b.truth_id").alias("truth_id"), F.sqrt("b.d2").alias("distance"),
                       F.col("b").isNotNull().alias("is_true"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_null_safe
 from .sliced import row_number
 
 EXIT_NO_INPUTS = 33  # fixed value: not enough inputs for a reference image
@@ -24,7 +25,7 @@ def assign_version(incoming: DataFrame, existing: DataFrame | None, keys: list[s
     if existing is None:
         return numbered.withColumnRenamed("__n", "version")
     top = existing.groupBy(*keys).agg(F.max("version").alias("__top"))
-    return (numbered.join(top, keys, "left_outer")
+    return (join_null_safe(numbered, top, keys, "left_outer")
             .withColumn("version", F.coalesce("__top", F.lit(0)) + F.col("__n")).drop("__n", "__top"))
 
 
@@ -35,9 +36,9 @@ def resolve_vbest(versions: DataFrame, keys: list[str], locked: Column) -> DataF
     The newest version and the lock come from one partial aggregate per key.  With several
     locked versions the result would be ambiguous; ``vbest_conflicts`` reports such keys.
     """
-    state = versions.groupBy(*keys).agg(F.max("version").alias("__newest"), F.max(locked).alias("__locked"))
+    state = versions.groupBy(*keys).agg(F.max("version").alias("__newest"), F.coalesce(F.max(locked), F.lit(False)).alias("__locked"))
     vbest = F.when(locked, 2).when(~F.col("__locked") & (F.col("version") == F.col("__newest")), 1).otherwise(0)
-    return versions.join(state, keys).withColumn("vbest", vbest).drop("__newest", "__locked")
+    return join_null_safe(versions, state, keys).withColumn("vbest", vbest).drop("__newest", "__locked")
 
 
 def vbest_conflicts(versions: DataFrame, keys: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import nested, objects, versions
 from ..session import shared_folder
 from ..sources import readers, writers
 from .fixtures import Catalog
-from .queries_sky import rounded
+from .queries_sky import BITS, HEALPIX, rounded
 from .registry import query
 
 BEST = "SELECT pid FROM diffimages WHERE vbest <> 0"
@@ -130,16 +130,18 @@ def drop_empty_fields(t):
             .unionByName(m.groupBy("field").agg(count).select(F.lit("merge").alias("kind"), "field", "n")))
 
 
-@query("backfill_index_columns", """
-WITH z AS (SELECT s.sid, s.ra, CAST(floor((s.dec + 90) / 2) AS BIGINT) AS zone, f.filter, s.sca FROM sources s JOIN filters f ON s.fid = f.fid),
+@query("backfill_index_columns", HEALPIX.rstrip() + f""",
+h AS (SELECT sid, face * 262144 + {BITS} AS hp9 FROM f),
+z AS (SELECT s.sid, s.ra, CAST(floor((s.dec + 90) / 2) AS BIGINT) AS zone, f.filter, s.sca FROM sources s JOIN filters f ON s.fid = f.fid),
 n AS (SELECT *, CASE WHEN zone IN (0, 89) THEN 1 ELSE CAST(floor(180e0 * cos(radians(zone * 2e0 - 89e0))) AS BIGINT) END AS n FROM z)
-SELECT sid, filter, sca, zone * 1000 + 1 + CAST(floor(ra / (360e0 / n) + CASE WHEN n = 1 THEN 0 ELSE 5e-1 END) AS BIGINT) % n AS field FROM n""")
+SELECT n.sid, filter, sca, zone * 1000 + 1 + CAST(floor(ra / (360e0 / n) + CASE WHEN n = 1 THEN 0 ELSE 5e-1 END) AS BIGINT) % n AS field,
+  hp9 >> 6 AS hp6, hp9 FROM n JOIN h ON h.sid = n.sid""")
 def backfill_index_columns(t):
     from ..operators.tiles import point_to_tile
 
     named = nested.with_filter_name(t.sources.select("sid", "fid", "sca", "ra", "dec"), t.filters).withColumnRenamed("filter_name", "filter")
     hp9 = named.withColumn("hp9", healpix_nested("ra", "dec", 9)).withColumn("hp6", coarser(F.col("hp9"), 3))
-    return point_to_tile(hp9, t.tiles, h=2.0).select("sid", "filter", "sca", "field")
+    return point_to_tile(hp9, t.tiles, h=2.0).select("sid", "filter", "sca", "field", "hp6", "hp9")
 
 
 # --- nested products -------------------------------------------------------------------------
@@ -207,10 +209,33 @@ def assemble_alerts(t):
                          F.round(total, 3).alias("prev_flux"))
 
 
-def _alerts(t):
+def _alerts(t, forced=None):
     triggers = objects.latest_triggers(t.merges, t.sources).select(F.col("trigger_sid").alias("sid"))
     o = t.objects.withColumnRenamed("p_size", "nsources")
-    return nested.assemble_alerts(triggers, t.merges, o, t.sources, t.filters)
+    return nested.assemble_alerts(triggers, t.merges, o, t.sources, t.filters, forced=forced)
+
+
+@query("alert_history_rows", f"""WITH {LATEST},
+d AS (SELECT l.trigger_sid, s.*, f.filter FROM l JOIN merges m ON l.aid = m.aid JOIN sources s ON m.sid = s.sid JOIN filters f ON s.fid = f.fid
+   WHERE s.mjdobs >= trigger_mjd - 365.25 AND s.sid <> trigger_sid)
+SELECT trigger_sid, CAST(row_number() OVER (PARTITION BY trigger_sid ORDER BY mjdobs, sid) - 1 AS INT) AS pos, sid AS "diaSourceId", expid AS visit,
+  partkey AS "diaObjectId", mjdobs AS "midpointMjdTai", filter AS band, fluxfit AS "psfFlux", field, pid FROM d""")
+def alert_history_rows(t):
+    """The nested history of all alerts, record by record."""
+    rows = _alerts(t).select(F.col("diaSourceId").alias("trigger_sid"), F.posexplode("prvDiaSources").alias("pos", "r"))
+    return rows.select("trigger_sid", "pos", *[f"r.{c}" for c in ("diaSourceId", "visit", "diaObjectId", "midpointMjdTai", "band", "psfFlux", "field", "pid")])
+
+
+@query("alert_forced_rows", f"""WITH {LATEST},
+d AS (SELECT l.trigger_sid, s.sid, s.expid, s.partkey, o.ra0, s.fluxfit, s.mjdobs, f.filter FROM l JOIN sources s ON l.aid = s.partkey
+   JOIN objects o ON o.aid = l.aid JOIN filters f ON s.fid = f.fid WHERE s.mjdobs >= trigger_mjd - 365.25)
+SELECT trigger_sid, CAST(row_number() OVER (PARTITION BY trigger_sid ORDER BY mjdobs, sid) - 1 AS INT) AS pos, sid AS "diaForcedSourceId",
+  expid AS visit, partkey AS "diaObjectId", ra0 AS ra, filter AS band, fluxfit AS "psfFlux", mjdobs AS "midpointMjdTai" FROM d""")
+def alert_forced_rows(t):
+    """The nested forced photometry of all alerts, record by record."""
+    forced = t.sources.selectExpr("partkey AS aid", "sid AS forced_id", "expid", "sca", "fid", "fluxfit AS forcediffimflux", "mjdobs")
+    rows = _alerts(t, forced).select(F.col("diaSourceId").alias("trigger_sid"), F.posexplode("prvDiaForcedSources").alias("pos", "r"))
+    return rows.select("trigger_sid", "pos", *[f"r.{c}" for c in ("diaForcedSourceId", "visit", "diaObjectId", "ra", "band", "psfFlux", "midpointMjdTai")])
 
 
 @query("catalog_to_records", """SELECT image_id, chunk, count(*) AS n_records, min(ref_id) AS first_id FROM (SELECT image_id, ref_id, ref_id // 1000 AS chunk FROM ref_catalog) GROUP BY image_id, chunk""")
@@ -340,11 +365,11 @@ def sink_alerts(t):
 @query("sink_lightcurve_text", """SELECT reqid, count(*) AS n, min(expid) AS first_expid FROM (SELECT partkey AS reqid, expid FROM sources) GROUP BY reqid""")
 def sink_lightcurve_text(t):
     path = _folder(t)
-    rows = t.sources.selectExpr("partkey % 50 AS reqid", "partkey AS field", "mjdobs + 2400000.5 AS jd", "expid", "pid", "sca", "fid",
+    rows = t.sources.selectExpr("partkey AS reqid", "partkey AS field", "mjdobs + 2400000.5 AS jd", "expid", "pid", "sca", "fid",
                                 "fluxfit AS psfflux", "1 AS sindex")
     writers.write_lightcurve_text(rows, path)
     token = F.split("value", " ")
-    return (t.spark.read.text(path).select(token[7].cast("long").alias("reqid"), token[2].cast("int").alias("expid"))
+    return (t.spark.read.text(path).select(token[0].cast("long").alias("reqid"), token[3].cast("int").alias("expid"))
             .groupBy("reqid").agg(F.count("*").alias("n"), F.min("expid").alias("first_expid")))
 
 
@@ -363,8 +388,11 @@ class StreamCatalog(Catalog):
 
 @query("nightly_window_counts", "SELECT dateobs AS day, sca, count(*) AS n FROM (SELECT date_trunc('day', dateobs) AS dateobs, sca FROM sources) GROUP BY dateobs, sca")
 def nightly_window_counts(t):
-    out = streaming.nightly_window_counts(t.sources)
-    return out.withColumn("day", F.col("day").cast("timestamp_ntz"))
+    folder = _folder(t)
+    counted = streaming.nightly_window_counts(StreamCatalog(t.spark, t.sf_dir).sources)
+    (counted.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{folder}/counts"))
+     .option("checkpointLocation", f"{folder}/_stream").trigger(availableNow=True).start().awaitTermination())
+    return t.spark.read.parquet(f"{folder}/counts").withColumn("day", F.col("day").cast("timestamp_ntz"))
 
 
 @query("streaming_association", """
@@ -373,9 +401,13 @@ f AS (SELECT *, min(batch) OVER (PARTITION BY field, partkey) = batch AS is_firs
 SELECT s.field, s.sid AS aid, m.sid FROM f s JOIN f m ON s.field = m.field AND s.partkey = m.partkey
 WHERE s.is_first AND (s.sid = m.sid OR NOT m.is_first)""")
 def streaming_association(t):
+    """Sources arrive in the order of their dates, in four micro-batches that span several years."""
     folder = _folder(t)
-    arriving = StreamCatalog(t.spark, t.sf_dir).sources
-    streaming.streaming_association(arriving, folder, 3e-5).awaitTermination()
+    rows = t.sources
+    for i, (lo, hi) in enumerate([(0, 49350), (49350, 49900), (49900, 50500), (50500, 10 ** 6)]):
+        rows.filter(f"mjdobs >= {lo} AND mjdobs < {hi}").coalesce(1).write.mode("append").parquet(f"{folder}/in/part={i}")
+    files = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    streaming.streaming_association(files, folder, 3e-5).awaitTermination()
     return t.spark.read.parquet(f"{folder}/merges").select("field", "aid", "sid")
 
 

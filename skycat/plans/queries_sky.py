@@ -180,10 +180,10 @@ def flux_from_mag(t):
 @query("alert_name", """
 WITH a AS (SELECT o_orderkey, 22 + o_orderkey % 15 AS yr, o_orderkey * 700001 + 1 AS seq FROM orders)
 SELECT o_orderkey, CASE WHEN yr < 24 OR yr > 34 THEN 'notsupported' WHEN seq - 1 > 8031810175 THEN 'idoutofrange'
-  ELSE concat('RAPID', CAST(yr AS VARCHAR), """ + ", ".join(f"chr(CAST(97 + ((seq - 1) // {26 ** k}) % 26 AS INT))" for k in range(6, -1, -1)) + """) END AS alertname FROM a""")
+  ELSE concat('SKY', CAST(yr AS VARCHAR), """ + ", ".join(f"chr(CAST(97 + ((seq - 1) // {26 ** k}) % 26 AS INT))" for k in range(6, -1, -1)) + """) END AS alertname FROM a""")
 def alert_name(t):
     a = t.orders.selectExpr("o_orderkey", "22 + o_orderkey % 15 AS yr", "o_orderkey * 700001 + 1 AS seq")
-    return a.select("o_orderkey", naming.alert_name("yr", "seq").alias("alertname"))
+    return a.select("o_orderkey", naming.alert_name("yr", "seq", "SKY").alias("alertname"))
 
 
 @query("file_basename", "SELECT rid, regexp_extract(filename, '.+/(.+)', 1) AS basename FROM l2files")
@@ -197,12 +197,6 @@ def infobits_flags(t):
                             F.col("infobits").bitwiseAND(F.lit(6)).alias("low"))
 
 
-@query("sky_query_cells", """WITH z AS (SELECT sid, ra, CAST(floor((dec + 90) / 0.5) AS BIGINT) AS zone FROM sources)
-SELECT zone, CAST(floor(ra * (cos(radians(zone * 0.5 - 90)) / 0.5)) AS BIGINT) AS cell, count(*) AS n FROM z GROUP BY 1, 2""")
-def sky_query_cells(t):
-    return spatial.with_cell(t.sources, "ra", "dec", 0.5).groupBy("zone", "cell").agg(F.count("*").alias("n"))
-
-
 @query("sca_footprints", """
 WITH p AS (SELECT rid, ra0 AS a0, dec0 AS d0, CAST(rid % 360 AS DOUBLE) AS pa, d.sca FROM l2filemeta m, (SELECT range + 1 AS sca FROM range(0, 18)) d),
 c AS (SELECT rid, sca, a0, d0, pa, CASE sca """ + " ".join(f"WHEN {i} THEN {v!r}" for i, v in enumerate(schedule.DETECTOR_RA, 1)) + """ END AS ra,
@@ -211,45 +205,27 @@ e AS (SELECT *, sin(radians(-45.6541)) * sin(radians(dec)) + cos(radians(-45.654
 k AS (SELECT rid, sca, a0, d0, pa, degrees(cos(radians(dec)) * sin(radians(ra - 7.60523)) / den) AS u,
   degrees((cos(radians(-45.6541)) * sin(radians(dec)) - sin(radians(-45.6541)) * cos(radians(dec)) * cos(radians(ra - 7.60523))) / den) AS v FROM e),
 m AS (SELECT rid, sca, a0, d0, pa, tag, u + dx AS u, v + dy AS v FROM k, (SELECT 0 AS tag, 0e0 AS dx, 0e0 AS dy
-  UNION ALL SELECT 1, -2043.5 * 0.11 / 3600, -2043.5 * 0.11 / 3600 UNION ALL SELECT 3, 2043.5 * 0.11 / 3600, 2043.5 * 0.11 / 3600)),
+  UNION ALL SELECT 1, -2043.5 * 0.11 / 3600, -2043.5 * 0.11 / 3600 UNION ALL SELECT 2, 2043.5 * 0.11 / 3600, -2043.5 * 0.11 / 3600
+  UNION ALL SELECT 3, 2043.5 * 0.11 / 3600, 2043.5 * 0.11 / 3600 UNION ALL SELECT 4, -2043.5 * 0.11 / 3600, 2043.5 * 0.11 / 3600)),
 w AS (SELECT rid, sca, tag, a0, d0, radians(u * cos(radians(pa)) - v * sin(radians(pa))) AS xi, radians(u * sin(radians(pa)) + v * cos(radians(pa))) AS eta FROM m),
 g AS (SELECT rid, sca, tag, mod(a0 + degrees(atan2(xi, cos(radians(d0)) - eta * sin(radians(d0)))) + 360, 360) AS ra,
   degrees(atan2(sin(radians(d0)) + eta * cos(radians(d0)), sqrt(xi * xi + pow(cos(radians(d0)) - eta * sin(radians(d0)), 2)))) AS dec FROM w),
 r AS (SELECT rid, sca, round(max(CASE WHEN tag = 0 THEN ra END), 6) AS sca_ra0, round(max(CASE WHEN tag = 0 THEN dec END), 6) AS sca_dec0,
   round(max(CASE WHEN tag = 1 THEN ra END), 6) AS sca_ra1, round(max(CASE WHEN tag = 1 THEN dec END), 6) AS sca_dec1,
+  round(max(CASE WHEN tag = 2 THEN ra END), 6) AS sca_ra2, round(max(CASE WHEN tag = 2 THEN dec END), 6) AS sca_dec2,
+  round(max(CASE WHEN tag = 4 THEN ra END), 6) AS sca_ra4, round(max(CASE WHEN tag = 4 THEN dec END), 6) AS sca_dec4,
   round(max(CASE WHEN tag = 3 THEN ra END), 6) AS sca_ra3, round(max(CASE WHEN tag = 3 THEN dec END), 6) AS sca_dec3 FROM g GROUP BY rid, sca),
 z AS (SELECT *, CAST(floor((sca_dec0 + 90) / 2) AS BIGINT) AS zone FROM r),
 n AS (SELECT *, CASE WHEN zone IN (0, 89) THEN 1 ELSE CAST(floor(180e0 * cos(radians(zone * 2e0 - 89e0))) AS BIGINT) END AS n FROM z)
-SELECT rid, sca, sca_ra0, sca_dec0, sca_ra1, sca_dec1, sca_ra3, sca_dec3,
+SELECT rid, sca, sca_ra0, sca_dec0, sca_ra1, sca_dec1, sca_ra2, sca_dec2, sca_ra3, sca_dec3, sca_ra4, sca_dec4,
   zone * 1000 + 1 + CAST(floor(sca_ra0 / (360e0 / n) + CASE WHEN n = 1 THEN 0 ELSE 5e-1 END) AS BIGINT) % n AS sca_field FROM n""")
 def sca_footprints(t):
     pointings = t.l2filemeta.select("rid", F.col("ra0").alias("ra"), F.col("dec0").alias("dec"), (F.col("rid") % 360).cast("double").alias("pa"))
-    cols = ["sca_ra0", "sca_dec0", "sca_ra1", "sca_dec1", "sca_ra3", "sca_dec3"]
+    cols = [f"sca_{c}{i}" for i in range(5) for c in ("ra", "dec")]
     out = rounded(schedule.sca_footprints(pointings, schedule.detector_offsets()).select("rid", "sca", *cols), 6, *cols)
     return tiles.point_to_tile(out, t.tiles, ("sca_ra0", "sca_dec0"), "sca_field", 2.0)
 
 
-@query("lightcurve_model_flux")
-def lightcurve_model_flux(t):
-    images_ = t.l2filemeta.select("rid", "mjdobs", "ra0", "dec0")
-    injected = t.customer.selectExpr(
-        "c_custkey AS inj_id", "CAST(c_custkey * 7919 % 3600 AS DOUBLE) / 10.0 + 0.05 AS i_ra", "CAST(c_custkey * 104729 % 1200 - 600 AS DOUBLE) / 10.0 + 0.04 AS i_dec",
-        "CASE WHEN c_custkey % 2 = 0 THEN 'sinusoidal' ELSE 'gaussian' END AS kind", "22e0 + c_nationkey / 10e0 AS magnitude",
-        "0.5e0 AS amplitude", "10e0 + c_nationkey AS period", "0.25e0 AS phase", "50500e0 AS peak_time", "2e0 AS peak_amplitude", "20e0 AS sigma")
-    return rounded(model_fluxes(images_, injected), 6, "xpix", "ypix", "flux").select("rid", "inj_id", "xpix", "ypix", "flux")
-
-
-def model_fluxes(images_, injected, zero_point=25.0, naxis=4088, margin=50.0):
-    """Pixel position and flux of each injected source on each image it may touch."""
-    s = 0.11 / 3600.0
-    reach = (naxis / 2 + margin) * s * 1.4143
-    pairs = spatial.sky_join_all_pairs(images_, injected, reach, ("ra0", "dec0"), ("i_ra", "i_dec"), repeat="right", distance=None)
-    x, y = geometry.tan_deproject("i_ra", "i_dec", (naxis + 1) / 2, (naxis + 1) / 2, "ra0", "dec0", s, s, F.col("rid") % 360)
-    flux = photometry.model_flux("kind", "mjdobs", "magnitude", "amplitude", "period", "phase", "peak_time", "peak_amplitude", "sigma", zero_point)
-    out = pairs.withColumns({"xpix": x, "ypix": y, "flux": flux})
-    return out.filter(F.col("xpix").between(-margin, naxis + margin - 1e-9) & F.col("ypix").between(-margin, naxis + margin - 1e-9))
-
-
 # --- positional joins ----------------------------------------------------------------------
 
 
@@ -408,7 +384,7 @@ def footprint_overlap_percent(t):
     b = a.withColumnsRenamed({"rid": "other_rid", "fid": "other_fid", "mjdobs": "other_mjd",
                               **{f"{c}{i}": f"o_{c}{i}" for i in range(5) for c in ("ra", "dec")}})
     pairs = spatial.sky_join_all_pairs(a, b, 0.18, ("ra0", "dec0"), ("o_ra0", "o_dec0"), on=[("fid", "other_fid")], repeat="left",
-                                       distance=None, keep=F.col("rid") < F.col("other_rid"))
+                                       distance=None, keep=F.col("rid") != F.col("other_rid"))
     return rounded(op(pairs).select("rid", "other_rid", "percent"), 6, "percent")
 
 

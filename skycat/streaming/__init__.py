@@ -22,9 +22,13 @@ from ..operators.objects import ra_offset
 OBJECTS = "aid long, field long, ra0 double, dec0 double, flux0 double, meanra double, meandec double, nsources long, last_mjd double"
 
 
-def nightly_window_counts(sources: DataFrame, time: str = "dateobs", late: str = "2 days") -> DataFrame:
-    """Detections per day and detector; works on a stream and on a table."""
-    rows = sources.withWatermark(time, late) if sources.isStreaming else sources
+def nightly_window_counts(sources: DataFrame, time: str = "dateobs", late: str | None = None) -> DataFrame:
+    """Detections per day and detector; works on a stream and on a table.
+
+    Without ``late`` every row counts, however late it comes, and all days stay in the state.  With it, a stream
+    forgets days older than that before the newest row, and rows that come later still are lost.
+    """
+    rows = sources.withWatermark(time, late) if sources.isStreaming and late else sources
     return (rows.groupBy(F.window(time, "1 day"), "sca").agg(F.count("*").alias("n"))
             .select(F.col("window.start").alias("day"), "sca", "n"))
 
@@ -36,10 +40,11 @@ def _latest(spark: SparkSession, folder: str, epoch: int, schema: str) -> DataFr
 
 
 def associate_batch(spark: SparkSession, batch: DataFrame, epoch: int, folder: str, radius_deg: float,
-                    horizon_days: float = 365.25) -> None:
+                    horizon_days: float | None = None) -> None:
     """Match a batch of sources with the objects of the batch before; write merges and objects.
 
-    Objects not seen for ``horizon_days`` leave the state (their merges stay).
+    With ``horizon_days``, objects not seen for that long leave the state (their merges stay), and a source that
+    returns later starts a new object; without it the result is that of the batch.
     """
     batch = batch.filter(F.col("flags") == 0)
     old = _latest(spark, folder, epoch, OBJECTS)
@@ -62,8 +67,9 @@ def associate_batch(spark: SparkSession, batch: DataFrame, epoch: int, folder: s
         "aid", "field", "ra0", "dec0", "flux0", wrap_ra(F.col("meanra") + F.coalesce(F.col("dra") / n, F.lit(0.0))).alias("meanra"),
         (F.col("meandec") + F.coalesce(F.col("ddec") / n, F.lit(0.0))).alias("meandec"), n.alias("nsources"),
         F.greatest("last_mjd", "seen").alias("last_mjd"))
-    newest = moved.agg(F.max("last_mjd").alias("m"))
-    moved.filter(F.col("last_mjd") >= newest.scalar() - horizon_days).write.mode("overwrite").parquet(f"{folder}/objects/epoch={epoch}")
+    if horizon_days is not None:
+        moved = moved.filter(F.col("last_mjd") >= moved.agg(F.max("last_mjd").alias("m")).scalar() - horizon_days)
+    moved.write.mode("overwrite").parquet(f"{folder}/objects/epoch={epoch}")
 
 
 def _run(stream: DataFrame, work: Callable[[DataFrame, int], None], folder: str) -> StreamingQuery:
@@ -71,7 +77,7 @@ def _run(stream: DataFrame, work: Callable[[DataFrame, int], None], folder: str)
             .trigger(availableNow=True).start())
 
 
-def streaming_association(sources: DataFrame, folder: str, radius_deg: float, horizon_days: float = 365.25) -> StreamingQuery:
+def streaming_association(sources: DataFrame, folder: str, radius_deg: float, horizon_days: float | None = None) -> StreamingQuery:
     """Attach arriving sources to objects or start new ones.  Results are in ``folder``."""
     spark = sources.sparkSession
     return _run(sources, lambda batch, epoch: associate_batch(spark, batch, epoch, folder, radius_deg, horizon_days), folder)

@@ -69,10 +69,10 @@ def test_healpix_known_pixels(spark):
 
 
 def test_alert_names(spark):
-    rows = [(24, 1, "RAPID24aaaaaaa"), (24, 2, "RAPID24aaaaaab"), (30, 27, "RAPID30aaaaaba"), (34, 8031810176, "RAPID34zzzzzzz"),
+    rows = [(24, 1, "SKY24aaaaaaa"), (24, 2, "SKY24aaaaaab"), (30, 27, "SKY30aaaaaba"), (34, 8031810176, "SKY34zzzzzzz"),
             (34, 8031810177, "idoutofrange"), (23, 1, "notsupported"), (35, 1, "notsupported")]
     df = spark.createDataFrame(rows, "y int, s long, want string")
-    assert all(r.got == r.want for r in df.withColumn("got", naming.alert_name("y", "s")).collect())
+    assert all(r.got == r.want for r in df.withColumn("got", naming.alert_name("y", "s", "SKY")).collect())
 
 
 def test_times(spark):
@@ -82,18 +82,6 @@ def test_times(spark):
     assert got[0] == pytest.approx(2461405.5 + (7 * 3600 + 22 * 60 + 37) / 86400, abs=1e-6)
 
 
-def test_model_flux(spark):
-    cols = "kind string, mjd double, mag double, amp double, per double, ph double, tp double, pa double, sig double"
-    rows = [("sinusoidal", 60000.3, 22.0, 0.5, 7.0, 0.2, None, None, None), ("gaussian", 60000.3, 23.0, None, None, None, 60001.0, 2.0, 3.0),
-            ("other", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0)]
-    df = spark.createDataFrame(rows, cols)
-    got = [r.f for r in df.select(photometry.model_flux("kind", "mjd", "mag", "amp", "per", "ph", "tp", "pa", "sig", 25.0).alias("f")).collect()]
-    assert got[0] == pytest.approx(10 ** (-0.4 * (22 + 0.5 * math.sin(2 * math.pi * (60000.3 / 7 + 0.2)) - 25)))
-    base = 10 ** (-0.4 * (23 - 25))
-    assert got[1] == pytest.approx(base + base * (10 ** 0.8 - 1) * math.exp(-0.5 * (0.7 / 3) ** 2))
-    assert got[2] is None
-
-
 def test_detectors_land_on_their_reference_positions(spark):
     df = spark.createDataFrame([(*schedule.REFERENCE_POINTING, 0.0)], "ra double, dec double, pa double")
     got = {r.sca: r for r in schedule.sca_footprints(df, schedule.detector_offsets()).collect()}

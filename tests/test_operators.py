@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from skycat import streaming
 from skycat.functions.geometry import tan_deproject
 from skycat.operators import associate, evaluation, jobs, objects, pixels, quantiles, schedule, sliced, tiles, versions
-from skycat.plans.queries_sky import model_fluxes
 from skycat.sources import readers, writers
 
 
@@ -116,21 +115,6 @@ def test_flat_and_empty_images(spark):
     assert all(math.isnan(r.value) for r in pixels.normalize_pixels(df).filter("image_id = 2").collect() if r.value is not None)
 
 
-def test_injected_sources_on_frames(spark):
-    images = spark.createDataFrame([(0, 60000.0, 10.0, 0.0), (1, 60001.0, 359.99, 10.0)], "rid long, mjdobs double, ra0 double, dec0 double")
-    rnd = random.Random(4)
-    spots = [(i, rnd.choice([10.0, 359.99]) + rnd.uniform(-0.1, 0.1), rnd.choice([0.0, 10.0]) + rnd.uniform(-0.1, 0.1)) for i in range(200)]
-    extra = ", ".join(f"{c} double" for c in "magnitude amplitude period phase peak_time peak_amplitude sigma".split())
-    inj = spark.createDataFrame([(i, a % 360, d, "sinusoidal", 22.0, 0.1, 3.0, 0.0, None, None, None) for i, a, d in spots],
-                                f"inj_id long, i_ra double, i_dec double, kind string, {extra}")
-    got = {(r.rid, r.inj_id) for r in model_fluxes(images, inj).collect()}
-    s = 0.11 / 3600
-    x, y = tan_deproject("i_ra", "i_dec", 2044.5, 2044.5, "ra0", "dec0", s, s, F.col("rid") % 360)
-    every = images.crossJoin(inj).withColumns({"x": x, "y": y}).collect()
-    want = {(r.rid, r.inj_id) for r in every if -50 <= r.x < 4138 and -50 <= r.y < 4138}
-    assert got == want and got
-
-
 def test_threshold_edges(spark):
     rnd = random.Random(6)
     data = [(int(rnd.random() < 0.4), rnd.randrange(0, 21) / 20) for _ in range(300)] + [(1, 0.0), (0, 1.0)]

@@ -30,5 +30,5 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_without_sql_has_a_brute_force_test():
-    assert set(q.QUERIES) - set(q.ORACLES) == {"lightcurve_model_flux", "footprint_overlap_percent", "associate_small_radius",
+    assert set(q.QUERIES) - set(q.ORACLES) == {"footprint_overlap_percent", "associate_small_radius",
                                                "associate_dense_field"}
