@@ -294,7 +294,7 @@ def test_decontamination(spark):
     swap = items[1].split()
     for i in (4, 11, 18, 27, 33):
         swap[i] = "other"
-    texts = [data.prose(rng, 300), data.prose(rng, 50) + " " + items[0].upper() + " " + data.prose(rng, 50), data.prose(rng, 20) + "; " + " ".join(swap),
+    texts = [data.prose(rng, 300), data.prose(rng, 50) + " " + "".join(c.upper() if c < "\x80" else c for c in items[0]) + " " + data.prose(rng, 50), data.prose(rng, 20) + "; " + " ".join(swap),
              " ".join(items[2].split()[:9]), items[3], "", None, "two words"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, items[0])], "doc_id bigint, text string").withColumn("item_id", F.lit(1))
     found = {(r["doc_id"], r["item_id"]): r for r in decontaminate.overlaps(docs, bench).collect()}
