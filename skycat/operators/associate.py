@@ -14,8 +14,7 @@ pair starts an object.  That looks sequential, but it is local:
   sources join all of them.  This is the normal case for point sources and is a plain join.
 * Other groups are walked, in Arrow batches of a partition sorted by group.  A group with more
   than ``max_group_rows`` rows is first cut again with finer cells; what is still too large is
-  walked batch by batch as positional joins over the cluster, with the state in the checkpoint
-  folder.
+  walked in rounds of positional joins over the cluster, the k-th batch of all such groups in round k.
 
 Object ids are the ids of the sources that start them, so a repeated run gives the same ids.
 """
@@ -23,15 +22,16 @@ Object ids are the ids of the sources that start them, so a repeated run gives t
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import angular_separation, chord2_limit, unit_vector, wrap_ra
 from ..functions.healpix import coarser, healpix_nested
-from ..session import cut_lineage
+from ..session import cut_lineage, shared_folder
 from .components import connected_components
 from .objects import object_statistics, ra_offset
 from .spatial import MARGIN_DEG, POLE_DEG, cell_of, sky_join_all_pairs, with_touched_cells, zone_of
@@ -205,33 +205,36 @@ def _walk(radius_deg: float):
     return walk
 
 
-def _walk_on_cluster(rows: DataFrame, radius_deg: float) -> DataFrame | None:
-    """The walk over groups too large for one task: one positional join per batch.
+WALK_ROWS = 200_000  # rows of a partition of the walk
 
-    State is a table of objects (field, grp, aid, ra, dec, weight), written to the checkpoint
-    folder after every batch.
+
+def _walk_on_cluster(rows: DataFrame, radius_deg: float) -> DataFrame:
+    """The walk over groups too large for one task: in round k the k-th batch of every such group at once.
+
+    Groups never interact, so there are as many rounds as the group with most batches has, however
+    many groups there are.  Batches are stored by round, and a round reads its own only.  State is
+    a table of objects (field, grp, aid, ra, dec, weight) of the groups that still have batches;
+    merges are written once, by round.
     """
-    key = F.struct(*BATCH)
-    state = rows.filter("rank = 0").select("field", "grp", F.col("sid").alias("aid"), "ra", "dec", "weight")
-    state, todo, merges, last, steps = cut_lineage(state), rows.filter("rank > 0"), None, None, 0
-    while True:
-        later = todo
-        if last is not None:
-            done = [F.lit(v).cast(kind).alias(name) for v, name, kind in zip(last, BATCH, ("double", "long", "int"))]
-            later = todo.filter(key > F.struct(*done))
-        nxt = later.agg(F.min(key).alias("b")).first()["b"]
-        if nxt is None:
-            return merges
-        last = tuple(nxt)
-        batch = todo.filter((F.col("mjdobs") == last[0]) & (F.col("expid") == last[1]) & (F.col("sca") == last[2]))
-        batch = batch.select("field", "grp", "sid", "ra", "dec")
-        objects = state.select(F.col("field").alias("o_field"), "aid", F.col("ra").alias("o_ra"), F.col("dec").alias("o_dec"))
+    spark, folder = rows.sparkSession, f"{shared_folder(rows.sparkSession)}/skycat-{uuid.uuid4().hex}"
+    arriving = rows.filter("rank > 0")
+    order = Window.partitionBy("field", "grp").orderBy(*BATCH)
+    numbers = cut_lineage(arriving.select("field", "grp", *BATCH).distinct().withColumn("step", F.row_number().over(order)))
+    last = numbers.agg(F.max("step").alias("m")).first()["m"] or 0
+    arriving = arriving.join(numbers, ["field", "grp", *BATCH]).select("field", "grp", "sid", "ra", "dec", "step")
+    arriving.hint("rebalance", "step").write.partitionBy("step").parquet(f"{folder}/batches")
+    state = cut_lineage(rows.filter("rank = 0").select("field", "grp", F.col("sid").alias("aid"), "ra", "dec", "weight"))
+    for step in range(1, last + 1):
+        batch = spark.read.parquet(f"{folder}/batches/step={step}")
+        state = state.join(batch.select("field", "grp").distinct(), ["field", "grp"], "left_semi")  # the others are done
+        objects = state.select(F.col("field").alias("o_field"), F.col("grp").alias("o_grp"), "aid", F.col("ra").alias("o_ra"), F.col("dec").alias("o_dec"))
         pairs = cut_lineage(sky_join_all_pairs(batch, objects, radius_deg, ("ra", "dec"), ("o_ra", "o_dec"),
-                                               on=[("field", "o_field")], distance=None)
-                            .select("field", "grp", "aid", "sid", ra_offset(F.col("ra"), F.col("o_ra")).alias("dra"),
+                                               on=[("field", "o_field"), ("grp", "o_grp")], distance=None)
+                            .select("field", "aid", "sid", ra_offset(F.col("ra"), F.col("o_ra")).alias("dra"),
                                     (F.col("dec") - F.col("o_dec")).alias("ddec")))
         fresh = batch.join(pairs.select("sid"), "sid", "left_anti")
         new = fresh.select("field", F.col("sid").alias("aid"), "sid").unionByName(pairs.select("field", "aid", "sid"))
+        new.write.parquet(f"{folder}/merges/step={step}")
         delta = pairs.groupBy("aid").agg(F.sum("dra").alias("dra"), F.sum("ddec").alias("ddec"), F.count("*").alias("k"))
         n = F.col("weight") + F.coalesce(F.col("k"), F.lit(0))
         moved = state.join(delta, "aid", "left_outer").select(
@@ -239,11 +242,9 @@ def _walk_on_cluster(rows: DataFrame, radius_deg: float) -> DataFrame | None:
             (F.col("dec") + F.coalesce("ddec", F.lit(0.0)) / n).alias("dec"), n.cast("double").alias("weight"))
         started = fresh.select("field", "grp", F.col("sid").alias("aid"), "ra", "dec", F.lit(1.0).alias("weight"))
         state = cut_lineage(moved.unionByName(started))
-        new = cut_lineage(new)
-        merges = new if merges is None else merges.unionByName(new)
-        steps += 1
-        if steps % 50 == 0:
-            merges = cut_lineage(merges)
+    if not last:
+        return spark.createDataFrame([], MERGE_SCHEMA)
+    return spark.read.schema(MERGE_SCHEMA).parquet(*[f"{folder}/merges/step={k}" for k in range(1, last + 1)])
 
 
 def associate_within_field(sources: DataFrame, radius_deg: float, objects: DataFrame | None = None,
@@ -279,9 +280,9 @@ def _solve(rows: DataFrame, radius_deg: float, max_group_rows: int, cell: float)
     kind = (F.when(F.col("span") <= chord2_limit(radius_deg) * (1 - 1e-6), "compact")
             .when(F.col("n") <= max_group_rows, "walk").otherwise("large"))
     groups = rows.groupBy("field", "grp").agg(F.count("*").alias("n"), first.alias("first"), span.alias("span"))
-    groups = cut_lineage(groups.select("field", "grp", "first", kind.alias("kind")))
-    kinds = {r["kind"] for r in groups.select("kind").distinct().collect()}  # at most three rows
-    rows = rows.join(groups, ["field", "grp"])
+    groups = cut_lineage(groups.select("field", "grp", "first", "n", kind.alias("kind")))
+    kinds = {r["kind"]: r["n"] for r in groups.groupBy("kind").agg(F.sum("n").alias("n")).collect()}  # at most three rows
+    rows = rows.join(groups.drop("n"), ["field", "grp"])
 
     # compact groups: the first batch (or the known objects) are the objects
     compact = rows.filter("kind = 'compact'")
@@ -293,9 +294,9 @@ def _solve(rows: DataFrame, radius_deg: float, max_group_rows: int, cell: float)
     result = own.unionByName(joined.select("field", "aid", "sid"))
 
     if "walk" in kinds:
-        # a fixed number of partitions: small in bytes, this step is heavy in processor time, so
-        # adaptive execution must not merge its partitions
-        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # partitions by rows, not bytes: this step is heavy in processor time, so adaptive
+        # execution must not merge its partitions
+        parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-kinds["walk"] // WALK_ROWS))
         ordered = (rows.filter("kind = 'walk'").drop("first", "kind").repartition(parts, "field", "grp")
                    .sortWithinPartitions("field", "grp", "rank", *BATCH, "sid"))
         result = result.unionByName(ordered.mapInPandas(_walk(radius_deg), MERGE_SCHEMA))
@@ -306,7 +307,7 @@ def _solve(rows: DataFrame, radius_deg: float, max_group_rows: int, cell: float)
             rest = _solve(large.drop("grp"), radius_deg, max_group_rows, FINE_CELL)
         else:
             rest = _walk_on_cluster(large, radius_deg)
-        result = result if rest is None else result.unionByName(rest)
+        result = result.unionByName(rest)
     return result
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import geometry, healpix, naming, photometry, times
@@ -23,9 +25,14 @@ def sql_deg(chord2):
     return f"degrees(2 * asin(least(1e0, 0.5 * sqrt({chord2}))))"
 
 
+def limit_of(radius):
+    """Squared chord of an angle in degrees."""
+    return (2 * math.sin(math.radians(radius) / 2)) ** 2
+
+
 def within(radius, ra1, dec1, ra2, dec2):
     """Pairs within the radius; the declination band first."""
-    limit = geometry.chord2_limit(radius)
+    limit = limit_of(radius)
     return (f"{dec2} BETWEEN {dec1} - {radius * 1.000001!r} AND {dec1} + {radius * 1.000001!r} "
             f"AND {sql_chord2(ra1, dec1, ra2, dec2)} <= {limit!r}")
 
@@ -445,11 +452,56 @@ def associate_within_field(t):
     return associate.associate_within_field(t.sources.filter("flags = 0"), 3e-5)
 
 
-@query("associate_small_radius")
+def walked(radius: float, known: str = "") -> str:
+    """The walk in SQL: a recursion over the batches of all fields, with the objects as its keyed state."""
+    vec = [f"pow(({p}) - ({q}), 2)" for p, q in zip(sql_vec("s.ra", "s.dec"), sql_vec("o.ra", "o.dec"))]
+    return f"""
+WITH RECURSIVE src AS (SELECT field, sid, ra, dec, dense_rank() OVER (PARTITION BY field ORDER BY mjdobs, expid, sca) AS step FROM sources WHERE flags = 0),
+st(aid, field, ra, dec, n, sids, step) USING KEY (aid) AS (
+  {known or "SELECT sid, field, ra, dec, 1e0, [sid], step FROM src WHERE step = 1"}
+  UNION
+  (WITH now AS (SELECT s.* FROM src s WHERE s.step = (SELECT max(step) + 1 FROM st)),
+   pairs AS (SELECT o.aid, s.sid, s.step, s.ra - o.ra AS dra, s.dec - o.dec AS ddec FROM now s JOIN recurring.st o ON s.field = o.field
+     WHERE {" + ".join(vec)} <= {limit_of(radius)!r}),
+   moves AS (SELECT aid, step, list(sid) AS sids, count(*) AS k, sum(ddec) AS ddec,
+     sum(CASE WHEN dra > 180 THEN dra - 360 WHEN dra < -180 THEN dra + 360 ELSE dra END) AS dra FROM pairs GROUP BY aid, step)
+   SELECT o.aid, o.field, fmod(o.ra + m.dra / (o.n + m.k) + 360, 360), o.dec + m.ddec / (o.n + m.k), o.n + m.k, list_concat(o.sids, m.sids), m.step
+     FROM moves m JOIN recurring.st o ON o.aid = m.aid
+   UNION ALL SELECT s.sid, s.field, s.ra, s.dec, 1e0, [s.sid], s.step FROM now s WHERE s.sid NOT IN (SELECT sid FROM pairs)))
+SELECT field, aid, unnest(sids) AS sid FROM st"""
+
+
+@query("associate_small_radius", walked(R))
 def associate_small_radius(t):
     return associate.associate_within_field(t.sources.filter("flags = 0"), R)
 
 
+@query("associate_known_objects", walked(R, "SELECT aid, field, ra0 + 3e-6, dec0 - 2e-6, CAST(p_size AS DOUBLE), CAST([] AS BIGINT[]), 0 FROM objects"))
+def associate_known_objects(t):
+    """Continue from the objects of an earlier run."""
+    known = t.objects.selectExpr("aid", "field", "ra0 + 3e-6 AS meanra", "dec0 - 2e-6 AS meandec", "p_size AS nsources")
+    return associate.associate_within_field(t.sources.filter("flags = 0"), R, known)
+
+
+@query("associate_large_groups", walked(R))
+def associate_large_groups(t):
+    """All groups that need a walk as rounds over the cluster."""
+    return associate.associate_within_field(t.sources.filter("flags = 0"), R, max_group_rows=1)
+
+
+@query("build_objects", """WITH c AS (SELECT field, partkey, sid, ra, dec, fluxfit, mjdobs * 100 + sca AS batch FROM sources WHERE flags = 0),
+f AS (SELECT *, min(batch) OVER (PARTITION BY field, partkey) = batch AS is_first FROM c),
+m AS (SELECT s.field, s.sid AS aid, m.sid, m.ra, m.dec, m.fluxfit FROM f s JOIN f m ON s.field = m.field AND s.partkey = m.partkey
+  WHERE s.is_first AND (s.sid = m.sid OR NOT m.is_first))
+SELECT m.aid, m.field, round(s.ra, 7) AS ra0, round(s.dec, 7) AS dec0, s.fluxfit AS flux0, count(*) AS nsources, round(avg(m.dec), 7) AS meandec,
+  round(avg(m.fluxfit), 3) AS meanflux FROM m JOIN c s ON m.aid = s.sid GROUP BY m.aid, m.field, s.ra, s.dec, s.fluxfit""")
+def build_objects(t):
+    """Associate, then make the object table of the merges."""
+    clean = t.sources.filter("flags = 0")
+    out = associate.build_objects(associate.associate_within_field(clean, 3e-5).select("aid", "sid"), clean)
+    return rounded(rounded(out.select("aid", "field", "ra0", "dec0", "flux0", "nsources", "meandec", "meanflux"), 7, "ra0", "dec0", "meandec"), 3, "meanflux")
+
+
 @query("associate_dense_field")
 def associate_dense_field(t):
     crowded = t.dense_sources.withColumn("field", F.lit(1)).select("sid", "field", "expid", "sca", "mjdobs", "ra", "dec")
