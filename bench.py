@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ["bulk_load_sources", "associate_within_field", "sky_join_all_pairs", "object_statistics", "prune_not_best_merges",
+HEADLINE = ["bulk_load_sources", "associate_within_field", "associate_small_radius", "associate_dense_field", "sky_join_all_pairs", "object_statistics", "prune_not_best_merges",
             "prune_not_best_sources", "associate_across_fields", "point_to_tile", "batch_cone_search", "overlapping_images",
             "nest_lightcurves", "assemble_alerts", "pixel_clipped_stats", "resolve_vbest", "drop_overruns", "count_merges_by_field"]
 

@@ -199,6 +199,43 @@ def classifier_metrics(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
     return with_rates(counts).withColumn("roc_auc", roc_auc(scores).scalar())
 
 
+def metrics_at_precision(scores: DataFrame, target: float = 0.6, n_thresholds: int = 1000) -> DataFrame:
+    """Metrics at the threshold whose precision is closest to ``target``, the first one on ties."""
+    rates = with_rates(threshold_counts(scores, n_thresholds))
+    gap = F.abs(F.col("precision") - target)
+    best = rates.agg(F.min(F.struct(gap.alias("gap"), "step", "threshold", "precision", "recall", "f1", "accuracy", "tp", "fp", "fn", "tn")).alias("b"))
+    return best.select(*[f"b.{c}" for c in ("threshold", "precision", "recall", "f1", "accuracy", "tp", "fp", "fn", "tn")])
+
+
+def pr_auc(scores: DataFrame, slices: int = 1000) -> DataFrame:
+    """Area under the curve of precision over recall by trapezoids: one row, NULL without positives.
+
+    The points are the distinct scores from the top, and recall 0 with precision 1 before them.  Equal
+    scores are counted first; running counts come from slices, so scores are not sorted in one task.
+    """
+    from .sliced import running_sum
+
+    per = with_score(scores).groupBy("p").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count("*").alias("n")).withColumn("__q", -F.col("p"))
+    place = -F.floor(F.col("p") * slices)  # does not decrease along -p
+    upto = running_sum(running_sum(per, [], ["__q"], place, F.col("pos"), "tp"), [], ["__q"], place, F.col("n"), "seen")
+    # the point before a score is known from its own counts
+    before = F.when(F.col("seen") > F.col("n"), (F.col("tp") - F.col("pos")) / (F.col("seen") - F.col("n"))).otherwise(1.0)
+    area = F.sum(F.col("pos") * (F.col("tp") / F.col("seen") + before) / 2)
+    total = F.sum("pos")
+    return upto.agg(F.when(total > 0, area / total).alias("pr_auc"))
+
+
+def pixel_cuts(candidates: DataFrame, metrics: DataFrame, max_negative: int = 18, max_bad: int = 12, min_sumrat: float = 0.25) -> DataFrame:
+    """``candidates`` (image_id, cand_id, stage) with stage 3 for those of stage 2 whose cutout passes too.
+
+    ``metrics``: image_id, cand_id, n_negative, n_bad, sumrat.  A candidate without a cutout stays at its stage.
+    """
+    near = metrics.select("image_id", "cand_id", "n_negative", "n_bad", "sumrat")
+    good = (F.col("n_negative") <= max_negative) & (F.col("n_bad") <= max_bad) & (F.col("sumrat") >= min_sumrat)
+    out = candidates.join(near, ["image_id", "cand_id"], "left_outer")
+    return out.withColumn("stage", F.when((F.col("stage") == 2) & F.coalesce(good, F.lit(False)), 3).otherwise(F.col("stage")))
+
+
 def roc_auc(scores: DataFrame, slices: int = 1000) -> DataFrame:
     """Area under the ROC curve by ranks: one row, NULL with a single class.
 

@@ -45,11 +45,11 @@ def _fields(record: str) -> list[tuple[str, str]]:
 
 
 def nest_lightcurves(objects: DataFrame, merges: DataFrame, sources: DataFrame, object_cols: list[str],
-                     source_cols: list[str], chunk_days: float | None = None) -> DataFrame:
+                     source_cols: list[str], chunk_days: float | None = 365.25) -> DataFrame:
     """Objects with their sources as a time-ordered array ``nested_lc_data``.
 
-    ``chunk_days`` writes one row per object and stretch of time (column ``chunk``), so that
-    the array of an object with very many points stays small enough for one row.
+    One row per object and stretch of ``chunk_days`` (column ``chunk``), so that the array of an object
+    with very many points stays small enough for one row; None gives one row per object.
     """
     point = F.struct("mjdobs", "sid", *[c for c in source_cols if c not in ("mjdobs", "sid")])
     rows = merges.select("aid", "sid").join(sources.select(*dict.fromkeys(["sid", "mjdobs", *source_cols])), "sid")

@@ -148,11 +148,21 @@ def flat_distance_deg(ra, dec, ra2, dec2) -> Column:
 def cone_search(df: DataFrame, ra: float, dec: float, radius_deg: float, pos=("ra", "dec")) -> DataFrame:
     """Rows within ``radius_deg`` of a position, nearest first.
 
-    The declination band is a plain range predicate, so it reaches the Parquet scan.
+    The declination band and the right ascensions that the cone reaches are plain range predicates, so they
+    reach the Parquet scan; a cone that holds a pole reaches all right ascensions.
     """
     ra_c, dec_c = pos
     c2 = position_chord2(ra_c, dec_c, ra, dec)
     band = F.col(dec_c).between(dec - radius_deg - MARGIN_DEG, dec + radius_deg + MARGIN_DEG)
+    if abs(dec) + radius_deg < 90.0 - MARGIN_DEG:
+        half = math.degrees(math.asin(min(1.0, math.sin(math.radians(radius_deg)) / math.cos(math.radians(dec))))) + MARGIN_DEG
+        low, high = ra - half, ra + half
+        reach = F.col(ra_c).between(low, high)
+        if low < 0.0:
+            reach = reach | (F.col(ra_c) >= low + 360.0)
+        if high >= 360.0:
+            reach = reach | (F.col(ra_c) <= high - 360.0)
+        band = band & reach
     return df.filter(band & (c2 <= chord2_limit(radius_deg))).withColumn("dist_deg", chord2_to_deg(c2)).orderBy("dist_deg")
 
 

@@ -147,14 +147,13 @@ def backfill_index_columns(t):
 # --- nested products -------------------------------------------------------------------------
 
 
-@query("nest_lightcurves", """SELECT aid, p_size AS nsources, count(*) AS n_points, min(mjdobs) AS first_mjd, max(mjdobs) AS last_mjd,
-  arg_min(fluxfit, mjdobs * 1e6 + s.sid % 1000000) AS any_flux FROM merges m JOIN sources s ON m.sid = s.sid JOIN objects o USING (aid) GROUP BY aid, p_size""")
+@query("nest_lightcurves", """SELECT aid, p_size AS nsources, CAST(floor(mjdobs / 365.25) AS BIGINT) AS chunk, count(*) AS n_points, min(mjdobs) AS first_mjd, max(mjdobs) AS last_mjd,
+  min(struct_pack(a := mjdobs, b := s.sid, c := fid, d := fluxfit)).d AS any_flux FROM merges m JOIN sources s ON m.sid = s.sid JOIN objects o USING (aid) GROUP BY aid, p_size, chunk""")
 def nest_lightcurves(t):
-    return _nested(t).select("aid", "nsources", F.size("nested_lc_data").cast("long").alias("n_points"),
+    return _nested(t).select("aid", "nsources", "chunk", F.size("nested_lc_data").cast("long").alias("n_points"),
                              F.col("nested_lc_data")[0]["mjdobs"].alias("first_mjd"),
                              F.element_at("nested_lc_data", -1)["mjdobs"].alias("last_mjd"),
-                             F.array_min(F.transform("nested_lc_data", lambda p: F.struct(
-                                 (p["mjdobs"] * 1e6 + p["sid"] % 1000000).alias("o"), p["fluxfit"].alias("f"))))["f"].alias("any_flux"))
+                             F.col("nested_lc_data")[0]["fluxfit"].alias("any_flux"))
 
 
 def _nested(t):
@@ -162,7 +161,8 @@ def _nested(t):
     return nested.nest_lightcurves(o, t.merges, t.sources, ["aid", "nsources"], ["sid", "mjdobs", "fid", "fluxfit"])
 
 
-@query("unnest_lightcurves", """SELECT aid, CAST(row_number() OVER (PARTITION BY aid ORDER BY mjdobs, s.sid) - 1 AS INT) AS pos, mjdobs, s.sid, fid, fluxfit
+@query("unnest_lightcurves", """SELECT aid, CAST(floor(mjdobs / 365.25) AS BIGINT) AS chunk,
+  CAST(row_number() OVER (PARTITION BY aid, floor(mjdobs / 365.25) ORDER BY mjdobs, s.sid) - 1 AS INT) AS pos, mjdobs, s.sid, fid, fluxfit
   FROM merges m JOIN sources s ON m.sid = s.sid JOIN objects o USING (aid) WHERE p_size > 0""")
 def unnest_lightcurves(t):
     return nested.unnest_lightcurves(_nested(t)).drop("nsources")
@@ -244,6 +244,29 @@ def catalog_to_records(t):
     return out.select("image_id", "chunk", F.size("records").cast("long").alias("n_records"), F.col("records")[0]["ref_id"].cast("long").alias("first_id"))
 
 
+@query("build_catalogue", f"""WITH c AS (SELECT field, partkey, sid, pid, dec, fluxfit, mjdobs * 100 + sca AS batch FROM sources WHERE flags = 0),
+f AS (SELECT *, min(batch) OVER (PARTITION BY field, partkey) = batch AS is_first FROM c),
+m AS (SELECT s.sid AS aid, m.sid, m.pid, m.dec, m.fluxfit FROM f s JOIN f m ON s.field = m.field AND s.partkey = m.partkey WHERE s.is_first AND (s.sid = m.sid OR NOT m.is_first)),
+b AS (SELECT * FROM m WHERE pid IN ({BEST}))
+SELECT aid, count(*) AS nsources, round(avg(dec), 7) AS meandec, round(sum(fluxfit), 3) AS sumflux, round(stddev_pop(fluxfit), 3) AS stdevflux FROM b GROUP BY aid""")
+def build_catalogue(t):
+    """The steps in a row: load by date and detector, load again, associate, register once, prune, statistics."""
+    from ..operators import associate
+
+    path = _folder(t)
+    rows = t.sources.selectExpr("sid", "pid", "sid AS id", "isdiffpos AS positive", "ra", "dec", "fluxfit", "flags", "field", "expid", "fid", "mjdobs",
+                                "date_format(dateobs, 'yyyy') AS proc_date", "sca")
+    for part in (rows.filter("mjdobs < 50000"), rows):  # an early night first, then everything
+        writers.bulk_load_sources(part.filter("positive").drop("positive"), part.filter("NOT positive").drop("positive"), path)
+    loaded = t.spark.read.parquet(path)
+    clean = loaded.filter("flags = 0")
+    found = associate.associate_within_field(clean, 3e-5)
+    merges = objects.register_merge_once(found.filter("sid % 2 = 0"), found)
+    kept = objects.prune_not_best_merges(merges.select("aid", "sid"), clean, t.diffimages)
+    stats = objects.object_statistics(kept, clean, None).select("aid", "nsources", "meandec", (F.col("meanflux") * F.col("nsources")).alias("sumflux"), "stdevflux")
+    return rounded(rounded(stats, 7, "meandec"), 3, "sumflux", "stdevflux")
+
+
 # --- readers -----------------------------------------------------------------------------------
 
 
@@ -338,7 +361,7 @@ def sink_source_catalog(t):
 @query("range_chunks", """SELECT chunk, min(sid) AS start_sid, max(sid) AS end_sid, count(*) AS n FROM
   (SELECT sid, (row_number() OVER (ORDER BY sid) - 1) // 1000 + 1 AS chunk FROM sources) GROUP BY chunk""")
 def range_chunks(t):
-    out = writers.range_chunks(t.sources.select("sid"), "sid", 1000, 10_000_000_000)
+    out = writers.range_chunks(t.sources.select("sid"), "sid", 1000, 5000)
     return out.groupBy("chunk").agg(F.min("sid").alias("start_sid"), F.max("sid").alias("end_sid"), F.count("*").alias("n"))
 
 

@@ -494,12 +494,12 @@ f AS (SELECT *, min(batch) OVER (PARTITION BY field, partkey) = batch AS is_firs
 m AS (SELECT s.field, s.sid AS aid, m.sid, m.ra, m.dec, m.fluxfit FROM f s JOIN f m ON s.field = m.field AND s.partkey = m.partkey
   WHERE s.is_first AND (s.sid = m.sid OR NOT m.is_first))
 SELECT m.aid, m.field, round(s.ra, 7) AS ra0, round(s.dec, 7) AS dec0, s.fluxfit AS flux0, count(*) AS nsources, round(avg(m.dec), 7) AS meandec,
-  round(avg(m.fluxfit), 3) AS meanflux FROM m JOIN c s ON m.aid = s.sid GROUP BY m.aid, m.field, s.ra, s.dec, s.fluxfit""")
+  round(sum(m.fluxfit), 3) AS sumflux FROM m JOIN c s ON m.aid = s.sid GROUP BY m.aid, m.field, s.ra, s.dec, s.fluxfit""")
 def build_objects(t):
     """Associate, then make the object table of the merges."""
     clean = t.sources.filter("flags = 0")
     out = associate.build_objects(associate.associate_within_field(clean, 3e-5).select("aid", "sid"), clean)
-    return rounded(rounded(out.select("aid", "field", "ra0", "dec0", "flux0", "nsources", "meandec", "meanflux"), 7, "ra0", "dec0", "meandec"), 3, "meanflux")
+    return rounded(rounded(out.select("aid", "field", "ra0", "dec0", "flux0", "nsources", "meandec", (F.col("meanflux") * F.col("nsources")).alias("sumflux")), 7, "ra0", "dec0", "meandec"), 3, "sumflux")
 
 
 @query("associate_dense_field")

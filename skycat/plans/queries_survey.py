@@ -39,7 +39,7 @@ def exposure_start_times(t):
 @query("drop_overruns", f"""WITH {STARTS}, l AS (SELECT segment_id, max(exposure_no) FILTER (exposure_start + exposure_time <= end_s) AS last_no FROM w GROUP BY segment_id)
 SELECT w.segment_id, exposure_no, exposure_start FROM w JOIN l ON w.segment_id = l.segment_id WHERE exposure_no <= last_no""")
 def drop_overruns(t):
-    return schedule.drop_overruns(_starts(t), ["exposure_no"]).select("segment_id", "exposure_no", "exposure_start")
+    return schedule.fitted_schedule(_joined(t), ["exposure_no"]).filter("kept").select("segment_id", "exposure_no", "exposure_start")
 
 
 @query("overrun_statistics", f"""WITH {STARTS}, l AS (SELECT segment_id, max(exposure_no) FILTER (exposure_start + exposure_time <= end_s) AS last_no FROM w GROUP BY segment_id),
@@ -47,8 +47,7 @@ d AS (SELECT w.segment_id, count(*) FILTER (last_no IS NULL OR exposure_no > las
 SELECT count(*) AS n_segments, round(avg(dropped), 6) AS mean_n, round(stddev_pop(dropped), 6) AS std_n, median(dropped) AS median_n,
   min(dropped) AS min_n, max(dropped) AS max_n FROM d WHERE dropped > 0""")
 def overrun_statistics(t):
-    before = _starts(t)
-    return rounded(schedule.overrun_statistics(before, schedule.drop_overruns(before, ["exposure_no"])), 6, "mean_n", "std_n")
+    return rounded(schedule.fitted_statistics(schedule.fitted_schedule(_joined(t), ["exposure_no"])), 6, "mean_n", "std_n")
 
 
 @query("exceedance_flags", f"""WITH {STARTS} SELECT segment_id, exposure_no, round(exposure_start + duration - end_s, 5) AS delta_s,
@@ -390,6 +389,53 @@ def classifier_metrics(t):
     return rounded(evaluation.classifier_metrics(t.scores), 9, "precision", "recall", "accuracy", "f1", "roc_auc")
 
 
+@query("metrics_at_precision", f"""WITH {_sweep(1000)} SELECT threshold, round(f1, 9) AS f1, round(precision, 9) AS precision, round(recall, 9) AS recall,
+  round(accuracy, 9) AS accuracy, tp, fp, fn, tn FROM f ORDER BY abs(precision - 0.6), step LIMIT 1""")
+def metrics_at_precision(t):
+    return rounded(evaluation.metrics_at_precision(t.scores), 9, "f1", "precision", "recall", "accuracy")
+
+
+@query("pr_auc", """WITH b AS (SELECT p, count(*) FILTER (y = 1) AS pos, count(*) AS n FROM scores GROUP BY p),
+c AS (SELECT p, pos, sum(pos) OVER w AS tp, sum(n) OVER w AS seen FROM b WINDOW w AS (ORDER BY p DESC ROWS UNBOUNDED PRECEDING)),
+d AS (SELECT pos, tp / CAST(seen AS DOUBLE) AS pr, coalesce(lag(tp / CAST(seen AS DOUBLE)) OVER (ORDER BY p DESC), 1e0) AS pr0 FROM c)
+SELECT round(sum(pos * (pr + pr0) / 2) / sum(pos), 9) AS pr_auc FROM d""")
+def pr_auc(t):
+    return rounded(evaluation.pr_auc(t.scores), 9, "pr_auc")
+
+
+@query("candidate_pixel_cuts", f"""WITH {DIFF}, c AS (SELECT event_id AS cand_id, CAST(floor(event_id / 64) AS BIGINT) AS cy, event_id % 64 AS cx, CAST(event_id % 3 AS INT) AS stage
+   FROM events WHERE event_type = 'purchase'),
+o AS (SELECT unnest(range(-2, 3)) AS k),
+s AS (SELECT cand_id, a.k AS dy, b.k AS dx, v FROM c, o a, o b, d WHERE d.y = cy + a.k AND d.x = cx + b.k),
+f AS (SELECT p.cand_id, p.dy, p.dx, median(q.v) AS m FROM s p JOIN s q ON p.cand_id = q.cand_id AND abs(p.dy - q.dy) <= 1 AND abs(p.dx - q.dx) <= 1 GROUP BY 1, 2, 3),
+z AS (SELECT cand_id, count(*) FILTER (v < 0) AS n_negative, count(*) - count(v) AS n_bad FROM s GROUP BY cand_id),
+u AS (SELECT cand_id, sum(m) AS a, sum(abs(m)) AS b FROM f GROUP BY cand_id)
+SELECT c.cand_id, CASE WHEN stage = 2 AND n_negative <= 14 AND n_bad <= 12 AND b > 0 AND a / b >= -0.05 THEN 3 ELSE stage END AS stage
+FROM c LEFT JOIN z ON z.cand_id = c.cand_id LEFT JOIN u ON u.cand_id = c.cand_id""")
+def candidate_pixel_cuts(t):
+    """The last stage of the candidate cuts, from the pixels around each candidate."""
+    diff = pixels.naive_difference(t.frame, t.ref_frame)
+    staged = _candidates(t).withColumn("stage", F.expr("CAST(cand_id % 3 AS INT)"))
+    out = evaluation.pixel_cuts(staged, pixels.stamp_metrics(staged, diff), max_negative=14, min_sumrat=-0.05)
+    return out.select("cand_id", "stage")
+
+
+@query("segment_schedule", """WITH v AS (SELECT o_orderkey, lpad(CAST(o_orderkey % 100000 AS VARCHAR), 5, '0') AS program, lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0') AS plan,
+   lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0') AS pass, lpad(CAST(o_custkey % 1000 AS VARCHAR), 3, '0') AS segment, CAST(o_orderdate AS TIMESTAMP) AS day, o_custkey FROM orders)
+SELECT o_orderkey AS row_id, CAST(program AS INT) AS program, CAST(plan AS INT) AS plan, CAST(pass AS INT) AS pass, CAST(segment AS INT) AS segment,
+  day + INTERVAL 1 HOUR AS segment_start, day + INTERVAL 3 HOUR + INTERVAL 5 SECOND AS segment_end,
+  CASE WHEN o_custkey % 3 = 0 THEN CAST(o_custkey % 360 AS DOUBLE) ELSE CAST(o_custkey % 90 AS DOUBLE) END AS pa FROM v""")
+def segment_schedule(t):
+    """Segment schedules with typed columns, from 13-digit visit ids and day-of-year times."""
+    from ..sources.readers import parse_segments
+
+    rows = t.orders.selectExpr(
+        "o_orderkey AS row_id", "concat(lpad(o_orderkey % 100000, 5, '0'), lpad(o_custkey % 100, 2, '0'), lpad(o_orderkey % 1000, 3, '0'), lpad(o_custkey % 1000, 3, '0')) AS visit_id",
+        "date_format(o_orderdate, 'yyyy.DDD') || ':01:00:00' AS start", "date_format(o_orderdate, 'yyyy.DDD') || ':03:00:05' AS end",
+        "CASE WHEN o_custkey % 3 = 0 THEN CAST(o_custkey % 360 AS DOUBLE) END AS assigned_orient", "CAST(o_custkey % 90 AS DOUBLE) AS nominal_orient")
+    return parse_segments(rows).select("row_id", "program", "plan", "pass", "segment", "segment_start", "segment_end", "pa")
+
+
 HIST = """l AS (SELECT fid, min(mag) AS lo, max(mag) AS hi FROM truth GROUP BY fid),
 b AS (SELECT t.fid, lo, hi, least(CAST(floor((mag - lo) * 29 / (hi - lo)) AS BIGINT), 28) AS bin, truth_id % 800 > (mag - 20) * 100 AS rec FROM truth t JOIN l ON t.fid = l.fid),
 h AS (SELECT fid, bin, any_value(lo) + (bin + 0.5) * (any_value(hi) - any_value(lo)) / 29 AS mag, count(*) AS n_true, count(*) FILTER (rec) AS n_recovered FROM b GROUP BY fid, bin)"""
