@@ -23,7 +23,21 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
-@_query("op1_suffix_dedup")
+# every window of 200 bytes as its hexadecimal digits, counted over the whole table
+@_query("op1_suffix_dedup", """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS body FROM documents),
+h AS (SELECT r, doc_id, lower(hex(body)) AS x, octet_length(body) AS n FROM d),
+w AS (SELECT r, i, md5(substr(x, 2 * i + 1, 400)) AS k FROM (SELECT r, x, unnest(range(0, n - 199)) AS i FROM h WHERE n >= 200)),
+s AS (SELECT r, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT r, i, sum(CASE WHEN i > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS span
+      FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM s)),
+c AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY r, span),
+p AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS kept_from FROM c),
+k AS (SELECT p.r, sum(b - a) AS gone, count(*) AS spans, max(b) AS last,
+      string_agg(substr(x, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS head FROM p JOIN h ON h.r = p.r GROUP BY p.r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM h LEFT JOIN k ON k.r = h.r""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(read(spark, sf_dir, "documents")).drop("kept")
 
@@ -74,9 +88,45 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-@_query("op9_quality_rules")
+def _quality_sql() -> str:
+    langs, listed = (", ".join(f"'{x}'" for x in xs) for xs in (quality.COMMON, quality.LISTED))
+    listed = f"[{listed}]"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, lang, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM d),
+x AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM w WHERE len(w) >= 3),
+y AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS times FROM x),
+z AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM y WHERE times > 1) GROUP BY r),
+l AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r),
+c AS (SELECT w.r, doc_id, lang, w, length(t) AS n, len(w) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+      length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(z.n, 0) AS n_repeat_words,
+      length(regexp_replace(t, '[^\\p{{Lu}}]', '', 'g')) AS upper, length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS digits,
+      length(regexp_replace(t, '[\\p{{L}}\\p{{M}}0-9\\x20\\x09-\\x0D]', '', 'g')) AS other FROM w LEFT JOIN z ON z.r = w.r LEFT JOIN l ON l.r = w.r),
+k AS (SELECT r, lang, n, n_words, unnest([n - upper - digits - (n - word_chars) - other, upper, digits, n - word_chars, other]) AS v, unnest(range(0, 5)) AS bin FROM c),
+m AS (SELECT r, word, count(*) AS v FROM (SELECT r, unnest(w) AS word FROM c) WHERE list_contains({listed}, word) GROUP BY r, word),
+q AS (SELECT r, word, v FROM m UNION ALL SELECT c.r, '', greatest(0, n_words - coalesce(s, 0)) FROM c LEFT JOIN (SELECT r, sum(v) AS s FROM m GROUP BY r) o ON o.r = c.r),
+rk AS (SELECT lang, bin, sum(v) / sum(sum(v)) OVER (PARTITION BY lang) AS share FROM k WHERE lang IN ({langs}) GROUP BY lang, bin),
+rs AS (SELECT lang, word, sum(v) AS v FROM q JOIN c ON c.r = q.r WHERE lang IN ({langs}) GROUP BY lang, word),
+rw AS (SELECT g.lang, g.word, coalesce(rs.v, 0) / (SELECT sum(v) FROM rs AS o WHERE o.lang = g.lang) AS share
+       FROM (SELECT * FROM (SELECT DISTINCT lang FROM rs), (SELECT DISTINCT word FROM q)) g LEFT JOIN rs ON rs.lang = g.lang AND rs.word = g.word),
+jk AS (SELECT k.r, rk.lang, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + share)) ELSE 0 END + CASE WHEN share > 0 THEN share * log2(2 * share / (p + share)) ELSE 0 END) / 2 AS d
+       FROM (SELECT r, bin, v / CAST(greatest(n, 1) AS DOUBLE) AS p FROM k) k JOIN rk ON rk.bin = k.bin GROUP BY k.r, rk.lang),
+-- a reference word that a text has not adds half its share
+jw AS (SELECT a.r, a.lang, (a.d + b.total - a.seen) / 2 AS d FROM
+        (SELECT q.r, rw.lang, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + share)) ELSE 0 END + CASE WHEN share > 0 THEN share * log2(2 * share / (p + share)) ELSE 0 END) AS d, sum(share) AS seen
+         FROM (SELECT q.r, word, v / CAST(greatest(n_words, 1) AS DOUBLE) AS p FROM q JOIN c ON c.r = q.r) q JOIN (SELECT lang, word, share FROM rw) rw ON rw.word = q.word GROUP BY q.r, rw.lang) a
+        JOIN (SELECT lang, sum(share) AS total FROM rw GROUP BY lang) b ON b.lang = a.lang),
+dist AS (SELECT jk.r, min((sqrt(greatest(0, jk.d)) + sqrt(greatest(0, jw.d))) / 2) AS d FROM jk JOIN jw ON jw.r = jk.r AND jw.lang = jk.lang GROUP BY jk.r)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n >= {quality.MIN_CHARS} AND coalesce(d, 0) > {quality.MOST_DISTANT}) AS kept
+FROM c LEFT JOIN dist ON dist.r = c.r"""
+
+
+@_query("op9_quality_rules", _quality_sql())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(read(spark, sf_dir, "documents"))
+    return quality.quality(read(spark, sf_dir, "documents")).drop("distance", "language")
 
 
 @_query("op10_warc_archive", """
