@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import angular_separation, chord2_limit, unit_vector, wrap_ra
 from ..functions.healpix import coarser, healpix_nested
-from ..session import cut_lineage, shared_folder
+from ..session import cut_lineage, discard, shared_folder
 from .components import connected_components
 from .objects import object_statistics, ra_offset
 from .spatial import MARGIN_DEG, POLE_DEG, cell_of, sky_join_all_pairs, with_touched_cells, zone_of
@@ -226,6 +226,7 @@ def _walk_on_cluster(rows: DataFrame, radius_deg: float) -> DataFrame:
     state = cut_lineage(rows.filter("rank = 0").select("field", "grp", F.col("sid").alias("aid"), "ra", "dec", "weight"))
     for step in range(1, last + 1):
         batch = spark.read.parquet(f"{folder}/batches/step={step}")
+        kept = state
         state = state.join(batch.select("field", "grp").distinct(), ["field", "grp"], "left_semi")  # the others are done
         objects = state.select(F.col("field").alias("o_field"), F.col("grp").alias("o_grp"), "aid", F.col("ra").alias("o_ra"), F.col("dec").alias("o_dec"))
         pairs = cut_lineage(sky_join_all_pairs(batch, objects, radius_deg, ("ra", "dec"), ("o_ra", "o_dec"),
@@ -241,7 +242,9 @@ def _walk_on_cluster(rows: DataFrame, radius_deg: float) -> DataFrame:
             "field", "grp", "aid", wrap_ra(F.col("ra") + F.coalesce("dra", F.lit(0.0)) / n).alias("ra"),
             (F.col("dec") + F.coalesce("ddec", F.lit(0.0)) / n).alias("dec"), n.cast("double").alias("weight"))
         started = fresh.select("field", "grp", F.col("sid").alias("aid"), "ra", "dec", F.lit(1.0).alias("weight"))
-        state = cut_lineage(moved.unionByName(started))
+        before, state = kept, cut_lineage(moved.unionByName(started))
+        discard(before, pairs)
+    discard(state, numbers)
     if not last:
         return spark.createDataFrame([], MERGE_SCHEMA)
     return spark.read.schema(MERGE_SCHEMA).parquet(*[f"{folder}/merges/step={k}" for k in range(1, last + 1)])

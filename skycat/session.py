@@ -60,4 +60,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/skycat-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._skycat_table = path
+    _TABLES.append(path)
+    return out
+
+
+_TABLES: list[str] = []  # intermediate tables of this driver that still exist
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    if path in _TABLES:
+        _TABLES.remove(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``cut_lineage`` that nothing reads any more, such as the round before in a loop."""
+    for df in tables:
+        _delete(df.sparkSession, df._skycat_table)
+
+
+def drop_intermediate(spark: SparkSession) -> int:
+    """Delete all intermediate tables of this driver; call it once the results that read them are stored."""
+    left = list(_TABLES)
+    for path in left:
+        _delete(spark, path)
+    return len(left)
