@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import discard
 from .common import BROADCAST_ROWS, MAX_BYTES, mix, slices, small, texts, without, written
 from .words import shingle_sets
 
@@ -126,7 +127,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = around.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small_ = large.join(least, "u")
-        now = written(oriented(small_.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_.select("u", F.col("m").alias("v")))))
+        before, now = now, written(oriented(small_.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_.select("u", F.col("m").alias("v")))))
+        discard(before)
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
@@ -159,9 +161,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     tied = usable.join(spread, "doc_id", "left_semi").join(classes.select("n", "d0", "d1", "id"), ["n", "d0", "d1"])
     edges = tied.select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
 
-    flat = classes.select(*TESTED, F.explode("keys").alias("key"))
+    # only ids travel with the bands; what pairs are tested by is joined to members of shared buckets
+    flat = classes.select("id", F.explode("keys").alias("key"))
     full = flat.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
     members = written(flat.join(full, "key"))
+    marks = written(classes.select(*TESTED).join(members.select("id").distinct(), "id", "left_semi"))
     labels = None
     for number in range(STAR_ROUNDS + 1):
         if labels is not None:
@@ -170,7 +174,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             members = written(members_now.join(several, "key").drop("label"))
             if members.isEmpty():
                 break
-        at = members if labels is None else members.join(labels, F.col("id") == F.col("node"), "left").drop("node")
+        at = members.join(marks, "id")
+        at = at if labels is None else at.join(labels, F.col("id") == F.col("node"), "left").drop("node")
         at = at.withColumn("label", F.col("id") if labels is None else F.coalesce("label", "id"))
         if number < STAR_ROUNDS:
             pick = F.min_by(F.struct(*TESTED, "label"), F.xxhash64("id", F.lit(number)))
