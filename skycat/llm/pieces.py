@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,9 @@ from .common import mix, slices, texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K = 2
+NEAR = 256  # numbers of the characters with the smallest code points
 SEED = 17
-SLICE = 2 << 20
+SLICE = 3 << 19
 BLANK = "▁"
 # a word with the blanks before it, blanks at the end of a line, or a line end
 UNITS = re.compile(r" *[^ \n]+| +|\n")
@@ -77,6 +79,24 @@ class Vocabulary:
         self.next = np.array([moves[k] for k in self.keys.tolist()], np.int64)
         self.accept = np.full(len(moves) + 1, -1, np.int64)
         self.accept[list(accepted)] = list(accepted.values())
+        # the first two characters of a piece are looked up directly: most walks end there
+        self.one = np.full(self.width + 1, -1, np.int64)  # the last entry is that of characters in no piece
+        self.two = np.full((NEAR, NEAR), -1, np.int64)
+        for key, child in moves.items():
+            state, number = divmod(key, self.width)
+            if state == 0:
+                self.one[number] = child
+        parent = {child: number for number, child in enumerate(self.one.tolist()) if child >= 0}
+        for key, child in moves.items():
+            state, number = divmod(key, self.width)
+            if state in parent and parent[state] < NEAR and number < NEAR:
+                self.two[parent[state], number] = child
+
+    def move(self, state: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """The state behind a character, -1 if no piece goes on with it."""
+        key = state * self.width + number
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[place] == key) & (number >= 0), self.next[place], -1)
 
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode()
@@ -96,6 +116,12 @@ class Lattice:
     until: np.ndarray  # running share of the edges of a node, infinite at the last
 
 
+def _placed(values: np.ndarray, place: np.ndarray) -> np.ndarray:
+    out = np.empty_like(values)
+    out[place] = values
+    return out
+
+
 def lattice(units: list[str], v: Vocabulary) -> Lattice:
     lengths = np.fromiter(map(len, units), np.int64, len(units))
     codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
@@ -105,12 +131,22 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters from here to the unit's end
     numbers = v.number[codes].astype(np.int64)
     src, step, piece = [], [], []
-    at, state, depth = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+    at, depth = np.arange(len(codes)), 0
     while len(at):
-        key = state * v.width + numbers[at + depth]
-        place = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
-        ok = (v.keys[place] == key) & (numbers[at + depth] >= 0)
-        at, state = at[ok], v.next[place[ok]]
+        last = numbers[at + depth]
+        if depth == 0:
+            state = v.one[last]
+        elif depth == 1:
+            first_number = numbers[at]
+            near = (first_number < NEAR) & (last < NEAR) & (last >= 0)
+            child = np.full(len(at), -1)
+            child[near] = v.two[first_number[near], last[near]]
+            child[~near] = v.move(state[~near], last[~near])
+            state = child
+        else:
+            state = v.move(state, last)
+        ok = state >= 0
+        at, state = at[ok], state[ok]
         depth += 1
         done = v.accept[state] >= 0
         src.append(at[done])
@@ -121,12 +157,20 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
     alone = np.ones(len(codes), bool)
     alone[src[0] if src else []] = False
     alone = np.flatnonzero(alone)  # characters that are no piece are written as their bytes
-    src, step = np.concatenate([*src, alone]), np.concatenate([*step, np.ones(len(alone), np.int64)])
-    piece = np.concatenate([*piece, -1 - codes[alone].astype(np.int64)])
-    order = np.lexsort((step, src))
-    src, step, piece = src[order], step[order], piece[order]
-    size = 1 + sum(codes[src] >= x for x in (0x80, 0x800, 0x10000))
-    weight = np.where(piece >= 0, v.weight[np.maximum(piece, 0)], size * v.byte_weight)
+    src.append(alone)
+    step.append(np.ones(len(alone), np.int64))
+    piece.append(-1 - codes[alone].astype(np.int64))
+    # edges in order of their source, of one source in order of length: the order in which they were found
+    held = np.bincount(np.concatenate(src), minlength=len(codes))
+    free, order = np.cumsum(held) - held, []
+    for s in src:
+        order.append(free[s])
+        free[s] += 1
+    order = np.concatenate(order)
+    src, step, piece = (_placed(np.concatenate(x), order) for x in (src, step, piece))
+    weight = v.weight[np.maximum(piece, 0)]
+    spelled = np.flatnonzero(piece < 0)
+    weight[spelled] = (1 + sum(codes[src[spelled]] >= x for x in (0x80, 0x800, 0x10000))) * v.byte_weight
     nodes = len(codes) + len(units)
     source, target = node[src], node[src] + step
     ptr = np.zeros(nodes + 1, np.int64)
@@ -134,7 +178,7 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
     # total log-weight of the paths from a node to its unit's end, from the end backwards
     total = np.zeros(nodes)
     far = left[src]
-    by_far = np.argsort(far, kind="stable")
+    by_far = np.argsort(far.astype(np.uint16) if far.max(initial=0) < 1 << 16 else far, kind="stable")
     cuts = np.flatnonzero(np.diff(far[by_far], prepend=-1))
     for lo, hi in zip(cuts, [*cuts[1:], len(by_far)]):
         e = by_far[lo:hi]
@@ -157,10 +201,12 @@ def uniform(key: np.ndarray, number) -> np.ndarray:
 
 def walk(lat: Lattice, node: np.ndarray, key: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Draw a path from each node to its unit's end: walker, step and edge of every piece, in order of walker and step."""
-    who, steps, edges = [], [], []
-    active = np.flatnonzero(~lat.end[node])
+    who, steps, edges, rounds = [], [], [], []
+    active, length = np.flatnonzero(~lat.end[node]), np.zeros(len(node), np.int64)
     node, step = node[active], step[active]
     while len(active):
+        rounds.append(np.full(len(active), len(rounds)))
+        length[active] += 1
         u = uniform(key[active], step)
         e = lat.ptr[node]
         late = np.flatnonzero(u > lat.until[e])
@@ -175,9 +221,9 @@ def walk(lat: Lattice, node: np.ndarray, key: np.ndarray, step: np.ndarray) -> t
         active, node, step = active[go], node[go], step[go] + 1
     if not who:
         return (np.zeros(0, np.int64),) * 3
-    who, steps, edges = np.concatenate(who), np.concatenate(steps), np.concatenate(edges)
-    order = np.argsort(who, kind="stable")  # the rounds are in order of step
-    return who[order], steps[order], edges[order]
+    who = np.concatenate(who)
+    place = (np.cumsum(length) - length)[who] + np.concatenate(rounds)
+    return _placed(who, place), _placed(np.concatenate(steps), place), _placed(np.concatenate(edges), place)
 
 
 def below(top: np.ndarray, mean: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -217,14 +263,16 @@ def _finish(lat: Lattice, n: int, text, unit, step, edge, noisy, fresh, keys, sa
 
 def sample(items: list[str], keys: np.ndarray, v: Vocabulary, k: int = K) -> tuple[list[Path], np.ndarray, Lattice]:
     """Up to ``k`` distinct paths for every text, largest noisy value first, and per text the value of the best path not drawn."""
-    numbers: dict[str, int] = {}
-    rows, count = [], []
+    found, count = [], []
     for t in items:
-        found = UNITS.findall(" " + t) if t else []
-        count.append(len(found))
-        rows += [numbers.setdefault(w, len(numbers)) for w in found]
-    lat = lattice(list(numbers), v)
-    n, rows = len(items), np.array(rows, np.int64)
+        words = UNITS.findall(" " + t) if t else []
+        count.append(len(words))
+        found += words
+    distinct = list(dict.fromkeys(found))
+    numbers = dict(zip(distinct, range(len(distinct))))
+    n, rows = len(items), np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
+    del found, numbers
+    lat = lattice(distinct, v)
     text_of = np.repeat(np.arange(n), count)
     start_of = np.cumsum(count) - count
     local = np.arange(len(rows)) - start_of[text_of]
@@ -241,8 +289,8 @@ def sample(items: list[str], keys: np.ndarray, v: Vocabulary, k: int = K) -> tup
         for p, path in enumerate(paths):
             if not len(path.edge):
                 continue
-            top = np.full(n, -np.inf)
-            np.maximum.at(top, path.text, path.waiting)
+            top, heads = np.full(n, -np.inf), np.flatnonzero(np.diff(path.text, prepend=-1))
+            top[path.text[heads]] = np.maximum.reduceat(path.waiting, heads)
             better = top > best
             hit = np.flatnonzero(better[path.text] & (path.waiting == top[path.text]))[::-1]
             best[better], which[better] = top[better], p
@@ -284,8 +332,14 @@ def sample(items: list[str], keys: np.ndarray, v: Vocabulary, k: int = K) -> tup
         node = np.where(here, lat.target[np.maximum(branch, 0)][text_of[go]], lat.first[rows[go]])
         who, step, edge = walk(lat, node, unit_key(number)[go], np.where(here, at_step[text_of[go]] + 1, 0))
         kept.append(np.stack([text_of[go[who]], local[go[who]], step, edge, np.ones(len(who), np.int64)]))
-        parts = np.concatenate(kept, axis=1)
-        parts = parts[:, np.lexsort((parts[2], parts[1], parts[0]))]
+        # of one text, the parts come in order of its path: at most one old path's start, the branch, the walk
+        sizes = [np.bincount(part[0], minlength=n) for part in kept]
+        free, place = np.cumsum(sum(sizes)) - sum(sizes), []
+        for part, size in zip(kept, sizes):
+            place.append(free[part[0]] + np.arange(part.shape[1]) - (np.cumsum(size) - size)[part[0]])
+            free = free + size
+        place, parts = np.concatenate(place), np.concatenate(kept, axis=1)
+        parts = np.stack([_placed(row, place) for row in parts])
         paths.append(_finish(lat, n, parts[0], parts[1], parts[2], parts[3], noisy, parts[4] == 1, keys, np.uint64(number + 1)))
 
 
@@ -333,7 +387,7 @@ def encode(docs: DataFrame, k: int = K, seed: int = SEED, model: str = MODEL) ->
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", F.lit(seed)).alias("key"))
 
     def run(batches):
-        v = Vocabulary(data.value)
+        v = _vocabulary(data.value)
         for batch in slices(batches, most=SLICE):
             items, keys = texts(batch), batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             paths, rest, lat = sample(items, keys, v, k)
@@ -346,16 +400,20 @@ def encode(docs: DataFrame, k: int = K, seed: int = SEED, model: str = MODEL) ->
     return rows.mapInArrow(run, f"doc_id {kind}, samples {SAMPLES}")
 
 
+@lru_cache(maxsize=1)
+def _vocabulary(model: bytes) -> Vocabulary:
+    """The vocabulary, built once in a Python worker."""
+    return Vocabulary(model)
+
+
 def decode(encoded: DataFrame, ids: str, model: str = MODEL) -> DataFrame:
     """``encoded`` with ``decoded``, the text of the piece ids in column ``ids`` (without the blank that encoding puts first); null stays null."""
     data = encoded.sparkSession.sparkContext.broadcast(_model(model))
-    held = {}
 
     @F.pandas_udf("string")
     def run(column):
-        if not held:
-            held[0] = Vocabulary(data.value)
-        return column.map(lambda b: None if b is None else held[0].decode(np.frombuffer(b, "<i4").tolist())[1:])
+        v = _vocabulary(data.value)
+        return column.map(lambda b: None if b is None else v.decode(np.frombuffer(b, "<i4").tolist())[1:])
 
     return encoded.withColumn("decoded", run(F.col(ids)))
 
