@@ -44,6 +44,11 @@ def test_long_repeats(spark, extra):
     assert any(w[1] for w in want)
 
 
+def test_long_repeats_of_nothing(spark):
+    assert suffix_dedup.deduplicated(data.empty(spark)).count() == 0
+    assert suffix_dedup.deduplicated(data.documents(spark).filter("text IS NULL OR text = ''")).filter("n_bytes > 0").count() == 0
+
+
 def test_crowded_anchors_give_the_same(spark):
     rng = random.Random(1)
     passage = data.prose(rng, 90)
