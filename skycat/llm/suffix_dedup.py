@@ -32,7 +32,7 @@ from .words import POWERS
 
 LENGTH = 200
 GRAM = 32
-PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 MOST_UNITS = 10_000
 BLOCK = 1 << 20
 PLACE_BITS = np.uint64(21)  # a block and its overlap
