@@ -32,8 +32,8 @@ from .words import POWERS
 
 LENGTH = 200
 GRAM = 32
-PART_BYTES = 2 << 20
-MOST_UNITS = 10_000
+PART_BYTES = 1 << 20
+MOST_UNITS = 4_000
 BLOCK = 1 << 20
 PLACE_BITS = np.uint64(21)  # a block and its overlap
 
@@ -98,10 +98,12 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the suffixes in order of their first ``depth`` bytes or more, and their ranks, equal if those are; by prefix doubling."""
     n = len(text)
     key = _keys(text)
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    group = np.flatnonzero(new)[np.cumsum(new) - 1]  # a group's rank is its first place in the order
-    rank = np.empty(n, np.int64)
+    order = np.argsort(key, kind="stable").astype(np.int32)  # a part is far below 2 ** 31 bytes
+    key = key[order]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    del key
+    group = np.flatnonzero(new).astype(np.int32)[np.cumsum(new, dtype=np.int32) - 1]  # a group's rank is its first place in the order
+    rank = np.empty(n, np.int32)
     rank[order] = group
     h = 8
     while h < depth:
@@ -114,12 +116,13 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         behind = place + h
         second = np.where(behind < n, rank[np.minimum(behind, n - 1)], -1)
         both = (group[open_].astype(np.uint64) << np.uint64(32)) | (second + 1).astype(np.uint64)
+        del behind, second
         by = np.argsort(both, kind="stable")
         order[open_] = place[by]
         both = both[by]
         starts = np.concatenate([[True], both[1:] != both[:-1]])
         new[open_] = starts
-        group[open_] = open_[np.flatnonzero(starts)[np.cumsum(starts) - 1]]
+        group[open_] = open_[np.flatnonzero(starts)[np.cumsum(starts, dtype=np.int32) - 1]]
         rank[order[open_]] = group[open_]
         h *= 2
     return order, rank
@@ -128,7 +131,7 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Bytes that the suffixes at a and b share, up to ``most``."""
     padded = np.concatenate([text, np.full(most + 8, SEPARATOR, np.uint8)])
-    out, active, at = np.zeros(len(a), np.int64), np.arange(len(a)), 0
+    out, active, at = np.zeros(len(a), np.int32), np.arange(len(a)), 0
     while len(active) and at < most:
         same = padded[a[active, None] + at + np.arange(16)] == padded[b[active, None] + at + np.arange(16)]
         run = np.where(same.all(axis=1), 16, same.argmin(axis=1))
@@ -149,17 +152,17 @@ def match_lengths(text: np.ndarray, length: int = LENGTH) -> np.ndarray:
     if len(text) < 2:
         return np.zeros(len(text), np.int64)
     order, rank = suffix_order(text, depth)
-    transform = np.where(order > 0, text[order - 1].astype(np.int64), -1)
+    transform = np.where(order > 0, text[order - 1].astype(np.int16), np.int16(-1))
     pair = rank[order]
     deep = pair[1:] == pair[:-1]  # neighbours that agree as deep as was sorted
     border = transform[1:] != transform[:-1]  # between two runs
     sampled = np.flatnonzero(border & ~deep)
     shared = _common(text, order[sampled], order[sampled + 1], depth)
-    sample = np.zeros(len(text), np.int64)
+    sample = np.zeros(len(text), np.int32)
     for side in (0, 1):  # the last suffix of one run, the first of the next
         np.maximum.at(sample, order[sampled + side], shared)
         sample[order[np.flatnonzero(deep) + side]] = depth
-    place = np.arange(len(text))
+    place = np.arange(len(text), dtype=np.int32)
     return np.maximum.accumulate(sample + place) - place
 
 
