@@ -212,7 +212,9 @@ def test_round_trip_of_all_samples(spark, vocabulary):
     assert seen == texts
     again = {(r["doc_id"], *(bytes(s["ids"]) for s in r["samples"])) for r in pieces.encode(docs.repartition(1), k=3).collect()}
     assert again == {(r["doc_id"], *(bytes(s["ids"]) for s in r["samples"])) for r in rows}
-    assert pieces.encode(data.empty(spark)).count() == 0
+    assert all(r["round_trip"] for r in rows) and pieces.encode(data.empty(spark)).count() == 0
+    back = pieces.decode(pieces.encode(docs).selectExpr("doc_id", "samples[0].ids AS ids"), "ids").collect()
+    assert Counter((r["doc_id"], r["decoded"]) for r in back) == texts
     assert pieces.digest(pieces.encode(docs)).count() == len(rows)
 
 
