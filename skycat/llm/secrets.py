@@ -33,6 +33,7 @@ NAMED = re.compile(r"""(?<![a-z])(?:key|pass|pwd|auth|cred|secret|token|bearer)[
 CONTEXT = 24
 WINDOW = 64
 STRIDE = 56
+GROUP = 4096  # rows that go through the network at once
 SAMPLE_PER_CLASS = 1500
 RECALL = 0.98
 BINS = 1000
@@ -96,14 +97,24 @@ def encode(items: list[str], lengths: list[int]) -> tuple[np.ndarray, np.ndarray
     return np.array(rows, np.int64).reshape(-1, WINDOW), np.array(marks).reshape(-1, WINDOW), np.array(owner, np.int64)
 
 
-def forward(net: Network, codes, marks, owner, items: int):
+def pooled(net: Network, codes, marks):
+    """What the filters see at every place of every row, their answers, and each row's maxima."""
     x = np.concatenate([net.embed[codes], marks[:, :, None]], axis=2)
     cols = np.lib.stride_tricks.sliding_window_view(x, WIDTH, axis=1).transpose(0, 1, 3, 2).reshape(len(codes), WINDOW - WIDTH + 1, -1)
     act = np.maximum(cols @ net.kernel + net.bias, 0)
-    best = act.max(axis=1)
+    return cols, act, act.max(axis=1)
+
+
+def answer(net: Network, top) -> np.ndarray:
+    """The probability of each item from the maxima over all its places."""
+    return 1 / (1 + np.exp(-np.clip(top @ net.out + net.shift[0], -30, 30)))
+
+
+def forward(net: Network, codes, marks, owner, items: int):
+    cols, act, best = pooled(net, codes, marks)
     top = np.zeros((items, FILTERS))
     np.maximum.at(top, owner, best)
-    return 1 / (1 + np.exp(-np.clip(top @ net.out + net.shift[0], -30, 30))), (cols, act, best, top)
+    return answer(net, top), (cols, act, best, top)
 
 
 def train(items: list[str], lengths: list[int], labels: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Network:
@@ -142,20 +153,16 @@ def train(items: list[str], lengths: list[int], labels: np.ndarray, epochs: int
 
 
 def predict(net: Network, items: list[str], lengths: list[int]) -> np.ndarray:
+    """The score of every item, whatever stands beside it: a long candidate's many rows go through the network in groups, its maxima are kept over all of them."""
     out = []
     for at in range(0, len(items), 512):
         part = items[at:at + 512]
-        # a very long candidate has many rows; they go through the network in groups
         codes, marks, owner = encode(part, lengths[at:at + 512])
-        best = np.zeros(len(part))
-        for lo in range(0, len(codes), 4096):
-            sel = slice(lo, lo + 4096)
-            if len(codes) <= 4096:
-                best = forward(net, codes, marks, owner, len(part))[0]
-            else:
-                used, local = np.unique(owner[sel], return_inverse=True)
-                best[used] = np.maximum(best[used], forward(net, codes[sel], marks[sel], local, len(used))[0])
-        out.append(best)
+        top = np.zeros((len(part), FILTERS))
+        for lo in range(0, len(codes), GROUP):
+            sel = slice(lo, lo + GROUP)
+            np.maximum.at(top, owner[sel], pooled(net, codes[sel], marks[sel])[2])
+        out.append(answer(net, top))
     return np.concatenate(out) if out else np.zeros(0)
 
 

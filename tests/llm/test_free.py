@@ -135,6 +135,20 @@ def test_network_tells_findings_from_prose():
     assert np.allclose(p[:5], np.concatenate([secrets.predict(net, [a], [b]) for a, b in zip(unseen[:5], n[:5])]))
 
 
+def test_scores_do_not_depend_on_neighbours():
+    """One unbroken run of 300,000 characters has more rows than go through the network at once, and so have many of 450."""
+    rng = random.Random(3)
+    run = lambda n: "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(n))
+    for seed in range(4):
+        shapes = ((128, secrets.DIMS), (secrets.WIDTH * (secrets.DIMS + 1), secrets.FILTERS), (secrets.FILTERS,), (secrets.FILTERS,), (1,))
+        weights = np.random.default_rng(seed)
+        net = secrets.Network(*[weights.normal(0, 0.3, s) for s in shapes])
+        for sizes in ([20, 300_000, 500, 40], [450 + i % 50 for i in range(512)]):
+            items = ["key = \0" + run(n) + " and" for n in sizes]
+            alone = [secrets.forward(net, *secrets.encode([x], [n]), 1)[0][0] for x, n in zip(items, sizes)]
+            assert np.allclose(secrets.predict(net, items, sizes), alone, rtol=0, atol=1e-9)
+
+
 def test_learned_spans_never_replace_rules(spark):
     rng = random.Random(6)
     hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(80)]
