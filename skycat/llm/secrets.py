@@ -3,7 +3,7 @@
 One pass over the texts finds the rule matches and the candidates with the characters around them
 and writes these small rows to the shared folder.  The network is trained in numpy on a bounded
 sample of them: a candidate that overlaps a rule match is a labelled finding.  The threshold
-is taken from the scores of all candidates that were not trained on.
+is taken from the scores of the findings in a fifth of all surroundings, which is never trained on.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -35,8 +35,9 @@ WINDOW = 64
 STRIDE = 56
 GROUP = 4096  # rows that go through the network at once
 SAMPLE_PER_CLASS = 1500
+MOST_AROUND = 4096
 RECALL = 0.98
-BINS = 1000
+BINS = 100  # in each unit of the log-odds
 
 
 def rule_spans(text: str) -> list[tuple[int, int, int]]:
@@ -195,14 +196,14 @@ def _score(net: Network):
             p = predict(net, [c["around"] for c in flat], [c["end"] - c["start"] for c in flat]).tolist()
             at, out = 0, []
             for row in found:
-                out.append([{"start": c["start"], "end": c["end"], "labelled": c["labelled"], "p": x} for c, x in zip(row, p[at:at + len(row)])])
+                out.append([{"start": c["start"], "end": c["end"], "labelled": c["labelled"], "held": c["held"], "p": x} for c, x in zip(row, p[at:at + len(row)])])
                 at += len(row)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rules"), pa.array(out, _SCORED)], ["doc_id", "rules", "scored"])
 
     return run
 
 
-_SCORED = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("labelled", pa.bool_()), ("p", pa.float64())]))
+_SCORED = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("labelled", pa.bool_()), ("held", pa.bool_()), ("p", pa.float64())]))
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -211,32 +212,50 @@ def find(docs: DataFrame) -> DataFrame:
     return written(docs.select("doc_id", "text").mapInArrow(_find, f"doc_id {kind}, {FOUND}"))
 
 
-def fit(found: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> Network | None:
+def held_out(around: Column) -> Column:
+    """True for the fifth of all surroundings, by hash, that is never trained on; copies of a text are on the same side."""
+    return F.pmod(F.xxhash64(around), F.lit(5)) == 0
+
+
+def fit(found: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS, most_around: int = MOST_AROUND) -> Network | None:
     """Train on at most ``sample_per_class`` candidates of each class, in order of a hash; None without both classes.
 
-    The candidates of a fifth of the texts' surroundings (by hash) are never trained on.
+    Held-out candidates are never trained on, nor are those with more than ``most_around`` characters
+    (with their context), which bounds what the driver collects; they are scored like all others.
     """
-    flat = found.select(F.explode("found").alias("c")).select("c.*").withColumn("h", F.xxhash64("around")).filter(F.pmod("h", F.lit(5)) != 0)
+    flat = found.select(F.explode("found").alias("c")).select("c.*").filter(~held_out(F.col("around"))).withColumn("h", F.xxhash64("around"))
     rows = []
     for labelled in (True, False):
         part = flat.filter(F.col("labelled") == labelled).select("h", "around", (F.col("end") - F.col("start")).alias("n"), "labelled")
         # one row of each surrounding: copies of a text teach nothing new
-        rows += part.filter(F.length("around") <= 4096).groupBy("h").agg(F.first("around").alias("around"), F.first("n").alias("n"), F.first("labelled").alias("labelled")) \
+        rows += part.filter(F.length("around") <= most_around).groupBy("h").agg(F.first("around").alias("around"), F.first("n").alias("n"), F.first("labelled").alias("labelled")) \
             .orderBy("h").limit(sample_per_class).collect()
     if len({r["labelled"] for r in rows}) < 2:
         return None
     return train([r["around"] for r in rows], [r["n"] for r in rows], np.array([int(r["labelled"]) for r in rows]))
 
 
+def scores(found: DataFrame, net: Network) -> DataFrame:
+    """doc_id, rules and ``scored``, all candidates with their probabilities, as a table in the shared folder."""
+    kind = found.schema["doc_id"].dataType.simpleString()
+    marked = found.withColumn("found", F.transform("found", lambda c: c.withField("held", held_out(c["around"]))))
+    return written(marked.mapInArrow(_score(net), f"doc_id {kind}, rules array<struct<kind:int,start:int,end:int>>, "
+                                     "scored array<struct<start:int,end:int,labelled:boolean,held:boolean,p:double>>"))
+
+
 def threshold(scored: DataFrame, recall: float = RECALL) -> float:
-    """The highest score that keeps ``recall`` of all labelled findings, from a histogram over every row."""
-    flat = scored.select(F.explode("scored").alias("c")).filter("c.labelled")
-    bins = flat.groupBy(F.floor(F.col("c.p") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
+    """The highest score, to a hundredth of the log-odds, that keeps ``recall`` of the held-out findings (labelled candidates); it can be under one half.
+
+    From a histogram over all rows.  If no finding is held out, all findings count; without findings it is 1.
+    """
+    flat = scored.select(F.explode("scored").alias("c")).filter("c.labelled").select("c.held", "c.p")
+    bins = flat.groupBy("held", F.floor(F.log(F.col("p") / (1 - F.col("p"))) * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("least")).collect()
+    bins = [r for r in bins if r["held"]] or bins
     total, kept = sum(r["n"] for r in bins), 0
     for r in sorted(bins, key=lambda r: -r["bin"]):
         kept += r["n"]
         if kept >= recall * total:
-            return max(r["bin"], BINS // 2) / BINS
+            return r["least"]
     return 1.0
 
 
@@ -244,7 +263,7 @@ def scan(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are left out): doc_id, spans array<struct<kind,start,end>>.
 
     ``kind`` indexes ``KINDS``; places are code points, the end exclusive.  Rule matches always stay;
-    the network adds candidates over the threshold (never under one half) that overlap none of them.
+    the network adds candidates from the threshold on that overlap none of them.
     Null and empty texts have no spans; repeated rows give repeated results; an empty table, or one
     without rule matches to learn from, gives rule matches only.
     """
@@ -252,9 +271,7 @@ def scan(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     net = fit(found)
     if net is None:
         return found.select("doc_id", F.col("rules").alias("spans"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = written(found.mapInArrow(_score(net), f"doc_id {kind}, rules array<struct<kind:int,start:int,end:int>>, "
-                                      "scored array<struct<start:int,end:int,labelled:boolean,p:double>>"))
+    scored = scores(found, net)
     least = threshold(scored, recall)
     new = F.filter("scored", lambda c: ~c["labelled"] & (c["p"] >= least))
     new = F.transform(new, lambda c: F.struct(F.lit(3).alias("kind"), c["start"].alias("start"), c["end"].alias("end")))

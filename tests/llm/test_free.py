@@ -149,6 +149,30 @@ def test_scores_do_not_depend_on_neighbours():
             assert np.allclose(secrets.predict(net, items, sizes), alone, rtol=0, atol=1e-9)
 
 
+def test_threshold_keeps_the_recall_of_held_out_findings(spark):
+    rng = random.Random(5)
+    held = [rng.uniform(1e-5, 0.4) for _ in range(400)]
+    rows = [(i, [(0, 9, True, True, p), (9, 20, True, False, 0.999), (20, 30, False, True, 0.9)]) for i, p in enumerate(held)]
+    scored = spark.createDataFrame(rows, "doc_id bigint, scored array<struct<start:int,end:int,labelled:boolean,held:boolean,p:double>>")
+    least = secrets.threshold(scored)
+    assert sum(p >= least for p in held) >= 0.98 * len(held) and sum(p > least * 1.02 for p in held) < 0.98 * len(held)
+    trained = secrets.threshold(scored.withColumn("scored", F.filter("scored", lambda c: ~c["held"])))
+    assert trained == 0.999 and secrets.threshold(scored.limit(0)) == 1.0
+
+
+def test_held_out_surroundings_are_marked_and_not_trained_on(spark):
+    rng = random.Random(6)
+    rows = [(i, f"{data.prose(rng, 8)} token={rng.getrandbits(128):032x} then {'erationtioning' * 2} end {data.prose(rng, 9)}", "en", "s", 1) for i in range(60)]
+    found = secrets.find(spark.createDataFrame(rows, data.SCHEMA))
+    flat = found.select(F.explode("found").alias("c")).select("c.*", (F.pmod(F.xxhash64("c.around"), F.lit(5)) == 0).alias("held"))
+    want = Counter((r["start"], r["end"], r["labelled"], r["held"]) for r in flat.collect())
+    net = secrets.fit(found)
+    got = Counter((c["start"], c["end"], c["labelled"], c["held"]) for r in secrets.scores(found, net).collect() for c in r["scored"])
+    assert got == want and {k[3] for k in want} == {True, False}
+    without = found.withColumn("found", F.filter("found", lambda c: F.pmod(F.xxhash64(c["around"]), F.lit(5)) != 0))
+    assert (secrets.fit(without).out == net.out).all() and secrets.fit(found, most_around=10) is None
+
+
 def test_learned_spans_never_replace_rules(spark):
     rng = random.Random(6)
     hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(80)]
