@@ -15,28 +15,51 @@ from pyspark.sql import functions as F
 from .common import mix, slices, texts, without
 from .words import PLAIN, word_hashes
 
-# The masks, eight or nine ones each; the first has no gaps.
-MASKS = ["11111111", "1101100111001", "111010010100111", "10110111001011", "1110100110010101"]
 SPAN = 20
 AGREE = 0.8
 SLOT_BITS = 22
+LEAST = 3  # shorter items overlap with nothing
+
+# Masks of items of eight tokens and more, the first without gaps, and further ones by the least length of an item.
+# Together they leave a seed in a stretch wherever the substitutions lie that AGREE allows; a test goes through all placements.
+MASKS = ["11111111", "1101100111001", "111010010100111", "10110111001011", "1110100110010101"]
+LIGHTER = {15: ["11100010111", "1100010100111", "111011011", "11001010001101", "10010110000111", "1111111"],
+           12: ["111001011", "1110111", "110010010101"],
+           8: ["111011", "11000111", "101100101"]}
+
+
+def masks_of(n: int) -> list[str]:
+    """The masks for a stretch of ``n`` tokens.  Under eight tokens they are the whole stretch, or all but one token if ``AGREE`` allows that."""
+    if n >= 8:
+        return MASKS + next(masks for least, masks in LIGHTER.items() if n >= least)
+    if n < LEAST:
+        return []
+    if AGREE * n > n - 1:
+        return ["1" * n]
+    return ["1" * (n - 1)] + ["1" * i + "0" + "1" * (n - 1 - i) for i in range(1, n - 1)]
+
+
+ALL = list(dict.fromkeys(m for n in (*range(SPAN, 0, -1),) for m in masks_of(n)))
+USES = np.array([[m in masks_of(n) for n in range(SPAN + 1)] for m in ALL])
+_FACTORS = mix(np.arange(1, SPAN + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
 
+def seeds(tokens: np.ndarray, number: int) -> np.ndarray:
+    """Hashes of the seeds of mask ``ALL[number]`` from each token on, over text borders too."""
+    mask = ALL[number]
+    h = np.full(max(0, len(tokens) - len(mask) + 1), number + 1, np.uint64)
+    part = np.empty_like(h)
+    for o, c in enumerate(mask):
+        if c == "1":
+            np.multiply(tokens[o:o + len(h)], _FACTORS[o], out=part)
+            h += part
+    return mix(h)
 
-def seeds(tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first token of every seed that lies within one text; ``at`` holds the texts' borders among the tokens."""
-    text = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    hashes, places = [], []
-    for number, mask in enumerate(MASKS, 1):
-        first = np.arange(max(0, len(tokens) - len(mask) + 1))
-        if len(first):
-            first = first[text[first] == text[first + len(mask) - 1]]
-        h = np.full(len(first), number, np.uint64)
-        for o, c in enumerate(mask):
-            if c == "1":
-                h = mix(h * np.uint64(0x9E3779B97F4A7C15) + tokens[first + o])
-        hashes.append(h)
-        places.append(first)
-    return np.concatenate(hashes), np.concatenate(places)
+
+def owners(places: np.ndarray, at: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each place, and whether the seed lies within it; ``at`` holds the texts' borders among the tokens."""
+    owner = np.searchsorted(at, places, side="right") - 1
+    return owner, places + len(ALL[number]) <= at[owner + 1]
 
 
 def agreement(doc: np.ndarray, item: np.ndarray, shift: int, span: int = SPAN) -> tuple[int, int]:
@@ -49,34 +72,49 @@ def agreement(doc: np.ndarray, item: np.ndarray, shift: int, span: int = SPAN) -
     return int((total[n:] - total[:len(total) - n]).max()), n
 
 
-def _item_seeds(batches):
-    for batch in slices(batches):
-        tokens, at = word_hashes(texts(batch), PLAIN)
-        hashes, places = seeds(tokens, at)
-        owner = np.searchsorted(at, places, side="right") - 1
-        whole = [tokens[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes.view(np.int64)), batch.column("item_id").take(pa.array(owner)), pa.array((places - at[owner]).astype(np.int32)),
-             pa.array([whole[o] for o in owner], pa.binary())], ["seed", "item_id", "item_at", "item"])
+def _item_seeds(span: int):
+    def run(batches):
+        for batch in slices(batches):
+            tokens, at = word_hashes(texts(batch), PLAIN)
+            whole = [tokens[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+            stretch = np.minimum(np.diff(at), min(span, SPAN))
+            for number in range(len(ALL)):
+                hashes = seeds(tokens, number)
+                places = np.arange(len(hashes))
+                owner, fits = owners(places, at, number)
+                keep = fits & USES[number][stretch[owner]]
+                hashes, places, owner = hashes[keep], places[keep], owner[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes.view(np.int64)), pa.array(np.full(len(hashes), number, np.int32)), batch.column("item_id").take(pa.array(owner)),
+                     pa.array((places - at[owner]).astype(np.int32)), pa.array([whole[o] for o in owner], pa.binary())], ["seed", "mask", "item_id", "item_at", "item"])
+
+    return run
+
 
+def _doc_seeds(present: np.ndarray, used: list[int], span: int):
+    longest = max(map(len, ALL))
 
-def _doc_seeds(present: np.ndarray, span: int):
-    longest = max(map(len, MASKS))
+    def found(hashes: np.ndarray) -> np.ndarray:
+        hit = np.arange(len(hashes))
+        for low in (64 - SLOT_BITS, 64 - 2 * SLOT_BITS):
+            slot = ((hashes[hit] >> np.uint64(low)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+            hit = hit[((present[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)]
+        return hit
 
     def run(batches):
         for batch in slices(batches):
             tokens, at = word_hashes(texts(batch), PLAIN)
-            hashes, places = seeds(tokens, at)
-            slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-            hit = np.flatnonzero((present[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
-            hashes, places = hashes[hit], places[hit]
-            owner = np.searchsorted(at, places, side="right") - 1
-            # all tokens that a stretch with the hit can reach
-            lo, hi = np.maximum(places - span, at[owner]), np.minimum(places + span + longest, at[owner + 1])
-            around = [tokens[a:b].tobytes() for a, b in zip(lo, hi)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), batch.column("doc_id").take(pa.array(owner)), pa.array((places - lo).astype(np.int32)), pa.array(around, pa.binary())],
-                ["seed", "doc_id", "hit_at", "around"])
+            for number in used:
+                hashes = seeds(tokens, number)
+                places = found(hashes)
+                owner, fits = owners(places, at, number)
+                places, owner = places[fits], owner[fits]
+                # all tokens that a stretch with the hit can reach
+                lo, hi = np.maximum(places - span, at[owner]), np.minimum(places + span + longest, at[owner + 1])
+                around = [tokens[a:b].tobytes() for a, b in zip(lo, hi)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[places].view(np.int64)), batch.column("doc_id").take(pa.array(owner)), pa.array((places - lo).astype(np.int32)), pa.array(around, pa.binary())],
+                    ["seed", "doc_id", "hit_at", "around"])
 
     return run
 
@@ -93,13 +131,15 @@ def _check(span: int, agree: float):
     return run
 
 
-def _present(items: DataFrame) -> np.ndarray:
-    """A bit for each slot that a benchmark seed falls in: half a megabyte, whatever the size of the benchmark."""
-    slot = F.shiftrightunsigned("seed", 64 - SLOT_BITS)
-    words = items.select(F.shiftright(slot, 6).alias("word"), F.pmod(slot, F.lit(64)).alias("bit")).distinct().groupBy("word").agg(F.sum(F.expr("shiftleft(1L, cast(bit AS int))")).alias("bits")).toArrow()
+def _present(items: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """Bits for the two slots that each benchmark seed falls in (half a megabyte, whatever the size of the benchmark), and the numbers of the masks in use."""
+    slot = F.explode(F.array(*[F.shiftrightunsigned("seed", low).bitwiseAND((1 << SLOT_BITS) - 1) for low in (64 - SLOT_BITS, 64 - 2 * SLOT_BITS)]))
+    words = items.select(slot.alias("slot"), F.expr("shiftleft(1L, mask)").alias("masks")).groupBy(F.shiftright("slot", 6).alias("word")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("bits"), F.bit_or("masks").alias("masks")).toArrow()
     out = np.zeros(1 << (SLOT_BITS - 6), np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return out.view(np.uint8)
+    masks = int(np.bitwise_or.reduce(words["masks"].to_numpy(), initial=0))
+    return out.view(np.uint8), [i for i in range(len(ALL)) if masks >> i & 1]
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, agree: float = AGREE) -> DataFrame:
@@ -107,17 +147,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, agree: flo
 
     Tokens are runs of letters, digits and non-ASCII characters, A-Z as a-z.  An overlap is a stretch of
     ``span`` tokens of the item (all of it if shorter) laid on the document without gaps, with at least
-    the share ``agree`` of equal tokens, where a seed in or beside the stretch meets.  ``agree`` is the
-    best stretch's number of equal tokens, ``n_hits`` the number of seeds that lead to one.  Null,
-    empty and very short texts (under eight tokens) overlap with nothing, null ids stay null,
+    the share ``agree`` of equal tokens, where a seed in or beside the stretch meets.  With a ``span``
+    up to ``SPAN`` and an ``agree`` of at least ``AGREE`` every such stretch has a seed, so none is missed.  ``agree`` is the
+    best stretch's number of equal tokens, ``n_hits`` the number of seeds that lead to one.  Null and
+    empty texts and items under ``LEAST`` tokens overlap with nothing, null ids stay null,
     repeated rows add up in ``n_hits``, and an empty table on either side gives an empty table.
 
     A bit map of the benchmark's seeds spares most document seeds the shuffle; the join itself is left to Spark.
     """
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    items = benchmark.select("item_id", "text").mapInArrow(_item_seeds, f"seed long, item_id {kinds[1]}, item_at int, item binary").distinct()
-    hits = docs.select("doc_id", "text").mapInArrow(_doc_seeds(_present(items), span), f"seed long, doc_id {kinds[0]}, hit_at int, around binary")
-    found = hits.join(items, "seed").mapInArrow(_check(span, agree), f"doc_id {kinds[0]}, item_id {kinds[1]}, agree int, span int")
+    items = benchmark.select("item_id", "text").mapInArrow(_item_seeds(span), f"seed long, mask int, item_id {kinds[1]}, item_at int, item binary").distinct()
+    hits = docs.select("doc_id", "text").mapInArrow(_doc_seeds(*_present(items), span), f"seed long, doc_id {kinds[0]}, hit_at int, around binary")
+    found = hits.join(items.drop("mask"), "seed").mapInArrow(_check(span, agree), f"doc_id {kinds[0]}, item_id {kinds[1]}, agree int, span int")
     return found.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_hits"), F.max("agree").alias("agree"), F.max("span").alias("span"))
 
 

@@ -349,6 +349,41 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(docs, bench.limit(0)).count() == 0 and decontaminate.overlaps(docs.limit(0), bench).count() == 0
 
 
+def test_masks_cover_all_placements_of_substitutions():
+    import itertools
+    import math
+
+    for n in range(decontaminate.LEAST, decontaminate.SPAN + 1):
+        placed = [sum(1 << (i + o) for i, c in enumerate(m) if c == "1") for m in decontaminate.masks_of(n) for o in range(n - len(m) + 1)]
+        for changed in itertools.combinations(range(n), n - math.ceil(decontaminate.AGREE * n)):
+            assert any(not p & sum(1 << i for i in changed) for p in placed), (n, changed)
+    assert all(m[0] == m[-1] == "1" for m in decontaminate.ALL) and len(decontaminate.ALL) < 64
+
+
+def test_substitutions_in_items_of_all_lengths(spark):
+    """The worst placements for seeds without gaps, others at random, items cut by the document's end, and one substitution too many."""
+    import math
+
+    rng = random.Random(7)
+    items, rows, want = [], [], set()
+    for n in [*range(decontaminate.LEAST, 21), 45]:
+        item = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(item)))
+        start, m = (11, 20) if n == 45 else (0, n)
+        most = m - math.ceil(0.8 * m)
+        even = [start + (i + 1) * m // (most + 1) for i in range(most)]
+        for changed in [even, *[rng.sample(range(start, start + m), most) for _ in range(6)], [*range(start + m - most, start + m)], [*range(start, start + most + 1)]]:
+            text = [x if i not in changed and start <= i < start + m else f"other{rng.getrandbits(40)}" for i, x in enumerate(item)]
+            if len(changed) <= most:
+                want.add((len(rows), n))
+            if changed == [*range(start + m - most, start + m)]:
+                rows.append((len(rows), " ".join(["before"] * 3 + text[start:start + m - most])))  # the document ends inside the stretch
+            else:
+                rows.append((len(rows), data.prose(rng, 5) + ". " + " ".join(text) + ", " + data.prose(rng, 5)))
+    docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, bench).collect()} == want
+
+
 def test_agreement_by_hand():
     doc, item = np.arange(50, dtype=np.uint64), np.arange(10, 40, dtype=np.uint64)
     item[3] = item[12] = 999
