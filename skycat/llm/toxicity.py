@@ -26,11 +26,12 @@ MULTIPLIER = np.uint32(0x9E3779B1)
 
 @dataclass
 class Model:
-    """Weight of each gram bucket (ratio times regression), the ratio, which gives a text's length, and the intercept."""
+    """Weight of each gram bucket (ratio times regression), the ratio, which gives a text's length, and the intercept; ``learned`` is False without rows of both classes."""
 
     weights: np.ndarray
     ratio: np.ndarray
     intercept: float
+    learned: bool = True
 
     def logit(self, found: np.ndarray) -> float:
         length = float(np.sqrt((self.ratio[found].astype(np.float64) ** 2).sum()))
@@ -129,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample_per_class:
     Frequencies cover every labelled training row; at most ``sample_per_class`` rows of each class
     (those with the smallest id hashes) go to the driver for the regression, and one count per
     bucket, 2 ** ``bits`` at most.  Rows with a null id or label are not used.  Without rows of both
-    classes the model has only an intercept, the smoothed share of toxic rows.
+    classes the model has only an intercept, the smoothed share of toxic rows, and is not ``learned``.
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & in_training(F.col("doc_id")))
@@ -137,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample_per_class:
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     prior = float(np.log((toxic + 1) / (clean + 1)))
     if not clean or not toxic:
-        return Model(*np.zeros((2, 1 << bits), np.float32), prior)
+        return Model(*np.zeros((2, 1 << bits), np.float32), prior, learned=False)
     side = F.broadcast(known) if clean + toxic <= BROADCAST_ROWS else known
     rows = docs.select("doc_id", "text").join(side, "doc_id").select("text", "toxic")
     counted = rows.mapInArrow(lambda b: _frequencies(b, bits), "bucket int, clean long, toxic long")
@@ -154,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample_per_class:
     sample = sample.mapInArrow(lambda b: _features(b, bits), "toxic int, buckets binary").toArrow()
     labels, sets = sample["toxic"].to_pylist(), sample["buckets"].to_pylist()
     if set(labels) != {0, 1}:
-        return Model(*np.zeros((2, 1 << bits), np.float32), prior)
+        return Model(*np.zeros((2, 1 << bits), np.float32), prior, learned=False)
     order = sorted(range(len(sets)), key=lambda i: (labels[i], sets[i]))  # the same sums whatever task came first
     return regress([np.frombuffer(sets[i], np.uint32) for i in order], np.array([labels[i] for i in order]), ratio)
 
@@ -187,6 +188,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is under one half."""
-    scored = score(fit(docs, labels))
-    return docs.filter(scored(F.col("text")) < 0.5)
+    """The rows of ``docs``, all columns, whose score is under one half.
+
+    All rows stay if the training labels, or the documents they belong to, lack one of the two
+    classes: there is nothing to tell toxic texts by.
+    """
+    model = fit(docs, labels)
+    return docs.filter(score(model)(F.col("text")) < 0.5) if model.learned else docs

@@ -468,6 +468,14 @@ def test_toxicity_without_labels(spark):
     assert toxicity.toxicity(data.empty(spark), none).count() == 0
 
 
+@pytest.mark.parametrize("rows", [[], [(1, None), (None, 1), (2, 7)], [(i, 1) for i in range(20)], [(i, 0) for i in range(20)], [(0, 0), (1, 0), (6, 1), (1001, 1)]])
+def test_nothing_is_toxic_without_two_classes_to_learn_from(spark, rows):
+    """No labels, unusable ones, one class only, and toxic labels only of documents that are held out (6) or missing (1001)."""
+    docs = data.documents(spark, True)
+    left = toxicity.clean(docs, spark.createDataFrame(rows, "doc_id bigint, toxic int"))
+    assert left.columns == docs.columns and Counter(r["doc_id"] for r in left.collect()) == Counter(r["doc_id"] for r in docs.collect())
+
+
 def test_gram_sets_by_hand():
     assert len(toxicity.gram_sets(["ab"])[0]) == 3  # " ab", "ab ", " ab "
     together, alone = toxicity.gram_sets(["ab", "", "Abc d"]), [toxicity.gram_sets([t])[0] for t in ("ab", "", "aBc d")]
