@@ -108,7 +108,9 @@ def quality(docs: DataFrame, most_distant: float = MOST_DISTANT, min_chars: int
     of the mean of two Jensen-Shannon distances (character classes, common words), 0 without a
     reference.  Texts of at least ``min_chars`` characters that are further than ``most_distant`` from
     every language are not kept.  The language column only builds references, so a null or wrong
-    one does not change how a text is judged.  Null and empty texts fail the base rules; repeated
+    one does not change how a text is judged.  Only the languages of ``COMMON`` (en, de, fr, es) have
+    references: a text in any other is judged by its distance from these four, so a clean long one can
+    get kept = false.  Tables with other languages need their words in ``COMMON``.  Null and empty texts fail the base rules; repeated
     rows give repeated results; an empty table gives an empty one.
     """
     counted = written(counts(docs))
