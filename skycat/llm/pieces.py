@@ -361,6 +361,11 @@ def piece_ids(path: Path, lat: Lattice, v: Vocabulary, n: int) -> list[np.ndarra
     return np.split(piece.astype("<i4"), np.searchsorted(text, np.arange(1, n)))
 
 
+def round_trips(ids: list[list[np.ndarray]], drawn: list[np.ndarray], items: list[str], v: Vocabulary) -> list[bool]:
+    """Whether all drawn samples of each text, decoded, are the text again."""
+    return [all(v.decode(x[i].tolist())[1:] == t for x, there in zip(ids, drawn) if there[i]) for i, t in enumerate(items)]
+
+
 # -- on the cluster -------------------------------------------------------------------------------
 
 SAMPLES = "array<struct<ids:binary,n_pieces:int,logp:double,inclusion:double>>"
@@ -380,7 +385,7 @@ def encode(docs: DataFrame, k: int = K, seed: int = SEED, model: str = MODEL) ->
     its inclusion score: the probability that its noisy value exceeds that of the best segmentation
     not drawn, by which sums over the samples are weighted.  The samples are distinct, fewer than ``k`` where the text
     has no more segmentations, and depend on id, text and seed only, not on partitions or order.
-    ``round_trip`` tells whether the first sample, decoded, is the text again.  Null and empty texts have one empty sample; rows with equal id and text get equal samples.
+    ``round_trip`` tells whether every sample, decoded, is the text again.  Null and empty texts have one empty sample; rows with equal id and text get equal samples.
     """
     data = docs.sparkSession.sparkContext.broadcast(_model(model))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -395,7 +400,7 @@ def encode(docs: DataFrame, k: int = K, seed: int = SEED, model: str = MODEL) ->
             score = [-np.expm1(-np.exp(np.minimum(p.logp - rest, 700))) for p in paths]
             out = [[{"ids": ids[j][i].tobytes(), "n_pieces": len(ids[j][i]), "logp": float(p.logp[i]), "inclusion": float(score[j][i])}
                     for j, p in enumerate(paths) if not np.isnan(p.noisy[i])] for i in range(len(items))]
-            same = [v.decode(x.tolist())[1:] == t for x, t in zip(ids[0], items)]
+            same = round_trips(ids, [~np.isnan(p.noisy) for p in paths], items, v)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, _SAMPLES), pa.array(same)], ["doc_id", "samples", "round_trip"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, samples {SAMPLES}, round_trip boolean")

@@ -237,6 +237,16 @@ def test_inclusion_scores_weigh_to_one(vocabulary):
     assert abs(total.mean() - 1) < 0.01
 
 
+def test_round_trip_looks_at_every_sample(vocabulary):
+    items = ["that man", "the other one", ""]
+    paths, _, lat = pieces.sample(items, np.arange(3), vocabulary, 2)
+    ids = [pieces.piece_ids(p, lat, vocabulary, 3) for p in paths]
+    drawn = [~np.isnan(p.noisy) for p in paths]
+    assert pieces.round_trips(ids, drawn, items, vocabulary) == [True] * 3 and not drawn[1][2]
+    ids[1][1] = ids[1][0]  # a wrong second sample
+    assert pieces.round_trips(ids, drawn, items, vocabulary) == [True, False, True]
+
+
 def test_round_trip_of_all_samples(spark, vocabulary):
     docs = data.documents(spark, True)
     texts = Counter((r["doc_id"], r["text"] or "") for r in docs.collect())
