@@ -418,19 +418,26 @@ def nightly_window_counts(t):
     return t.spark.read.parquet(f"{folder}/counts").withColumn("day", F.col("day").cast("timestamp_ntz"))
 
 
+def date_slices(rows, n):
+    """``rows`` in up to ``n`` slices of about equal size in the order of mjdobs; equal dates stay together."""
+    borders = sorted(set(rows.approxQuantile("mjdobs", [i / n for i in range(1, n)], 0.01)))
+    number = sum([F.when(F.col("mjdobs") >= x, 1).otherwise(0) for x in borders], F.lit(0))
+    return [rows.filter(number == i) for i in range(len(borders) + 1)]
+
+
 @query("streaming_association", """
 WITH c AS (SELECT field, partkey, sid, mjdobs * 100 + sca AS batch FROM sources WHERE flags = 0),
 f AS (SELECT *, min(batch) OVER (PARTITION BY field, partkey) = batch AS is_first FROM c)
 SELECT s.field, s.sid AS aid, m.sid FROM f s JOIN f m ON s.field = m.field AND s.partkey = m.partkey
 WHERE s.is_first AND (s.sid = m.sid OR NOT m.is_first)""")
 def streaming_association(t):
-    """Sources arrive in the order of their dates, in four micro-batches that span several years."""
+    """Sources arrive in the order of their dates, in four micro-batches that hold about a quarter of the rows each."""
     folder = _folder(t)
     rows = t.sources
-    for i, (lo, hi) in enumerate([(0, 49350), (49350, 49900), (49900, 50500), (50500, 10 ** 6)]):
-        rows.filter(f"mjdobs >= {lo} AND mjdobs < {hi}").coalesce(1).write.mode("append").parquet(f"{folder}/in/part={i}")
-    files = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    streaming.streaming_association(files, folder, 3e-5).awaitTermination()
+    for i, part in enumerate(date_slices(rows, 4)):
+        part.write.parquet(f"{folder}/in/part={i}")
+        files = t.spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        streaming.streaming_association(files, folder, 3e-5).awaitTermination()  # takes the files that came since the last run
     return t.spark.read.parquet(f"{folder}/merges").select("field", "aid", "sid")
 
 

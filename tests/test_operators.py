@@ -183,3 +183,15 @@ def test_window_counts_of_a_stream_equal_the_table(spark, tmp_path):
     counts = streaming.nightly_window_counts(stream, late="30 days")
     (counts.writeStream.outputMode("complete").format("memory").queryName("nightly").trigger(availableNow=True).start().awaitTermination())
     assert {tuple(r) for r in spark.table("nightly").collect()} == {tuple(r) for r in streaming.nightly_window_counts(rows).collect()}
+
+
+def test_date_slices_follow_the_dates(spark):
+    """Four slices of about equal size whatever the dates, each with the partitions of its rows."""
+    from skycat.plans.queries_objects import date_slices
+
+    rows = spark.range(400, numPartitions=4).selectExpr("id AS sid", "cast(id % 40 AS double) AS mjdobs")
+    parts = date_slices(rows, 4)
+    dates = [sorted(r["mjdobs"] for r in p.collect()) for p in parts]
+    assert len(parts) == 4 and all(60 <= len(d) <= 140 for d in dates) and sum(map(len, dates)) == 400
+    assert all(a[-1] < b[0] for a, b in zip(dates, dates[1:])) and all(p.rdd.getNumPartitions() == 4 for p in parts)
+    assert [p.count() for p in date_slices(rows.withColumn("mjdobs", F.lit(7.0)), 4)] in ([0, 400], [400])
