@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, pieces, pii, quality, secrets, suffix_dedup, token_tree, toxicity, warc
+from . import decontaminate, hard_negatives, minhash, pieces, pii, quality, secrets, suffix_dedup, token_tree, toxicity, warc, whitening
 from .common import new_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +143,25 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archive(warc.page_records(read(spark, sf_dir, "pages")), folder)
     back = warc.read_archive(spark, folder)
     return back.selectExpr("record_id AS page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# eigenvectors: not in SQL
+@_query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
+@_query("op13_hard_negatives", """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x
+               FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                 AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0),
+    s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+    n AS (SELECT p.a, p.b AS positive, p.score AS top, s.b AS negative, s.score, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS r
+          FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+    SELECT a AS anchor_id, positive AS positive_id, CAST(r AS INTEGER) AS rank, negative AS negative_id, top AS positive_score, score AS negative_score FROM n WHERE r <= 3""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.prepared(read(spark, sf_dir, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, rows.filter("vec_id % 50 = 0"))
