@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hard_negatives, minhash, pieces, pii, quality, secrets, suffix_dedup, token_tree, toxicity, warc, whitening
+from . import decontaminate, hard_negatives, minhash, pieces, pii, quality, secrets, substring_dedup, suffix_dedup, token_tree, toxicity, warc, whitening
 from .common import new_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,6 +151,19 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(read(spark, sf_dir, "embeddings"))
 
 
+@_query("op12_substring_dedup", r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    k AS (SELECT r, unnest(range(1, len(w) - 33)) AS i, unnest([md5(array_to_string(w[i:i + 34], ' ')) FOR i IN range(1, len(w) - 33)]) AS k FROM d WHERE len(w) >= 35),
+    s AS (SELECT r, i FROM k WHERE k IN (SELECT k FROM k GROUP BY k HAVING count(*) > 1)),
+    g AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS j FROM s),
+    x AS (SELECT r, unnest(range(1, len(w) + 1)) AS j, unnest(w) AS word FROM d),
+    t AS (SELECT x.r, string_agg(word, ' ' ORDER BY x.j) FILTER (WHERE g.j IS NULL) AS kept, count(g.j) AS gone FROM x LEFT JOIN g ON g.r = x.r AND g.j = x.j GROUP BY x.r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN t ON t.r = d.r""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(read(spark, sf_dir, "documents"), keep_texts=False).drop("kept")
+
+
 @_query("op13_hard_negatives", """
     WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x
                FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
