@@ -32,8 +32,9 @@ def _size(c: Column) -> Column:
     return F.size(c).cast("long")
 
 
-def _removed(t: Column, chars: str) -> Column:
-    return (F.char_length(t) - F.char_length(F.translate(t, chars, ""))).cast("long")
+def _without(t: Column, chars: str) -> Column:
+    """Number of characters that are left of ``t`` without those of the class ``chars``."""
+    return F.char_length(F.regexp_replace(t, f"[{chars}]+", "")).cast("long")
 
 
 def _sum(c: Column) -> Column:
@@ -46,34 +47,38 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     ``classes`` counts lower-case letters and marks without case, upper-case letters, digits, white space
     and other characters; ``common`` counts the words of ``LISTED``.  A null text is the empty text.
     """
-    t, w, s, d = F.col("_t"), F.col("_w"), F.col("_s"), F.col("_d")
+    t, w, x, s, d, r = (F.col(c) for c in ("_t", "_w", "_x", "_s", "_d", "_r"))
     rows = docs.select("doc_id", "lang", F.coalesce(text, F.lit("")).alias("_t"))
-    rows = rows.withColumn("_w", F.filter(F.split(t, SPACE), lambda x: x != ""))
-    # hashes of the three-word windows; only a text in which one repeats has them sorted, so that equal windows are neighbours
-    window = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-    rows = rows.withColumn("_h", F.when(F.size(w) >= 3, F.transform(F.sequence(F.lit(0), F.size(w) - 3), window))
+    rows = rows.withColumn("_w", F.array_remove(F.split(t, SPACE), ""))
+    # every word is hashed once, and the hashes of neighbours make those of the three-word windows; only a text in which
+    # one repeats has them sorted, so that equal windows are neighbours
+    rows = rows.withColumn("_x", F.transform(w, lambda v: F.xxhash64(v)))
+    window = lambda i: F.xxhash64(F.get(x, i), F.get(x, i + 1), F.get(x, i + 2))
+    rows = rows.withColumn("_h", F.when(F.size(x) >= 3, F.transform(F.sequence(F.lit(0), F.size(x) - 3), window))
                            .otherwise(F.array().cast("array<bigint>")))
-    placed = F.array_sort(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    placed = F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     rows = rows.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), placed)
                            .otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
     twin = lambda x, j: (F.get(s, j - 1)["h"] == x["h"]) | (F.get(s, j + 1)["h"] == x["h"])
-    lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, " \t\n\x0b\f\r", "") != "")
+    lines = F.filter(F.split(t, "\n"), lambda x: F.trim(x, F.lit(" \t\n\x0b\f\r")) != "")
     listed = F.filter(w, lambda x: x.isin(LISTED))
     rows = rows.select(
         "doc_id", "lang", "_t", "_w",
-        F.array_sort(F.transform(F.filter(s, twin), lambda x: x["i"])).alias("_d"),
+        F.sort_array(F.transform(F.filter(s, twin), lambda x: x["i"])).alias("_d"),
         lines.alias("_l"),
-        F.concat(F.lit(" "), F.array_join(listed, "  "), F.lit(" ")).alias("_c"))
+        F.concat(F.lit(" "), F.array_join(listed, "  "), F.lit(" ")).alias("_c"),
+        F.array_join(w, "").alias("_j"))
+    # most characters are lower-case letters and white space; the other classes are counted in what is left
+    rows = rows.withColumn("_r", F.regexp_replace("_j", "[a-z]+", ""))
     covered = F.transform(d, lambda p, j: F.least(F.lit(3), F.coalesce(F.get(d, j + 1) - p, F.lit(3))).cast("long"))
-    n, digits, space = F.char_length(t).cast("long"), _removed(t, "0123456789"), _removed(t, " \t\n\x0b\f\r")
-    upper = F.char_length(F.regexp_replace(t, r"[^\p{Lu}]+", "")).cast("long")
-    other = F.char_length(F.regexp_replace(t, r"[\p{L}\p{M}0-9\x20\x09-\x0D]+", "")).cast("long")
+    n, inside, left = (F.char_length(c).cast("long") for c in (t, F.col("_j"), r))
+    digits, upper, other = left - _without(r, "0-9"), _without(r, r"^\p{Lu}"), _without(r, r"\p{L}\p{M}0-9")
     return rows.select(
-        "doc_id", "lang", n.alias("n_chars"), _size(w).alias("n_words"), (n - space).alias("word_chars"),
-        _removed(t, "#*$%&|<>").alias("n_symbols"),
+        "doc_id", "lang", n.alias("n_chars"), _size(w).alias("n_words"), inside.alias("word_chars"),
+        (left - _without(r, "#*$%&|<>")).alias("n_symbols"),
         (_size(F.col("_l")) - _size(F.array_distinct("_l"))).alias("n_dup_lines"),
         _sum(covered).alias("n_repeat_words"),
-        F.array(n - upper - digits - space - other, upper, digits, space, other).alias("classes"),
+        F.array(inside - upper - digits - other, upper, digits, n - inside, other).alias("classes"),
         F.array(*[F.floor((F.length("_c") - F.length(F.replace(F.col("_c"), F.lit(f" {x} "), F.lit("")))) / (len(x) + 2)).cast("long")
                   for x in LISTED]).alias("common"))
 
@@ -107,10 +112,9 @@ def quality(docs: DataFrame, most_distant: float = MOST_DISTANT, min_chars: int
     stand in repeated three-word windows.  ``distance`` is the smallest, over the language references,
     of the mean of two Jensen-Shannon distances (character classes, common words), 0 without a
     reference.  Texts of at least ``min_chars`` characters that are further than ``most_distant`` from
-    every language are not kept.  The language column only builds references, so a null or wrong
-    one does not change how a text is judged.  Only the languages of ``COMMON`` (en, de, fr, es) have
-    references: a text in any other is judged by its distance from these four, so a clean long one can
-    get kept = false.  Tables with other languages need their words in ``COMMON``.  Null and empty texts fail the base rules; repeated
+    every language are not kept.  Only the languages of ``COMMON`` (en, de, fr, es) have references: the distance does not
+    reject a row of another language, which the base rules alone judge.  A row whose language is null or one of
+    the four is judged by the nearest of them, whichever it names.  Null and empty texts fail the base rules; repeated
     rows give repeated results; an empty table gives an empty one.
     """
     counted = written(counts(docs))
@@ -124,6 +128,7 @@ def quality(docs: DataFrame, most_distant: float = MOST_DISTANT, min_chars: int
     nothing = F.struct(F.lit(0.0).alias("distance"), F.lit(None).cast("string").alias("language"))
     rows = rows.withColumn("_n", reduce(lambda a, b: F.when(b["distance"] < a["distance"], b).otherwise(a), near) if near else nothing)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    distant = (F.col("n_chars") >= min_chars) & (F.col("_n.distance") > most_distant)
+    known = F.coalesce(F.col("lang").isin(list(COMMON)), F.lit(True))
+    distant = known & (F.col("n_chars") >= min_chars) & (F.col("_n.distance") > most_distant)
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
                        (~failed & ~distant).alias("kept"), F.col("_n.distance").alias("distance"), F.col("_n.language").alias("language"))

@@ -100,7 +100,7 @@ y AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS t
 z AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM y WHERE times > 1) GROUP BY r),
 l AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
       WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r),
-c AS (SELECT w.r, doc_id, lang, w, length(t) AS n, len(w) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+c AS (SELECT w.r, doc_id, lang, coalesce(lang IN ({langs}), true) AS known, w, length(t) AS n, len(w) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
       length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines, coalesce(z.n, 0) AS n_repeat_words,
       length(regexp_replace(t, '[^\\p{{Lu}}]', '', 'g')) AS upper, length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS digits,
       length(regexp_replace(t, '[\\p{{L}}\\p{{M}}0-9\\x20\\x09-\\x0D]', '', 'g')) AS other FROM w LEFT JOIN z ON z.r = w.r LEFT JOIN l ON l.r = w.r),
@@ -121,7 +121,7 @@ jw AS (SELECT a.r, a.lang, (a.d + b.total - a.seen) / 2 AS d FROM
 dist AS (SELECT jk.r, min((sqrt(greatest(0, jk.d)) + sqrt(greatest(0, jw.d))) / 2) AS d FROM jk JOIN jw ON jw.r = jk.r AND jw.lang = jk.lang GROUP BY jk.r)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n >= {quality.MIN_CHARS} AND coalesce(d, 0) > {quality.MOST_DISTANT}) AS kept
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (known AND n >= {quality.MIN_CHARS} AND coalesce(d, 0) > {quality.MOST_DISTANT}) AS kept
 FROM c LEFT JOIN dist ON dist.r = c.r"""
 
 
