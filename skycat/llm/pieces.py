@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K = 2
 NEAR = 256  # numbers of the characters with the smallest code points
 SEED = 17
-SLICE = 1 << 20
+SLICE = 1 << 19
+HELD_EDGES = 3 << 20  # edges of word lattices that a worker keeps from slice to slice
 BLANK = "▁"
 # a word with the blanks before it, blanks at the end of a line, or a line end
 UNITS = re.compile(r" *[^ \n]+| +|\n")
@@ -62,6 +64,9 @@ class Vocabulary:
         if (self.byte_ids < 0).any():
             raise ValueError("the model has no byte fallback")
         ranked = sorted(plain, key=lambda x: -x[2])
+        sizes = np.fromiter(map(len, self.bytes_of), np.int64, n)
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.byte_start, self.byte_size = np.cumsum(sizes) - sizes, sizes
         self.weight = np.zeros(n)
         self.weight[[i for _, i, _ in ranked]] = -np.log(np.arange(len(ranked)) + 2.7)
         self.byte_weight = -np.log(n + 2.7)
@@ -101,6 +106,14 @@ class Vocabulary:
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode()
 
+    def decoded(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all pieces in a row, and the number of bytes before each piece (one entry more than pieces)."""
+        size = self.byte_size[ids]
+        end = np.cumsum(size)
+        place = np.repeat(self.byte_start[ids] - end + size, size)
+        place += np.arange(len(place))
+        return self.all_bytes[place].tobytes(), np.concatenate([[0], end])
+
 
 @dataclass
 class Lattice:
@@ -185,13 +198,41 @@ def lattice(units: list[str], v: Vocabulary) -> Lattice:
         heads = np.flatnonzero(np.diff(source[e], prepend=-1))
         total[source[e[heads]]] = np.logaddexp.reduceat(weight[e] + total[target[e]], heads)
     logp = np.minimum(weight + total[target] - total[source], 0.0)
-    share = np.cumsum(np.exp(logp))
-    starts = np.repeat(ptr[:-1], np.diff(ptr))
-    until = share - np.where(starts > 0, share[starts - 1], 0.0)
+    until = np.exp(logp)
+    more = np.flatnonzero(np.diff(ptr) > 1)
+    edge, rounds = ptr[more] + 1, np.diff(ptr)[more] - 1
+    while len(edge):  # node by node, so that it does not matter which units stand together
+        until[edge] += until[edge - 1]
+        go = rounds > 1
+        edge, rounds = edge[go] + 1, rounds[go] - 1
     until[ptr[1:][np.diff(ptr) > 0] - 1] = np.inf
     end = np.zeros(nodes, bool)
     end[first + lengths] = True
-    return Lattice(first, end, ptr, source, target, piece, logp, until)
+    return Lattice(first, end, ptr, source.astype(np.int32), target.astype(np.int32), piece.astype(np.int32), logp, until)
+
+
+class Lattices:
+    """The lattices of the words met so far, so that a word that returns in a later slice needs no new one."""
+
+    def __init__(self, v: Vocabulary, held_edges: int = HELD_EDGES):
+        self.v, self.held_edges, self.numbers, self.all = v, held_edges, {}, lattice([], v)
+
+    def of(self, units: list[str]) -> tuple[Lattice, np.ndarray]:
+        """One lattice that holds all ``units``, and the place of each among its units."""
+        if len(self.all.source) > self.held_edges:
+            self.numbers, self.all = {}, lattice([], self.v)
+        rows = np.fromiter(map(self.numbers.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(rows < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(units[i] for i in missing))
+            old, more = self.all, lattice(new, self.v)
+            self.numbers.update(zip(new, range(len(old.first), len(old.first) + len(new))))
+            nodes, edges = len(old.end), len(old.source)
+            self.all = Lattice(*(np.concatenate(x) for x in (
+                (old.first, more.first + nodes), (old.end, more.end), (old.ptr[:-1], more.ptr + edges), (old.source, more.source + np.int32(nodes)),
+                (old.target, more.target + np.int32(nodes)), (old.piece, more.piece), (old.logp, more.logp), (old.until, more.until))))
+            rows[missing] = [self.numbers[units[i]] for i in missing]
+        return self.all, rows
 
 
 def uniform(key: np.ndarray, number) -> np.ndarray:
@@ -216,7 +257,7 @@ def walk(lat: Lattice, node: np.ndarray, key: np.ndarray, step: np.ndarray) -> t
         who.append(active)
         steps.append(step)
         edges.append(e)
-        node = lat.target[e]
+        node = lat.target[e].astype(np.int64)
         go = ~lat.end[node]
         active, node, step = active[go], node[go], step[go] + 1
     if not who:
@@ -261,18 +302,43 @@ def _finish(lat: Lattice, n: int, text, unit, step, edge, noisy, fresh, keys, sa
     return Path(text, unit, step, edge, before, waiting, noisy, np.where(np.isnan(noisy), np.nan, total))
 
 
-def sample(items: list[str], keys: np.ndarray, v: Vocabulary, k: int = K) -> tuple[list[Path], np.ndarray, Lattice]:
+def _branch(lat: Lattice, edge: np.ndarray, taken: list[list[int]], draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Another edge at the node of each ``edge``, drawn by the shares of those not taken yet, and the share of what is left then."""
+    node = lat.source[edge]
+    start, stop = lat.ptr[node], lat.ptr[node + 1]
+    size = stop - start
+    first = np.cumsum(size) - size
+    share = np.exp(lat.logp[np.repeat(start - first, size) + np.arange(int(size.sum()))])
+    share[first + edge - start] = 0.0
+    for i, (there, own) in enumerate(zip(taken, edge.tolist())):
+        for e in there:
+            share[first[i] + e - start[i]] = 0.0
+        there.append(own)
+    total = np.add.reduceat(share, first) if len(first) else np.zeros(0)
+    place, last = first.copy(), first + size - 1
+    seen, late = share[place].copy(), np.arange(len(place))
+    while len(late):
+        late = late[(seen[late] < draw[late] * total[late]) & (place[late] < last[late])]
+        place[late] += 1
+        seen[late] += share[place[late]]
+    while (none := np.flatnonzero((share[place] == 0) & (total > 0) & (place > first))).size:  # rounding went past the last one
+        place[none] -= 1
+    for there, e in zip(taken, (start + place - first).tolist()):
+        there.append(e)
+    share[place] = 0.0
+    return start + place - first, np.add.reduceat(share, first) if len(first) else np.zeros(0)
+
+
+def sample(items: list[str], keys: np.ndarray, held: Lattices, k: int = K) -> tuple[list[Path], np.ndarray, Lattice]:
     """Up to ``k`` distinct paths for every text, largest noisy value first, and per text the value of the best path not drawn."""
     found, count = [], []
     for t in items:
         words = UNITS.findall(" " + t) if t else []
         count.append(len(words))
         found += words
-    distinct = list(dict.fromkeys(found))
-    numbers = dict(zip(distinct, range(len(distinct))))
-    n, rows = len(items), np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
-    del found, numbers
-    lat = lattice(distinct, v)
+    n = len(items)
+    lat, rows = held.of(found)
+    del found
     text_of = np.repeat(np.arange(n), count)
     start_of = np.cumsum(count) - count
     local = np.arange(len(rows)) - start_of[text_of]
@@ -302,30 +368,21 @@ def sample(items: list[str], keys: np.ndarray, v: Vocabulary, k: int = K) -> tup
         chosen = np.flatnonzero(np.isfinite(best))
         draw = uniform(keys ^ np.uint64(7919 * number), 3)
         again = uniform(keys ^ np.uint64(7919 * number), 5)
-        branch = np.full(n, -1)
-        for t in chosen.tolist():
-            path, j = paths[which[t]], int(where[t])
-            first = int(path.edge[j])
-            node = int(lat.source[first])
-            out = taken.setdefault((t, int(which[t]), j), [first])
-            left = [e for e in range(int(lat.ptr[node]), int(lat.ptr[node + 1])) if e not in out]
-            shares = np.exp(lat.logp[left])
-            pick = min(int(np.searchsorted(np.cumsum(shares), draw[t] * shares.sum())), len(left) - 1)
-            branch[t] = left[pick]
-            out.append(left[pick])
-            remain = np.delete(shares, pick)
+        branch, at_unit, at_step = np.full(n, -1), np.full(n, -1), np.zeros(n, np.int64)
+        for p, path in enumerate(paths):
+            of = chosen[which[chosen] == p]
+            j = where[of]
+            branch[of], rest = _branch(lat, path.edge[j], [taken.setdefault((t, p, i), []) for t, i in zip(of.tolist(), j.tolist())], draw[of])
+            at_unit[of], at_step[of] = path.unit[j], path.step[j]
+            more = rest > 0
             path.waiting[j] = -np.inf
-            if len(remain) and remain.sum() > 0:
-                path.waiting[j] = below(best[t:t + 1], path.before[j:j + 1] + np.log(remain.sum()), again[t:t + 1])[0]
+            path.waiting[j[more]] = below(best[of[more]], path.before[j[more]] + np.log(rest[more]), again[of[more]])
         # the new path: the old one up to the branch, the branch, and a fresh walk from there
         kept = []
         for p, path in enumerate(paths):
             mine = np.flatnonzero((which[path.text] == p) & (branch[path.text] >= 0))
             mine = mine[mine < where[path.text[mine]]]
             kept.append(np.stack([path.text[mine], path.unit[mine], path.step[mine], path.edge[mine], np.zeros(len(mine), np.int64)]))
-        at_unit, at_step = np.full(n, -1), np.zeros(n, np.int64)
-        for t in chosen.tolist():
-            at_unit[t], at_step[t] = paths[which[t]].unit[where[t]], paths[which[t]].step[where[t]]
         kept.append(np.stack([chosen, at_unit[chosen], at_step[chosen], branch[chosen], np.zeros(len(chosen), np.int64)]))
         go = np.flatnonzero((branch[text_of] >= 0) & (local >= at_unit[text_of]))
         here = local[go] == at_unit[text_of[go]]
@@ -343,8 +400,8 @@ def sample(items: list[str], keys: np.ndarray, v: Vocabulary, k: int = K) -> tup
         paths.append(_finish(lat, n, parts[0], parts[1], parts[2], parts[3], noisy, parts[4] == 1, keys, np.uint64(number + 1)))
 
 
-def piece_ids(path: Path, lat: Lattice, v: Vocabulary, n: int) -> list[np.ndarray]:
-    """The piece ids of each text's path, fallback characters as bytes."""
+def piece_ids(path: Path, lat: Lattice, v: Vocabulary, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The piece ids of all texts' paths in a row, fallback characters as bytes, and the borders of the texts."""
     piece, text = lat.piece[path.edge], path.text
     odd = np.flatnonzero(piece < 0)
     if len(odd):
@@ -358,12 +415,19 @@ def piece_ids(path: Path, lat: Lattice, v: Vocabulary, n: int) -> list[np.ndarra
         for at, s in zip(place[odd], spelled):
             out[at:at + len(s)] = s
         piece, text = out, np.repeat(text, sizes)
-    return np.split(piece.astype("<i4"), np.searchsorted(text, np.arange(1, n)))
+    return piece.astype("<i4"), np.searchsorted(text, np.arange(n + 1))
 
 
-def round_trips(ids: list[list[np.ndarray]], drawn: list[np.ndarray], items: list[str], v: Vocabulary) -> list[bool]:
+def round_trips(ids: list[tuple[np.ndarray, np.ndarray]], drawn: list[np.ndarray], items: list[str], v: Vocabulary) -> list[bool]:
     """Whether all drawn samples of each text, decoded, are the text again."""
-    return [all(v.decode(x[i].tolist())[1:] == t for x, there in zip(ids, drawn) if there[i]) for i, t in enumerate(items)]
+    want = [b" " + t.encode() if t else b"" for t in items]
+    out = [True] * len(items)
+    for (flat, border), there in zip(ids, drawn):
+        raw, before = v.decoded(flat)
+        place = before[border].tolist()
+        for i in np.flatnonzero(there).tolist():
+            out[i] = out[i] and raw[place[i]:place[i + 1]] == want[i]
+    return out
 
 
 # -- on the cluster -------------------------------------------------------------------------------
@@ -393,12 +457,15 @@ def encode(docs: DataFrame, k: int = K, seed: int = SEED, model: str = MODEL) ->
 
     def run(batches):
         v = _vocabulary(data.value)
+        held = Lattices(v)
         for batch in slices(batches, most=SLICE):
             items, keys = texts(batch), batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            paths, rest, lat = sample(items, keys, v, k)
+            paths, rest, lat = sample(items, keys, held, k)
             ids = [piece_ids(p, lat, v, len(items)) for p in paths]
+            raw = [flat.tobytes() for flat, _ in ids]
+            border = [b.tolist() for _, b in ids]
             score = [-np.expm1(-np.exp(np.minimum(p.logp - rest, 700))) for p in paths]
-            out = [[{"ids": ids[j][i].tobytes(), "n_pieces": len(ids[j][i]), "logp": float(p.logp[i]), "inclusion": float(score[j][i])}
+            out = [[{"ids": raw[j][4 * border[j][i]:4 * border[j][i + 1]], "n_pieces": border[j][i + 1] - border[j][i], "logp": float(p.logp[i]), "inclusion": float(score[j][i])}
                     for j, p in enumerate(paths) if not np.isnan(p.noisy[i])] for i in range(len(items))]
             same = round_trips(ids, [~np.isnan(p.noisy) for p in paths], items, v)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, _SAMPLES), pa.array(same)], ["doc_id", "samples", "round_trip"])

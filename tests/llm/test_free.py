@@ -215,8 +215,8 @@ def all_paths(text: str, v):
 def test_draws_follow_the_weights_without_replacement(vocabulary):
     share = all_paths(" that", vocabulary)
     n = 20_000
-    drawn, rest, lat = pieces.sample(["that"] * n, np.arange(n), vocabulary, 3)
-    ids = [[tuple(x.tolist()) for x in pieces.piece_ids(p, lat, vocabulary, n)] for p in drawn]
+    drawn, rest, lat = pieces.sample(["that"] * n, np.arange(n), pieces.Lattices(vocabulary), 3)
+    ids = [[tuple(x.tolist()) for x in np.split(flat, border[1:-1])] for flat, border in (pieces.piece_ids(p, lat, vocabulary, n) for p in drawn)]
     first, pairs = Counter(ids[0]), Counter(zip(ids[0], ids[1]))
     top = sorted(share, key=lambda k: -share[k])[:3]
     for a in top:
@@ -232,21 +232,38 @@ def test_draws_follow_the_weights_without_replacement(vocabulary):
 
 def test_inclusion_scores_weigh_to_one(vocabulary):
     n = 20_000
-    drawn, rest, _ = pieces.sample(["that"] * n, np.arange(n), vocabulary, 2)
+    drawn, rest, _ = pieces.sample(["that"] * n, np.arange(n), pieces.Lattices(vocabulary), 2)
     total = sum(np.exp(p.logp) / -np.expm1(-np.exp(p.logp - rest)) for p in drawn)
     assert abs(total.mean() - 1) < 0.01
 
 
 def test_round_trip_looks_at_every_sample(vocabulary):
     items = ["that man", "the other one", ""]
-    paths, _, lat = pieces.sample(items, np.arange(3), vocabulary, 2)
+    paths, _, lat = pieces.sample(items, np.arange(3), pieces.Lattices(vocabulary), 2)
     ids = [pieces.piece_ids(p, lat, vocabulary, 3) for p in paths]
     drawn = [~np.isnan(p.noisy) for p in paths]
     assert pieces.round_trips(ids, drawn, items, vocabulary) == [True] * 3 and not drawn[1][2]
-    ids[1][1] = ids[1][0]  # a wrong second sample
+    flat, border = ids[1]
+    flat[border[1]] = flat[border[1] + 1] = vocabulary.byte_ids[65]  # a wrong second sample
     assert pieces.round_trips(ids, drawn, items, vocabulary) == [True, False, True]
 
 
+def test_lattices_kept_from_slice_to_slice(vocabulary):
+    rng = random.Random(8)
+    items = [data.prose(rng, 60) + " é\u4e2d" for _ in range(12)]
+    keys = np.arange(12)
+    whole, rest, lat = pieces.sample(items, keys, pieces.Lattices(vocabulary), 3)
+    for most in (0, 400, 1 << 20):
+        held = pieces.Lattices(vocabulary, most)
+        for i, t in enumerate(items):
+            one, last, own = pieces.sample([t], keys[i:i + 1], held, 3)
+            for p, q in zip(whole, one):
+                flat, border = pieces.piece_ids(p, lat, vocabulary, 12)
+                assert flat[border[i]:border[i + 1]].tolist() == pieces.piece_ids(q, own, vocabulary, 1)[0].tolist()
+                assert abs(p.logp[i] - q.logp[0]) < 1e-9
+            assert abs(rest[i] - last[0]) < 1e-9
+
+
 def test_round_trip_of_all_samples(spark, vocabulary):
     docs = data.documents(spark, True)
     texts = Counter((r["doc_id"], r["text"] or "") for r in docs.collect())
