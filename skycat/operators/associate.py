@@ -12,21 +12,21 @@ pair starts an object.  That looks sequential, but it is local:
 * In a group whose bounding box is smaller than the radius every source matches every object,
   so the result is known without a walk: the first batch starts the objects and all later
   sources join all of them.  This is the normal case for point sources and is a plain join.
-* Other groups are walked, in Arrow batches of a partition sorted by group.  A group with more
-  than ``max_group_rows`` rows is first cut again with finer cells; what is still too large is
-  walked in rounds of positional joins over the cluster, the k-th batch of all such groups in round k.
+* Other groups are walked in numpy, many groups of a partition at once, and by dependency levels: parts of batches that
+  lie apart are matched together (see ``walk``).  A group with more than ``max_group_rows`` rows is first cut again with
+  finer cells; what is still too large is walked in rounds of positional joins over the cluster, one level a round.
 
 Object ids are the ids of the sources that start them, so a repeated run gives the same ids.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import angular_separation, chord2_limit, unit_vector, wrap_ra
@@ -35,6 +35,8 @@ from ..session import cut_lineage, discard, shared_folder
 from .components import connected_components
 from .objects import object_statistics, ra_offset
 from .spatial import MARGIN_DEG, POLE_DEG, cell_of, sky_join_all_pairs, with_touched_cells, zone_of
+from .walk import STEPS as CELL_STEPS
+from .walk import cell_keys, cell_size, directions, walk
 
 MERGE_SCHEMA = "field long, aid long, sid long"
 BATCH = ("mjdobs", "expid", "sca")
@@ -75,176 +77,151 @@ def sky_groups(points: DataFrame, link_deg: float, pos=("ra", "dec"), cell: floa
     return keyed.join(labels.hint("merge"), "__node").drop("__node")
 
 
-GRID_FROM = 200  # rows from which a group gets an index of its objects
-
-
-class _Objects:
-    """Objects of one group (aid, ra, dec, n, x, y, z), found by position.
-
-    Cells of the index are a little wider than the radius, so the objects near a point are in
-    its cell or one of the 26 around it.
-    """
-
-    def __init__(self, indexed: bool, limit: float):
-        self.rows: list[list] = []
-        self.cells: dict | None = {} if indexed else None
-        self.scale = 1.0 / (math.sqrt(limit) * (1 + 1e-9) + 1e-15)
-
-    def cell(self, x, y, z):
-        return math.floor(x * self.scale), math.floor(y * self.scale), math.floor(z * self.scale)
-
-    def add(self, row: list) -> None:
-        self.rows.append(row)
-        if self.cells is not None:
-            self.cells.setdefault(self.cell(*row[4:]), []).append(len(self.rows) - 1)
-
-    def replace(self, i: int, row: list) -> None:
-        if self.cells is not None:
-            old, new = self.cell(*self.rows[i][4:]), self.cell(*row[4:])
-            if old != new:
-                self.cells[old].remove(i)
-                self.cells.setdefault(new, []).append(i)
-        self.rows[i] = row
-
-    def near(self, x, y, z):
-        if self.cells is None:
-            return range(len(self.rows))
-        cx, cy, cz = self.cell(x, y, z)
-        found = []
-        for i in (cx - 1, cx, cx + 1):
-            for j in (cy - 1, cy, cy + 1):
-                for k in (cz - 1, cz, cz + 1):
-                    found += self.cells.get((i, j, k), ())
-        return found
-
-
-def _walk_group(rows: list, limit: float, out_aid: list, out_sid: list) -> None:
-    """Append the merges of one group; rows (rank, batch, sid, ra, dec, weight, x, y, z) are in order."""
-    objects = _Objects(len(rows) >= GRID_FROM, limit)
-    for rank, _, sid, ra, dec, weight, x, y, z in rows:
-        if rank:
-            break
-        objects.add([sid, ra, dec, weight, x, y, z])
-    start = len(objects.rows)
-    while start < len(rows):
-        stop = start + 1
-        while stop < len(rows) and rows[stop][1] == rows[start][1]:
-            stop += 1
-        moves: dict[int, list] = {}
-        fresh = []
-        for _, _, sid, ra, dec, _, x, y, z in rows[start:stop]:
-            matched = False
-            for i in objects.near(x, y, z):
-                o = objects.rows[i]
-                dx, dy, dz = x - o[4], y - o[5], z - o[6]
-                if dx * dx + dy * dy + dz * dz <= limit:
-                    matched = True
-                    out_aid.append(o[0])
-                    out_sid.append(sid)
-                    move = moves.setdefault(i, [0, 0.0, 0.0])
-                    move[0] += 1
-                    move[1] += (ra - o[1] + 540.0) % 360.0 - 180.0
-                    move[2] += dec - o[2]
-            if not matched:
-                fresh.append([sid, ra, dec, 1.0, x, y, z])
-        # all matches of a batch move the mean together
-        for i, (k, dra, ddec) in moves.items():
-            o = objects.rows[i]
-            n = o[3] + k
-            ra, dec = (o[1] + dra / n) % 360.0, o[2] + ddec / n
-            a, d = math.radians(ra), math.radians(dec)
-            objects.replace(i, [o[0], ra, dec, n, math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d)])
-        for o in fresh:
-            out_aid.append(o[0])
-            out_sid.append(o[0])
-            objects.add(o)
-        start = stop
+def _numbered(c: dict[str, np.ndarray]) -> np.ndarray:
+    """The number of each row's batch within its group; rows are in order of field, grp, rank and batch."""
+    n = len(c["sid"])
+    new_group = np.ones(n, bool)
+    new_group[1:] = (np.diff(c["field"]) != 0) | (np.diff(c["grp"]) != 0)
+    new_batch = new_group.copy()
+    for name in ("rank", *BATCH):
+        new_batch[1:] |= c[name][1:] != c[name][:-1]
+    number = np.cumsum(new_batch)
+    first = np.flatnonzero(new_group)
+    return number - np.repeat(number[first], np.diff(np.append(first, n)))
 
 
 def _walk(radius_deg: float):
     """The walk over a partition sorted by group, rank and batch, as a function of Arrow batches.
 
-    Only the unfinished last group is carried over, so memory does not grow with the partition.
+    Whole groups are taken together, ``WALK_ROWS`` rows or a little more at once, so memory does not grow with the partition.
     """
     limit = chord2_limit(radius_deg)
 
     def groups(pdf: pd.DataFrame) -> pd.DataFrame:
         c = {name: pdf[name].to_numpy() for name in pdf.columns}
-        new_group = np.flatnonzero((np.diff(c["field"]) != 0) | (np.diff(c["grp"]) != 0)) + 1
-        same_batch = np.ones(len(pdf) - 1, bool)
-        for name in BATCH:
-            same_batch &= c[name][1:] == c[name][:-1]
-        a, d = np.radians(c["ra"]), np.radians(c["dec"])
-        columns = [c["rank"], np.concatenate([[0], np.cumsum(~same_batch)]), c["sid"], c["ra"], c["dec"], c["weight"],
-                   np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)]
-        rows = list(zip(*[x.tolist() for x in columns]))
-        fields, aids, sids = [], [], []
-        bounds = [0, *new_group.tolist(), len(pdf)]
-        for first, last in zip(bounds, bounds[1:]):
-            _walk_group(rows[first:last], limit, aids, sids)
-            fields += [c["field"][first]] * (len(aids) - len(fields))
-        return pd.DataFrame({"field": np.array(fields, np.int64), "aid": np.array(aids, np.int64), "sid": np.array(sids, np.int64)})
-
-    def walk(batches):
-        held: list[pd.DataFrame] = []  # pieces that end with the unfinished group
+        field, aid, sid, _ = walk(c["rank"], c["field"], _numbered(c), c["sid"], c["ra"], c["dec"], c["weight"], limit)
+        return pd.DataFrame({"field": field, "aid": aid, "sid": sid})
+
+    def run(batches):
+        held: list[pd.DataFrame] = []
         for pdf in batches:
-            if not len(pdf):
-                continue
-            last = (pdf["field"] == pdf["field"].iloc[-1]) & (pdf["grp"] == pdf["grp"].iloc[-1])
-            same = held and last.all() and (held[-1]["field"].iloc[-1] == pdf["field"].iloc[0]) and (held[-1]["grp"].iloc[-1] == pdf["grp"].iloc[0])
-            if same:
-                held.append(pdf)
+            held.append(pdf)
+            if sum(map(len, held)) < WALK_ROWS:
                 continue
-            done = [*held, pdf[~last]]
+            pdf = pd.concat(held, ignore_index=True)
+            last = (pdf["field"] == pdf["field"].iloc[-1]) & (pdf["grp"] == pdf["grp"].iloc[-1])  # may go on in the next batch
             held = [pdf[last]]
-            if sum(map(len, done)):
-                yield groups(pd.concat(done, ignore_index=True))
-        if held:
+            if not last.all():
+                yield groups(pdf[~last])
+        if sum(map(len, held)):
             yield groups(pd.concat(held, ignore_index=True))
 
-    return walk
+    return run
 
 
 WALK_ROWS = 200_000  # rows of a partition of the walk
 
 
+COMPACT_ROUNDS = 16  # rounds after which the objects are written as one table again
+
+
+def _with_cells(radius_deg: float):
+    size = cell_size(chord2_limit(radius_deg))
+
+    def run(batches):
+        for pdf in batches:
+            pdf["cell"] = cell_keys(*directions(pdf["ra"].to_numpy(), pdf["dec"].to_numpy()), size)
+            yield pdf
+
+    return run
+
+
+def _dealt_levels(batches):
+    """The level of each cell of each batch (field, grp, cells); rows come group by group, in order of time.
+
+    One number is held for every cell that the group has met.
+    """
+    last: dict[int, int] = {}
+    group = None
+    for pdf in batches:
+        steps = []
+        for field, grp, cells in zip(pdf["field"], pdf["grp"], pdf["cells"]):
+            if (field, grp) != group:
+                group, last = (field, grp), {}
+            near = (np.asarray(cells)[:, None] + CELL_STEPS).tolist()
+            level = dict(zip(cells.tolist(), (max(last.get(k, 0) for k in row) for row in near)))
+            touching = [(c, k) for c, row in zip(cells.tolist(), near) for k in row if k != c and k in level]
+            while touching and any(level[k] > level[c] for c, k in touching):  # parts of a batch that touch share their level
+                for c, k in touching:
+                    level[c] = max(level[c], level[k])
+            level = {c: v + 1 for c, v in level.items()}
+            last.update(level)
+            steps.append([level[c] for c in cells.tolist()])
+        yield pdf.assign(steps=steps)
+
+
+def dependency_levels(rows: DataFrame, radius_deg: float) -> DataFrame:
+    """``rows`` (field, grp, mjdobs, expid, sca, ra, dec, ...) with ``step``: rows of one step can be matched at once, after all steps before.
+
+    See ``walk``: a step is one more than the highest of the earlier batches in the row's cell and those next to it.  Cells and batches
+    of a group pass through one task, as numbers only and one batch at a time.
+    """
+    placed = cut_lineage(rows.mapInPandas(_with_cells(radius_deg), rows.withColumn("cell", F.lit(0).cast("long")).schema))
+    keys = ["field", "grp", *BATCH]
+    batches = placed.groupBy(*keys).agg(F.collect_set("cell").alias("cells"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batches.schema)
+    dealt = batches.repartition("field", "grp").sortWithinPartitions(*keys).mapInPandas(_dealt_levels, f"{kinds}, steps array<int>")
+    dealt = dealt.select(*keys, F.explode(F.arrays_zip("cells", "steps")).alias("c")).select(*keys, F.col("c.cells").alias("cell"), F.col("c.steps").alias("step"))
+    return placed.join(dealt, [*keys, "cell"]).drop("cell")
+
+
 def _walk_on_cluster(rows: DataFrame, radius_deg: float) -> DataFrame:
-    """The walk over groups too large for one task: in round k the k-th batch of every such group at once.
+    """The walk over groups too large for one task: in round k all parts of batches of level k, of every such group at once.
 
-    Groups never interact, so there are as many rounds as the group with most batches has, however
-    many groups there are.  Batches are stored by round, and a round reads its own only.  State is
-    a table of objects (field, grp, aid, ra, dec, weight) of the groups that still have batches;
-    merges are written once, by round.
+    Groups never interact, and neither do parts of one level, so there are as many rounds as the longest chain of dependent parts,
+    however many batches and groups there are.  Parts are stored by round, and a round reads its own only.  A round writes the
+    objects that it moves or starts; after some rounds they are put together again.  Merges are written once, by round.
     """
     spark, folder = rows.sparkSession, f"{shared_folder(rows.sparkSession)}/skycat-{uuid.uuid4().hex}"
-    arriving = rows.filter("rank > 0")
-    order = Window.partitionBy("field", "grp").orderBy(*BATCH)
-    numbers = cut_lineage(arriving.select("field", "grp", *BATCH).distinct().withColumn("step", F.row_number().over(order)))
-    last = numbers.agg(F.max("step").alias("m")).first()["m"] or 0
-    arriving = arriving.join(numbers, ["field", "grp", *BATCH]).select("field", "grp", "sid", "ra", "dec", "step")
-    arriving.hint("rebalance", "step").write.partitionBy("step").parquet(f"{folder}/batches")
-    state = cut_lineage(rows.filter("rank = 0").select("field", "grp", F.col("sid").alias("aid"), "ra", "dec", "weight"))
+    arriving = dependency_levels(rows.filter("rank > 0").select("field", "grp", *BATCH, "sid", "ra", "dec"), radius_deg)
+    arriving.select("field", "grp", "sid", "ra", "dec", "step").hint("rebalance", "step").write.partitionBy("step").parquet(f"{folder}/batches")
+    last = spark.read.parquet(f"{folder}/batches").agg(F.max("step").alias("m")).first()["m"] if rows.filter("rank > 0").take(1) else 0
+    names = ["field", "grp", "aid", "ra", "dec", "weight"]
+    base = cut_lineage(rows.filter("rank = 0").select("field", "grp", F.col("sid").alias("aid"), "ra", "dec", "weight"))
+    changed: list[DataFrame] = []
+
+    def current() -> DataFrame:
+        if not changed:
+            return base
+        stacked = reduce(DataFrame.unionByName, [df.withColumn("no", F.lit(i)) for i, df in enumerate(changed)])
+        newest = stacked.groupBy("aid").agg(F.max_by(F.struct(*names), "no").alias("o")).select("o.*")
+        return base.join(newest.select("aid"), "aid", "left_anti").select(names).unionByName(newest)
+
     for step in range(1, last + 1):
         batch = spark.read.parquet(f"{folder}/batches/step={step}")
-        kept = state
-        state = state.join(batch.select("field", "grp").distinct(), ["field", "grp"], "left_semi")  # the others are done
-        objects = state.select(F.col("field").alias("o_field"), F.col("grp").alias("o_grp"), "aid", F.col("ra").alias("o_ra"), F.col("dec").alias("o_dec"))
+        state = current()
+        objects = state.select(F.col("field").alias("o_field"), F.col("grp").alias("o_grp"), "aid", F.col("ra").alias("o_ra"), F.col("dec").alias("o_dec"),
+                               F.col("weight").alias("o_weight"))
         pairs = cut_lineage(sky_join_all_pairs(batch, objects, radius_deg, ("ra", "dec"), ("o_ra", "o_dec"),
                                                on=[("field", "o_field"), ("grp", "o_grp")], distance=None)
-                            .select("field", "aid", "sid", ra_offset(F.col("ra"), F.col("o_ra")).alias("dra"),
+                            .select("field", "grp", "aid", "sid", "o_ra", "o_dec", "o_weight", ra_offset(F.col("ra"), F.col("o_ra")).alias("dra"),
                                     (F.col("dec") - F.col("o_dec")).alias("ddec")))
         fresh = batch.join(pairs.select("sid"), "sid", "left_anti")
         new = fresh.select("field", F.col("sid").alias("aid"), "sid").unionByName(pairs.select("field", "aid", "sid"))
         new.write.parquet(f"{folder}/merges/step={step}")
-        delta = pairs.groupBy("aid").agg(F.sum("dra").alias("dra"), F.sum("ddec").alias("ddec"), F.count("*").alias("k"))
-        n = F.col("weight") + F.coalesce(F.col("k"), F.lit(0))
-        moved = state.join(delta, "aid", "left_outer").select(
-            "field", "grp", "aid", wrap_ra(F.col("ra") + F.coalesce("dra", F.lit(0.0)) / n).alias("ra"),
-            (F.col("dec") + F.coalesce("ddec", F.lit(0.0)) / n).alias("dec"), n.cast("double").alias("weight"))
+        n = F.col("o_weight") + F.col("k")
+        moved = pairs.groupBy("field", "grp", "aid", "o_ra", "o_dec", "o_weight").agg(
+            F.sum("dra").alias("dra"), F.sum("ddec").alias("ddec"), F.count("*").alias("k")).select(
+            "field", "grp", "aid", wrap_ra(F.col("o_ra") + F.col("dra") / n).alias("ra"), (F.col("o_dec") + F.col("ddec") / n).alias("dec"),
+            n.cast("double").alias("weight"))
         started = fresh.select("field", "grp", F.col("sid").alias("aid"), "ra", "dec", F.lit(1.0).alias("weight"))
-        before, state = kept, cut_lineage(moved.unionByName(started))
-        discard(before, pairs)
-    discard(state, numbers)
+        changed.append(cut_lineage(moved.unionByName(started)))
+        discard(pairs)
+        if len(changed) == COMPACT_ROUNDS:
+            whole = cut_lineage(current())
+            discard(base, *changed)
+            base, changed = whole, []
+    discard(base, *changed)
     if not last:
         return spark.createDataFrame([], MERGE_SCHEMA)
     return spark.read.schema(MERGE_SCHEMA).parquet(*[f"{folder}/merges/step={k}" for k in range(1, last + 1)])

@@ -452,22 +452,23 @@ def associate_within_field(t):
     return associate.associate_within_field(t.sources.filter("flags = 0"), 3e-5)
 
 
-def walked(radius: float, known: str = "") -> str:
-    """The walk in SQL: a recursion over the batches of all fields, with the objects as its keyed state."""
+def walked(radius: float, known: str = "", sources: str = "SELECT field, sid, ra, dec, mjdobs, expid, sca FROM sources WHERE flags = 0", zone: float = 1.0) -> str:
+    """The walk in SQL: a recursion over the batches of all fields, with the objects as its keyed state; ``zone`` is the height of its zones of declination."""
     vec = [f"pow(({p}) - ({q}), 2)" for p, q in zip(sql_vec("s.ra", "s.dec"), sql_vec("o.ra", "o.dec"))]
     return f"""
-WITH RECURSIVE src AS (SELECT field, sid, ra, dec, dense_rank() OVER (PARTITION BY field ORDER BY mjdobs, expid, sca) AS step FROM sources WHERE flags = 0),
+WITH RECURSIVE src AS (SELECT field, sid, ra, dec, dense_rank() OVER (PARTITION BY field ORDER BY mjdobs, expid, sca) AS step FROM ({sources})),
 st(aid, field, ra, dec, n, sids, step) USING KEY (aid) AS (
   {known or "SELECT sid, field, ra, dec, 1e0, [sid], step FROM src WHERE step = 1"}
   UNION
-  (WITH now AS (SELECT s.* FROM src s WHERE s.step = (SELECT max(step) + 1 FROM st)),
-   pairs AS (SELECT o.aid, s.sid, s.step, s.ra - o.ra AS dra, s.dec - o.dec AS ddec FROM now s JOIN recurring.st o ON s.field = o.field
-     WHERE {" + ".join(vec)} <= {limit_of(radius)!r}),
+  (WITH once AS (SELECT s.* FROM src s WHERE s.step = (SELECT max(step) + 1 FROM st)),
+   now AS (SELECT *, CAST(floor(dec / {zone!r}) AS BIGINT) + unnest([-1, 0, 1]) AS zone FROM once),
+   pairs AS (SELECT o.aid, s.sid, s.step, s.ra - o.ra AS dra, s.dec - o.dec AS ddec FROM now s JOIN recurring.st o
+     ON s.field = o.field AND s.zone = CAST(floor(o.dec / {zone!r}) AS BIGINT) WHERE {" + ".join(vec)} <= {limit_of(radius)!r}),
    moves AS (SELECT aid, step, list(sid) AS sids, count(*) AS k, sum(ddec) AS ddec,
      sum(CASE WHEN dra > 180 THEN dra - 360 WHEN dra < -180 THEN dra + 360 ELSE dra END) AS dra FROM pairs GROUP BY aid, step)
    SELECT o.aid, o.field, fmod(o.ra + m.dra / (o.n + m.k) + 360, 360), o.dec + m.ddec / (o.n + m.k), o.n + m.k, list_concat(o.sids, m.sids), m.step
      FROM moves m JOIN recurring.st o ON o.aid = m.aid
-   UNION ALL SELECT s.sid, s.field, s.ra, s.dec, 1e0, [s.sid], s.step FROM now s WHERE s.sid NOT IN (SELECT sid FROM pairs)))
+   UNION ALL SELECT s.sid, s.field, s.ra, s.dec, 1e0, [s.sid], s.step FROM once s WHERE s.sid NOT IN (SELECT sid FROM pairs)))
 SELECT field, aid, unnest(sids) AS sid FROM st"""
 
 
@@ -502,6 +503,13 @@ def build_objects(t):
     return rounded(rounded(out.select("aid", "field", "ra0", "dec0", "flux0", "nsources", "meandec", (F.col("meanflux") * F.col("nsources")).alias("sumflux")), 7, "ra0", "dec0", "meandec"), 3, "sumflux")
 
 
+@query("associate_dense_months", walked(R / 4, sources="SELECT 1 AS field, sid, ra, dec, floor(mjdobs / 30) AS mjdobs, 0 AS expid, 0 AS sca FROM dense_sources", zone=1e-5))
+def associate_dense_months(t):
+    """One crowded field, all sources of thirty days as one batch: a single group that the walk takes level by level."""
+    months = t.dense_sources.selectExpr("sid", "1 AS field", "0 AS expid", "0 AS sca", "CAST(floor(mjdobs / 30) AS DOUBLE) AS mjdobs", "ra", "dec")
+    return associate.associate_within_field(months, R / 4)
+
+
 @query("associate_dense_field")
 def associate_dense_field(t):
     crowded = t.dense_sources.withColumn("field", F.lit(1)).select("sid", "field", "expid", "sca", "mjdobs", "ra", "dec")
