@@ -12,13 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices, texts, without
+from .common import mix, slices, texts, without, written
 from .words import PLAIN, word_hashes
 
 SPAN = 20
 AGREE = 0.8
-SLOT_BITS = 22
-LEAST = 3  # shorter items overlap with nothing
+SLOT_BITS = 22, 28  # least and most bits of a slot of the bit map: half a megabyte to 32 MB
+SLOTS_PER_SEED = 16
+LEAST = 3  # shorter items overlap only with documents of the same tokens and no others
+SLICE = 1 << 20
 
 # Masks of items of eight tokens and more, the first without gaps, and further ones by the least length of an item.
 # Together they leave a seed in a stretch wherever the substitutions lie that AGREE allows; a test goes through all placements.
@@ -32,8 +34,6 @@ def masks_of(n: int) -> list[str]:
     """The masks for a stretch of ``n`` tokens.  Under eight tokens they are the whole stretch, or all but one token if ``AGREE`` allows that."""
     if n >= 8:
         return MASKS + next(masks for least, masks in LIGHTER.items() if n >= least)
-    if n < LEAST:
-        return []
     if AGREE * n > n - 1:
         return ["1" * n]
     return ["1" * (n - 1)] + ["1" * i + "0" + "1" * (n - 1 - i) for i in range(1, n - 1)]
@@ -72,56 +72,66 @@ def agreement(doc: np.ndarray, item: np.ndarray, shift: int, span: int = SPAN) -
     return int((total[n:] - total[:len(total) - n]).max()), n
 
 
+LONGEST = max(map(len, ALL))
+ROWS = 1 << 14  # seeds that leave a task at once
+
+
+def _around(tokens: np.ndarray, places: np.ndarray, owner: np.ndarray, at: np.ndarray, span: int) -> tuple[np.ndarray, pa.Array]:
+    """All tokens that a stretch with a seed at each place can reach within its text, and where they begin."""
+    lo, hi = np.maximum(places - span, at[owner]), np.minimum(places + span + LONGEST, at[owner + 1])
+    return lo, pa.array([tokens[a:b].tobytes() for a, b in zip(lo, hi)], pa.binary())
+
+
 def _item_seeds(span: int):
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             tokens, at = word_hashes(texts(batch), PLAIN)
-            whole = [tokens[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
             stretch = np.minimum(np.diff(at), min(span, SPAN))
             for number in range(len(ALL)):
                 hashes = seeds(tokens, number)
                 places = np.arange(len(hashes))
                 owner, fits = owners(places, at, number)
                 keep = fits & USES[number][stretch[owner]]
-                hashes, places, owner = hashes[keep], places[keep], owner[keep]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(np.full(len(hashes), number, np.int32)), batch.column("item_id").take(pa.array(owner)),
-                     pa.array((places - at[owner]).astype(np.int32)), pa.array([whole[o] for o in owner], pa.binary())], ["seed", "mask", "item_id", "item_at", "item"])
+                for cut in range(0, int(keep.sum()), ROWS):
+                    place, own = places[keep][cut:cut + ROWS], owner[keep][cut:cut + ROWS]
+                    first, around = _around(tokens, place, own, at, span)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes[place].view(np.int64)), pa.array(np.full(len(place), number, np.int32)), batch.column("item_id").take(pa.array(own)),
+                         pa.array((place - first).astype(np.int32)), around], ["seed", "mask", "item_id", "item_at", "item"])
 
     return run
 
 
-def _doc_seeds(present: np.ndarray, used: list[int], span: int):
-    longest = max(map(len, ALL))
-
+def _doc_seeds(map_of, bits: int, used: list[int], span: int):
     def found(hashes: np.ndarray) -> np.ndarray:
-        hit = np.arange(len(hashes))
-        for low in (64 - SLOT_BITS, 64 - 2 * SLOT_BITS):
-            slot = ((hashes[hit] >> np.uint64(low)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+        present, hit = np.frombuffer(map_of.value, np.uint8), np.arange(len(hashes))
+        for low in (64 - bits, 64 - 2 * bits):
+            slot = ((hashes[hit] >> np.uint64(low)) & np.uint64((1 << bits) - 1)).astype(np.int64)
             hit = hit[((present[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)]
         return hit
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             tokens, at = word_hashes(texts(batch), PLAIN)
             for number in used:
                 hashes = seeds(tokens, number)
                 places = found(hashes)
                 owner, fits = owners(places, at, number)
-                places, owner = places[fits], owner[fits]
-                # all tokens that a stretch with the hit can reach
-                lo, hi = np.maximum(places - span, at[owner]), np.minimum(places + span + longest, at[owner + 1])
-                around = [tokens[a:b].tobytes() for a, b in zip(lo, hi)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[places].view(np.int64)), batch.column("doc_id").take(pa.array(owner)), pa.array((places - lo).astype(np.int32)), pa.array(around, pa.binary())],
-                    ["seed", "doc_id", "hit_at", "around"])
+                if len(ALL[number]) < LEAST:
+                    fits &= np.diff(at)[owner] == len(ALL[number])
+                for cut in range(0, int(fits.sum()), ROWS):
+                    place, own = places[fits][cut:cut + ROWS], owner[fits][cut:cut + ROWS]
+                    first, around = _around(tokens, place, own, at, span)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes[place].view(np.int64)), batch.column("doc_id").take(pa.array(own)), pa.array((place - first).astype(np.int32)), around],
+                        ["seed", "doc_id", "hit_at", "around"])
 
     return run
 
 
 def _check(span: int, agree: float):
     def run(batches):
-        for batch in slices(batches, "around"):
+        for batch in (part for some in slices(batches, "around", SLICE) for part in slices([some], "item", SLICE)):
             rows = zip(*(batch.column(c).to_pylist() for c in ("around", "item", "hit_at", "item_at")))
             found = [agreement(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), x - y, span) for a, b, x, y in rows]
             keep = pa.array([same >= agree * n for same, n in found])
@@ -131,15 +141,21 @@ def _check(span: int, agree: float):
     return run
 
 
-def _present(items: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """Bits for the two slots that each benchmark seed falls in (half a megabyte, whatever the size of the benchmark), and the numbers of the masks in use."""
-    slot = F.explode(F.array(*[F.shiftrightunsigned("seed", low).bitwiseAND((1 << SLOT_BITS) - 1) for low in (64 - SLOT_BITS, 64 - 2 * SLOT_BITS)]))
+def slot_bits(seeds: int) -> int:
+    """Bits of a slot for a benchmark of that many seeds.  Up to 16 million seeds a document seed that is none meets two taken slots
+    by chance in at most 1.4 % of cases; beyond, the map does not grow, so more of them reach the join, which is exact."""
+    return min(max((SLOTS_PER_SEED * seeds).bit_length(), SLOT_BITS[0]), SLOT_BITS[1])
+
+
+def _present(items: DataFrame, bits: int) -> tuple[bytes, list[int]]:
+    """Bits for the two slots that each benchmark seed falls in (2 ** ``bits`` of them), and the numbers of the masks in use."""
+    slot = F.explode(F.array(*[F.shiftrightunsigned("seed", low).bitwiseAND((1 << bits) - 1) for low in (64 - bits, 64 - 2 * bits)]))
     words = items.select(slot.alias("slot"), F.expr("shiftleft(1L, mask)").alias("masks")).groupBy(F.shiftright("slot", 6).alias("word")) \
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("bits"), F.bit_or("masks").alias("masks")).toArrow()
-    out = np.zeros(1 << (SLOT_BITS - 6), np.int64)
+    out = np.zeros(1 << (bits - 6), np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     masks = int(np.bitwise_or.reduce(words["masks"].to_numpy(), initial=0))
-    return out.view(np.uint8), [i for i in range(len(ALL)) if masks >> i & 1]
+    return out.tobytes(), [i for i in range(len(ALL)) if masks >> i & 1]
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, agree: float = AGREE) -> DataFrame:
@@ -150,14 +166,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, agree: flo
     the share ``agree`` of equal tokens, where a seed in or beside the stretch meets.  With a ``span``
     up to ``SPAN`` and an ``agree`` of at least ``AGREE`` every such stretch has a seed, so none is missed.  ``agree`` is the
     best stretch's number of equal tokens, ``n_hits`` the number of seeds that lead to one.  Null and
-    empty texts and items under ``LEAST`` tokens overlap with nothing, null ids stay null,
+    empty texts overlap with nothing, a very long text or item sends only the tokens around its seeds, null ids stay null,
     repeated rows add up in ``n_hits``, and an empty table on either side gives an empty table.
 
     A bit map of the benchmark's seeds spares most document seeds the shuffle; the join itself is left to Spark.
     """
+    if not (1 <= span <= SPAN and AGREE <= agree <= 1):
+        raise ValueError(f"span is at most {SPAN} and agree at least {AGREE}")
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    items = benchmark.select("item_id", "text").mapInArrow(_item_seeds(span), f"seed long, mask int, item_id {kinds[1]}, item_at int, item binary").distinct()
-    hits = docs.select("doc_id", "text").mapInArrow(_doc_seeds(*_present(items), span), f"seed long, doc_id {kinds[0]}, hit_at int, around binary")
+    items = benchmark.select("item_id", "text").mapInArrow(_item_seeds(span), f"seed long, mask int, item_id {kinds[1]}, item_at int, item binary")
+    items = written(items.distinct())
+    bits = slot_bits(items.count())
+    present, used = _present(items, bits)
+    present = docs.sparkSession.sparkContext.broadcast(present)
+    hits = docs.select("doc_id", "text").mapInArrow(_doc_seeds(present, bits, used, span), f"seed long, doc_id {kinds[0]}, hit_at int, around binary")
     found = hits.join(items.drop("mask"), "seed").mapInArrow(_check(span, agree), f"doc_id {kinds[0]}, item_id {kinds[1]}, agree int, span int")
     return found.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_hits"), F.max("agree").alias("agree"), F.max("span").alias("span"))
 
