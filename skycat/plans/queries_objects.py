@@ -11,8 +11,9 @@ from ..functions.healpix import coarser, healpix_nested
 from ..operators import nested, objects, versions
 from ..session import shared_folder
 from ..sources import readers, writers
+from ..streaming import state
 from .fixtures import Catalog
-from .queries_sky import BITS, HEALPIX, rounded
+from .queries_sky import BITS, HEALPIX, R, rounded, walked
 from .registry import query
 
 BEST = "SELECT pid FROM diffimages WHERE vbest <> 0"
@@ -441,6 +442,18 @@ def streaming_association(t):
     return t.spark.read.parquet(f"{folder}/merges").select("field", "aid", "sid")
 
 
+@query("streaming_association_state", walked(R))
+def streaming_association_state(t):
+    """The same arrival in four micro-batches, with the objects in Spark's keyed state; each run starts again from it."""
+    folder = _folder(t)
+    rows = t.sources
+    for i, part in enumerate(date_slices(rows, 4)):
+        part.write.parquet(f"{folder}/in/part={i}")
+        files = t.spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        state.associate_with_state(files, folder, R).awaitTermination()
+    return t.spark.read.parquet(f"{folder}/merges").select("field", "aid", "sid")
+
+
 @query("alert_stream_out", "SELECT sid AS \"diaSourceId\", partkey AS aid FROM sources")
 def alert_stream_out(t):
     folder = _folder(t)
