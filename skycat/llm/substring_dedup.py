@@ -270,7 +270,7 @@ def _judged(held: DataFrame, distinct: DataFrame, cut: DataFrame, window: int, a
     rest = judged.filter(F.col("times") * HOT_SHARE <= total).drop("times")
     placed = held.join(hot, ["anchor", "unit"]).unionByName(held.join(hot.drop("runs"), ["anchor", "unit"], "left_anti").join(rest, ["anchor", "unit"]))
     spans = placed.select("doc_id", "th", F.transform("runs", lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b"))).alias("runs"))
-    return spans.groupBy("doc_id", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("runs")))).cast(_RUNS).alias("runs"))
+    return spans.groupBy("doc_id", "th").agg(F.sort_array(F.flatten(F.collect_set("runs"))).cast(_RUNS).alias("runs"))
 
 
 def _settle(keep_texts: bool):
