@@ -301,6 +301,31 @@ def overlapping_images(t):
     return rounded(spatial.overlapping_images(targets, others), 8, "dist_deg")
 
 
+def sql_half_planes(corners, point):
+    """Is a point on the inner side of the great circles through neighbouring corners, in SQL."""
+    px, py, pz = point
+    sides = []
+    for a, b in zip(corners, [*corners[1:], corners[0]]):
+        (ax, ay, az), (bx, by, bz) = sql_vec(*a), sql_vec(*b)
+        sides.append(f"({px}) * (({ay}) * ({bz}) - ({az}) * ({by})) + ({py}) * (({az}) * ({bx}) - ({ax}) * ({bz})) + ({pz}) * (({ax}) * ({by}) - ({ay}) * ({bx}))")
+    return f"(least({', '.join(sides)}) >= 0)"
+
+
+@query("polygon_search", f"""
+WITH d AS (SELECT reqid, ra AS cra, dec AS cdec, 0.01e0 * pow(4e0, reqid % 5) AS s FROM positions)
+SELECT reqid, aid FROM d JOIN objects o ON o.dec0 BETWEEN cdec - s * 1.01 AND cdec + s * 1.01
+WHERE (abs(o.ra0 - cra) < 90 OR abs(o.ra0 - cra) > 270)
+  AND {sql_half_planes([("cra + s", "cdec"), ("cra", "cdec + s"), ("cra - s", "cdec"), ("cra", "cdec - s")], sql_vec("o.ra0", "o.dec0"))}""")
+def polygon_search(t):
+    """Objects in a diamond around each requested position, of five sizes."""
+    from ..operators.polygons import polygon_search as op
+
+    d = t.positions.selectExpr("reqid", "ra AS cra", "dec AS cdec", "0.01D * pow(4D, reqid % 5) AS s")
+    wrapped = lambda x: f"pmod({x}, 360D)"
+    d = d.selectExpr("reqid", f"array({wrapped('cra + s')}, cra, {wrapped('cra - s')}, cra) AS ra", "array(cdec, cdec + s, cdec, cdec - s) AS dec")
+    return op(d, t.objects.select("aid", "ra0", "dec0"), "reqid", 4, ("ra0", "dec0")).select("reqid", "aid")
+
+
 @query("nearest_k", f"""
 WITH c AS (SELECT a.rid, b.rid AS other_rid, {sql_chord2('a.ra0', 'a.dec0', 'b.ra0', 'b.dec0')} AS c2
   FROM l2filemeta a JOIN l2filemeta b ON a.fid = b.fid AND b.dec0 BETWEEN a.dec0 - 0.2 AND a.dec0 + 0.2 WHERE a.rid <> b.rid),
