@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import images, jobs, validate, versions
+from ..session import shared_folder
+from ..sources import readers
 from .registry import query
 
 # --- scans, selections and look-ups -----------------------------------------------------
@@ -338,6 +342,13 @@ def missing_products_report(t):
     return jobs.missing_products_report(t.l2files, t.jobs)
 
 
+def _bundled(t, lines):
+    """Lines (file, line_no, value) written as bundles of text files and read again."""
+    folder = f"{shared_folder(t.spark)}/skycat-{uuid.uuid4().hex}"
+    lines.select(F.concat_ws("\t", "file", F.col("line_no").cast("string"), "value")).write.text(folder)
+    return readers.read_bundled_lines(t.spark, folder)
+
+
 @query("parse_job_logs", """SELECT concat('job_', CAST(user_id AS VARCHAR), '.log') AS file,
   CAST(arg_max(event_id, event_id) AS VARCHAR) AS batch_id, arg_max(CASE event_type WHEN 'error' THEN '64' ELSE '0' END, event_id) AS exit_code
   FROM events GROUP BY user_id""")
@@ -348,7 +359,11 @@ def parse_job_logs(t):
         "concat('terminating_exitcode  =  ', CASE event_type WHEN 'error' THEN '64' ELSE '0' END) AS value), "
         "struct(2 AS k, 'some other line' AS value))) AS l")
     lines = lines.selectExpr("file", "line_no * 3 + l.k AS line_no", "l.value AS value")
-    return jobs.parse_job_logs(lines, {"aws_batch_job_id": "batch_id", "terminating_exitcode": "exit_code"})
+    folder = f"{shared_folder(t.spark)}/skycat-{uuid.uuid4().hex}"
+    ordered = lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "value")
+    ordered.write.partitionBy("file").text(folder)  # a log for each job
+    logs = readers.read_numbered_lines(t.spark, folder).withColumn("file", readers.folder_name(F.col("file")))
+    return jobs.parse_job_logs(logs, {"aws_batch_job_id": "batch_id", "terminating_exitcode": "exit_code"})
 
 
 @query("parse_product_configs", """SELECT concat('job_', CAST(event_id AS VARCHAR), '.ini') AS file, CAST(user_id AS BIGINT) AS rfid,
@@ -359,7 +374,7 @@ def parse_product_configs(t):
         "posexplode(array('# made by the pipeline', '[JOB_PARAMS]', "
         "concat('job_started = ', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"), ' PT'), '[REF_IMAGE]', 'rfid = None', "
         "concat('rfid = ', CAST(user_id AS STRING)), concat('N_images = ', CAST(CAST(round(value * 10) AS BIGINT) AS STRING)))) AS (line_no, value)")
-    return jobs.config_columns(jobs.parse_product_configs(lines), {
+    return jobs.config_columns(jobs.parse_product_configs(_bundled(t, lines)), {
         ("REF_IMAGE", "rfid"): ("rfid", "bigint"), ("REF_IMAGE", "n_images"): ("n_images", "bigint"),
         ("JOB_PARAMS", "job_started"): ("job_started", "pt_time")})
 

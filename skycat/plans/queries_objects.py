@@ -271,22 +271,38 @@ def build_catalogue(t):
 # --- readers -----------------------------------------------------------------------------------
 
 
+def _folder(t) -> str:
+    return f"{shared_folder(t.spark)}/skycat-{uuid.uuid4().hex}"
+
+
+def _files(t, lines, by: str | None = None) -> str:
+    """The lines as text files, as the survey delivers them: what is read back is a scan of these files.  ``by`` gives each file a folder of that name."""
+    folder = _folder(t)
+    writer = lines.write if by is None else lines.write.partitionBy(by)
+    writer.text(folder)
+    return folder
+
+
 @query("scan_ascii_catalog", "SELECT ref_id, x, y, fwhm AS \"FLUX_RADIUS_1\" FROM ref_catalog")
 def scan_ascii_catalog(t):
-    lines = t.ref_catalog.selectExpr("explode(array('# 1 NUMBER', concat_ws('   ', '', ref_id, x, y, fwhm, mag))) AS value")
+    """Catalogue files with comment lines, and broken ones that are set apart."""
+    lines = t.ref_catalog.selectExpr("explode(array('# 1 NUMBER', concat_ws('   ', '', ref_id, x, y, fwhm, mag), "
+                                     "CASE WHEN ref_id % 50 = 0 THEN concat_ws(' ', ref_id, x) WHEN ref_id % 50 = 1 THEN concat_ws(' ', 'x', x, y, fwhm, mag) ELSE '' END)) AS value")
+    folder = _files(t, lines)
     names = readers.parameter_names(["NUMBER\n", "X_IMAGE\n", "Y_IMAGE\n", "FLUX_RADIUS(1)\n", "MAG\n"])
-    out = readers.parse_ascii_catalog(lines, names, {"NUMBER": "bigint", "X_IMAGE": "double", "Y_IMAGE": "double", "FLUX_RADIUS_1": "double"})
-    return out.withColumnsRenamed({"NUMBER": "ref_id", "X_IMAGE": "x", "Y_IMAGE": "y"})
+    out = readers.read_ascii_catalog(t.spark, folder, names, {"NUMBER": "bigint", "X_IMAGE": "double", "Y_IMAGE": "double", "FLUX_RADIUS_1": "double"}, "broken")
+    return out.filter("broken IS NULL").drop("file", "broken").withColumnsRenamed({"NUMBER": "ref_id", "X_IMAGE": "x", "Y_IMAGE": "y"})
 
 
 def _pair(t):
-    """Main and finder catalogues of the positive detections, one line per source."""
+    """Main and finder catalogue files of the detections, one line per source, with the detection run in front."""
     s = t.sources
-    main = s.selectExpr("pid", "concat_ws(' ', sid, xfit, yfit, fluxfit, fluxerr, redchi, flags, ra, dec) AS value")
-    finder = s.filter("id <> 3").selectExpr("pid", "concat_ws(' ', sid, sharpness, roundness1, npix, peak) AS value")
-    a = readers.parse_ascii_catalog(main, "id x_fit y_fit flux_fit flux_err reduced_chi2 flags ra dec".split(),
-                                    {"id": "bigint", "x_fit": "double", "y_fit": "double", "flux_fit": "double", "reduced_chi2": "double", "ra": "double"})
-    b = readers.parse_ascii_catalog(finder, "id sharpness roundness1 n_pixels peak".split(), {"id": "bigint", "sharpness": "double", "n_pixels": "int"})
+    main = _files(t, s.selectExpr("concat_ws(' ', pid, sid, xfit, yfit, fluxfit, fluxerr, redchi, flags, ra, dec) AS value"))
+    finder = _files(t, s.filter("id <> 3").selectExpr("concat_ws(' ', pid, sid, sharpness, roundness1, npix, peak) AS value"))
+    a = readers.read_ascii_catalog(t.spark, main, "pid id x_fit y_fit flux_fit flux_err reduced_chi2 flags ra dec".split(),
+                                   {"pid": "bigint", "id": "bigint", "x_fit": "double", "y_fit": "double", "flux_fit": "double", "reduced_chi2": "double", "ra": "double"}).drop("file")
+    b = readers.read_ascii_catalog(t.spark, finder, "pid id sharpness roundness1 n_pixels peak".split(),
+                                   {"pid": "bigint", "id": "bigint", "sharpness": "double", "n_pixels": "int"}).drop("file")
     return a, b, t.diffimages.select("pid", "expid", "sca", "fid", "field")
 
 
@@ -298,7 +314,9 @@ def scan_psf_catalog_pair(t):
 
 @query("scan_positions", "SELECT reqid, ra, dec FROM positions")
 def scan_positions(t):
-    return readers.parse_positions(t.positions.selectExpr("explode(array('# comment', concat_ws(',', reqid, ra, dec))) AS value"))
+    """Request files with comment lines, and broken ones that are set apart."""
+    lines = t.positions.selectExpr("explode(array('# comment', concat_ws(',', reqid, ra, dec), CASE WHEN reqid % 9 = 0 THEN concat_ws(',', reqid, 'north', dec) ELSE '' END)) AS value")
+    return readers.read_positions(t.spark, _files(t, lines), "broken").filter("broken IS NULL").drop("broken")
 
 
 @query("scan_injection_json", """SELECT truth_id % 1000 AS doc, CAST(truth_id AS VARCHAR) AS id, CASE WHEN truth_id % 2 = 0 THEN 'gaussian' ELSE 'sinusoidal' END AS type,
@@ -309,16 +327,19 @@ def scan_injection_json(t):
         "named_struct('type', CASE WHEN truth_id % 2 = 0 THEN 'gaussian' ELSE 'sinusoidal' END, 'ra', x, 'dec', y, 'parameters', "
         "named_struct('magnitude', mag, 'sigma', CASE WHEN truth_id % 2 = 0 THEN 2.5e0 END)) AS s")
     docs = one.groupBy("doc").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("id", "s")))).alias("value"))
-    return readers.parse_injections(docs).select("doc", "id", "type", "ra", "dec", "magnitude", "sigma")
+    folder = _files(t, docs.repartition("doc"), "doc")  # a file for each document
+    found = readers.read_injections(t.spark, folder)
+    return found.select(readers.folder_name(F.col("file")).cast("long").alias("doc"), "id", "type", "ra", "dec", "magnitude", "sigma")
 
 
 @query("scan_csv_schedule", """SELECT fid + 100 AS program, plan, pass, segment, duration, target = 3 AS unnamed FROM exposure_plan""")
 def scan_csv_schedule(t):
     lines = t.exposure_plan.selectExpr(
-        "concat('/plans/APT_csv/', CAST(fid + 100 AS STRING), '_plan.ecsv') AS file",
+        "concat(CAST(fid + 100 AS STRING), '_plan.ecsv') AS file",
         "explode(array('# %ECSV 1.0', 'PLAN PASS SEGMENT DURATION TARGET_NAME', concat_ws(' ', plan, pass, segment, duration, "
         "CASE WHEN target = 3 THEN '<no name>' ELSE 'star' END))) AS value")
-    out = readers.parse_exposure_plan(lines, "PLAN PASS SEGMENT DURATION TARGET_NAME".split(),
+    plans = readers.read_lines(t.spark, _files(t, lines, "file")).withColumn("file", readers.folder_name(F.col("file")))
+    out = readers.parse_exposure_plan(plans, "PLAN PASS SEGMENT DURATION TARGET_NAME".split(),
                                       {"PLAN": "bigint", "PASS": "bigint", "SEGMENT": "bigint", "DURATION": "double", "TARGET_NAME": "string"})
     return out.select("program", F.col("PLAN").alias("plan"), F.col("PASS").alias("pass"), F.col("SEGMENT").alias("segment"),
                       F.col("DURATION").alias("duration"), (F.col("TARGET_NAME") == "<no_name>").alias("unnamed"))
@@ -327,19 +348,17 @@ def scan_csv_schedule(t):
 @query("row_checksum", """SELECT filename, CASE WHEN page_id % 5 = 0 THEN 'missing' WHEN page_id % 3 = 0 THEN 'changed' ELSE 'ok' END AS state
   FROM (SELECT page_id, concat('page_', CAST(page_id AS VARCHAR), '.html') AS filename FROM pages)""")
 def row_checksum(t):
-    pages = t.pages.selectExpr("page_id", "concat('page_', CAST(page_id AS STRING), '.html') AS filename", "encode(html, 'UTF-8') AS content")
+    """Page files, as delivered, against the checksums that were stored for them."""
+    pages = t.pages.selectExpr("page_id", "concat('page_', CAST(page_id AS STRING), '.html') AS filename", "html AS value", "encode(concat(html, '\\n'), 'UTF-8') AS content")
     table = pages.select("filename", F.md5(F.when(F.col("page_id") % 3 == 0, F.lit(b"old")).otherwise(F.col("content"))).alias("checksum"))
-    found = pages.filter("page_id % 5 <> 0").select("filename", F.md5("content").alias("md5"))
+    folder = _files(t, pages.filter("page_id % 5 <> 0").select("filename", "value"), "filename")
+    found = readers.read_checksums(t.spark, folder, by_folder=True)
     return versions.row_changes(table, found).select("filename", "state")
 
 
 # --- writers: write, then read back --------------------------------------------------------------
 
 
-def _folder(t) -> str:
-    return f"{shared_folder(t.spark)}/skycat-{uuid.uuid4().hex}"
-
-
 @query("bulk_load_sources", """SELECT sca, isdiffpos, count(*) AS n, min(sid) AS first_sid FROM sources GROUP BY sca, isdiffpos""")
 def bulk_load_sources(t):
     path = _folder(t)

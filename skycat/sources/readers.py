@@ -11,15 +11,32 @@ from . import schemas
 DETECTOR_DATE = "yyyyMMdd"
 
 
+def file_path() -> Column:
+    """The path of the file a scanned row comes from."""
+    return F.col("_metadata.file_path")
+
+
+def folder_name(path: Column) -> Column:
+    """Name of the folder of a file; the value of a partition folder ``name=value``."""
+    return F.url_decode(F.regexp_extract(path, r"([^/=]+)/[^/]*$", 1))
+
+
 def read_lines(spark: SparkSession, path) -> DataFrame:
     """Text files as (file, value)."""
-    return spark.read.text(path).select(F.input_file_name().alias("file"), "value")
+    return spark.read.option("recursiveFileLookup", True).text(path).select(file_path().alias("file"), "value")
 
 
 def read_numbered_lines(spark: SparkSession, path) -> DataFrame:
     """Small text files (logs, configurations) as (file, line_no, value)."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "value"))
+    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    return whole.select(file_path().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "value"))
+
+
+def read_bundled_lines(spark: SparkSession, path) -> DataFrame:
+    """Many small text files bundled in few, as lines ``file<tab>line number<tab>text``, as (file, line_no, value).  Other lines are left out."""
+    parts = F.split("value", "\t", 3)
+    rows = read_lines(spark, path).filter(F.col("value").rlike("^[^\t]+\t[0-9]+\t"))
+    return rows.select(parts[0].alias("file"), parts[1].cast("long").alias("line_no"), parts[2].alias("value"))
 
 
 def parameter_names(lines: list[str]) -> list[str]:
@@ -27,19 +44,27 @@ def parameter_names(lines: list[str]) -> list[str]:
     return [line.strip().replace("(", "_").replace(")", "") for line in lines if line.strip()]
 
 
-def parse_ascii_catalog(lines: DataFrame, names: list[str], wanted: dict[str, str]) -> DataFrame:
+def parse_ascii_catalog(lines: DataFrame, names: list[str], wanted: dict[str, str], corrupt: str | None = None) -> DataFrame:
     """Wanted columns (name: type) of whitespace-separated lines; lines starting with # are skipped.
 
-    Other columns of ``lines`` are kept.
+    Other columns of ``lines`` are kept.  ``corrupt`` names a column for the text of lines that have too few or too many values, or a
+    wanted value that is not of its type; it is null for good lines.
     """
     keep = [c for c in lines.columns if c != "value"]
     token = F.split(F.trim("value"), r"\s+")
-    rows = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != "")).select(*keep, token.alias("__t"))
-    return rows.select(*keep, *[F.get("__t", F.lit(names.index(n))).try_cast(kind).alias(n) for n, kind in wanted.items()])
+    rows = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != "")).select(*keep, "value", token.alias("__t"))
+    found = {n: F.get("__t", F.lit(names.index(n))).try_cast(kind) for n, kind in wanted.items()}
+    out = [c.alias(n) for n, c in found.items()]
+    if corrupt:
+        bad = F.size("__t") != len(names)
+        for c in found.values():
+            bad = bad | c.isNull()
+        out.append(F.when(bad, F.col("value")).alias(corrupt))
+    return rows.select(*keep, *out)
 
 
-def read_ascii_catalog(spark: SparkSession, path, names: list[str], wanted: dict[str, str]) -> DataFrame:
-    return parse_ascii_catalog(read_lines(spark, path), names, wanted)
+def read_ascii_catalog(spark: SparkSession, path, names: list[str], wanted: dict[str, str], corrupt: str | None = None) -> DataFrame:
+    return parse_ascii_catalog(read_lines(spark, path), names, wanted, corrupt)
 
 
 def join_catalog_pair(main: DataFrame, finder: DataFrame, meta: DataFrame, keys: list[str]) -> DataFrame:
@@ -57,8 +82,12 @@ def parse_positions(lines: DataFrame) -> DataFrame:
     return lines.filter(~F.col("value").startswith("#")).select(row.alias("r")).select("r.*").filter("reqid IS NOT NULL")
 
 
-def read_positions(spark: SparkSession, path) -> DataFrame:
-    return spark.read.schema(schemas.POSITIONS).csv(path)
+def read_positions(spark: SparkSession, path, corrupt: str | None = None) -> DataFrame:
+    """Request files; ``corrupt`` names a column for the text of lines that cannot be read as a request."""
+    if corrupt is None:
+        return spark.read.schema(schemas.POSITIONS).option("comment", "#").csv(path)
+    schema = f"{schemas.POSITIONS}, {corrupt} string"
+    return spark.read.schema(schema).option("comment", "#").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).csv(path)
 
 
 def parse_injections(documents: DataFrame, value: str = "value") -> DataFrame:
@@ -69,7 +98,9 @@ def parse_injections(documents: DataFrame, value: str = "value") -> DataFrame:
 
 
 def read_injections(spark: SparkSession, path) -> DataFrame:
-    return parse_injections(spark.read.text(path, wholetext=True))
+    """JSON files, a document each, with the file of each source."""
+    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    return parse_injections(whole.select(file_path().alias("file"), "value"))
 
 
 def program_of_file(path: Column) -> Column:
@@ -107,7 +138,8 @@ def read_segment_schedule(spark: SparkSession, path) -> DataFrame:
     return parse_segments(rows)
 
 
-def read_checksums(spark: SparkSession, path) -> DataFrame:
-    """File name and md5 of the content of every file."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.substring_index("path", "/", -1).alias("filename"), F.md5("content").alias("md5"))
+def read_checksums(spark: SparkSession, path, by_folder: bool = False) -> DataFrame:
+    """File name and md5 of the content of every file; ``by_folder`` takes the name of a file's folder for its own."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    name = folder_name(F.col("path")) if by_folder else F.substring_index("path", "/", -1)
+    return files.select(name.alias("filename"), F.md5("content").alias("md5"))
