@@ -40,7 +40,7 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) A
   sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM h LEFT JOIN k ON k.r = h.r""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.deduplicated(read(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.deduplicated(read(spark, sf_dir, "documents"), keep_texts=False).drop("kept")
 
 
 @_query("op2_pii")

@@ -77,6 +77,18 @@ def test_index_of_a_part():
             assert [seen[r[i:i + length]] > 1 for i in range(len(r) - length + 1)] == [any(a <= i < b for a, b in runs) for i in range(len(r) - length + 1)]
 
 
+def test_the_index_grows_with_the_runs_not_the_text():
+    rng = random.Random(5)
+    base = bytes(rng.choice(b"abcd") for _ in range(400)) + b"\xff"
+    for copies in (2, 40):
+        text = np.frombuffer(base * copies, np.uint8)
+        index = suffix_dedup.run_index(text, 200)
+        assert int(index.lengths.sum()) == len(text) and (index.heads[1:] != index.heads[:-1]).all()
+        assert len(index.heads) < 600 and len(index.heads) == len(index.lengths)
+        whole = suffix_dedup.match_lengths(text, 200)
+        assert (np.concatenate([index.statistics(i, min(i + 100, len(text))) for i in range(0, len(text), 100)]) == whole).all()
+
+
 def test_units_over_block_borders(monkeypatch):
     rng = random.Random(2)
     raw = bytes(rng.choice(b"abcd") for _ in range(3000)) * 2
