@@ -216,11 +216,14 @@ def _alerts(t, forced=None):
     return nested.assemble_alerts(triggers, t.merges, o, t.sources, t.filters, forced=forced)
 
 
-@query("alert_history_rows", f"""WITH {LATEST},
+HISTORY = f"""WITH {LATEST},
 d AS (SELECT l.trigger_sid, s.*, f.filter FROM l JOIN merges m ON l.aid = m.aid JOIN sources s ON m.sid = s.sid JOIN filters f ON s.fid = f.fid
    WHERE s.mjdobs >= trigger_mjd - 365.25 AND s.sid <> trigger_sid)
 SELECT trigger_sid, CAST(row_number() OVER (PARTITION BY trigger_sid ORDER BY mjdobs, sid) - 1 AS INT) AS pos, sid AS "diaSourceId", expid AS visit,
-  partkey AS "diaObjectId", mjdobs AS "midpointMjdTai", filter AS band, fluxfit AS "psfFlux", field, pid FROM d""")
+  partkey AS "diaObjectId", mjdobs AS "midpointMjdTai", filter AS band, fluxfit AS "psfFlux", field, pid FROM d"""
+
+
+@query("alert_history_rows", HISTORY)
 def alert_history_rows(t):
     """The nested history of all alerts, record by record."""
     rows = _alerts(t).select(F.col("diaSourceId").alias("trigger_sid"), F.posexplode("prvDiaSources").alias("pos", "r"))
@@ -491,3 +494,36 @@ def alert_stream_in(t):
     (arriving.select("diaSourceId", F.col("diaObject.diaObjectId").alias("aid")).writeStream.format("parquet")
      .option("checkpointLocation", f"{folder}/_in").option("path", f"{folder}/out").trigger(availableNow=True).start().awaitTermination())
     return t.spark.read.parquet(f"{folder}/out")
+
+
+@query("alert_packets_avro", HISTORY)
+def alert_packets_avro(t):
+    """All alerts as Avro packets, written in two parts and streamed back; every nested record of the history."""
+    folder = _folder(t)
+    alerts = _alerts(t)
+    for part in (alerts.filter("diaSourceId % 2 = 0"), alerts.filter("diaSourceId % 2 <> 0")):
+        writers.write_alerts(part, f"{folder}/in", packets="avro")
+        arriving = streaming.alert_stream_in(t.spark, f"{folder}/in", alerts.schema, packets="avro")
+        (arriving.writeStream.format("parquet").option("checkpointLocation", f"{folder}/_in").option("path", f"{folder}/out")
+         .trigger(availableNow=True).start().awaitTermination())
+    rows = t.spark.read.schema(alerts.schema).parquet(f"{folder}/out").select(F.col("diaSourceId").alias("trigger_sid"), F.posexplode("prvDiaSources").alias("pos", "r"))
+    return rows.select("trigger_sid", "pos", *[f"r.{c}" for c in ("diaSourceId", "visit", "diaObjectId", "midpointMjdTai", "band", "psfFlux", "field", "pid")])
+
+
+@query("alert_packets_whole", f"""WITH {LATEST},
+d AS (SELECT l.trigger_sid, l.trigger_mjd, s.sid, s.mjdobs, s.fluxfit FROM l JOIN merges m ON l.aid = m.aid JOIN sources s ON m.sid = s.sid JOIN filters f ON s.fid = f.fid
+   WHERE s.mjdobs >= trigger_mjd - 365.25 AND s.sid <> trigger_sid),
+h AS (SELECT trigger_sid, count(*) AS n, min(mjdobs) AS first, max(mjdobs) AS last, sum(fluxfit) AS flux FROM d GROUP BY trigger_sid)
+SELECT l.trigger_sid AS "diaSourceId", l.aid, s.expid AS visit, s.mjdobs AS "midpointMjdTai", f.filter AS band, s.fluxfit AS "psfFlux", s.ra, s.dec,
+  coalesce(h.n, 0) AS n_prev, round(coalesce(h.flux, 0), 3) AS prev_flux, least(s.mjdobs, coalesce(h.first, s.mjdobs)) AS first_mjd, greatest(s.mjdobs, coalesce(h.last, s.mjdobs)) AS last_mjd
+FROM l JOIN sources s ON s.sid = l.trigger_sid JOIN filters f ON s.fid = f.fid LEFT JOIN h ON h.trigger_sid = l.trigger_sid""")
+def alert_packets_whole(t):
+    """The other parts of all packets, through the bytes that a message broker carries."""
+    from ..sources import avro
+
+    alerts = _alerts(t)
+    back = avro.decode_rows(avro.encode_rows(alerts, "diaSourceId"), alerts.schema)
+    total = F.round(F.aggregate(F.coalesce("prvDiaSources", F.array().cast(alerts.schema["prvDiaSources"].dataType)), F.lit(0.0), lambda a, s: a + s["psfFlux"]), 3)
+    return back.select("diaSourceId", F.col("diaObject.diaObjectId").alias("aid"), *[f"diaSource.{c}" for c in ("visit", "midpointMjdTai", "band", "psfFlux", "ra", "dec")],
+                       F.greatest(F.coalesce(F.size("prvDiaSources"), F.lit(0)), F.lit(0)).cast("long").alias("n_prev"), total.alias("prev_flux"),
+                       F.col("diaObject.firstDiaSourceMjdTai").alias("first_mjd"), F.col("diaObject.lastDiaSourceMjdTai").alias("last_mjd"))

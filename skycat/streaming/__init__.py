@@ -96,10 +96,20 @@ def alert_stream_out(sources: DataFrame, folder: str, merges: DataFrame, objects
 
 
 def alert_stream_in(spark: SparkSession, folder: str | None = None, schema=None, servers: str | None = None,
-                    topic: str = "alerts") -> DataFrame:
-    """Stream of alert packets from files, or from Kafka where the connector is installed."""
+                    topic: str = "alerts", packets: str = "json") -> DataFrame:
+    """Stream of alert packets from files, or from Kafka where the connector is installed.
+
+    ``packets``: ``avro`` for Avro container files, or messages of Avro bytes; otherwise nested Parquet, or JSON messages.
+    """
+    from ..sources import avro
+
     if servers is not None:
         raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
                .option("startingOffsets", "earliest").load())
+        if packets == "avro":
+            return avro.decode_rows(raw, schema)
         return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("a")).select("a.*")
+    if packets == "avro":
+        avro.register(spark)
+        return spark.readStream.format("skycat_avro").schema(schema).load(folder)
     return spark.readStream.schema(schema).parquet(folder)

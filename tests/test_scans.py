@@ -44,3 +44,17 @@ def test_names_of_folders(spark, tmp_path):
 def test_bundles(spark, tmp_path):
     (tmp_path / "b.txt").write_text("job_1.ini\t0\t[A]\njob_1.ini\t1\tk = v\tw\nno bundle line\njob_2.ini\tx\ty\n")
     assert {tuple(r) for r in readers.read_bundled_lines(spark, str(tmp_path / "b.txt")).collect()} == {("job_1.ini", 0, "[A]"), ("job_1.ini", 1, "k = v\tw")}
+
+
+def test_loads_know_null_keys_and_repeated_ones(spark, tmp_path):
+    from skycat.sources import writers
+
+    schema = "pid long, id int, flux double, proc_date string, sca int"
+    rows = [(1, 1, 1.0, "2020", 1), (1, 1, 0.5, "2020", 1), (None, 2, 2.0, "2020", 1), (None, 2, 1.0, "2020", 1), (3, None, 1.0, "2021", 2), (4, 4, 4.0, "2021", 2)]
+    positive, negative = spark.createDataFrame(rows, schema), spark.createDataFrame(rows[:1], schema)
+    path = str(tmp_path / "sources")
+    assert writers.bulk_load_sources(positive, negative, path) == 5
+    assert writers.bulk_load_sources(positive, negative, path) == 0
+    assert writers.bulk_load_sources(spark.createDataFrame([(None, 9, 1.0, "2021", 2), (3, None, 9.0, "2021", 2)], schema), negative, path) == 1
+    got = {(r["pid"], r["id"], r["isdiffpos"]): r["flux"] for r in spark.read.parquet(path).collect()}
+    assert got == {(1, 1, True): 0.5, (None, 2, True): 1.0, (3, None, True): 1.0, (4, 4, True): 4.0, (1, 1, False): 1.0, (None, 9, True): 1.0}
