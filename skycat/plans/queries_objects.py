@@ -13,7 +13,7 @@ from ..session import shared_folder
 from ..sources import readers, writers
 from ..streaming import state
 from .fixtures import Catalog
-from .queries_sky import BITS, HEALPIX, R, rounded, walked
+from .queries_sky import BITS, HEALPIX, R, rounded, walked, within
 from .registry import query
 
 BEST = "SELECT pid FROM diffimages WHERE vbest <> 0"
@@ -401,6 +401,24 @@ def sink_skypixel_catalog(t):
     return t.spark.read.parquet(path).groupBy("norder", F.col("npix").cast("long").alias("npix")).agg(F.count("*").alias("n"))
 
 
+@query("skypixel_margin_join", f"""SELECT a.rid, b.rid AS other_rid FROM l2filemeta a JOIN l2filemeta b
+  ON {within(0.3, 'a.ra0', 'a.dec0', 'b.ra0', 'b.dec0')} WHERE a.rid <> b.rid""")
+def skypixel_margin_join(t):
+    """Image centres as a sky-pixel catalogue with margins of 0.3 degrees: every pixel is matched alone, its rows with its rows and its margin."""
+    from ..operators import spatial
+
+    path = _folder(t)
+    rows = t.l2filemeta.select("rid", "ra0", "dec0", healpix_nested("ra0", "dec0", 5).alias("hp5"))
+    shape = dict(pixel="hp5", max_rows=200, lowest=2, highest=5)
+    writers.write_skypixel_catalog(rows, f"{path}/rows", **shape)
+    writers.write_skypixel_margin(rows, f"{path}/margin", 0.3, pos=("ra0", "dec0"), **shape)
+    own, margin = (t.spark.read.parquet(f"{path}/{x}").select("rid", "ra0", "dec0", "norder", "npix") for x in ("rows", "margin"))
+    there = own.unionByName(margin).toDF("other_rid", "o_ra", "o_dec", "o_norder", "o_npix")
+    pairs = spatial.sky_join_all_pairs(own, there, 0.3, ("ra0", "dec0"), ("o_ra", "o_dec"), on=[("norder", "o_norder"), ("npix", "o_npix")], distance=None,
+                                       keep=F.col("rid") != F.col("other_rid"))
+    return pairs.select("rid", "other_rid")
+
+
 @query("sink_alerts", f"""WITH {LATEST} SELECT trigger_sid AS "diaSourceId", aid FROM l""")
 def sink_alerts(t):
     path = _folder(t)
