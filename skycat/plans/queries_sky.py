@@ -562,3 +562,66 @@ reach(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON
 SELECT a AS sid, min(b) AS "group" FROM reach GROUP BY a""")
 def friends_of_friends(t):
     return associate.friends_of_friends(t.sources.select("sid", "ra", "dec"), "sid", R)
+
+
+# --- tiles from the data -------------------------------------------------------------------------
+
+QUADTREE = """WITH l AS (SELECT unnest(range(0, 9)) AS level),
+n AS (SELECT level, CAST(floor(ra0 / (90e0 / pow(2, level))) AS BIGINT) AS ix, CAST(floor((dec0 + 90) / (90e0 / pow(2, level))) AS BIGINT) AS iy, count(*) AS n FROM objects, l GROUP BY ALL),
+sp AS (SELECT level, ix, iy FROM n WHERE n > 40 AND level < 8),
+c AS (SELECT level + 1 AS level, ix * 2 + i AS ix, iy * 2 + j AS iy FROM sp, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j)
+  UNION ALL SELECT 0, i, j FROM (SELECT unnest([0, 1, 2, 3]) AS i), (SELECT unnest([0, 1]) AS j)),
+q AS (SELECT c.level * 281474976710656 + c.iy * 16777216 + c.ix AS rtid, c.level, coalesce(n.n, 0) AS n, c.ix * 90e0 / pow(2, c.level) AS ramin, (c.ix + 1) * 90e0 / pow(2, c.level) AS ramax,
+  c.iy * 90e0 / pow(2, c.level) - 90 AS decmin, (c.iy + 1) * 90e0 / pow(2, c.level) - 90 AS decmax, (c.iy + 0.5e0) * 90e0 / pow(2, c.level) - 90 AS cdec
+  FROM c LEFT JOIN n ON n.level = c.level AND n.ix = c.ix AND n.iy = c.iy WHERE NOT EXISTS (SELECT 1 FROM sp WHERE sp.level = c.level AND sp.ix = c.ix AND sp.iy = c.iy))
+"""
+
+
+def _quadtree(t):
+    from ..operators.quadtree import quadtree_tiles as op
+
+    return op(t.objects, 40, 8, ("ra0", "dec0"))
+
+
+@query("quadtree_tiles", QUADTREE + "SELECT rtid, CAST(level AS INT) AS level, n, ramin, ramax, decmin, decmax, cdec FROM q")
+def quadtree_tiles(t):
+    return _quadtree(t).drop("ix", "iy")
+
+
+@query("quadtree_neighbors", QUADTREE + """SELECT a.rtid, b.rtid AS neighbor FROM q a JOIN q b ON a.rtid <> b.rtid AND a.decmin <= b.decmax AND b.decmin <= a.decmax
+  AND (a.ramin <= b.ramax AND b.ramin <= a.ramax OR a.ramin = 0 AND b.ramax = 360 OR b.ramin = 0 AND a.ramax = 360)""")
+def quadtree_neighbors(t):
+    from ..operators.quadtree import quadtree_neighbors as op
+
+    return op(_quadtree(t))
+
+
+@query("quadtree_dec_bins", QUADTREE + "SELECT cdec, count(*) AS nrabins, CAST(row_number() OVER (ORDER BY cdec) AS INT) AS dbid FROM q GROUP BY cdec")
+def quadtree_dec_bins(t):
+    return tiles.tile_dec_bins(_quadtree(t))
+
+
+# --- moving objects --------------------------------------------------------------------------------
+
+MOVING = """m AS (SELECT aid AS ss_id, 49800e0 + aid % 900 AS start_mjd, ra0 AS start_ra, dec0 AS start_dec, 50200e0 + aid % 900 AS stop_mjd,
+  (ra0 + 2e-2) % 360 AS stop_ra, dec0 + 1e-2 AS stop_dec FROM objects)"""
+
+
+def _along(axis):
+    a, b = sql_vec("start_ra", "start_dec")[axis], sql_vec("stop_ra", "stop_dec")[axis]
+    return f"(({a}) + (s.mjdobs - start_mjd) / (stop_mjd - start_mjd) * (({b}) - ({a})))"
+
+
+@query("moving_object_matches", f"""WITH {MOVING},
+p AS (SELECT s.sid, m.ss_id, s.ra, s.dec, {_along(0)} AS x, {_along(1)} AS y, {_along(2)} AS z FROM sources s JOIN m
+  ON s.mjdobs >= start_mjd AND s.mjdobs < stop_mjd AND s.dec BETWEEN start_dec - 1e-1 AND start_dec + 1e-1),
+d AS (SELECT sid, ss_id, """ + " + ".join(f"pow(({v}) - {c} / sqrt(x * x + y * y + z * z), 2)" for v, c in zip(sql_vec("ra", "dec"), "xyz")) + f""" AS c2 FROM p),
+b AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY c2, ss_id) AS n FROM d WHERE c2 <= {limit_of(4e-3)!r})
+SELECT sid, ss_id, round({sql_deg('c2')}, 8) AS dist_deg FROM b WHERE n = 1""")
+def moving_object_matches(t):
+    """Objects that drift away from where each part's sources lie, within four thousandths of a degree at the source's own time."""
+    from ..operators.moving import moving_object_matches as op
+
+    moving = t.objects.selectExpr("aid AS ss_id", "49800D + aid % 900 AS start_mjd", "ra0 AS start_ra", "dec0 AS start_dec", "50200D + aid % 900 AS stop_mjd",
+                                  "pmod(ra0 + 2e-2D, 360D) AS stop_ra", "dec0 + 1e-2D AS stop_dec")
+    return rounded(op(t.sources.select("sid", "mjdobs", "ra", "dec"), moving, 4e-3), 8, "dist_deg")
