@@ -336,10 +336,10 @@ def friends_of_friends(points: DataFrame, key: str, link_deg: float, pos=("ra",
     h = link_deg / 1.5
     zone = zone_of(pos[1], h)
     ring = F.abs(zone * h - 90.0) > POLE_DEG - h  # ring cells are wide: such points stand alone
-    node = F.when(ring, -F.abs(F.xxhash64(*pos)) - 1).otherwise(zone * (1 << 32) + cell_of(pos[0], zone, h))
-    keyed = points.select(key, *pos, node.alias("node"))
-    spots = keyed.select("node", *pos).distinct()
-    spots = cut_lineage(spots)
+    # a node is a cell, or a position by its number in the table that is written here
+    node = F.when(ring, -F.monotonically_increasing_id() - 1).otherwise(zone * (1 << 32) + cell_of(pos[0], zone, h))
+    spots = cut_lineage(points.select(*pos).distinct().select(node.alias("node"), *pos))
+    keyed = points.select(key, *pos).join(spots, list(pos))
     a = spots.select(F.col("node").alias("src"), F.col(pos[0]).alias("a_ra"), F.col(pos[1]).alias("a_dec"))
     b = spots.select(F.col("node").alias("dst"), F.col(pos[0]).alias("b_ra"), F.col(pos[1]).alias("b_dec"))
     edges = sky_join_all_pairs(a, b, link_deg, ("a_ra", "a_dec"), ("b_ra", "b_dec"), distance=None,

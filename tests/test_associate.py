@@ -63,6 +63,17 @@ def test_friends_of_friends(spark):
     assert all(g == min(v) for g, v in got.items())
 
 
+def test_friends_around_the_pole(spark):
+    """Positions near the poles are nodes of their own: close ones are friends, far ones are not."""
+    rnd = random.Random(5)
+    points = [(i, rnd.uniform(0, 360), 90 - abs(rnd.gauss(0, 2e-3))) for i in range(120)] + [(200, 10.0, 90.0), (201, 250.0, 90.0), (202, 10.0, -90.0), (203, 10.0, 89.9999)]
+    df = spark.createDataFrame(points, "k long, ra double, dec double")
+    got = {}
+    for r in associate.friends_of_friends(df, "k", 3e-4).collect():
+        got.setdefault(r.group, set()).add(r.k)
+    assert {frozenset(v) for v in got.values()} == brute.groups(points, 3e-4)
+
+
 def test_across_fields(spark):
     objects = spark.createDataFrame([(1, 10, 1.0, 0.0), (2, 11, 1.00001, 0.0)], "aid long, field long, meanra double, meandec double")
     sources = spark.createDataFrame([(5, 11, 1.0, 0.0), (6, 12, 1.0, 0.0), (7, 10, 1.0, 0.0)], "sid long, field long, ra double, dec double")
