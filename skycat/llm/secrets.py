@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from . import spans
-from .common import slices, small, texts, written
+from .common import slices, texts, written
 
 KINDS = ["assign", "access", "hex", "learned"]
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -304,15 +304,16 @@ def masked(text: pd.Series, found: pd.Series) -> pd.Series:
 
 
 def redact(docs: DataFrame, recall: float = RECALL) -> DataFrame:
-    """``docs`` with every secret of ``text`` replaced by ``MARK``; a column ``n_chars`` follows the text, the others stay.
+    """``docs`` with every secret of ``text`` replaced by ``MARK``; a column ``n_chars`` follows the text, the others stay, whatever their names.
 
     Spans are joined by the text's hash, so null and repeated ids do not matter; only texts with findings have any.
     """
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    scanned = scan(hashed.select(F.col("_text_hash").alias("doc_id"), "text"), recall).filter(F.size("spans") > 0)
-    found = small(scanned.groupBy("doc_id").agg(F.first("spans").alias("_found")).withColumnRenamed("doc_id", "_text_hash"))
-    out = hashed.join(found, "_text_hash", "left").withColumn("text", F.when(F.col("_found").isNull(), F.col("text")).otherwise(masked("text", "_found")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("text").alias("hash"))
+    scanned = scan(rows.select(F.col("hash").alias("doc_id"), F.col("row.text").alias("text")), recall).filter(F.size("spans") > 0)
+    found = written(scanned.groupBy("doc_id").agg(F.first("spans").alias("found")).withColumnRenamed("doc_id", "hash"))
+    out = rows.join(found, "hash", "left").withColumn("text", F.when(F.col("found").isNull(), F.col("row.text")).otherwise(masked("row.text", "found")))
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
-    return out.select(docs.columns)
+        columns["n_chars"] = F.when(F.col("found").isNull(), F.col("row.n_chars")).otherwise(F.char_length("text").cast(kind))
+    return out.select(*[c.alias(name) for name, c in columns.items()])

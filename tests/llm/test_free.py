@@ -199,6 +199,15 @@ def test_learned_spans_never_replace_rules(spark):
     assert all(r["n_chars"] == len(r["text"]) for i, r in redacted.items() if secrets.MARK in r["text"])
 
 
+def test_redaction_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, 'password="abcdef123456" here', 28, "a", "b", "c", "d"), (2, "nothing", 7, "a", "b", "c", "d")],
+                                 "doc_id bigint, text string, n_chars int, _found string, _text_hash string, found string, `row` string")
+    got = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
+    assert secrets.redact(docs).columns == docs.columns
+    assert "abcdef" not in got[1]["text"] and got[1]["n_chars"] == len(got[1]["text"]) and tuple(got[2])[1:3] == ("nothing", 7)
+    assert all(tuple(r)[3:] == ("a", "b", "c", "d") for r in got.values())
+
+
 # -- segmentations --------------------------------------------------------------------------------
 
 
