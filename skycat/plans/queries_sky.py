@@ -237,7 +237,7 @@ def sca_footprints(t):
 
 
 @query("cone_search", f"SELECT sid, ra, dec, round({sql_deg(sql_chord2('ra', 'dec', '180e0', '10e0'))}, 9) AS dist_deg FROM sources "
-       f"WHERE {sql_chord2('ra', 'dec', '180e0', '10e0')} <= {geometry.chord2_limit(20.0)!r} ORDER BY dist_deg")
+       f"WHERE {sql_chord2('ra', 'dec', '180e0', '10e0')} <= {limit_of(20.0)!r} ORDER BY dist_deg")
 def cone_search(t):
     return rounded(spatial.cone_search(t.sources.select("sid", "ra", "dec"), 180.0, 10.0, 20.0), 9, "dist_deg")
 
@@ -293,7 +293,7 @@ WITH c AS (SELECT a.rid, b.rid AS other_rid, b.mjdobs AS other_mjd, {sql_chord2(
     {" OR ".join(sql_inside(i) for i in range(5))} AS inside
   FROM l2filemeta a JOIN l2filemeta b ON a.fid = b.fid JOIN l2files f ON b.rid = f.rid
   WHERE f.vbest > 0 AND f.status > 0 AND b.mjdobs < a.mjdobs AND a.rid <> b.rid AND b.dec0 BETWEEN a.dec0 - 0.2 AND a.dec0 + 0.2)
-SELECT rid, other_rid, other_mjd, round({sql_deg('c2')}, 8) AS dist_deg FROM c WHERE c2 <= {geometry.chord2_limit(0.18)!r} AND inside""")
+SELECT rid, other_rid, other_mjd, round({sql_deg('c2')}, 8) AS dist_deg FROM c WHERE c2 <= {limit_of(0.18)!r} AND inside""")
 def overlapping_images(t):
     targets = t.l2filemeta.withColumns({"start_mjd": F.lit(0.0), "end_mjd": F.col("mjdobs")})
     flags = t.l2files.select("rid", "vbest", "status")
@@ -329,7 +329,7 @@ def polygon_search(t):
 @query("nearest_k", f"""
 WITH c AS (SELECT a.rid, b.rid AS other_rid, {sql_chord2('a.ra0', 'a.dec0', 'b.ra0', 'b.dec0')} AS c2
   FROM l2filemeta a JOIN l2filemeta b ON a.fid = b.fid AND b.dec0 BETWEEN a.dec0 - 0.2 AND a.dec0 + 0.2 WHERE a.rid <> b.rid),
-k AS (SELECT rid, other_rid, round({sql_deg('c2')}, 8) AS dist_deg FROM c WHERE c2 <= {geometry.chord2_limit(0.18)!r})
+k AS (SELECT rid, other_rid, round({sql_deg('c2')}, 8) AS dist_deg FROM c WHERE c2 <= {limit_of(0.18)!r})
 SELECT rid, other_rid, dist_deg, n AS rank FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY dist_deg, other_rid) AS n FROM k) WHERE n <= 3""")
 def nearest_k(t):
     a = t.l2filemeta.select("rid", "fid", "ra0", "dec0")
@@ -408,16 +408,57 @@ def image_fields(t):
     return tiles.image_fields(m, t.tiles, h=2.0)
 
 
-@query("footprint_overlap_percent")
-def footprint_overlap_percent(t):
-    from ..operators.overlap import footprint_overlap_percent as op
+def _on_plane(ra, dec):
+    """(x, y) in arcseconds on the tangent plane at the first footprint's centre, in SQL."""
+    sin0, cos0 = "sin(radians(p.dec0))", "cos(radians(p.dec0))"
+    toward = f"({sin0} * sin(radians({dec})) + {cos0} * cos(radians({dec})) * cos(radians({ra} - p.ra0)))"
+    return (f"degrees(cos(radians({dec})) * sin(radians({ra} - p.ra0)) / {toward}) * 3600",
+            f"degrees(({cos0} * sin(radians({dec})) - {sin0} * cos(radians({dec})) * cos(radians({ra} - p.ra0))) / {toward}) * 3600")
+
+
+def _listed(axis, prefix):
+    return "[" + ", ".join(_on_plane(f"{prefix}ra{i}", f"{prefix}dec{i}")[axis] for i in range(1, 5)) + "]"
+
+
+# the area shared by two convex polygons as the integral along the edges of each within the other; edges of both, on one
+# meridian, count once: those of the first are taken as just inside, those of the second as just outside
+OVERLAP = f"""WITH p AS (SELECT a.*, b.rid AS other_rid, {", ".join(f"b.{c}{i} AS o_{c}{i}" for i in range(5) for c in ("ra", "dec"))}
+  FROM l2filemeta a JOIN l2filemeta b ON a.fid = b.fid AND {within(0.18, 'a.ra0', 'a.dec0', 'b.ra0', 'b.dec0')} WHERE a.rid <> b.rid),
+c AS (SELECT rid, other_rid, {_listed(0, "p.")} AS ax, {_listed(1, "p.")} AS ay, {_listed(0, "p.o_")} AS bx, {_listed(1, "p.o_")} AS b_y FROM p),
+s AS (SELECT *, list_sum([ax[i] * ay[i % 4 + 1] - ax[i % 4 + 1] * ay[i] FOR i IN [1, 2, 3, 4]]) / 2 AS sa, list_sum([bx[i] * b_y[i % 4 + 1] - bx[i % 4 + 1] * b_y[i] FOR i IN [1, 2, 3, 4]]) / 2 AS sb FROM c),
+o AS (SELECT rid, other_rid, sa, sb, 0 AS poly, CASE WHEN sa < 0 THEN list_reverse(ax) ELSE ax END AS x, CASE WHEN sa < 0 THEN list_reverse(ay) ELSE ay END AS y FROM s
+  UNION ALL SELECT rid, other_rid, sa, sb, 1, CASE WHEN sb < 0 THEN list_reverse(bx) ELSE bx END, CASE WHEN sb < 0 THEN list_reverse(b_y) ELSE b_y END FROM s),
+e AS (SELECT rid, other_rid, sa, sb, poly, i, x[i] AS x0, y[i] AS y0, x[i % 4 + 1] AS x1, y[i % 4 + 1] AS y1 FROM o, (SELECT unnest([1, 2, 3, 4]) AS i)),
+d AS (SELECT e.*, (g.x1 - g.x0) * (e.y0 - g.y0) - (g.y1 - g.y0) * (e.x0 - g.x0) + 1e-9 - 2e-9 * e.poly AS d0, (g.x1 - g.x0) * (e.y1 - g.y0) - (g.y1 - g.y0) * (e.x1 - g.x0) + 1e-9 - 2e-9 * e.poly AS d1
+  FROM e JOIN e g ON e.rid = g.rid AND e.other_rid = g.other_rid AND e.poly <> g.poly),
+r AS (SELECT rid, other_rid, sa, sb, poly, i, x0, y0, x1, y1, max(CASE WHEN d0 < 0 AND d1 >= 0 THEN d0 / (d0 - d1) ELSE 0 END) AS t0,
+  min(CASE WHEN d0 >= 0 AND d1 < 0 THEN d0 / (d0 - d1) ELSE 1 END) AS t1, bool_or(d0 < 0 AND d1 < 0) AS away FROM d GROUP BY ALL),
+q AS (SELECT rid, other_rid, sa, sb, sum(CASE WHEN away OR t0 >= t1 THEN 0 ELSE ((x0 + t0 * (x1 - x0)) * (y0 + t1 * (y1 - y0)) - (x0 + t1 * (x1 - x0)) * (y0 + t0 * (y1 - y0))) / 2 END) AS area
+  FROM r GROUP BY rid, other_rid, sa, sb)
+"""
 
+
+def _footprint_pairs(t):
     a = t.l2filemeta.select("rid", "fid", "mjdobs", *[f"{c}{i}" for i in range(5) for c in ("ra", "dec")])
     b = a.withColumnsRenamed({"rid": "other_rid", "fid": "other_fid", "mjdobs": "other_mjd",
                               **{f"{c}{i}": f"o_{c}{i}" for i in range(5) for c in ("ra", "dec")}})
-    pairs = spatial.sky_join_all_pairs(a, b, 0.18, ("ra0", "dec0"), ("o_ra0", "o_dec0"), on=[("fid", "other_fid")], repeat="left",
-                                       distance=None, keep=F.col("rid") != F.col("other_rid"))
-    return rounded(op(pairs).select("rid", "other_rid", "percent"), 6, "percent")
+    return spatial.sky_join_all_pairs(a, b, 0.18, ("ra0", "dec0"), ("o_ra0", "o_dec0"), on=[("fid", "other_fid")], repeat="left",
+                                      distance=None, keep=F.col("rid") != F.col("other_rid"))
+
+
+@query("footprint_overlap_percent", OVERLAP + "SELECT rid, other_rid, round(100 * area / abs(sa), 6) AS percent FROM q")
+def footprint_overlap_percent(t):
+    from ..operators.overlap import footprint_overlap_percent as op
+
+    return rounded(op(_footprint_pairs(t)).select("rid", "other_rid", "percent"), 6, "percent")
+
+
+@query("footprint_overlaps", OVERLAP + "SELECT rid, other_rid, round(100 * area / abs(sa), 6) AS percent, round(100 * area / abs(sb), 6) AS other_percent FROM q")
+def footprint_overlaps(t):
+    """Both directions, by the clipper for general polygons."""
+    from ..operators.clipping import footprint_overlaps as op
+
+    return rounded(op(_footprint_pairs(t)).select("rid", "other_rid", "percent", "other_percent"), 6, "percent", "other_percent")
 
 
 # --- pixel-space matches -----------------------------------------------------------------------

@@ -5,11 +5,10 @@ from __future__ import annotations
 import re
 import uuid
 
-from ..functions import geometry
 from ..sql import register
 from .fixtures import BASE, FIXTURES
 from .queries_images import VERSIONED
-from .queries_sky import sql_chord2, sql_deg
+from .queries_sky import limit_of, sql_chord2, sql_deg
 from .registry import query
 
 
@@ -28,7 +27,7 @@ def run(t, text: str):
 
 
 @query("sql_cone_search", f"SELECT sid, ra, dec, round({sql_deg(sql_chord2('ra', 'dec', '180e0', '10e0'))}, 9) AS dist_deg FROM sources "
-       f"WHERE {sql_chord2('ra', 'dec', '180e0', '10e0')} <= {geometry.chord2_limit(20.0)!r}")
+       f"WHERE {sql_chord2('ra', 'dec', '180e0', '10e0')} <= {limit_of(20.0)!r}")
 def sql_cone_search(t):
     return run(t, "SELECT sid, ra, dec, round(dist_deg, 9) AS dist_deg FROM cone_search(TABLE(SELECT sid, ra, dec FROM sources), 180.0D, 10.0D, 20.0D)")
 
@@ -53,7 +52,7 @@ def sql_versions(t):
 @query("sql_scalars", """SELECT s.sid, round(-2.5 * log10(s.fluxfit) + 25, 9) AS mag, round(1.085736205 * s.fluxerr / s.fluxfit, 9) AS mag_err,
   round(CASE WHEN s.fluxerr - 1 <> 0 THEN s.fluxfit / (s.fluxerr - 1) END, 9) AS snr, round(pow(10e0, -0.4 * (s.id - 25)) / 1e9, 9) AS flux, s.mjdobs + 2400000.5 AS jd,
   (s.pid >> 2) & 1 = 1 AS bit2, regexp_extract(f.filename, '.+/(.+)', 1) AS basename,
-  pow(s.ra - 180, 2) < 400 AND s.dec BETWEEN -20 AND 20 AND """ + f"{sql_chord2('s.ra', 's.dec', '180e0', '0e0')} <= {geometry.chord2_limit(19.0)!r}" + """ AS near,
+  pow(s.ra - 180, 2) < 400 AND s.dec BETWEEN -20 AND 20 AND """ + f"{sql_chord2('s.ra', 's.dec', '180e0', '0e0')} <= {limit_of(19.0)!r}" + """ AS near,
   CASE WHEN 22 + s.pid % 15 < 24 OR 22 + s.pid % 15 > 34 THEN 'notsupported' WHEN s.pid * 700001 > 8031810175 THEN 'idoutofrange'
   ELSE concat('SKY', CAST(22 + s.pid % 15 AS VARCHAR), """ + ", ".join(f"chr(CAST(97 + (s.pid * 700001 // {26 ** k}) % 26 AS INT))" for k in range(6, -1, -1)) + """) END AS alertname
   FROM sources s JOIN l2files f ON s.pid = f.rid""")

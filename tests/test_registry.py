@@ -30,4 +30,4 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_without_sql_has_a_brute_force_test():
-    assert set(q.QUERIES) - set(q.ORACLES) == {"footprint_overlap_percent", "associate_dense_field"}
+    assert set(q.QUERIES) - set(q.ORACLES) == {"associate_dense_field"}
