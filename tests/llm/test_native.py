@@ -137,7 +137,19 @@ def test_archive_gives_back_every_record(spark, tmp_path):
         assert record.startswith(head) and head.endswith(b"\r\n\r\n") and head.count(b"\r\n\r\n") == 1
         body = b"" if r["record_type"] == "revisit" else bytes(r["payload"])
         assert record == head + body + b"\r\n\r\n" and f"Content-Length: {len(body)}\r\n".encode() in head
-        assert r["header_digest"] == r["payload_digest"]
+        assert r["header_digest"] == r["payload_digest"] and b"\r\nWARC-Date: 1970-01-01T00:00:00Z\r\n" in head
+
+
+def test_another_digest_in_a_header_is_noticed(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    path = archive(spark, tmp_path, [(1, "u", "x" * 2000, "h"), (2, "u", "y" * 2000, "h")])
+    spark.read.parquet(f"{path}/payloads").write.parquet(f"{tmp_path}/c/payloads")
+    wrong = F.encode(F.regexp_replace(F.decode("header", "UTF-8"), "sha1:.", "sha1:z"), "UTF-8")
+    spark.read.parquet(f"{path}/headers").withColumn("header", F.when(F.decode("header", "UTF-8").contains("urn:page:2"), wrong).otherwise(F.col("header"))).write.parquet(f"{tmp_path}/c/headers")
+    with pytest.raises(Exception, match="record 2 has another digest"):
+        warc.read_archive(spark, f"{tmp_path}/c").select("record").collect()
 
 
 def test_damaged_payload_is_noticed(spark, tmp_path):
