@@ -130,19 +130,24 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents")).drop("distance", "language")
 
 
-@_query("op10_warc_archive", """
-    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
-    h AS (SELECT page_id, octet_length(body) AS n, sha1(body) AS d, sha256(body) AS k FROM p),
-    w AS (SELECT *, max(page_id) OVER (PARTITION BY k, n) AS holder FROM h)
-    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
-           CASE WHEN n >= 1000 AND holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-           CASE WHEN n >= 1000 AND holder <> page_id THEN holder END AS refers_to
-    FROM w""")
+@_query("op10_warc_archive", r"""
+    WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, encode(coalesce(html, '')) AS body FROM pages),
+    h AS (SELECT page_id, url, html, octet_length(body) AS n, sha1(body) AS d, sha256(body) AS k FROM p),
+    w AS (SELECT *, max(page_id) OVER (PARTITION BY k, n) AS holder FROM h),
+    r AS (SELECT *, n >= 1000 AND holder <> page_id AS again FROM w),
+    t AS (SELECT *, concat('WARC/1.1', e, 'WARC-Type: ', CASE WHEN again THEN 'revisit' ELSE 'response' END, e, 'WARC-Record-ID: <urn:page:', page_id, '>', e,
+            'WARC-Date: 1970-01-01T00:00:00Z', e, 'WARC-Target-URI: ', regexp_replace(url, '[[:cntrl:]]', ' ', 'g'), e, 'WARC-Payload-Digest: sha1:', d, e,
+            CASE WHEN again THEN concat('WARC-Refers-To: <urn:page:', holder, '>', e, 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest', e) ELSE '' END,
+            'Content-Type: text/html; charset=utf-8', e, 'Content-Length: ', CASE WHEN again THEN 0 ELSE n END, e, e, CASE WHEN again THEN '' ELSE html END, e, e) AS record
+          FROM r, (SELECT chr(13) || chr(10) AS e))
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN again THEN holder END AS refers_to, sha256(record) AS record_sha256
+    FROM t""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     warc.write_archive(warc.page_records(read(spark, sf_dir, "pages")), folder)
     back = warc.read_archive(spark, folder)
-    return back.selectExpr("record_id AS page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return back.selectExpr("record_id AS page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "sha2(record, 256) AS record_sha256")
 
 
 # eigenvectors: not in SQL

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REVISIT_FROM = 1000
+UNDATED = "1970-01-01T00:00:00Z"  # date of records whose pages bring none
 
 
 def content_key(payload: Column) -> Column:
@@ -24,19 +25,19 @@ def _line(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
 
 
-def page_records(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
+def page_records(pages: DataFrame, revisit_from: int = REVISIT_FROM, date: str = UNDATED) -> DataFrame:
     """One record per row of ``pages`` (page_id, url, html; other columns are left out): record_id, content_key, header, payload.
 
     Of the records with equal payloads of at least ``revisit_from`` bytes, that with the largest id is
     the response and the others revisit it; rows that repeat the largest id are all responses.  A null
     html is the empty payload, a null url the empty target, a null id counts as smaller than any
-    other and is written as ``null``.  Control characters in a url are written as spaces, so a
+    other and is written as ``null``.  ``date`` (UTC) is the date of all records.  Control characters in a url are written as spaces, so a
     header keeps its lines.  An empty table gives an empty table.
     """
     rows = pages.select(F.col("page_id").alias("record_id"), F.coalesce("url", F.lit("")).alias("url"),
                         F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("content_key", content_key(F.col("payload"))).withColumn("sha1", F.sha1("payload"))
-    large = rows.select("record_id", "content_key").filter(F.octet_length("payload") >= revisit_from)
+    rows = rows.withColumn("content_key", content_key(F.col("payload"))).withColumns({"sha1": F.sha1("payload"), "size": F.octet_length("payload")})
+    large = rows.filter(F.col("size") >= revisit_from).select("record_id", "content_key")
     # one small row per digest and task is shuffled, however many copies a payload has
     first = large.groupBy("content_key").agg(F.max("record_id").alias("holder"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     rows = rows.join(first.select("content_key", "holder"), "content_key", "left")
@@ -46,12 +47,13 @@ def page_records(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFram
         F.lit("WARC/1.1\r\n"),
         _line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         _line("WARC-Record-ID", urn(F.col("record_id"))),
+        _line("WARC-Date", F.lit(date)),
         _line("WARC-Target-URI", F.regexp_replace("url", r"\p{Cntrl}", " ")),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(revisit, _line("WARC-Refers-To", urn(F.col("holder")))).otherwise(F.lit("")),
         F.when(revisit, _line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))).otherwise(F.lit("")),
         _line("Content-Type", F.lit("text/html; charset=utf-8")),
-        _line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.octet_length("payload").cast("string"))),
+        _line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("size").cast("string"))),
         F.lit("\r\n"))
     return rows.select("record_id", "content_key", F.encode(header, "UTF-8").alias("header"), "payload")
 
@@ -77,7 +79,7 @@ def verified_payloads(spark: SparkSession, path: str) -> DataFrame:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """All records of the archive: parsed header fields, ``payload``, its length and SHA-1, and ``record``, the record's exact bytes.
 
-    Digests are taken from the stored bytes once per payload, before the join.  Columns that the
+    Reading ``record`` fails where the digest in a header is not that of the payload.  Digests are taken from the stored bytes once per payload, before the join.  Columns that the
     caller does not select are not shuffled.
     """
     payloads = verified_payloads(spark, path).select(
@@ -93,4 +95,6 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         field("WARC-Payload-Digest", "sha1:([0-9a-f]+)").alias("header_digest"))
     joined = headers.join(payloads, "content_key")
     block = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    return joined.withColumn("record", F.concat("header", block, F.lit(b"\r\n\r\n")))
+    fail = F.raise_error(F.concat(F.lit("the header of record "), F.coalesce(F.col("record_id").cast("string"), F.lit("null")), F.lit(" has another digest")))
+    head = F.when(F.col("header_digest") == F.col("payload_digest"), F.col("header")).otherwise(fail.cast("binary"))
+    return joined.withColumn("record", F.concat(head, block, F.lit(b"\r\n\r\n")))
