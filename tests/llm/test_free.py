@@ -579,3 +579,40 @@ def test_gram_sets_by_hand():
     assert len(toxicity.gram_sets(["ab"])[0]) == 3  # " ab", "ab ", " ab "
     together, alone = toxicity.gram_sets(["ab", "", "Abc d"]), [toxicity.gram_sets([t])[0] for t in ("ab", "", "aBc d")]
     assert all((a == b).all() for a, b in zip(together, alone))
+
+
+def test_scores_against_plain_python(spark):
+    """The grams, their log-count ratios and the score of each text, computed one by one."""
+    rng = random.Random(21)
+    rows = [(i, data.prose(rng, 12) + (" vile troll" if i % 3 == 0 else " kind words"), "en", "s", 1) for i in range(90)]
+    docs = spark.createDataFrame(rows, data.SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(90)], "doc_id bigint, quality int, toxic int")
+    bits, mask = toxicity.BITS, 0xFFFFFFFF
+
+    def grams(text):
+        padded, out = f" {text.lower()} ", set()
+        for start in range(len(padded)):
+            h = 0
+            for n, c in enumerate(padded[start:start + 5], 1):
+                h = ((h ^ ord(c)) * 0x9E3779B1) & mask
+                h ^= h >> 15
+                if n >= 3:
+                    out.add(((h * 0x85EBCA6B) & mask) >> (32 - bits))
+        return out
+
+    import zlib
+
+    train = [(grams(r[1]), int(r[0] % 3 == 0)) for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    counts = [Counter(g for s, y in train if y == label for g in s) for label in (0, 1)]
+    n = [sum(y == label for _, y in train) for label in (0, 1)]
+    model = toxicity.fit(docs, labels)
+    for g in list(counts[0] | counts[1])[:300]:
+        want = np.log((counts[1][g] + 1) / (n[1] + 2)) - np.log((counts[0][g] + 1) / (n[0] + 2))
+        assert abs(model.ratio[g] - want) < 1e-5
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels).collect()}
+    for i, text, *_ in rows:
+        found = grams(text)
+        length = sum(float(model.ratio[g]) ** 2 for g in found) ** 0.5
+        want = 1 / (1 + np.exp(-(sum(float(model.weights[g]) for g in found) / length + model.intercept)))
+        assert abs(got[i] - want) < 1e-5
+    assert all((got[i] >= 0.5) == (i % 3 == 0) for i in range(90))
