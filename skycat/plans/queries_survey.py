@@ -73,7 +73,7 @@ def schedule_time_histogram(t):
 # --- pixel tables --------------------------------------------------------------------------------
 
 VALID = "v AS (SELECT *, CASE WHEN isnan(value) THEN NULL ELSE value END AS v FROM {0})"
-FACTOR = 1.014234135772351  # root of 1 / (1 - 6 phi(3) / (2 Phi(3) - 1)), the spread that cutting a normal distribution at three sigmas takes away
+FACTOR = 1.014234135772351  # root of 1 / (1 - 2 a phi(a) / (2 Phi(a) - 1)), a = 3 * 0.9944579 (the 84th percentile of a normal distribution)
 
 
 @query("pixel_clipped_stats", f"""WITH {VALID.format('pixels')},
