@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -43,6 +44,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             stop = max(start + 1, int(np.searchsorted(total, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: workers and the driver live on, and what one stage has freed would add to what the next one takes."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

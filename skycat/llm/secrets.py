@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from . import spans
-from .common import slices, texts, written
+from .common import release_memory, slices, texts, written
 
 KINDS = ["assign", "access", "hex", "learned"]
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -232,7 +232,9 @@ def fit(found: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS, most_around:
             .orderBy("h").limit(sample_per_class).collect()
     if len({r["labelled"] for r in rows}) < 2:
         return None
-    return train([r["around"] for r in rows], [r["n"] for r in rows], np.array([int(r["labelled"]) for r in rows]))
+    net = train([r["around"] for r in rows], [r["n"] for r in rows], np.array([int(r["labelled"]) for r in rows]))
+    release_memory()
+    return net
 
 
 def scores(found: DataFrame, net: Network) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts
+from .common import release_memory, slices, texts
 
 GRAMS = (3, 4, 5)
 BITS = 20
@@ -157,7 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample_per_class:
     if set(labels) != {0, 1}:
         return Model(*np.zeros((2, 1 << bits), np.float32), prior, learned=False)
     order = sorted(range(len(sets)), key=lambda i: (labels[i], sets[i]))  # the same sums whatever task came first
-    return regress([np.frombuffer(sets[i], np.uint32) for i in order], np.array([labels[i] for i in order]), ratio)
+    model = regress([np.frombuffer(sets[i], np.uint32) for i in order], np.array([labels[i] for i in order]), ratio)
+    del counted, freq, sample, sets
+    release_memory()
+    return model
 
 
 def score(model: Model, bits: int = BITS):
