@@ -33,7 +33,7 @@ K = 2
 NEAR = 256  # numbers of the characters with the smallest code points
 SEED = 17
 SLICE = 1 << 19
-HELD_EDGES = 3 << 20  # edges of word lattices that a worker keeps from slice to slice
+HELD_EDGES = 2 << 20  # edges of word lattices that a worker keeps from slice to slice
 BLANK = "▁"
 # a word with the blanks before it, blanks at the end of a line, or a line end
 UNITS = re.compile(r" *[^ \n]+| +|\n")
