@@ -34,7 +34,7 @@ from ..functions.healpix import coarser, healpix_nested
 from ..session import cut_lineage, discard, shared_folder
 from .components import connected_components
 from .objects import object_statistics, ra_offset
-from .spatial import MARGIN_DEG, POLE_DEG, cell_of, sky_join_all_pairs, with_touched_cells, zone_of
+from .spatial import MARGIN_DEG, MIN_CELL_DEG, POLE_DEG, cell_of, sky_join_all_pairs, with_touched_cells, zone_of
 from .walk import STEPS as CELL_STEPS
 from .walk import cell_keys, cell_size, directions, walk
 
@@ -343,7 +343,7 @@ def friends_of_friends(points: DataFrame, key: str, link_deg: float, pos=("ra",
     a = spots.select(F.col("node").alias("src"), F.col(pos[0]).alias("a_ra"), F.col(pos[1]).alias("a_dec"))
     b = spots.select(F.col("node").alias("dst"), F.col(pos[0]).alias("b_ra"), F.col(pos[1]).alias("b_dec"))
     edges = sky_join_all_pairs(a, b, link_deg, ("a_ra", "a_dec"), ("b_ra", "b_dec"), distance=None,
-                               keep=F.col("src") != F.col("dst")).select("src", "dst").distinct()
+                               keep=F.col("src") != F.col("dst"), cell_deg=MIN_CELL_DEG).select("src", "dst").distinct()
     labels = connected_components(spots.select("node").distinct(), edges)
     labelled = keyed.join(labels, "node")
     names = labelled.groupBy("label").agg(F.min(key).alias("group"))

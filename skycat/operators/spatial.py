@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 from ..functions.geometry import (chord2, chord2_limit, chord2_to_deg, col, in_convex_polygon, position_chord2,
                                   unit_vector)
 
-MIN_CELL_DEG = 1e-4
+MIN_CELL_DEG = 1e-4  # cells of an uncrowded sky
+FINEST_CELL_DEG = 2e-6  # zones and cells stay exact whole numbers in doubles, and are much wider than the margin
 POLE_DEG = 89.9  # zones beyond are a single ring-shaped cell
 CAP_DEG = 89.0
 MARGIN_DEG = 1e-9  # widens the cell search against rounding; the exact test comes after
 
 
+def cell_height(radius_deg: float) -> float:
+    """Height of the cells of a positional join: the smallest whose rows meet few others than those in reach, however crowded the sky."""
+    return max(2.0 * radius_deg, FINEST_CELL_DEG)
+
+
 def zone_of(dec, h: float) -> Column:
     return F.floor((col(dec) + 90.0) / h)
 
@@ -74,18 +80,19 @@ def with_touched_cells(df: DataFrame, ra: str, dec: str, radius_deg, h: float,
 
 def sky_join_all_pairs(left: DataFrame, right: DataFrame, radius_deg: float, left_pos=("ra", "dec"),
                        right_pos=("ra0", "dec0"), on: list[tuple[str, str]] = (), repeat: str = "right",
-                       how: str = "inner", distance: str | None = "dist_deg", keep=None) -> DataFrame:
+                       how: str = "inner", distance: str | None = "dist_deg", keep=None, cell_deg: float | None = None) -> DataFrame:
     """All pairs of rows with a separation of at most ``radius_deg``.
 
     ``repeat`` names the side that is copied to the cells it touches: take the smaller
     one.  ``on`` lists further pairs of columns that must be equal.  ``keep`` is an extra
-    predicate tested inside the join.  With ``how`` set to ``left_outer``, ``left_anti`` or
+    predicate tested inside the join.  ``cell_deg`` asks for larger cells, which copy fewer rows where the
+    sky is not crowded.  With ``how`` set to ``left_outer``, ``left_anti`` or
     ``left_semi`` the right side must be the repeated one.  Column names of the two sides
     must differ.
     """
     if how != "inner" and repeat != "right":
         raise ValueError("only the right side can be repeated in an outer, semi or anti join")
-    h = max(2.0 * radius_deg, MIN_CELL_DEG)
+    h = max(cell_height(radius_deg), cell_deg or 0.0)
 
     def keyed(df, pos, tag, copied):
         x, y, z = unit_vector(*pos)

@@ -33,6 +33,16 @@ def test_all_pairs_equals_brute_force(spark, centre, spread, radius, repeat):
     assert {tuple(r) for r in got} == brute.all_pairs(a, b, radius)
 
 
+def test_cells_of_a_crowded_sky_follow_the_radius(spark):
+    radius = 1.2e-5
+    assert spatial.cell_height(radius) <= 2.0 * radius * (1 + 1e-9)
+    a, b = cloud(8, (180.0, 0.0), 1e-4, 120), cloud(9, (180.0, 0.0), 1e-4, 120)
+    left, right = spark.createDataFrame(a, "a long, ra double, dec double"), spark.createDataFrame(b, "b long, ra0 double, dec0 double")
+    for cell in (None, 1e-4):
+        got = spatial.sky_join_all_pairs(left, right, radius, cell_deg=cell).select("a", "b").collect()
+        assert sorted(map(tuple, got)) == sorted(brute.all_pairs(a, b, radius))
+
+
 def test_anti_join_finds_the_unmatched(spark):
     a, b = cloud(3, (0.0, 0.0), 0.5, 100), cloud(4, (0.0, 0.0), 0.5, 30)
     left = spark.createDataFrame(a, "a long, ra double, dec double")
