@@ -78,3 +78,24 @@ def test_footprints_with_a_hole(spark):
     whole, cut = (clipping.footprint_overlaps(df, h).first() for h in (None, "holes"))
     assert whole["percent"] == pytest.approx(50, abs=1e-3) and whole["other_percent"] == pytest.approx(50, abs=1e-3)
     assert cut["percent"] == pytest.approx(100 * (259200 - 36 * 72) / (518400 - 72 * 72), abs=2e-3)
+
+
+def test_a_batch_of_pairs_equals_them_one_by_one():
+    import pyarrow as pa
+
+    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+    rnd = random.Random(5)
+
+    def corner():
+        return rnd.choice([(rnd.uniform(0, 10), rnd.uniform(0, 10)), (rnd.randint(0, 4), rnd.randint(0, 4)), (rnd.uniform(0, 10), float("nan") if rnd.random() < 0.05 else 3)])
+
+    def polygon():
+        rings = [ring(*[corner() for _ in range(rnd.choice([2, 3, 4, 4, 6]))]) for _ in range(rnd.randint(0, 3))]
+        return rnd.choice([rings, rings, rings, [None, *rings, [None, *ring((1, 1), (2, 2), (3, 1))]], None])
+
+    a, b = ([polygon() for _ in range(400)] for _ in range(2))
+    want = [clipping.areas(p, q) for p, q in zip(a, b)]
+    assert clipping.batch_areas(pa.array(a, kind), pa.array(b, kind)) == pytest.approx(np.array(want), abs=1e-9)
+    assert clipping.batch_areas(pa.array(a, kind).slice(100, 50), pa.array(b, kind).slice(100, 50)) == pytest.approx(np.array(want[100:150]), abs=1e-9)
+    assert clipping.batch_areas(pa.array([None], kind), pa.array([[]], kind)).tolist() == [[0.0, 0.0, 0.0]]
+    assert len(clipping.batch_areas(pa.array([], kind), pa.array([], kind))) == 0
