@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skycat import streaming
 from skycat.functions.geometry import tan_deproject
-from skycat.operators import associate, evaluation, jobs, objects, pixels, quantiles, schedule, sliced, tiles, versions
+from skycat.operators import associate, evaluation, jobs, nested, objects, pixels, quantiles, schedule, sliced, tiles, versions
 from skycat.sources import readers, writers
 
 
@@ -195,3 +195,39 @@ def test_date_slices_follow_the_dates(spark):
     assert len(parts) == 4 and all(60 <= len(d) <= 140 for d in dates) and sum(map(len, dates)) == 400
     assert all(a[-1] < b[0] for a, b in zip(dates, dates[1:])) and all(p.rdd.getNumPartitions() == 4 for p in parts)
     assert [p.count() for p in date_slices(rows.withColumn("mjdobs", F.lit(7.0)), 4)] in ([0, 400], [400])
+
+
+def _alert_input(spark):
+    """Sources of three objects, one source twice and one source in two objects."""
+    sources = spark.createDataFrame([(1, 100.0, 7, 1, 5.0, 1.0, 10.0, 20.0), (2, 150.0, 8, 1, 6.0, 2.0, 10.0, 20.0), (3, 700.0, 9, 2, 7.0, 1.0, 10.0, 20.0),
+                                     (4, 120.0, 7, 2, 8.0, 0.0, 11.0, 21.0), (4, 120.0, 7, 2, 8.0, 0.0, 11.0, 21.0), (5, 130.0, 6, 1, 9.0, 1.0, 11.0, 21.0),
+                                     (6, 140.0, 6, 1, 9.0, 1.0, 12.0, 22.0)],
+                                    "sid long, mjdobs double, expid long, fid long, fluxfit double, fluxerr double, ra double, dec double")
+    merges = spark.createDataFrame([(10, 1), (10, 2), (10, 3), (11, 4), (11, 5), (10, 5)], "aid long, sid long")
+    objects = spark.createDataFrame([(10, 10.0, 20.0, 3), (11, 11.0, 21.0, 2)], "aid long, ra0 double, dec0 double, nsources long")
+    filters = spark.createDataFrame([(1, "F184"), (2, "H158")], "fid long, filter string")
+    return sources, merges, objects, filters
+
+
+def test_alert_history_from_lists(spark):
+    sources, merges, objects, filters = _alert_input(spark)
+    for until in (False, True):
+        rows = nested.assemble_alerts(sources.select("sid"), merges, objects, sources, filters, until_trigger=until).collect()
+        seen = sorted((r["diaSourceId"], None if r["prvDiaSources"] is None else [p["diaSourceId"] for p in r["prvDiaSources"]]) for r in rows)
+        # source 5 is reported with object 10; source 4 stands twice, and its history holds the detections for each of its rows
+        later = {1: [5, 2, 3], 2: [1, 5, 3], 3: None, 4: [5, 5], 5: [1, 2, 3], 6: None}
+        before = {1: None, 2: [1, 5], 3: None, 4: None, 5: [1], 6: None}
+        assert seen == [(s, (before if until else later)[s]) for s in (1, 2, 3, 4, 4, 5, 6)]
+        for r in rows:
+            for p in [r["diaSource"], *(r["prvDiaSources"] or [])]:
+                flux = {1: 5.0, 2: 6.0, 3: 7.0, 4: 8.0, 5: 9.0, 6: 9.0}[p["diaSourceId"]]
+                assert p["psfFlux"] == flux and p["band"] == ("H158" if p["diaSourceId"] in (3, 4) else "F184")
+                assert p["diaObjectId"] == r["diaSource"]["diaObjectId"] and p["visit"] == p["expid"] and p["hp9"] == 0 and p["apFlux"] is None
+    assert {r["diaSourceId"]: r["diaSource"]["snr"] for r in rows}[2] == 3.0
+
+
+def test_alert_records_are_shuffled_as_their_own_fields(spark):
+    sources, merges, objects, filters = _alert_input(spark)
+    plan = nested.assemble_alerts(sources.select("sid"), merges, objects, sources, filters)._jdf.queryExecution().executedPlan().toString()
+    gathered = [line for line in plan.splitlines() if "collect_list" in line]
+    assert gathered and not any("apFlux" in line or "dipoleAngle" in line for line in gathered)
