@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .quantiles import exact_percentiles
 
@@ -262,15 +265,36 @@ def stamp_metrics(candidates: DataFrame, pixels: DataFrame, half: int = 2) -> Da
         F.count_if(F.col("v") < 0).alias("n_negative"), F.count_if(F.col("v").isNull()).alias("n_bad"),
         F.collect_list(F.struct("dy", "dx", "v")).alias("s"))
 
-    def filtered(p):
-        near = F.filter("s", lambda q: (F.abs(q["dy"] - p["dy"]) <= 1) & (F.abs(q["dx"] - p["dx"]) <= 1) & q["v"].isNotNull())
-        values = F.array_sort(F.transform(near, lambda q: q["v"]))
-        return _percentile(values, F.size(values), 0.5)
-
-    smooth = stamp.withColumn("f", F.transform("s", filtered))
-    total = F.aggregate("f", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0)))
-    size = F.aggregate("f", F.lit(0.0), lambda a, v: a + F.abs(F.coalesce(v, F.lit(0.0))))
-    return smooth.select("image_id", "cand_id", "n_negative", "n_bad", F.when(size > 0, total / size).alias("sumrat"))
+    return stamp.select("image_id", "cand_id", "n_negative", "n_bad", smoothed_ratio(F.col("s.dy"), F.col("s.dx"), F.col("s.v")).alias("sumrat"))
+
+
+STAMP_CELLS = 1_000_000  # pairs of pixels of cutouts taken at once
+
+
+@F.pandas_udf(DoubleType())
+def smoothed_ratio(dy: pd.Series, dx: pd.Series, v: pd.Series) -> pd.Series:
+    """Sum over sum of absolute values of the 3x3 median-filtered cutouts; NULL where that is nothing.  Cutouts of one size are filtered together."""
+    out, size = np.full(len(v), np.nan), v.map(len).to_numpy()
+    for n in np.unique(size[size > 0]).tolist():
+        of = np.flatnonzero(size == n)
+        step, rows = max(1, STAMP_CELLS // (n * n)), max(1, STAMP_CELLS // n)
+        for at in range(0, len(of), step):
+            some = of[at:at + step]
+            y, x, value = (np.stack([np.asarray(c.iloc[i], float) for i in some]) for c in (dy, dx, v))
+            total, whole = np.zeros(len(some)), np.zeros(len(some))
+            for a in range(0, n, rows):
+                near = (np.abs(y[:, a:a + rows, None] - y[:, None]) <= 1) & (np.abs(x[:, a:a + rows, None] - x[:, None]) <= 1) & ~np.isnan(value)[:, None]
+                ordered, k = np.sort(np.where(near, value[:, None], np.inf), axis=2), near.sum(axis=2)
+                low, high = np.maximum(k - 1, 0) // 2, k // 2
+                low, high = (np.take_along_axis(ordered, np.minimum(i, n - 1)[:, :, None], 2)[:, :, 0] for i in (low, high))
+                with np.errstate(invalid="ignore"):
+                    middle = np.where(k % 2 == 1, low, low + (high - low) * 0.5)
+                middle = np.where(k > 0, middle, 0.0)
+                total += middle.sum(axis=1)
+                whole += np.abs(middle).sum(axis=1)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                out[some] = np.where(whole > 0, total / whole, np.nan)
+    return pd.Series(out).astype(object).where(~np.isnan(out), None)
 
 
 def forced_flux_weights(positions: DataFrame, pixels: DataFrame, weights: DataFrame) -> DataFrame:

@@ -231,3 +231,23 @@ def test_alert_records_are_shuffled_as_their_own_fields(spark):
     plan = nested.assemble_alerts(sources.select("sid"), merges, objects, sources, filters)._jdf.queryExecution().executedPlan().toString()
     gathered = [line for line in plan.splitlines() if "collect_list" in line]
     assert gathered and not any("apFlux" in line or "dipoleAngle" in line for line in gathered)
+
+
+def test_stamps_are_filtered_in_arrays(spark):
+    rnd = random.Random(4)
+    grid = {(y, x): rnd.choice([None, float("nan"), rnd.gauss(0, 1), rnd.gauss(0, 1), rnd.gauss(0, 1)]) for y in range(12) for x in range(9)}
+    rows = [(0, y, x, v) for (y, x), v in grid.items()] + [(0, 5, 5, 0.5), (1, 3, 3, None)]  # a pixel that stands twice, an image without values
+    cands = [(0, 1, 0, 0), (0, 2, 5, 4), (0, 3, 11, 8), (0, 3, 10, 8), (0, 4, 50, 50), (1, 5, 3, 3)]  # candidate 3 stands twice
+    df = pixels.stamp_metrics(spark.createDataFrame(cands, "image_id long, cand_id long, y long, x long"),
+                              spark.createDataFrame(rows, "image_id long, y long, x long, value double"))
+    assert "lambdafunction" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.cand_id: r for r in df.collect()}
+    assert set(got) == {1, 2, 3, 5}
+    for c in got:
+        stamp = [(y - cy, x - cx, None if v is None or v != v else v) for im, k, cy, cx in cands if k == c for i, y, x, v in rows
+                 if i == im and abs(y - cy) <= 2 and abs(x - cx) <= 2]
+        near = [[v for b, a, v in stamp if abs(b - dy) <= 1 and abs(a - dx) <= 1 and v is not None] for dy, dx, _ in stamp]
+        smooth = [float(np.median(n)) for n in near if n]
+        size = sum(abs(v) for v in smooth)
+        assert got[c].sumrat == (pytest.approx(sum(smooth) / size) if size else None)
+        assert (got[c].n_negative, got[c].n_bad) == (sum(v is not None and v < 0 for *_, v in stamp), sum(v is None for *_, v in stamp))
