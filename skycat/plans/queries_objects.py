@@ -278,9 +278,18 @@ def _folder(t) -> str:
     return f"{shared_folder(t.spark)}/skycat-{uuid.uuid4().hex}"
 
 
-def _files(t, lines, by: str | None = None) -> str:
-    """The lines as text files, as the survey delivers them: what is read back is a scan of these files.  ``by`` gives each file a folder of that name."""
+PACKED_LINES = 2_000_000  # lines of a compressed file, which is read in one piece
+
+
+def _files(t, lines, by: str | None = None, packed: bool = False) -> str:
+    """The lines as text files, as the survey delivers them: what is read back is a scan of these files.  ``by`` gives each file a folder of that name.
+
+    ``packed`` compresses the files.
+    """
     folder = _folder(t)
+    if packed:
+        lines.write.option("compression", "gzip").option("maxRecordsPerFile", PACKED_LINES).text(folder)
+        return folder
     writer = lines.write if by is None else lines.write.partitionBy(by)
     writer.text(folder)
     return folder
@@ -300,8 +309,8 @@ def scan_ascii_catalog(t):
 def _pair(t):
     """Main and finder catalogue files of the detections, one line per source, with the detection run in front."""
     s = t.sources
-    main = _files(t, s.selectExpr("concat_ws(' ', pid, sid, xfit, yfit, fluxfit, fluxerr, redchi, flags, ra, dec) AS value"))
-    finder = _files(t, s.filter("id <> 3").selectExpr("concat_ws(' ', pid, sid, sharpness, roundness1, npix, peak) AS value"))
+    main = _files(t, s.selectExpr("concat_ws(' ', pid, sid, xfit, yfit, fluxfit, fluxerr, redchi, flags, ra, dec) AS value"), packed=True)
+    finder = _files(t, s.filter("id <> 3").selectExpr("concat_ws(' ', pid, sid, sharpness, roundness1, npix, peak) AS value"), packed=True)
     a = readers.read_ascii_catalog(t.spark, main, "pid id x_fit y_fit flux_fit flux_err reduced_chi2 flags ra dec".split(),
                                    {"pid": "bigint", "id": "bigint", "x_fit": "double", "y_fit": "double", "flux_fit": "double", "reduced_chi2": "double", "ra": "double"}).drop("file")
     b = readers.read_ascii_catalog(t.spark, finder, "pid id sharpness roundness1 n_pixels peak".split(),

@@ -264,3 +264,14 @@ def test_job_logs_are_bundled(spark, tmp_path):
     for i, user, kind in rows:
         last["__HIVE_DEFAULT_PARTITION__" if user is None else f"job_{user}.log"] = (str(i), "64" if kind == "error" else "0")
     assert {r.file: (r.batch_id, r.exit_code) for r in logs.collect()} == last
+
+
+def test_catalog_files_are_packed(spark, tmp_path):
+    from skycat.plans import queries_objects
+    from skycat.plans.fixtures import Catalog
+
+    lines = spark.range(1000).selectExpr("concat_ws(' ', id, 'x') AS value")
+    folder = queries_objects._files(Catalog(spark, str(tmp_path)), lines, packed=True)
+    back = readers.read_lines(spark, folder)
+    assert all(name.endswith(".gz") for name in back.inputFiles())
+    assert sorted(r.value for r in back.collect()) == sorted(r.value for r in lines.collect())
