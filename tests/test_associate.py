@@ -63,6 +63,17 @@ def test_friends_of_friends(spark):
     assert all(g == min(v) for g, v in got.items())
 
 
+def test_crowded_friends_are_not_paired_out(spark, monkeypatch):
+    """Cells take part with their outermost points; all points are compared at the border of groups only."""
+    rnd = random.Random(6)
+    points = [(i, 20 + rnd.uniform(0, 4e-4), rnd.uniform(0, 4e-4)) for i in range(600)]
+    sizes, join = [], associate.sky_join_all_pairs
+    monkeypatch.setattr(associate, "sky_join_all_pairs", lambda left, *a, **k: (sizes.append(left.count()), join(left, *a, **k))[1])
+    df = spark.createDataFrame(points, "k long, ra double, dec double")
+    assert {r.group for r in associate.friends_of_friends(df, "k", 3e-4).collect()} == {0}
+    assert sizes and max(sizes) <= 4 * 16
+
+
 def test_friends_around_the_pole(spark):
     """Positions near the poles are nodes of their own: close ones are friends, far ones are not."""
     rnd = random.Random(5)

@@ -33,6 +33,15 @@ def test_tiles_too_crowded_are_walked_by_levels(spark, monkeypatch):
     assert got == brute.walk(rows, r)
 
 
+def test_ids_that_repeat_are_walked_by_levels(spark):
+    """A source that stands twice starts one object, and the groups without such sources are walked by tiles."""
+    rows = [(1, 0, 1, 1, 1.0, 10.0, 0.0, 1.0)] * 2 + [(2, 0, 2, 1, 2.0, 10.0, 0.0005, 1.0), (3, 0, 1, 1, 1.0, 50.0, 0.0, 1.0), (4, 0, 2, 1, 2.0, 50.0, 0.0009, 1.0),
+                                                   (5, 0, 3, 1, 3.0, 10.0, 0.0015, 1.0), (6, 0, 3, 1, 3.0, 50.0, 0.003, 1.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((x.aid, x.sid) for x in associate.associate_within_field(df, 1e-3, max_group_rows=1).collect())
+    assert got == [(1, 1), (1, 1), (1, 2), (3, 3), (3, 4), (5, 5), (6, 6)]
+
+
 def test_objects_come_with_the_rows_that_start_them():
     r = 1e-3
     one = lambda *x: np.array(x, float)
