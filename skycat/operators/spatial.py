@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import (chord2, chord2_limit, chord2_to_deg, col, in_convex_polygon, position_chord2,
                                   unit_vector)
+from ..session import cut_lineage
 
 MIN_CELL_DEG = 1e-4  # cells of an uncrowded sky
 FINEST_CELL_DEG = 2e-6  # zones and cells stay exact whole numbers in doubles, and are much wider than the margin
@@ -261,27 +262,71 @@ def isolated_sources(sources: DataFrame, box: float, mag_limit: float, edge: flo
     return keyed.filter(inner).join(others, hit, "left_anti").drop("__gx", "__gy")
 
 
+SPOTS_PER_LIST = 4096  # places that a row of a joined cell lists
+
+
+def _crowded_reach(spots: DataFrame, radius: float) -> float | None:
+    """A smaller reach in which most positions have a spot, where the spots are so crowded that the whole radius holds many.
+
+    The crowding is that around the spots themselves: how many share the cell of one.
+    """
+    counts = spots.groupBy("image_id", F.floor(F.col("x") / radius), F.floor(F.col("y") / radius)).agg(F.count(F.lit(1)).alias("n"))
+    n, squares = counts.agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("n"))).first()
+    density = (squares / n - 1.0) / radius ** 2 if n else 0.0
+    reach = math.sqrt(6.0 / (math.pi * density)) if density > 0 else radius  # six spots within it: one position in 400 has none
+    return reach if reach < radius / 2 else None
+
+
+def _nearest_spot(dets: DataFrame, spots: DataFrame, reach: float) -> DataFrame:
+    """``dets`` with the nearest spot nearer than ``reach`` as ``b`` (d2, truth_id), null where there is none.
+
+    The spots are listed by cells of twice the reach, each in all cells that its circle touches, so a detection meets
+    one list instead of a row for each pair; a cell with more than ``SPOTS_PER_LIST`` spots has several
+    lists, and its detections a row for each.
+    """
+    h, wide = 2.0 * reach, reach * (1 + 1e-6)
+    cells = lambda c: F.sequence(F.floor((F.col(c) - wide) / h), F.floor((F.col(c) + wide) / h))
+    cell = ["t_image", "t_gx", "t_gy"]
+    t = (spots.withColumnRenamed("image_id", "t_image").withColumn("t_gx", F.explode(cells("x"))).withColumn("t_gy", F.explode(cells("y")))
+         .withColumn("__lists", F.ceil(F.count(F.lit(1)).over(Window.partitionBy(*cell)) / SPOTS_PER_LIST))
+         .groupBy(*cell, F.pmod(F.xxhash64("x", "y"), "__lists").alias("__list"))
+         .agg(F.sort_array(F.collect_list(F.struct("truth_id", "x", "y"))).alias("__spots"))
+         .select(*cell, *[F.col("__spots." + c).alias("__" + c) for c in ("truth_id", "x", "y")]))
+    at = dets.withColumns({"__gx": F.floor(F.col("x") / h), "__gy": F.floor(F.col("y") / h)})
+
+    def d2(x, y):
+        dx, dy = F.col("x") - x, F.col("y") - y
+        return dx * dx + dy * dy
+
+    hit = (F.col("image_id") == F.col("t_image")) & (F.col("__gx") == F.col("t_gx")) & (F.col("__gy") == F.col("t_gy"))
+    joined = at.join(t, hit, "left_outer").withColumn("__d2s", F.zip_with("__x", "__y", d2)).withColumn("__d2", F.array_min("__d2s"))
+    # the lists are in order of the ids: the first of equal distances has the least
+    best = F.struct(F.col("__d2").alias("d2"), F.get("__truth_id", F.array_position("__d2s", F.col("__d2")).cast("int") - 1).alias("truth_id"))
+    return joined.withColumn("b", F.when(F.col("__d2") < reach * reach, best)).select(*dets.columns, "b")
+
+
 def truth_match(detections: DataFrame, truth: DataFrame, radius: float) -> DataFrame:
     """Label each detection true when an injected source lies nearer than ``radius`` pixels.
 
     ``detections``: image_id, det_id (numbered within an image), x, y, flux, flux_err; ``truth``: image_id,
     truth_id, x, y.  Detections without positive flux are left out, a zero error becomes 1e7.
     """
-    h = float(radius)
     dets = (detections.filter(F.col("flux") > 0)
             .withColumn("flux_err", F.when(F.col("flux_err") == 0, 1.0e7).otherwise(F.col("flux_err")))
-            .withColumn("snr", F.col("flux") / F.col("flux_err"))
-            .withColumns({"__gx": F.floor(F.col("x") / h), "__gy": F.floor(F.col("y") / h)}))
-    t = truth.select(F.col("image_id").alias("t_image"), "truth_id", F.col("x").alias("t_x"), F.col("y").alias("t_y"))
-    t = t.withColumn("t_gx", F.explode(F.array(*[F.floor(F.col("t_x") / h) + d for d in (-1, 0, 1)])))
-    t = t.withColumn("t_gy", F.explode(F.array(*[F.floor(F.col("t_y") / h) + d for d in (-1, 0, 1)])))
-    dx, dy = F.col("x") - F.col("t_x"), F.col("y") - F.col("t_y")
-    d2 = dx * dx + dy * dy
-    hit = ((F.col("image_id") == F.col("t_image")) & (F.col("__gx") == F.col("t_gx"))
-           & (F.col("__gy") == F.col("t_gy")) & (d2 < radius * radius))
-    best = F.min(F.when(F.col("truth_id").isNotNull(), F.struct(d2.alias("d2"), F.col("truth_id"))))
-    keep = [c for c in dets.columns if c not in ("image_id", "det_id", "__gx", "__gy")]
-    out = dets.join(t, hit, "left_outer").groupBy("image_id", "det_id").agg(
+            .withColumn("snr", F.col("flux") / F.col("flux_err")))
+    # of several sources at one place, the least id is the match
+    spots = (truth.filter("image_id IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL AND truth_id IS NOT NULL")
+             .groupBy("image_id", "x", "y").agg(F.min("truth_id").alias("truth_id")))
+    near = _crowded_reach(spots, float(radius))
+    if near is None:
+        found = _nearest_spot(dets, spots, float(radius))
+    else:
+        # most find their source close by; who does not looks at the whole circle
+        first = cut_lineage(_nearest_spot(dets, spots, near))
+        found = first.filter("b IS NOT NULL").unionByName(_nearest_spot(first.filter("b IS NULL").drop("b"), spots, float(radius)))
+    best = F.min("b")
+    keep = [c for c in dets.columns if c not in ("image_id", "det_id")]
+    out = found.groupBy("image_id", "det_id").agg(
         *[F.any_value(c).alias(c) for c in keep], best.alias("b"))
     return out.select("image_id", "det_id", *keep, F.col("b.truth_id").alias("truth_id"), F.sqrt("b.d2").alias("distance"),
                       F.col("b").isNotNull().alias("is_true"))

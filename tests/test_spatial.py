@@ -77,3 +77,27 @@ def test_nearest_k(spark):
     for k in range(2):
         want = sorted(((float(i % 7), i) for i in range(50)))[:9]
         assert sorted((d, i) for kk, _, d, i in got if kk == k) == want
+
+
+@pytest.mark.parametrize("per_list", [2, 4096])
+def test_truth_match_on_crowded_images(spark, monkeypatch, per_list):
+    """The spots around a detection are one list, not a row each; crowded images are looked through closely first."""
+    monkeypatch.setattr(spatial, "SPOTS_PER_LIST", per_list)
+    rng = random.Random(5)
+    truth = [(i % 2, 100 + i, rng.randrange(120) / 2, rng.randrange(120) / 2) for i in range(400)] + [(0, 1, 300.0, 300.0), (1, None, 10.0, 10.0), (None, 2, 1.0, 1.0)]
+    dets = [(i % 2, i, rng.randrange(140) / 2, rng.randrange(140) / 2, 5.0, 1.0) for i in range(150)]
+    dets += [(0, 900, 310.0, 310.0, 5.0, 0.0), (0, 901, 325.0, 300.0, 5.0, 1.0), (0, 902, 1.0, 1.0, -5.0, 1.0), (None, 903, 1.0, 1.0, 5.0, 1.0), (1, 904, None, 1.0, 5.0, 1.0)]
+    t = spark.createDataFrame(truth, "image_id long, truth_id long, x double, y double")
+    d = spark.createDataFrame(dets, "image_id long, det_id long, x double, y double, flux double, flux_err double")
+    got = {r["det_id"]: (r["truth_id"], r["distance"], r["is_true"]) for r in spatial.truth_match(d, t, 25.0).collect()}
+    want = {}
+    for image, det, x, y, flux, _ in dets:
+        if flux > 0:
+            near = [((x - tx) ** 2 + (y - ty) ** 2, k) for i, k, tx, ty in truth if x is not None and k is not None and i is not None and i == image]
+            near = [p for p in near if p[0] < 625.0]
+            want[det] = (min(near)[1], pytest.approx(min(near)[0] ** 0.5), True) if near else (None, None, False)
+    assert got == want and got[900][0] == 1 and got[901][0] is None
+    spots = t.dropna().groupBy("image_id", "x", "y").agg(F.min("truth_id").alias("truth_id"))
+    assert spatial._crowded_reach(spots, 25.0) < 12.5 and spatial._crowded_reach(spots.limit(0), 25.0) is None
+    if per_list > 400:
+        assert spatial._nearest_spot(d, spots, 25.0).count() == len(dets)
