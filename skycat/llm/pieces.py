@@ -15,10 +15,11 @@ of a text is the chain of the lattices of its words, and equal words of a slice
 
 from __future__ import annotations
 
+import itertools
 import re
-from dataclasses import dataclass
+from collections import defaultdict
+from dataclasses import dataclass, fields
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K = 2
 NEAR = 256  # numbers of the characters with the smallest code points
 SEED = 17
-SLICE = 1 << 19
-HELD_EDGES = 2 << 20  # edges of word lattices that a worker keeps from slice to slice
+SLICE = 3 << 17
+HELD_EDGES = 1 << 20  # edges of word lattices that a worker keeps from slice to slice
 BLANK = "▁"
 # a word with the blanks before it, blanks at the end of a line, or a line end
 UNITS = re.compile(r" *[^ \n]+| +|\n")
@@ -215,23 +216,39 @@ class Lattices:
     """The lattices of the words met so far, so that a word that returns in a later slice needs no new one."""
 
     def __init__(self, v: Vocabulary, held_edges: int = HELD_EDGES):
-        self.v, self.held_edges, self.numbers, self.all = v, held_edges, {}, lattice([], v)
+        self.v, self.held_edges = v, held_edges
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = defaultdict(itertools.count().__next__)  # a new word gets the next number
+        self.all = lattice([], self.v)
+        self.room = {f.name: getattr(self.all, f.name) for f in fields(Lattice)}
+
+    def _append(self, name: str, values: np.ndarray, start: int) -> np.ndarray:
+        """An array of the lattice with ``values`` from ``start`` on, in place if there is room for them."""
+        stop = start + len(values)
+        if stop > len(self.room[name]):
+            room = np.empty(max(stop, 2 * start, self.held_edges), values.dtype)  # memory that is not written is not taken
+            room[:start] = self.room[name][:start]
+            self.room[name] = room
+        self.room[name][start:stop] = values
+        return self.room[name][:stop]
 
     def of(self, units: list[str]) -> tuple[Lattice, np.ndarray]:
         """One lattice that holds all ``units``, and the place of each among its units."""
         if len(self.all.source) > self.held_edges:
-            self.numbers, self.all = {}, lattice([], self.v)
-        rows = np.fromiter(map(self.numbers.get, units, repeat(-1)), np.int64, len(units))
-        missing = np.flatnonzero(rows < 0).tolist()
-        if missing:
-            new = list(dict.fromkeys(units[i] for i in missing))
-            old, more = self.all, lattice(new, self.v)
-            self.numbers.update(zip(new, range(len(old.first), len(old.first) + len(new))))
-            nodes, edges = len(old.end), len(old.source)
-            self.all = Lattice(*(np.concatenate(x) for x in (
-                (old.first, more.first + nodes), (old.end, more.end), (old.ptr[:-1], more.ptr + edges), (old.source, more.source + np.int32(nodes)),
-                (old.target, more.target + np.int32(nodes)), (old.piece, more.piece), (old.logp, more.logp), (old.until, more.until))))
-            rows[missing] = [self.numbers[units[i]] for i in missing]
+            self._forget()
+        before = len(self.numbers)
+        rows = np.fromiter(map(self.numbers.__getitem__, units), np.int64, len(units))
+        if len(self.numbers) > before:
+            more = lattice(list(itertools.islice(self.numbers, before, None)), self.v)
+            nodes, edges = len(self.all.end), len(self.all.source)
+            more.first += nodes
+            more.ptr += edges
+            more.source += np.int32(nodes)
+            more.target += np.int32(nodes)
+            start = {"first": before, "end": nodes, "ptr": nodes}  # the last entry of ptr is the first of what follows
+            self.all = Lattice(**{n: self._append(n, getattr(more, n), start.get(n, edges)) for n in self.room})
         return self.all, rows
 
 
@@ -295,7 +312,9 @@ def _finish(lat: Lattice, n: int, text, unit, step, edge, noisy, fresh, keys, sa
     before = run - logp - base[text]
     rest = -np.expm1(logp)  # share of the other pieces
     waiting = np.full(len(edge), -np.inf)
-    open_ = np.flatnonzero(fresh & (rest > 1e-15) & (np.diff(lat.ptr)[lat.source[edge]] > 1))
+    open_ = np.flatnonzero(fresh & (rest > 1e-15))
+    node = lat.source[edge[open_]]
+    open_ = open_[lat.ptr[node + 1] - lat.ptr[node] > 1]
     u = uniform(keys[text[open_]] ^ salt, unit[open_] * 1048583 + step[open_])
     waiting[open_] = below(noisy[text[open_]], before[open_] + np.log(rest[open_]), u)
     total = np.bincount(text, logp, n)
@@ -405,15 +424,17 @@ def piece_ids(path: Path, lat: Lattice, v: Vocabulary, n: int) -> tuple[np.ndarr
     piece, text = lat.piece[path.edge], path.text
     odd = np.flatnonzero(piece < 0)
     if len(odd):
-        spelled = [v.byte_ids[list(chr(-1 - c).encode())] for c in piece[odd].tolist()]
+        codes, which = np.unique(piece[odd], return_inverse=True)
+        spelled = [v.byte_ids[list(chr(-1 - c).encode())] for c in codes.tolist()]
+        size_of = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        size = size_of[which]
         sizes = np.ones(len(piece), np.int64)
-        sizes[odd] = [len(s) for s in spelled]
-        place = np.cumsum(sizes) - sizes
-        out = np.zeros(int(sizes.sum()), np.int64)
-        plain = piece >= 0
-        out[place[plain]] = piece[plain]
-        for at, s in zip(place[odd], spelled):
-            out[at:at + len(s)] = s
+        sizes[odd] = size
+        out = np.repeat(piece, sizes)
+        # of each byte of a spelled character: its place in the output, and among the bytes of all codes
+        at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        place = np.repeat(np.cumsum(sizes)[odd] - size, size) + at
+        out[place] = np.concatenate(spelled)[np.repeat((np.cumsum(size_of) - size_of)[which], size) + at]
         piece, text = out, np.repeat(text, sizes)
     return piece.astype("<i4"), np.searchsorted(text, np.arange(n + 1))
 
@@ -468,7 +489,9 @@ def encode(docs: DataFrame, k: int = K, seed: int = SEED, model: str = MODEL) ->
             out = [[{"ids": raw[j][4 * border[j][i]:4 * border[j][i + 1]], "n_pieces": border[j][i + 1] - border[j][i], "logp": float(p.logp[i]), "inclusion": float(score[j][i])}
                     for j, p in enumerate(paths) if not np.isnan(p.noisy[i])] for i in range(len(items))]
             same = round_trips(ids, [~np.isnan(p.noisy) for p in paths], items, v)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, _SAMPLES), pa.array(same)], ["doc_id", "samples", "round_trip"])
+            done = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, _SAMPLES), pa.array(same)], ["doc_id", "samples", "round_trip"])
+            del items, paths, rest, lat, ids, raw, border, score, out  # the next slice shall not find them in memory
+            yield done
 
     return rows.mapInArrow(run, f"doc_id {kind}, samples {SAMPLES}, round_trip boolean")
 

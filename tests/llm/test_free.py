@@ -285,6 +285,24 @@ def test_lattices_kept_from_slice_to_slice(vocabulary):
             assert abs(rest[i] - last[0]) < 1e-9
 
 
+def test_lattices_grow_in_place(vocabulary):
+    held = pieces.Lattices(vocabulary, 1000)
+    first, rows = held.of([" one", " two", " one"])
+    source, logp = first.source.copy(), first.logp.copy()
+    more, again = held.of([" three", " one"])
+    assert rows.tolist() == [0, 1, 0] and again.tolist() == [2, 0] and list(held.numbers) == [" one", " two", " three"]
+    assert np.shares_memory(first.logp, more.logp) and (more.source[:len(source)] == source).all() and (more.logp[:len(logp)] == logp).all()
+    alone = pieces.lattice([" one", " two", " three"], vocabulary)
+    assert all((getattr(alone, name) == getattr(more, name)).all() for name in held.room)
+
+
+def test_spelled_characters_among_pieces(vocabulary):
+    items = ["a\U0001F9FF\u4e2d\uE000b", "\uE000", "that"]
+    paths, _, lat = pieces.sample(items, np.arange(3), pieces.Lattices(vocabulary), 1)
+    flat, border = pieces.piece_ids(paths[0], lat, vocabulary, 3)
+    assert [vocabulary.decode(flat[border[i]:border[i + 1]].tolist()) for i in range(3)] == [" " + x for x in items]
+
+
 def test_round_trip_of_all_samples(spark, vocabulary):
     docs = data.documents(spark, True)
     texts = Counter((r["doc_id"], r["text"] or "") for r in docs.collect())
