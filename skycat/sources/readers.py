@@ -18,7 +18,9 @@ def file_path() -> Column:
 
 def folder_name(path: Column) -> Column:
     """Name of the folder of a file; the value of a partition folder ``name=value``."""
-    return F.url_decode(F.regexp_extract(path, r"([^/=]+)/[^/]*$", 1))
+    # cut at the slashes: a pattern that looks for the last folder tries every letter of the path before it
+    name = F.substring_index(F.substring_index(F.substring_index(path, "/", -2), "/", 1), "=", -1)
+    return F.url_decode(F.when(~path.contains("/"), "").otherwise(name))
 
 
 def read_lines(spark: SparkSession, path) -> DataFrame:
@@ -113,8 +115,10 @@ def parse_exposure_plan(lines: DataFrame, names: list[str], wanted: dict[str, st
 
     The header line and # lines are skipped; ``<no name>`` is one token.
     """
-    text = F.regexp_replace("value", r" <no name>\s*$", " <no_name>")
-    body = lines.withColumn("value", text).filter(F.split(F.trim("value"), r"\s+")[0] != names[0])
+    # the lines are chosen before they are changed, and the patterns only tried where they can match
+    header = F.trim("value").startswith(names[0]) & (F.split(F.trim("value"), r"\s+", 2)[0] == names[0])
+    text = F.when(F.col("value").contains(" <no name>"), F.regexp_replace("value", r" <no name>\s*$", " <no_name>")).otherwise(F.col("value"))
+    body = lines.filter(~header & ~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("value", text)
     return parse_ascii_catalog(body, names, wanted).withColumn("program", program_of_file(F.col("file"))).drop("file")
 
 

@@ -6,6 +6,7 @@ from contextlib import redirect_stdout
 import pytest
 from pyspark.sql import functions as F
 
+from skycat.operators import jobs
 from skycat.plans.queries import QUERIES
 from skycat.sources import readers
 from tests.compare import TESTDATA
@@ -58,3 +59,23 @@ def test_loads_know_null_keys_and_repeated_ones(spark, tmp_path):
     assert writers.bulk_load_sources(spark.createDataFrame([(None, 9, 1.0, "2021", 2), (3, None, 9.0, "2021", 2)], schema), negative, path) == 1
     got = {(r["pid"], r["id"], r["isdiffpos"]): r["flux"] for r in spark.read.parquet(path).collect()}
     assert got == {(1, 1, True): 0.5, (None, 2, True): 1.0, (3, None, True): 1.0, (4, 4, True): 4.0, (1, 1, False): 1.0, (None, 9, True): 1.0}
+
+
+def test_folder_names_are_cut_not_searched(spark):
+    """The name is cut at the slashes: the pattern of before tried every letter of the path on every line."""
+    paths = ["file:/a/b=c/d%20e/part-0.txt", "s3://x/file=017_plan.ecsv/part-1", "/only", "x/y", "no slash", "a=/f", "a=b=c/f", "a//f", "", "tail/", None]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string")
+    name = readers.folder_name(F.col("p"))
+    before = F.url_decode(F.regexp_extract("p", r"([^/=]+)/[^/]*$", 1))
+    assert [r[0] for r in df.orderBy("i").select(name).collect()] == [r[0] for r in df.orderBy("i").select(before).collect()]
+    assert "regexp" not in df.select(name)._jdf.queryExecution().toString().lower()
+
+
+def test_exposure_plan_lines(spark):
+    lines = ["# %ECSV 1.0", "PLAN PASS NAME", " PLAN 1 x", "PLANS 2 star", "3 4 <no name>", "5 6 <no name> ", "7 8 a <no name> b", "", "   ", "9 10 star", "\tPLAN 11"]
+    df = spark.createDataFrame([("x/017_plan.ecsv", v) for v in lines] + [("x/017_plan.ecsv", None)], "file string, value string")
+    plans = readers.parse_exposure_plan(df, ["PLAN", "PASS", "NAME"], {"PLAN": "string", "PASS": "bigint", "NAME": "string"})
+    got = sorted((r["PLAN"], r["PASS"], r["NAME"], r["program"]) for r in plans.filter("PASS IS NOT NULL").collect())
+    assert got == [("3", 4, "<no_name>", 17), ("5", 6, "<no_name>", 17), ("7", 8, "a", 17), ("9", 10, "star", 17), ("PLANS", 2, "star", 17)]
+    text = plans._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert text.count("regexp_replace") == text.count("contains(") > 0  # the pattern is tried only on lines that can match
