@@ -72,8 +72,13 @@ def parse_job_logs(lines: DataFrame, keys: dict[str, str]) -> DataFrame:
     return lines.groupBy("file").agg(*aggs)
 
 
-def parse_product_configs(lines: DataFrame) -> DataFrame:
-    """INI lines (file, line_no, value) as (file, section, key, setting); the last one wins."""
+def parse_product_configs(lines: DataFrame, tasks: int | None = None) -> DataFrame:
+    """INI lines (file, line_no, value) as (file, section, key, setting); the last one wins.
+
+    ``tasks`` deals the files to that many tasks: the lines of a task are sorted, so their number bounds its memory.
+    """
+    if tasks is not None:
+        lines = lines.repartition(tasks, "file")
     line = F.trim("value")
     head = F.regexp_extract(line, r"^\[(.+)\]$", 1)
     order = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)

@@ -79,3 +79,11 @@ def test_exposure_plan_lines(spark):
     assert got == [("3", 4, "<no_name>", 17), ("5", 6, "<no_name>", 17), ("7", 8, "a", 17), ("9", 10, "star", 17), ("PLANS", 2, "star", 17)]
     text = plans._jdf.queryExecution().optimizedPlan().toString().lower()
     assert text.count("regexp_replace") == text.count("contains(") > 0  # the pattern is tried only on lines that can match
+
+
+def test_config_lines_are_dealt_to_many_tasks(spark):
+    rows = [(f"job_{i}.ini", n, v) for i in range(40) for n, v in enumerate(["[A]", "x = 1", f"x = {i}", "[B]", "y = z"])]
+    lines = spark.createDataFrame(rows, "file string, line_no int, value string")
+    dealt = jobs.parse_product_configs(lines, 7)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, jobs.parse_product_configs(lines).collect()))
+    assert dealt.rdd.getNumPartitions() == 7 and dealt.count() == 80
