@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, SkipRestOfInputTableException
 
 from .functions.naming import FIRST_YEAR, LAST_SEQUENCE_INDEX, LAST_YEAR, OUT_OF_RANGE, UNSUPPORTED_YEAR
 from .functions.photometry import MAG_ERROR_FACTOR
@@ -100,9 +100,10 @@ class FirstRows:
         return AnalyzeResult(_with(_table(rows), "rank", T.IntegerType()))
 
     def eval(self, row, k):
+        if self.rank >= k:
+            raise SkipRestOfInputTableException  # the key's other rows are not looked at
         self.rank += 1
-        if self.rank <= k:
-            yield (*row, self.rank)
+        yield (*row, self.rank)
 
 
 class BestVersions:

@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql.udtf import SkipRestOfInputTableException
 
 from skycat import sql
 from skycat.operators import spatial, versions
@@ -35,3 +36,10 @@ def test_tables_by_key(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
     first = spark.sql("SELECT key, version, rank FROM first_rows(TABLE(products) PARTITION BY (key) ORDER BY (d, version), 2)").collect()
     assert {tuple(r) for r in first} == {(k, v, i + 1) for k in range(3) for i, (_, v) in enumerate(sorted((d, v) for key, v, _, d in rows if key == k)[:2])}
+
+
+def test_first_rows_stop_after_k():
+    first = sql.FirstRows()
+    assert [list(first.eval((7, d), 2)) for d in (0.1, 0.2)] == [[(7, 0.1, 1)], [(7, 0.2, 2)]]
+    with pytest.raises(SkipRestOfInputTableException):  # Spark then passes over the key's other rows
+        list(first.eval((7, 0.3), 2))
