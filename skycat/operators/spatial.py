@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,24 +127,50 @@ def sky_join_nearest(left: DataFrame, right: DataFrame, radius_deg: float, left_
     Up to ``CAP_DEG`` the true distance preselects with that bound; the caps around the poles, where
     it has no end, are joined by declination.  Left rows that are equal in all columns stay apart.
     """
+    from .nearest import nearest, tile_width
+
     flat = flat_distance_deg(*left_pos, *right_pos)
     near = flat <= radius_deg
-    lefts = left.groupBy(*left.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    rights = right.filter(F.col(right_key).isNotNull()).select(*dict.fromkeys([right_key, *right_pos, *[q for _, q in on], *keep_right]))
     at_cap = F.abs(F.col(left_pos[1])) > CAP_DEG
     low = max(0.0, CAP_DEG - radius_deg)
     wide = radius_deg * math.sqrt(max(1.0, math.cos(math.radians(low)) / math.cos(math.radians(CAP_DEG)))) * (1 + 1e-6)
-    body = sky_join_all_pairs(lefts.filter(~F.coalesce(at_cap, F.lit(False))), right, min(wide, 180.0), left_pos, right_pos, on, "right", "left_outer", None, near)
+    same = [f"__on{i}" for i in range(len(on))]
+    tile = ["__zone", "__cell", *same]
+    known = rights.withColumns({n: F.col(q) for n, (_, q) in zip(same, on)}).dropna(subset=[*right_pos, *same])
+
+    def tiles(df, width):
+        return with_touched_cells(df, *right_pos, min(wide, 180.0), width, "__zone", "__cell")
+
+    h, rows = tile_width(known, wide, tiles, tile, WIDEST_TILE_DEG)
+    lefts = with_cell(left.filter(~F.coalesce(at_cap, F.lit(False))), *left_pos, h, "__zone", "__cell").withColumns({n: F.col(p) for n, (p, _) in zip(same, on)})
+    pairs = nearest(lefts, tiles(known, h), rows, tile, left_pos, right_pos, radius_deg, _flat_distances, [F.col(f"r.{c}") for c in (right_key, *keep_right)], 360.0)
+    # names of the two sides may be the same here and there
+    best = lambda at, r: F.struct(at.alias("dist_deg"), *[F.col(f"{r}{c}").alias(c) for c in (right_key, *keep_right)])
+    between = flat_distance_deg(*[F.col(f"l.{c}") for c in left_pos], *[F.col(f"r.{c}") for c in right_pos])
+    body = pairs.select("l.*", F.when(F.col("r").isNotNull(), best(between, "r.")).alias("__best"))
+
     band = lambda c: F.floor(F.col(c) / radius_deg)
-    caps = right.filter(F.abs(F.col(right_pos[1])) > low - MARGIN_DEG)
+    caps = rights.filter(F.abs(F.col(right_pos[1])) > low - MARGIN_DEG)
     caps = caps.withColumn("__band", F.explode(F.array(*[band(right_pos[1]) + d for d in (-1, 0, 1)])))
     match = (band(left_pos[1]) == F.col("__band")) & near
     for p, q in on:
         match = match & (F.col(p) == F.col(q))
-    polar = lefts.filter(at_cap).join(caps, match, "left_outer").drop("__band")
-    pairs = body.unionByName(polar)
-    best = F.min(F.when(F.col(right_key).isNotNull(), F.struct(flat.alias("dist_deg"), F.col(right_key), *[F.col(c) for c in keep_right])))
-    out = pairs.groupBy(*left.columns, "__copies").agg(best.alias("__best"))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*left.columns, "__best.*")
+    lefts = left.filter(at_cap).groupBy(*left.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    polar = lefts.join(caps, match, "left_outer").drop("__band")
+    polar = polar.groupBy(*left.columns, "__copies").agg(F.min(F.when(F.col(right_key).isNotNull(), best(flat, ""))).alias("__best"))
+    polar = polar.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies", "__copy")
+    return body.unionByName(polar).select(*left.columns, "__best.*")
+
+
+WIDEST_TILE_DEG = 5.0
+
+
+def _flat_distances(ra, dec, cosine, ra2, dec2):
+    """``flat_distance_deg`` in numpy, the same numbers."""
+    turned = np.fmod(ra2 - ra + 540.0, 360.0)
+    u, v = (np.where(turned < 0, np.fmod(turned + 360.0, 360.0), turned) - 180.0) * cosine, dec2 - dec
+    return np.sqrt(u * u + v * v)
 
 
 def flat_distance_deg(ra, dec, ra2, dec2) -> Column:
@@ -223,23 +250,32 @@ def catalog_match_nearest_pixel(ref: DataFrame, sci: DataFrame, radius: float, c
     ``ref``: image_id, ref_id, x, y, ...; ``sci``: image_id, sci_id, x, y, ....  ``compat``
     keeps the older preselection |dx| <= radius / sqrt(2), which loses some matches.
     """
-    h = float(radius)
-    near = [F.floor(F.col("y") / h) + d for d in (-1, 0, 1)]
-    nearx = [F.floor(F.col("x") / h) + d for d in (-1, 0, 1)]
-    a = ref.select("image_id", "ref_id", F.col("x").alias("__x"), F.col("y").alias("__y"),
-                   F.floor(F.col("x") / h).alias("__gx"), F.floor(F.col("y") / h).alias("__gy"))
-    b = (sci.withColumn("__gy", F.explode(F.array(*near))).withColumn("__gx", F.explode(F.array(*nearx)))
-         .withColumnsRenamed({"x": "sci_x", "y": "sci_y"}))
-    dx, dy = F.col("__x") - F.col("sci_x"), F.col("__y") - F.col("sci_y")
-    d2 = dx * dx + dy * dy
-    limit = d2 <= radius * radius
-    if compat:
-        # a nearest source outside the circle hides a farther one inside the strip: no effect on the minimum
-        limit = limit & (F.abs(dx) <= radius / math.sqrt(2.0))
+    from .nearest import nearest, tile_width
+
+    known = [df.filter(F.col("image_id").isNotNull() & (F.abs(F.col("x")) < float("inf")) & (F.abs(F.col("y")) < float("inf"))) for df in (ref.select("image_id", "ref_id", "x", "y"), sci)]
+    tile, wide = ["__image", "__gx", "__gy"], radius * (1 + 1e-6)
+
+    def tiles(df, width):
+        cells = lambda c: F.sequence(F.floor((F.col(c) - wide) / width), F.floor((F.col(c) + wide) / width))
+        return df.withColumn("__image", F.col("image_id")).withColumn("__gx", F.explode(cells("x"))).withColumn("__gy", F.explode(cells("y")))
+
+    def distances(x, y, _, x2, y2):
+        dx, dy = x - x2, y - y2
+        d2 = dx * dx + dy * dy
+        far = d2 > radius * radius
+        if compat:
+            # a nearest source outside the circle hides a farther one inside the strip: no effect on the minimum
+            far |= np.abs(dx) > radius / math.sqrt(2.0)
+        return np.where(far, np.inf, d2)
+
+    h, rows = tile_width(known[1], radius, tiles, tile)
+    lefts = known[0].withColumns({"__image": F.col("image_id"), "__gx": F.floor(F.col("x") / h), "__gy": F.floor(F.col("y") / h)})
     extra = [c for c in sci.columns if c not in ("image_id", "x", "y", "sci_id")]
-    pairs = a.join(b, ["image_id", "__gx", "__gy"]).filter(limit)
-    best = F.min(F.struct(d2.alias("d2"), F.col("sci_id"), dx.alias("dx"), dy.alias("dy"), *[F.col(c) for c in extra]))
-    return (pairs.groupBy("image_id", "ref_id").agg(best.alias("b"))
+    order = [F.col("r.sci_id"), F.desc("r.x"), F.desc("r.y"), *[F.col(f"r.{c}") for c in extra]]
+    pairs = nearest(lefts, tiles(known[1], h), rows, tile, ("x", "y"), ("x", "y"), radius, distances, order, squared=True)
+    dx, dy = F.col("l.x") - F.col("r.x"), F.col("l.y") - F.col("r.y")
+    best = F.min(F.struct((dx * dx + dy * dy).alias("d2"), F.col("r.sci_id"), dx.alias("dx"), dy.alias("dy"), *[F.col(f"r.{c}") for c in extra]))
+    return (pairs.filter("r IS NOT NULL").groupBy(F.col("l.image_id").alias("image_id"), F.col("l.ref_id").alias("ref_id")).agg(best.alias("b"))
             .select("image_id", "ref_id", "b.*").withColumn("distance", F.sqrt("d2")).drop("d2"))
 
 
