@@ -436,7 +436,8 @@ def associate_across_fields(objects: DataFrame, sources: DataFrame, neighbors: D
 def association_pairs_once(objects: DataFrame, sources: DataFrame, radius_deg: float,
                            object_pos=("ra0", "dec0")) -> tuple[DataFrame, DataFrame]:
     """All (aid, sid) pairs for one snapshot of the objects, and the sources without a pair."""
-    b = objects.select("aid", F.col(object_pos[0]).alias("__ora"), F.col(object_pos[1]).alias("__odec"))
+    # Spark sees the size of the objects' files, not of the rows and cells they become: it would collect them in the driver
+    b = objects.select("aid", F.col(object_pos[0]).alias("__ora"), F.col(object_pos[1]).alias("__odec")).hint("merge")
     pairs = sky_join_all_pairs(sources, b, radius_deg, right_pos=("__ora", "__odec"), distance=None).select("aid", "sid")
     unmatched = sky_join_all_pairs(sources, b.select("__ora", "__odec"), radius_deg, right_pos=("__ora", "__odec"), how="left_anti")
     return pairs, unmatched

@@ -91,3 +91,13 @@ def test_across_fields(spark):
     borders = spark.createDataFrame([(10, 11), (11, 10)], "rtid long, neighbor long")
     got = {tuple(r) for r in associate.associate_across_fields(objects, sources, borders, 1e-4).collect()}
     assert got == {(10, 1, 5), (11, 2, 7)}
+
+
+def test_snapshot_pairs_never_collect_the_objects_in_the_driver(spark, capsys):
+    """Objects are repeated for the cells they touch, which Spark's size check does not see."""
+    objects = spark.createDataFrame([(i, 10.0 + i, 5.0) for i in range(20)], "aid long, ra0 double, dec0 double")
+    sources = spark.createDataFrame([(i, 10.0 + i / 2, 5.0) for i in range(40)], "sid long, ra double, dec double")
+    pairs, unmatched = associate.association_pairs_once(objects, sources, 0.01)
+    assert sorted(map(tuple, pairs.collect())) == [(i // 2, i) for i in range(0, 40, 2)] and unmatched.count() == 20
+    pairs.unionByName(unmatched.selectExpr("NULL AS aid", "sid")).explain()
+    assert "Broadcast" not in capsys.readouterr().out
