@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import tan_deproject
+from .overlap import CORNERS, areas_type, convex_common, planes, signed_areas
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 
@@ -158,6 +159,26 @@ def _plane_ring(prefix: str) -> Column:
     return F.array(F.array(*points))
 
 
+@F.arrow_udf(areas_type("subject_area", "clip_area", "common_area"))
+def _quad_areas(*columns: pa.Array) -> pa.Array:
+    """Areas as of ``overlap_areas`` for footprints: convex ones are clipped, others swept."""
+    own, other = planes(*columns)
+    common, known = convex_common(own, other)
+    found = np.stack([np.abs(signed_areas(own)), np.abs(signed_areas(other)), common])
+    rest = np.flatnonzero(~known)
+    if len(rest):
+        found[:, rest] = batch_areas(*(_rings(quads[:, :, rest]) for quads in (own, other))).T
+    return pa.StructArray.from_arrays([*map(pa.array, found)], ["subject_area", "clip_area", "common_area"])
+
+
+def _rings(quads: np.ndarray) -> pa.Array:
+    """A column of polygons of one ring each, from (x, y) by (corner, row)."""
+    n = quads.shape[2]
+    points = pa.StructArray.from_arrays([pa.array(v.T.ravel()) for v in quads], ["x", "y"])
+    rings = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * 4, pa.int32()), points)
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1), pa.int32()), rings)
+
+
 def footprint_overlaps(pairs: DataFrame, own_holes: str | None = None) -> DataFrame:
     """``pairs`` with percent, the share of the first footprint that the second covers, and other_percent, the share of the second.
 
@@ -165,8 +186,12 @@ def footprint_overlaps(pairs: DataFrame, own_holes: str | None = None) -> DataFr
     projected on the tangent plane at the centre of the first.  ``own_holes`` is a column of rings on that plane, in arcseconds,
     that are cut out of the first.  A footprint without area has no share (NULL).
     """
-    own = _plane_ring("") if own_holes is None else F.concat(_plane_ring(""), F.coalesce(F.col(own_holes), F.array().cast(RINGS)))
-    shaped = pairs.withColumns({"__own": own.cast(RINGS), "__other": _plane_ring("o_").cast(RINGS)})
-    out = overlap_areas(shaped, "__own", "__other").drop("__own", "__other")
+    if own_holes is None:
+        found = _quad_areas(*[F.col(c).cast("double") for c in ("ra0", "dec0", *CORNERS)])
+        out = pairs.withColumn("__areas", found).select(*pairs.columns, "__areas.*")
+    else:
+        own = F.concat(_plane_ring(""), F.coalesce(F.col(own_holes), F.array().cast(RINGS)))
+        shaped = pairs.withColumns({"__own": own.cast(RINGS), "__other": _plane_ring("o_").cast(RINGS)})
+        out = overlap_areas(shaped, "__own", "__other").drop("__own", "__other")
     share = lambda part: F.try_divide(100.0 * F.col("common_area"), F.when(F.col(part) > 0, F.col(part)))
     return out.withColumns({"percent": share("subject_area"), "other_percent": share("clip_area")}).drop("subject_area", "clip_area", "common_area")

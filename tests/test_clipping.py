@@ -99,3 +99,42 @@ def test_a_batch_of_pairs_equals_them_one_by_one():
     assert clipping.batch_areas(pa.array(a, kind).slice(100, 50), pa.array(b, kind).slice(100, 50)) == pytest.approx(np.array(want[100:150]), abs=1e-9)
     assert clipping.batch_areas(pa.array([None], kind), pa.array([[]], kind)).tolist() == [[0.0, 0.0, 0.0]]
     assert len(clipping.batch_areas(pa.array([], kind), pa.array([], kind))) == 0
+
+
+def test_convex_footprints_are_clipped_many_at_once(spark):
+    from skycat.operators import overlap
+
+    rng = np.random.default_rng(3)
+    n = 3000
+    turn, size = np.sort(rng.uniform(0, 2 * np.pi, (2, 4, n)), axis=1), rng.uniform(5, 10, (2, 1, n))
+    quads = np.stack([size * np.cos(turn), size * np.sin(turn)], axis=1) + rng.uniform(-8, 8, (2, 2, 1, n))
+    quads[:, :, :, ::3] = quads[:, :, ::-1, ::3]  # the other sense
+    square = np.array([[-1.0, 1.0, 1.0, -1.0], [-1.0, -1.0, 1.0, 1.0]])[:, :, None]
+    quads[0, :, :, :500], quads[1, :, :, :500] = square, square + rng.integers(-2, 3, (2, 1, 500))  # edges and corners in common
+    quads[0, :, :, :500] += rng.normal(0, 1e-12, (2, 4, 500))
+    quads[0, :, 1, 500:600] = quads[0, :, 3, 500:600]  # no quadrilateral
+    area, known = overlap.convex_common(*quads)
+    assert not known[500:600].any() and np.delete(known, np.s_[500:600]).all()
+    swept = clipping.batch_areas(*map(clipping._rings, quads))[:, 2]
+    assert np.abs(area - swept)[known].max() < 1e-9 and (area > 0).sum() > 1000
+    assert max(abs(overlap._clipped_slowly(quads[0, :, :, i].T, quads[1, :, :, i].T) - swept[i]) for i in range(700)) < 1e-9
+
+
+def test_odd_footprints(spark):
+    """Concave, crossed, missing and far-off corners beside plain ones; a footprint's shares follow its own areas."""
+    from skycat.operators import overlap
+
+    def pair(k, own, other):
+        return (k, 10.0, 20.0, *own, *other)
+
+    box = [9.9, 19.9, 10.1, 19.9, 10.1, 20.1, 9.9, 20.1]
+    dart = [9.9, 19.9, 10.1, 19.9, 9.95, 19.95, 9.9, 20.1]
+    rows = [pair(0, box, box), pair(1, box, dart), pair(2, dart, box), pair(3, box, [None, *box[1:]]), pair(4, [10.0] * 8, box), pair(5, box, [*box[:2], 190.0, -20.0, *box[4:]])]
+    columns = ["k", "ra0", "dec0", *overlap.CORNERS]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} {'long' if c == 'k' else 'double'}" for c in columns))
+    got = {r["k"]: r for r in clipping.footprint_overlaps(df).collect()}
+    assert got[0]["percent"] == pytest.approx(100) and got[0]["other_percent"] == pytest.approx(100)
+    assert got[1]["other_percent"] == pytest.approx(100) and got[1]["percent"] == pytest.approx(got[2]["other_percent"]) and 0 < got[1]["percent"] < 50
+    assert got[3]["percent"] == 0 and got[3]["other_percent"] is None and got[4]["percent"] is None and got[5]["percent"] is not None
+    share = {r["k"]: r["percent"] for r in overlap.footprint_overlap_percent(df).collect()}
+    assert share[0] == pytest.approx(100) and share[2] == pytest.approx(100) and share[3] is None and share[4] is None
