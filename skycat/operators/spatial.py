@@ -82,19 +82,23 @@ def with_touched_cells(df: DataFrame, ra: str, dec: str, radius_deg, h: float,
 
 def sky_join_all_pairs(left: DataFrame, right: DataFrame, radius_deg: float, left_pos=("ra", "dec"),
                        right_pos=("ra0", "dec0"), on: list[tuple[str, str]] = (), repeat: str = "right",
-                       how: str = "inner", distance: str | None = "dist_deg", keep=None, cell_deg: float | None = None) -> DataFrame:
+                       how: str = "inner", distance: str | None = "dist_deg", keep=None, cell_deg: float | None = None,
+                       crowded: bool = False) -> DataFrame:
     """All pairs of rows with a separation of at most ``radius_deg``.
 
     ``repeat`` names the side that is copied to the cells it touches: take the smaller
     one.  ``on`` lists further pairs of columns that must be equal.  ``keep`` is an extra
     predicate tested inside the join.  ``cell_deg`` asks for larger cells, which copy fewer rows where the
-    sky is not crowded.  With ``how`` set to ``left_outer``, ``left_anti`` or
+    sky is not crowded.  ``crowded`` first counts how crowded the repeated side is: cells much smaller than the circle copy more of its rows, but
+    rows meet fewer that are not in reach.  With ``how`` set to ``left_outer``, ``left_anti`` or
     ``left_semi`` the right side must be the repeated one.  Column names of the two sides
     must differ.
     """
     if how != "inner" and repeat != "right":
         raise ValueError("only the right side can be repeated in an outer, semi or anti join")
     h = max(cell_height(radius_deg), cell_deg or 0.0)
+    if crowded:
+        h = min(h, _crowded_cell(right if repeat == "right" else left, right_pos if repeat == "right" else left_pos, radius_deg))
 
     def keyed(df, pos, tag, copied):
         x, y, z = unit_vector(*pos)
@@ -117,6 +121,18 @@ def sky_join_all_pairs(left: DataFrame, right: DataFrame, radius_deg: float, lef
     return joined.drop(*[f"__{t}{n}" for t in "ab" for n in ("x", "y", "z", "zone", "cell")])
 
 
+CROWDS = ((64.0, 0.5), (16.0, 1.0))  # rows around a row, from which on cells have such a part of the radius
+
+
+def _crowded_cell(df: DataFrame, pos, radius_deg: float) -> float:
+    """Height of the cells for the crowding around the rows: how many share the cell of one, of the usual height."""
+    h = cell_height(radius_deg)
+    counts = with_cell(df.select(*pos), *pos, h, "__zone", "__cell").groupBy("__zone", "__cell").agg(F.count("*").cast("double").alias("n"))
+    n, squares = counts.agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
+    around = squares / n if n else 0.0
+    return next((max(part * radius_deg, FINEST_CELL_DEG) for least, part in CROWDS if around > least), h)
+
+
 def sky_join_nearest(left: DataFrame, right: DataFrame, radius_deg: float, left_key: str, right_key: str,
                      left_pos=("ra", "dec"), right_pos=("ra0", "dec0"), on=(), keep_right: list[str] = ()) -> DataFrame:
     """Nearest right row within the radius for each left row, NULL where there is none.

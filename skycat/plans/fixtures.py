@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import small_methods
+
 BASE = ("region nation customer supplier part orders lineitem events documents embeddings pages "
         "benchmark labels conversations").split()
 
@@ -53,6 +55,7 @@ class Catalog:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        small_methods(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE:

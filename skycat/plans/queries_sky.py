@@ -260,7 +260,7 @@ def sky_join_all_pairs(t):
 @query("sky_join_all_pairs_dense", f"""SELECT aid, count(*) AS n, sum(sid % 1000000) AS checksum
   FROM dense_sources JOIN dense_objects ON {within(R, 'ra', 'dec', 'ra0', 'dec0')} GROUP BY aid""")
 def sky_join_all_pairs_dense(t):
-    out = spatial.sky_join_all_pairs(t.dense_sources.select("sid", "ra", "dec"), t.dense_objects, R, distance=None)
+    out = spatial.sky_join_all_pairs(t.dense_sources.select("sid", "ra", "dec"), t.dense_objects, R, distance=None, crowded=True)
     return out.groupBy("aid").agg(F.count("*").alias("n"), F.sum(F.col("sid") % 1000000).alias("checksum"))
 
 

@@ -31,3 +31,20 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_query_without_sql_has_a_brute_force_test():
     assert set(q.QUERIES) - set(q.ORACLES) == {"associate_dense_field"}
+
+
+def test_queries_let_spark_split_huge_methods(spark, tmp_path):
+    """A cluster's session may lack the recommended limit; one of its own stays."""
+    from skycat.plans.fixtures import Catalog
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        Catalog(spark, str(tmp_path))
+        assert spark.conf.get(key) == "8000"
+        spark.conf.set(key, "12000")
+        Catalog(spark, str(tmp_path))
+        assert spark.conf.get(key) == "12000"
+    finally:
+        spark.conf.set(key, before)

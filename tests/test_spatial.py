@@ -101,3 +101,14 @@ def test_truth_match_on_crowded_images(spark, monkeypatch, per_list):
     assert spatial._crowded_reach(spots, 25.0) < 12.5 and spatial._crowded_reach(spots.limit(0), 25.0) is None
     if per_list > 400:
         assert spatial._nearest_spot(d, spots, 25.0).count() == len(dets)
+
+
+def test_cells_of_a_crowded_join_are_smaller_than_the_circle(spark):
+    radius = 1.2e-5
+    a, b = cloud(8, (180.0, 0.0), 1e-4, 400), cloud(9, (180.0, 0.0), 1e-4, 6000)
+    left, right = spark.createDataFrame(a, "a long, ra double, dec double"), spark.createDataFrame(b, "b long, ra0 double, dec0 double")
+    assert spatial._crowded_cell(right, ("ra0", "dec0"), radius) < radius < spatial._crowded_cell(left.limit(0), ("ra", "dec"), radius)
+    for repeat in ("left", "right"):
+        got = spatial.sky_join_all_pairs(left, right, radius, crowded=True, repeat=repeat).select("a", "b").collect()
+        assert sorted(map(tuple, got)) == sorted(brute.all_pairs(a, b, radius))
+
