@@ -11,6 +11,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -223,20 +225,56 @@ def batch_cone_search(positions: DataFrame, catalog: DataFrame, radius_deg: floa
     return sky_join_all_pairs(positions, catalog, radius_deg, position_pos, catalog_pos, repeat="left")
 
 
+FIRST_AT_ONCE = 500_000  # rows of a task that are cut down to the first of each key together
+SORTED_IN_NUMPY = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _first_rows(key: str, k: int, order: list[str]):
+    """At most the first ``k`` rows of each key among the rows of a task, as a function of Arrow batches; a key may come again later."""
+    def first(table: pa.Table) -> pa.Table:
+        keys = []
+        for name in (key, *order):
+            c = table.column(name).combine_chunks()
+            keys += [c.is_valid().to_numpy(zero_copy_only=False), pc.fill_null(c, 0).to_numpy(zero_copy_only=False)]  # NULL first, NaN last
+        at = np.lexsort(keys[::-1])
+        known, value = (c[at] for c in keys[:2])
+        new = np.ones(len(at), bool)
+        new[1:] = (known[1:] != known[:-1]) | (value[1:] != value[:-1]) & ~((value[1:] != value[1:]) & (value[:-1] != value[:-1]))
+        start = np.flatnonzero(new)
+        rank = np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))
+        return table.take(pa.array(at[rank < k]))
+
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += len(batch)
+            if rows >= FIRST_AT_ONCE:
+                table = first(pa.Table.from_batches(held))
+                if 2 * len(table) > FIRST_AT_ONCE:  # mostly keys with few rows: waiting would not help
+                    yield from table.to_batches()
+                    table = table.slice(0, 0)
+                held, rows = table.to_batches(), len(table)
+        if rows:
+            yield from first(pa.Table.from_batches(held)).to_batches()
+
+    return run
+
+
 def nearest_k(pairs: DataFrame, key: str, k: int, order: list[str]) -> DataFrame:
     """The first ``k`` rows of each key in the given order.
 
-    The first round works per (key, hash slice), so a hot key is cut down in many tasks
-    before the final ranking sees at most ``k`` rows of each slice.
+    Rows are cut down where they arise, a bounded number at a time, so what is sorted and shuffled follows the keys, not the pairs.  Columns
+    that numpy does not sort take a first round per (key, hash slice) instead, which cuts a hot key down in many tasks.
     """
-    from pyspark.sql import Window
-
-    part = F.pmod(F.xxhash64(*order), F.lit(32))
-    first = Window.partitionBy(key, "__slice").orderBy(*order)
     last = Window.partitionBy(key).orderBy(*order)
-    return (pairs.withColumn("__slice", part)
-            .withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k).drop("__slice")
-            .withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k))
+    if {pairs.schema[c].dataType.simpleString() for c in (key, *order)} <= set(SORTED_IN_NUMPY):
+        some = pairs.mapInArrow(_first_rows(key, k, order), pairs.schema)
+    else:
+        first = Window.partitionBy(key, "__slice").orderBy(*order)
+        some = (pairs.withColumn("__slice", F.pmod(F.xxhash64(*order), F.lit(32)))
+                .withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k).drop("__slice", "rank"))
+    return some.withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k)
 
 
 def overlapping_images(targets: DataFrame, images: DataFrame, radius_deg: float = 0.18) -> DataFrame:

@@ -112,3 +112,22 @@ def test_cells_of_a_crowded_join_are_smaller_than_the_circle(spark):
         got = spatial.sky_join_all_pairs(left, right, radius, crowded=True, repeat=repeat).select("a", "b").collect()
         assert sorted(map(tuple, got)) == sorted(brute.all_pairs(a, b, radius))
 
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_nearest_k_cuts_pairs_down_where_they_arise(spark, monkeypatch, kind, capsys):
+    monkeypatch.setattr(spatial, "FIRST_AT_ONCE", 100)
+    rng = random.Random(2)
+    rows = [(rng.choice([None, *range(12)]), rng.choice([None, float("nan"), 1.0, 2.0, 2.5, -0.0]), rng.choice([None, *range(40)])) for _ in range(3000)]
+    df = spark.createDataFrame(rows, f"k {'long' if kind == 'long' else 'string'}, d double, i long").coalesce(2)
+    out = spatial.nearest_k(df, "k", 4, ["d", "i"])
+    out.explain()
+    assert capsys.readouterr().out.count("Exchange") == (1 if kind == "long" else 2)
+    place = lambda v: (v is not None, v != v, 0.0 if v is None or v != v else float(v))
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["k"], []).append((r["rank"], place(r["d"]), place(r["i"])))
+    for k in [None, *range(12)]:
+        want = sorted((place(d), place(i)) for kk, d, i in rows if kk == k)[:4]
+        assert sorted(got[k if k is None or kind == "long" else str(k)]) == [(n + 1, *w) for n, w in enumerate(want)]
+    assert set(out.columns) == {"k", "d", "i", "rank"}
