@@ -49,3 +49,21 @@ def test_objects_come_with_the_rows_that_start_them():
                                               one(10, 10, 20), one(0, r / 2, 0), one(3, 1, 1), chord2_limit(r), leveled=True)
     assert list(zip(source.tolist(), aid.tolist())) == [(1, 5), (2, 7)] and start.tolist() == [0, 2]
     assert objects.id[:2].tolist() == [5, 7] and objects.weight[:2].tolist() == [4, 1]
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_points_are_not_shuffled_for_few_tiles(spark, monkeypatch, capsys, few):
+    from skycat.operators import tiles as tiles_module
+
+    monkeypatch.setattr(tiles_module, "FEW_TILES", few)
+    grid = spark.range(36).selectExpr("id AS rtid", "id * 10D AS ramin", "id * 10D + 10D AS ramax", "-10D AS decmin", "10D AS decmax")
+    points = spark.range(360).selectExpr("id", "CAST(id AS DOUBLE) AS ra", "CAST(id % 30 AS DOUBLE) - 15 AS dec")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = tiles_module.point_to_tile(points, grid)
+        out.explain()
+        assert ("BroadcastHashJoin" in capsys.readouterr().out) == (few > 0)
+        assert {r["id"]: r["field"] for r in out.collect()} == {i: i // 10 if -10 <= i % 30 - 15 < 10 else None for i in range(360)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
