@@ -103,7 +103,7 @@ def test_truth_match_on_crowded_images(spark, monkeypatch, per_list):
         assert spatial._nearest_spot(d, spots, 25.0).count() == len(dets)
 
 
-def test_cells_of_a_crowded_join_are_smaller_than_the_circle(spark):
+def test_cells_of_a_crowded_join_are_smaller_than_the_circle(spark, capsys):
     radius = 1.2e-5
     a, b = cloud(8, (180.0, 0.0), 1e-4, 400), cloud(9, (180.0, 0.0), 1e-4, 6000)
     left, right = spark.createDataFrame(a, "a long, ra double, dec double"), spark.createDataFrame(b, "b long, ra0 double, dec0 double")
